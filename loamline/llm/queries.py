@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm import license_scan, mixing, packing, quality_rules, simhash, token_store, toxicity
+from loamline.llm import license_scan, lm_scoring, media, mixing, packing, quality_rules, simhash, token_store, toxicity, warc
 from loamline.llm.scratch import materialize
 
 TOKENIZER = "word_bpe_49k.json"
@@ -36,11 +36,43 @@ def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "x.n_words", "x.n_base", "x.first_word", "x.last_word", joined("x.base_labels").alias("base_labels"), joined("x.labels").alias("labels"), "x.score")
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = warc.assemble(warc.archive(table(spark, sf_dir, "pages")))
+    key = lambda x: F.expr(f"try_cast(split_part({x}, ':', 3) AS bigint)")
+    stored = F.expr("try_cast(element_at(metadata[0].fields, 'capture-key') AS bigint)")
+    return captures.select(stored.alias("page_id"), "response.payload_bytes", "response.payload_digest", "response.record_type", key("response.refers_to").alias("refers_to"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.with_mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "x")
     return out.select("doc_id", "x.size", "x.source_size", "x.target", "x.taken")
 
 
+def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edited copies of every picture whose id is divisible by 20, searched among all pictures.
+
+    The tables hold no images: each embedding is drawn as tiles, equal embeddings as equal pictures.
+    """
+    vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image_id"), F.col("embedding").alias("v"))
+    images = materialize(vectors.select("image_id", media.tiles(F.col("v"), side=8, cell=8).alias("pixels"), F.lit(64).alias("width")), "images")
+    groups = materialize(media.classes(images), "classes")
+    first = groups.select("image_id")
+    described = materialize(media.describe(images.join(first, "image_id", "left_semi")), "corners")
+    asked = images.where("image_id % 20 = 0").select("image_id", media.class_of().alias("image_class"))
+    asked = materialize(asked.join(groups.select("image_class", F.col("image_id").alias("first_id")), "image_class").select("image_id", "first_id"), "asked")
+    copies = media.edited(images.join(asked.select(F.col("first_id").alias("image_id")).distinct(), "image_id", "left_semi"))
+    found = media.matches(materialize(media.describe(copies), "queries"), described)
+    found = found.join(groups.select(F.col("image_id").alias("match_id"), "members"), "match_id")
+    found = materialize(found, "found")
+    asked = asked.withColumnRenamed("first_id", "query_id")
+    return asked.join(found, "query_id").select("image_id", "query_id", "match_id", F.col("members").alias("class_size"), "inliers", "turn", "scale", "dx", "dy")
+
+
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm_scoring.scored(docs, remainder() == 1, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = simhash.with_fingerprint(table(spark, sf_dir, "documents").select("doc_id", "text"), "f")
     marked = materialize(marked.select("doc_id", "f"), "fingerprints")
@@ -66,7 +98,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules, op2_license_scans, op4_mixing, op7_simhash, op8_token_files, op9_toxicity, op10_packing]
+    found = [op1_quality_rules, op2_license_scans, op3_warc, op4_mixing, op5_media, op6_lm_scoring, op7_simhash, op8_token_files, op9_toxicity, op10_packing]
     return {f.__name__: f for f in found}
 
 

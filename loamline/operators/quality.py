@@ -128,7 +128,7 @@ def current_findings(log: DataFrame) -> DataFrame:
 
 def status_pivot(events: DataFrame, codes: list[str]) -> DataFrame:
     """Events per day by code with totals of accepted (the first code) and rejected ones."""
-    p = events.groupBy("activity_date").pivot("code", codes).agg(F.count("*"))
+    p = events.groupBy("activity_date").pivot("code", codes).agg(F.count(F.lit(1)))
     zero = [F.coalesce(c, F.lit(0)).alias(f"n_{c}") for c in codes]
     rest = sum((F.coalesce(c, F.lit(0)) for c in codes[1:]), F.lit(0))
     return p.select("activity_date", *zero, F.coalesce(codes[0], F.lit(0)).alias("accepted"), rest.cast("bigint").alias("rejected"))

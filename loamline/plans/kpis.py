@@ -1,3 +1,278 @@
-"""Placeholder."""
+"""Queries of the measures and their oracles."""
 
-QUERIES = {}
+from __future__ import annotations
+
+import datetime
+
+from pyspark.sql import functions as F
+
+from loamline.operators import identity, kpis, marts, seats
+from loamline.plans.base import AS_OF, frames, sql
+from loamline.plans.marts import ALIAS, API, DAILY, DIM_USER, SEEN, SEGMENTS, SIG, WINDOWS, rounded
+from loamline.plans.seats import CURRENT, DAYS, STEPS
+
+E, M, U, R = "events", "metrics", "utilization", "roster"
+col = F.col
+NOW = (datetime.date(2024, 1, 16), datetime.date(2024, 1, 30))
+BEFORE = (datetime.date(2024, 1, 1), datetime.date(2024, 1, 15))
+IN = f"BETWEEN DATE '{NOW[0]}' AND DATE '{NOW[1]}'"
+PRICES = {"Premium": 150.0, "Standard": 25.0}
+ACTIVE_USERS = "count(DISTINCT user_email) FILTER (user_email <> '(unknown)')"
+EDITS = """SELECT session_id, activity_date, tool_name, decision, coalesce(min(user_email), '(unknown)') AS user_email, sum(value) AS decisions FROM m
+    WHERE metric_name = 'code_edit_tool.decision' AND value_kind = 'sum_delta' GROUP BY session_id, activity_date, tool_name, language, decision, decision_source"""
+SESSIONS = """SELECT session_id, coalesce((min(struct_pack(t := t, v := user_email)) FILTER (WHERE user_email IS NOT NULL)).v, '(unknown)') AS user_email, min(t) AS started_at,
+    CAST(round((epoch_us(max(t)) - epoch_us(min(t))) / 1e6) AS BIGINT) AS duration_s FROM sig GROUP BY 1"""
+SEAT_DAYS = f"""SELECT DISTINCT user_email FROM i WHERE valid_from <= DATE '{NOW[1]}' AND (valid_to IS NULL OR valid_to > DATE '{NOW[0]}')"""
+PAID = "SELECT user_email FROM sd WHERE user_email IN (SELECT user_email FROM c)"
+
+
+def doubles(df, *names):
+    """Counts that can be NULL, as doubles."""
+    return df.withColumns({n: col(n).cast("double") for n in names})
+
+
+def users(e, m, a):
+    return marts.dim_user(e, m, a, identity.derived_alias(e, m))
+
+
+def paid(r, e, m, a):
+    i = seats.seat_intervals(r)
+    return kpis.seat_use(seats.seat_days(i, AS_OF), seats.current_seats(i), users(e, m, a), marts.fact_session_daily(e, m), NOW)
+
+
+#: Activity thinned by a rule, so that all four cohorts have members.
+THIN = "(activity_date - DATE '2024-01-01') % 9 = length(user_email) % 9 + CAST(substr(split_part(user_email, '@', 1), 2) AS INT) % 3"
+
+
+def thin(daily):
+    return daily.where("user_email <> '(unknown)'").where(
+        F.expr("datediff(activity_date, DATE '2024-01-01') % 9 = length(user_email) % 9 + CAST(substr(split_part(user_email, '@', 1), 2) AS INT) % 3")
+    )
+
+
+@frames(E, M, "manual_alias")
+def thin_cohorts(e, m, a):
+    daily = thin(marts.fact_session_daily(e, m))
+    first = daily.groupBy("user_email").agg(F.min("activity_date").alias("first_seen_date"))
+    return kpis.cohorts(users(e, m, a).where("NOT is_unknown").select("user_email"), daily, NOW, BEFORE, first)
+
+
+@frames(E, M)
+def change(e, m):
+    daily = marts.fact_session_daily(e, m)
+
+    def measure(window):
+        return kpis.within(daily, window).agg(
+            F.round(F.sum("commits"), 4).alias("commits"), kpis.ratio(F.count_if(col("prompts") > 0), F.count("*")).alias("prompted"), F.count_distinct("user_email").alias("actives")
+        )
+
+    return rounded(kpis.period_over_period(measure, NOW, {"commits": "pct", "prompted": "points", "actives": "diff"}), "prompted", "prior_prompted", "change_commits", "change_prompted", digits=6)
+
+
+def measured(window):
+    return f"""SELECT round(sum(commits), 4) AS commits, count(*) FILTER (prompts > 0) / count(*) AS prompted, count(DISTINCT user_email) AS actives FROM d WHERE activity_date BETWEEN DATE '{window[0]}' AND DATE '{window[1]}'"""
+
+
+@frames(E, M)
+def drill(e, m):
+    bridges = {"agents": (marts.bridge_agent(e), "agent_name"), "hooks": (marts.bridge_hook(e), "hook_name"), "servers": (marts.bridge_server(e), "server_name"), "plugins": (marts.bridge_plugin(e), "plugin_name"), "skills": (marts.bridge_skill(e), "skill_name")}
+    out = kpis.session_drill(marts.fact_session(e, m), marts.fact_api_usage(e), bridges)
+    lists = ["models", *bridges]
+    return doubles(rounded(out.withColumns({c: F.concat_ws(",", c) for c in lists}), "cost_usd"), "tokens", "requests")
+
+
+def listed(name: str, where: str, column: str) -> str:
+    return f"LEFT JOIN (SELECT session_id, array_to_string(list_sort(list(DISTINCT {column})), ',') AS {name} FROM e WHERE {where} AND {column} IS NOT NULL GROUP BY 1) x_{name} ON x_{name}.session_id = s.session_id"
+
+
+BRIDGES = {
+    "agent": (marts.bridge_agent, "event_name IN ('api_request', 'subagent_completed') AND agent_name IS NOT NULL"), "hook": (marts.bridge_hook, "event_name = 'hook_execution'"),
+    "server": (marts.bridge_server, "event_name = 'server_connection' AND server_name IS NOT NULL"), "plugin": (marts.bridge_plugin, "event_name = 'plugin_loaded'"),
+    "skill": (marts.bridge_skill, "event_name IN ('skill_activated', 'api_request')"),
+}
+
+
+@frames(E, M)
+def capabilities(e, m):
+    out, s = None, marts.fact_session(e, m)
+    for name, (bridge, _) in BRIDGES.items():
+        one = kpis.capability_use(bridge(e), s, name)
+        out = one if out is None else out.unionByName(one)
+    return rounded(out, "sessions_pct")
+
+
+CAPABILITIES = " UNION ALL ".join(
+    f"""SELECT '{n}' AS capability, count(*) FILTER (u) AS sessions_using, round(100.0 * count(*) FILTER (u) / count(*), 4) AS sessions_pct, count(DISTINCT user_email) FILTER (u) AS users_using
+    FROM (SELECT *, session_id IN (SELECT session_id FROM e WHERE {w}) AS u FROM s)"""
+    for n, (_, w) in BRIDGES.items()
+)
+PERIOD = """SELECT CAST(date_trunc('{p}', activity_date) AS DATE) AS period_start, count(DISTINCT user_email) FILTER (user_email <> '(unknown)') AS actives, round(sum(commits), 4) AS commits, CAST(sum(prompts) AS BIGINT) AS prompts FROM d GROUP BY 1"""
+
+QUERIES = {
+    "k1_activity": (
+        frames(E, M, "manual_alias")(lambda e, m, a: kpis.activity(kpis.within(marts.fact_session_daily(e, m), NOW), users(e, m, a))),
+        sql(
+            "events metrics manual_alias",
+            f"""SELECT count(DISTINCT coalesce(du.scope_email, d.user_email)) FILTER (d.user_email <> '(unknown)') AS active_users, count(DISTINCT activity_date) AS active_days, count(DISTINCT session_id) AS sessions,
+            CAST(sum(prompts) AS BIGINT) AS prompts FROM d LEFT JOIN du ON d.user_email = du.user_email WHERE activity_date {IN}""",
+            d=DAILY, sig=SIG, se=SEEN, al=ALIAS, du=DIM_USER,
+        ),
+    ),
+    "k2_tokens": (
+        frames(E)(lambda e: rounded(kpis.tokens(kpis.within(marts.fact_api_usage(e), NOW)), "value_consumed")),
+        sql(
+            E,
+            f"""SELECT CAST(sum(input_tokens) AS BIGINT) AS input_tokens, CAST(sum(output_tokens) AS BIGINT) AS output_tokens, CAST(sum(input_tokens + output_tokens + cache_creation_tokens + cache_read_tokens) AS BIGINT) AS total_tokens,
+            count(*) AS requests, round(sum(cost_usd), 4) AS value_consumed FROM e WHERE event_name = 'api_request' AND activity_date {IN}""",
+        ),
+    ),
+    "k3_delivery": (
+        frames(E, M)(lambda e, m: rounded(kpis.delivery(kpis.within(marts.fact_session_daily(e, m), NOW)), "commits", "prs", "loc", "commits_per_user", "prs_per_user", "loc_per_user")),
+        sql(
+            "events metrics",
+            f"""SELECT round(sum(commits), 4) AS commits, round(sum(prs), 4) AS prs, round(sum(loc_added + loc_removed), 4) AS loc, round(sum(commits) / {ACTIVE_USERS}, 4) AS commits_per_user, round(sum(prs) / {ACTIVE_USERS}, 4) AS prs_per_user,
+            round(sum(loc_added + loc_removed) / {ACTIVE_USERS}, 4) AS loc_per_user FROM d WHERE activity_date {IN}""",
+            d=DAILY,
+        ),
+    ),
+    "k4_session_time": (
+        frames(E, M)(lambda e, m: rounded(kpis.session_time(marts.fact_session(e, m), marts.fact_session_daily(e, m)), "avg_session_s", "user_hours_per_day", "cli_hours_per_day")),
+        sql(
+            "events metrics",
+            """SELECT round((SELECT avg(duration_s) FROM s), 4) AS avg_session_s, round(sum(active_user_s) / 3600 / count(DISTINCT activity_date), 4) AS user_hours_per_day,
+            round(sum(active_cli_s) / 3600 / count(DISTINCT activity_date), 4) AS cli_hours_per_day FROM d""",
+            d=DAILY, sig=SIG, s=SESSIONS,
+        ),
+    ),
+    "k5_cache_hit": (
+        frames(E)(lambda e: rounded(kpis.cache_hit(marts.fact_api_usage(e)), "cache_hit_ratio", digits=8)),
+        sql(E, "SELECT round(sum(cache_read_tokens) / (sum(cache_read_tokens) + sum(input_tokens) + sum(cache_creation_tokens)), 8) AS cache_hit_ratio FROM e WHERE event_name = 'api_request'"),
+    ),
+    "k6_acceptance": (
+        frames(M)(lambda m: rounded(kpis.acceptance(marts.fact_edit_decision(m)), "edit_decisions", "rejected", "acceptance_rate")),
+        sql(
+            M,
+            "SELECT round(sum(decisions), 4) AS edit_decisions, round(sum(decisions) FILTER (decision = 'reject'), 4) AS rejected, round(sum(decisions) FILTER (decision = 'accept') / sum(decisions), 4) AS acceptance_rate FROM ed",
+            ed=EDITS,
+        ),
+    ),
+    "k7_reliability": (
+        frames(E)(lambda e: rounded(kpis.reliability(marts.fact_tool_outcome(e), marts.fact_api_error_rate(e)), "success_rate", "mean_p95_ms", "error_rate_pct")),
+        sql(
+            E,
+            """SELECT round((SELECT count(*) FILTER (success_bool) / count(*) FROM e WHERE event_name = 'tool_result'), 4) AS success_rate, round((SELECT avg(p) FROM (SELECT round_even(quantile_cont(CAST(duration_ms AS DOUBLE), 0.95), 0) AS p
+            FROM e WHERE event_name = 'tool_result' GROUP BY session_id, activity_date, tool_name, coalesce(decision_source, 'unknown'), coalesce(error_type, 'none'))), 4) AS mean_p95_ms,
+            round((SELECT 100.0 * count(*) FILTER (event_name = 'api_error') / count(*) FROM e WHERE event_name IN ('api_error', 'api_request')), 4) AS error_rate_pct""",
+        ),
+    ),
+    "k8_k9_limits": (
+        frames(U)(lambda u: rounded(kpis.limits(marts.fact_usage_window(marts.utilization_segments(u))), "limit_hit_rate", "intensity")),
+        sql(
+            U,
+            """SELECT window_type, round(count(*) FILTER (peak >= 90) / count(*), 4) AS limit_hit_rate, round(avg(closing), 4) AS intensity FROM (SELECT user_email, window_type, window_end, max(peak_pct) AS peak, max(end_pct) AS closing FROM w GROUP BY 1, 2, 3) GROUP BY 1""",
+            seg=SEGMENTS, w=WINDOWS,
+        ),
+    ),
+    "k10_peak_utilization": (
+        frames(U)(lambda u: rounded(kpis.peak_utilization(marts.fact_usage_window(marts.utilization_segments(u))), "mean_peak")),
+        sql(U, "SELECT window_type, round(avg(p), 4) AS mean_peak FROM (SELECT user_email, window_type, max(peak_pct) AS p FROM w GROUP BY 1, 2) GROUP BY 1", seg=SEGMENTS, w=WINDOWS),
+    ),
+    "k11_k12_k13_seat_use": (
+        frames(R, E, M, "manual_alias")(lambda r, e, m, a: rounded(paid(r, e, m, a), "instrumented_share", "seat_utilization")),
+        sql(
+            "roster events metrics manual_alias",
+            f"""SELECT count(*) AS paid_seats, count(*) FILTER (k) AS instrumented, round(count(*) FILTER (k) / count(*), 4) AS instrumented_share, count(*) FILTER (ac) AS active_seats, round(count(*) FILTER (ac) / count(*), 4) AS seat_utilization,
+            count(*) - count(*) FILTER (ac) AS idle_seats FROM (SELECT user_email, user_email IN (SELECT user_email FROM du WHERE first_seen_date <= DATE '{NOW[1]}') AS k, user_email IN (SELECT user_email FROM d WHERE activity_date {IN}) AS ac FROM pd)""",
+            **STEPS, c=CURRENT, sd=SEAT_DAYS, pd=PAID, d=DAILY, sig=SIG, se=SEEN, al=ALIAS, du=DIM_USER,
+        ),
+    ),
+    "k14_cohorts": (
+        thin_cohorts,
+        sql(
+            "events metrics",
+            f"""SELECT user_email, CASE WHEN user_email NOT IN (SELECT user_email FROM t WHERE activity_date {IN}) THEN 'idle' WHEN (SELECT min(activity_date) FROM t WHERE t.user_email = p.user_email) >= DATE '{NOW[0]}' THEN 'new'
+            WHEN user_email IN (SELECT user_email FROM t WHERE activity_date BETWEEN DATE '{BEFORE[0]}' AND DATE '{BEFORE[1]}') THEN 'retained' ELSE 'reactivated' END AS cohort
+            FROM (SELECT DISTINCT user_email FROM (SELECT user_email FROM e UNION SELECT user_email FROM m) WHERE user_email IS NOT NULL) p""",
+            d=DAILY, t=f"SELECT * FROM d WHERE user_email <> '(unknown)' AND {THIN}",
+        ),
+    ),
+    "k15_off_roster": (
+        frames(E, M, R)(lambda e, m, r: kpis.off_roster(marts.telemetry_days(e, m), r.where("seat_tier IS NOT NULL"), e)),
+        sql(
+            "events metrics roster",
+            "SELECT (SELECT count(DISTINCT user_email) FROM td WHERE user_email NOT IN (SELECT user_email FROM r WHERE seat_tier IS NOT NULL)) AS off_roster_actives, (SELECT count(*) FROM e WHERE user_email IS NULL) AS unattributed_events",
+            td=DAYS,
+        ),
+    ),
+    "k16_weekly": (
+        frames(E, M)(lambda e, m: doubles(rounded(kpis.by_period(marts.fact_session_daily(e, m), "week", NOW[1]), "commits"), "actives", "prompts")),
+        sql("events metrics", f"SELECT period_start, CAST(CASE WHEN w THEN actives END AS DOUBLE) AS actives, CASE WHEN w THEN commits END AS commits, CAST(CASE WHEN w THEN prompts END AS DOUBLE) AS prompts FROM (SELECT *, period_start + 6 <= DATE '{NOW[1]}' AS w FROM pr)", d=DAILY, pr=PERIOD.replace("{p}", "week")),
+    ),
+    "k17_over_previous": (
+        frames(E, M)(lambda e, m: doubles(rounded(kpis.over_previous(kpis.by_period(marts.fact_session_daily(e, m), "week", AS_OF), "actives", days=7), "change"), "previous")),
+        sql("events metrics", "SELECT a.period_start, a.actives, CAST(b.actives AS DOUBLE) AS previous, round((a.actives - b.actives) / b.actives, 4) AS change FROM pr a LEFT JOIN pr b ON b.period_start + 7 = a.period_start", d=DAILY, pr=PERIOD.replace("{p}", "week")),
+    ),
+    "k18_capability_use": (capabilities, sql("events metrics", CAPABILITIES, sig=SIG, s=SESSIONS)),
+    "k19_seat_value": (
+        frames(R, E)(lambda r, e: rounded(kpis.seat_value(seats.current_seats(seats.seat_intervals(r)), kpis.within(marts.fact_api_usage(e), NOW), PRICES, 15), "seat_cost", "value", "value_ratio")),
+        sql(
+            "roster events",
+            f"""SELECT round(sc, 4) AS seat_cost, round(v, 4) AS value, round(v / sc, 4) AS value_ratio FROM (SELECT (SELECT sum(CASE seat_tier WHEN 'Premium' THEN 150.0 WHEN 'Standard' THEN 25.0 ELSE 0 END) * 15 / 30 FROM c) AS sc,
+            (SELECT sum(cost_usd) FROM e WHERE event_name = 'api_request' AND activity_date {IN}) AS v)""",
+            **STEPS, c=CURRENT,
+        ),
+    ),
+    "k20_period_over_period": (
+        change,
+        sql(
+            "events metrics",
+            """SELECT n.commits, round(n.prompted, 6) AS prompted, n.actives, b.commits AS prior_commits, round(b.prompted, 6) AS prior_prompted, b.actives AS prior_actives, round((n.commits - b.commits) / b.commits, 6) AS change_commits,
+            round(100 * (n.prompted - b.prompted), 6) AS change_prompted, n.actives - b.actives AS change_actives FROM n, b""",
+            d=DAILY, n=measured(NOW), b=measured(BEFORE),
+        ),
+    ),
+    "k21_freshness": (
+        frames(E, M)(lambda e, m: rounded(kpis.freshness(marts.signals(e, m), datetime.datetime(2024, 2, 2)), "hours")),
+        sql(
+            "events metrics",
+            """SELECT last_signal, round(hours, 4) AS hours, CASE WHEN hours IS NULL THEN 'None' WHEN hours <= 24 THEN 'Fresh' WHEN hours <= 168 THEN 'Late' ELSE 'Stale' END AS status
+            FROM (SELECT max(t) AS last_signal, (epoch_us(TIMESTAMP '2024-02-02') - epoch_us(max(t))) / 3.6e9 AS hours FROM (SELECT ts AS t FROM m UNION ALL SELECT event_time FROM e))""",
+        ),
+    ),
+    "k23_user_page": (
+        frames(E, M, "manual_alias")(
+            lambda e, m, a: doubles(
+                rounded(kpis.user_page(marts.fact_session_daily(e, m), marts.fact_api_usage(e), marts.fact_edit_decision(m), users(e, m, a)), "commits", "prs", "cost_usd", "acceptance_rate"),
+                "active_days", "sessions", "prompts", "tokens", "requests",
+            )
+        ),
+        sql(
+            "events metrics manual_alias",
+            """SELECT du.user_email, first_seen_date, last_seen_date, CAST(active_days AS DOUBLE) AS active_days, CAST(sessions AS DOUBLE) AS sessions, CAST(prompts AS DOUBLE) AS prompts, commits, prs, CAST(tokens AS DOUBLE) AS tokens,
+            CAST(requests AS DOUBLE) AS requests, cost_usd, acceptance_rate FROM du
+            LEFT JOIN (SELECT user_email, count(DISTINCT activity_date) AS active_days, count(DISTINCT session_id) AS sessions, CAST(sum(prompts) AS BIGINT) AS prompts, round(sum(commits), 4) AS commits, round(sum(prs), 4) AS prs FROM d GROUP BY 1) x ON x.user_email = du.user_email
+            LEFT JOIN (SELECT user_email, CAST(sum(input_tokens + output_tokens) AS BIGINT) AS tokens, CAST(sum(request_count) AS BIGINT) AS requests, round(sum(cost_usd), 4) AS cost_usd FROM ap GROUP BY 1) y ON y.user_email = du.user_email
+            LEFT JOIN (SELECT user_email, round(sum(decisions) FILTER (decision = 'accept') / sum(decisions), 4) AS acceptance_rate FROM ed GROUP BY 1) z ON z.user_email = du.user_email""",
+            d=DAILY, sig=SIG, se=SEEN, al=ALIAS, du=DIM_USER, ap=API.replace("round(sum(cost_usd), 6)", "sum(cost_usd)"), ed=EDITS,
+        ),
+    ),
+    "k24_session_drill": (
+        drill,
+        sql(
+            "events metrics",
+            "SELECT s.session_id, user_email, started_at, duration_s, CAST(tokens AS DOUBLE) AS tokens, CAST(requests AS DOUBLE) AS requests, cost_usd, coalesce(models, '') AS models, coalesce(agents, '') AS agents, coalesce(hooks, '') AS hooks, coalesce(servers, '') AS servers, coalesce(plugins, '') AS plugins, coalesce(skills, '') AS skills FROM s "
+            + "LEFT JOIN (SELECT session_id, CAST(sum(input_tokens + output_tokens) AS BIGINT) AS tokens, count(*) AS requests, round(sum(cost_usd), 4) AS cost_usd FROM e WHERE event_name = 'api_request' GROUP BY 1) y ON y.session_id = s.session_id "
+            + " ".join(
+                [
+                    listed("models", "event_name = 'api_request'", "model"), listed("agents", "event_name IN ('api_request', 'subagent_completed')", "agent_name"), listed("hooks", "event_name = 'hook_execution'", "hook_name"),
+                    listed("servers", "event_name = 'server_connection'", "server_name"), listed("plugins", "event_name = 'plugin_loaded'", "plugin_name"), listed("skills", "event_name IN ('skill_activated', 'api_request')", "skill_name"),
+                ]
+            ),
+            sig=SIG, s=SESSIONS,
+        ),
+    ),
+    "k25_untracked_worklist": (
+        frames(R, E, M)(lambda r, e, m: kpis.held_longest(seats.current_seats(seats.seat_intervals(r)), marts.telemetry_days(e, m), AS_OF)),
+        sql("roster events metrics", f"SELECT *, CAST(DATE '{AS_OF}' - held_since AS INT) AS days_held FROM c WHERE user_email NOT IN (SELECT user_email FROM td)", **STEPS, c=CURRENT, td=DAYS),
+    ),
+}

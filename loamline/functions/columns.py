@@ -74,11 +74,6 @@ def value_kind(kind: Column, temporality: Column) -> Column:
     return F.when(kind == "gauge", "gauge_last").when(kind == "histogram", "hist_sum").when((kind == "sum") & delta, "sum_delta").otherwise("sum_cumulative")
 
 
-def nanos(text: Column) -> Column:
-    """Epoch nanoseconds as text to a timestamp, cut to microseconds."""
-    return F.timestamp_micros(F.expr("1") * F.floor(F.try_to_number(text, F.lit("9" * 20)) / 1000).cast("bigint"))
-
-
 def first_truthy(attrs: Column, keys: list[str]) -> Column:
     """The first attribute that is there and is not empty, 0 or false."""
     one = lambda k: F.when(~F.lower(F.element_at(attrs, k)).isin("", "0", "false", "0.0"), F.element_at(attrs, k))

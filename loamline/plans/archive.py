@@ -1,3 +1,453 @@
-"""Placeholder."""
+"""Queries of payload decoding, redaction, the archive, profiles, reconciliation and streams, with their oracles."""
 
-QUERIES = {}
+from __future__ import annotations
+
+import datetime
+
+from pyspark.sql import functions as F
+
+from loamline.operators import marts, otlp, profile, reconcile
+from loamline.plans.base import frames, sql
+from loamline.plans.marts import rounded
+from loamline.sources import adapters, payloads, reservoir
+from loamline.streaming import ingest
+
+E, M = "events", "metrics"
+col = F.col
+DENIED, CONTENT = ["secret.token"], ["prompt.text"]
+FLOOR = datetime.datetime(2024, 1, 3)
+OWN_EMAIL = "lower(user_email)"
+
+
+# --- payloads --------------------------------------------------------------------------------
+
+
+def _points(m):
+    return otlp.promote(otlp.explode_metrics(payloads.metric_payloads(m)), otlp.CATALOGUE, "metrics")
+
+
+def _lines(e):
+    return otlp.promote(otlp.explode_logs(payloads.log_payloads(e)), otlp.CATALOGUE, "logs")
+
+
+@frames(M)
+def explode_metrics(m):
+    return _points(m).select("event_id", "metric_name", "metric_type", "value_kind", "ts", "value", "k", "tool_name", "user_email", "session_id")
+
+
+@frames(E)
+def explode_logs(e):
+    return _lines(e).select("event_id", "event_name", "event_time", "severity", "k", "success_bool", F.round("cost_usd", 6).alias("cost_usd"), "user_email", "session_id")
+
+
+@frames(E)
+def promote_typed(e):
+    """Values that do not fit their column's type become NULL."""
+    wrong = (otlp.Entry("logs", "event.id", "promoted", "event_id", "bigint"), otlp.Entry("logs", "model", "promoted", "model_number", "int"), otlp.Entry("logs", "k", "promoted", "k_number", "double"))
+    out = otlp.promote(otlp.explode_logs(payloads.log_payloads(e)), wrong, "logs")
+    return out.select("event_id", "k_number", col("model_number").isNull().alias("no_number"))
+
+
+@frames(E)
+def rate_limits(e):
+    snapshot = F.to_json(
+        F.struct(F.create_map(
+            F.lit("five_hour"), F.struct(col("k").cast("string").alias("used_percentage"), (F.unix_micros("event_time") / 1e6 + col("k") * 10 - 100).cast("string").alias("resets_at")),
+            F.lit("seven_day_x"), F.struct(F.when(col("k") % 2 == 0, "n/a").otherwise(F.lit("12.5")).alias("used_percentage"), F.lit("0").alias("resets_at")),
+        ).alias("rate_limits"))
+    )
+    out = otlp.rate_limit_points(e.select("event_id", "event_time", snapshot.alias("snapshot")), "snapshot", "event_time")
+    return out.select("event_id", "usage_window", "metric_name", F.round("value", 3).alias("value"))
+
+
+@frames(E)
+def batch_hashes(e):
+    """Payloads written with their keys in another order are the same batch."""
+    p = payloads.log_payloads(e).select("payload_id", "json")
+    turned = p.withColumn("json", F.regexp_replace("json", r'"scope":(\{[^{}]*\}),("logRecords":.*)\}\]\}\]\}$', r'$2,"scope":$1}]}]}'))
+    h = otlp.batch_hash(col("json"))
+    both = p.select("payload_id", h.alias("a")).join(turned.select("payload_id", h.alias("b"), col("json").alias("j")), "payload_id").join(p, "payload_id")
+    return both.agg(F.count("*").alias("payloads"), F.count_distinct("a").alias("hashes"), F.count_if(col("a") == col("b")).alias("same"), F.count_if(col("json") != col("j")).alias("turned"))
+
+
+def recs(e, m):
+    return otlp.records(payloads.metric_payloads(m), payloads.log_payloads(e))
+
+
+@frames(E, M)
+def key_path_counts(e, m):
+    return profile.path_fill(otlp.key_paths(recs(e, m)))
+
+
+#: Paths, records and payloads in SQL: one payload per user and day and signal.
+PAYLOAD = "concat('{s}-', user_id, '-', activity_date)"
+LOG_FLAT = "SELECT concat('l-', user_id, '-', activity_date) AS pid, * FROM e"
+MET_FLAT = "SELECT concat('m-', user_id, '-', activity_date) AS pid, * FROM m"
+FILLS = """SELECT 'metrics' AS signal, unnest(['k', 'tool', 'event.id']) AS path, count(DISTINCT pid) AS payloads FROM mf
+    UNION ALL SELECT 'logs', unnest(['k', 'event.id', 'success', 'cost', 'k5', 'service']), count(DISTINCT pid) FROM lf UNION ALL SELECT 'logs', 'prompt.text', count(DISTINCT pid) FROM lf WHERE k % 7 < 2 UNION ALL SELECT 'logs', 'model', count(DISTINCT pid) FROM lf WHERE model IS NOT NULL
+    UNION ALL SELECT 'resource', unnest(['session.id', 'os.type', 'secret.token']), (SELECT count(DISTINCT pid) FROM lf) + (SELECT count(DISTINCT pid) FROM mf)
+    UNION ALL SELECT 'resource', 'user.email', (SELECT count(DISTINCT pid) FROM lf WHERE user_email IS NOT NULL) + (SELECT count(DISTINCT pid) FROM mf WHERE user_email IS NOT NULL)"""
+
+
+@frames(E)
+def redacted(e):
+    clean = otlp.redact(payloads.log_payloads(e), "logs", DENIED, CONTENT)
+    left = otlp.key_paths(otlp.records(clean.limit(0).withColumn("json", F.lit("{}")), clean)).where(col("path").isin(*DENIED, *CONTENT))
+    a = clean.agg(F.count("*").alias("payloads"), F.sum("gate_leaks").alias("gate_leaks"), F.count_if(col("gate_leaks") > 0).alias("leaky_payloads"))
+    return a.crossJoin(left.agg(F.count("*").alias("denied_left")))  # one row each
+
+
+@frames(E, M)
+def leak_audit(e, m):
+    r = recs(e, m)
+    return otlp.redaction_leaks(otlp.key_paths(r), profile.catalogue_frame(e, otlp.CATALOGUE))
+
+
+# --- archive ---------------------------------------------------------------------------------
+
+
+def _stored(e):
+    """An archive of log payloads with the days up to the tenth compacted."""
+    spark = e.sparkSession
+    raw_root, small = reservoir.workspace(spark, "raw"), reservoir.workspace(spark, "compacted")
+    reservoir.write_raw(payloads.log_payloads(e), raw_root)
+    raw = reservoir.read_raw(spark, raw_root, ["logs"], datetime.date(2024, 1, 1), datetime.date(2024, 1, 30))
+    none = raw.limit(0)
+    plan = reservoir.compaction_plan(raw, none, datetime.date(2024, 1, 10))
+    reservoir.compact(raw, plan, small)
+    return raw, spark.read.schema("payload_id string, json string, signal string, dt date").parquet(small).select(raw.columns), raw_root
+
+
+@frames(E)
+def compacted_days(e):
+    raw, small, _ = _stored(e)
+    plan = reservoir.compaction_plan(raw, small, datetime.date(2024, 1, 20))
+    whole = reservoir.prefer_compacted(raw.withColumn("kind", F.lit("raw")), small.withColumn("kind", F.lit("compacted")))
+    return whole.groupBy("dt", "kind").agg(F.count("*").alias("payloads")).join(plan.select("dt", F.lit(True).alias("planned")), "dt", "left").select("dt", "kind", "payloads", F.coalesce("planned", F.lit(False)).alias("planned"))
+
+
+@frames(E)
+def read_window(e):
+    raw, _, root = _stored(e)
+    some = reservoir.read_raw(raw.sparkSession, root, ["logs"], datetime.date(2024, 1, 5), datetime.date(2024, 1, 9))
+    return some.groupBy("dt").agg(F.count("*").alias("payloads"), F.count_distinct("payload_id").alias("ids"))
+
+
+@frames(E)
+def scrub_report(e):
+    return reservoir.scrub(payloads.log_payloads(e), "logs", DENIED, CONTENT)[1]
+
+
+@frames(E)
+def ingested(e):
+    p = payloads.log_payloads(e)
+    ledger = p.where("dt < DATE '2024-01-04'").select(otlp.batch_hash(col("json")).alias("batch_hash"))
+    fresh, more = reservoir.ingest(p.unionAll(p.where("dt = DATE '2024-01-09'")), ledger)
+    return fresh.agg(F.count("*").alias("fresh"), F.min("dt").alias("first_day")).crossJoin(more.agg(F.count_distinct("batch_hash").alias("hashes")))  # one row each
+
+
+@frames(E)
+def replayed(e):
+    raw = _lines(e).select("event_id", "event_time", "k", "user_email", "session_id")
+    broken = raw.where("event_time < TIMESTAMP '2024-01-12' OR k > 20")
+    p = payloads.log_payloads(e)
+    ledger = p.select(otlp.batch_hash(col("json")).alias("batch_hash"))
+    rows, cleared = reservoir.replay(broken, ledger, p, "logs", datetime.datetime(2024, 1, 12), datetime.datetime(2024, 1, 20))
+    return rows.groupBy(F.to_date("event_time").alias("day")).agg(F.count("*").alias("rows")).crossJoin(cleared.agg(F.count("*").alias("ledger")))  # one row
+
+
+@frames(E)
+def inventory(e):
+    names = payloads.log_payloads(e).select("signal", "dt", col("payload_id").alias("name"))
+    return reservoir.inventory_diff(names, names.where("length(name) % 2 = 0"))
+
+
+@frames(E, M, "utilization")
+def refresh_log(e, m, u):
+    log = marts.refresh_all(marts.registry(e, m, u), reservoir.workspace(e.sparkSession, "marts"))
+    return log.select("mart", "row_count", (col("finished_at") >= col("started_at")).alias("in_order"))
+
+
+# --- profiles --------------------------------------------------------------------------------
+
+
+@frames(E, M)
+def record_profile(e, m):
+    return rounded(profile.record_profile(recs(e, m)).where("signal = 'logs' AND path IN ('k', 'k5', 'success', 'prompt.text')"), "share", digits=6)
+
+
+PROFILE = """SELECT 'logs' AS signal, t.name, t.path, records, sessions, seats, least(cardinality, 500) AS cardinality, top3, round(records / population, 6) AS share
+    FROM (SELECT name, path, count(*) AS records, count(DISTINCT session_id) AS sessions, count(DISTINCT user_email) AS seats, count(DISTINCT v) AS cardinality FROM pv GROUP BY 1, 2) t
+    JOIN (SELECT event_name AS name, count(*) AS population FROM e GROUP BY 1) p ON p.name = t.name
+    JOIN (SELECT name, path, array_to_string(array_agg(v ORDER BY n DESC, v), ',') AS top3 FROM (SELECT *, row_number() OVER (PARTITION BY name, path ORDER BY n DESC, v) AS r FROM (SELECT name, path, v, count(*) AS n FROM pv GROUP BY 1, 2, 3)) WHERE r <= 3 GROUP BY 1, 2) x
+    ON x.name = t.name AND x.path = t.path"""
+VALUES = """SELECT event_name AS name, 'k' AS path, CAST(k AS VARCHAR) AS v, session_id, user_email FROM e UNION ALL SELECT event_name, 'k5', CAST(k % 5 AS VARCHAR), session_id, user_email FROM e
+    UNION ALL SELECT event_name, 'success', CASE WHEN success_bool THEN 'true' ELSE 'false' END, session_id, user_email FROM e UNION ALL SELECT event_name, 'prompt.text', CASE WHEN k % 7 = 0 THEN 'said' ELSE '' END, session_id, user_email FROM e WHERE k % 7 < 2"""
+
+
+@frames(E, M)
+def swept(e, m):
+    paths = otlp.key_paths(recs(e, m))
+    return profile.sweep(paths, profile.catalogue_frame(e, [x for x in otlp.CATALOGUE if x.path != "tool"])).groupBy("signal", "path", "finding").agg(F.count("*").alias("names"))
+
+
+@frames(E, M)
+def candidates(e, m):
+    r = recs(e, m)
+    p = profile.promotion_candidates(rounded(profile.record_profile(r), "share", digits=6), profile.catalogue_frame(e, otlp.CATALOGUE))
+    return p.select("signal", "name", "path", "records", "share", F.coalesce("status", F.lit("unclassified")).alias("status"))
+
+
+@frames(E, M)
+def drifts(e, m):
+    r, c = recs(e, m), profile.catalogue_frame(e, [*otlp.CATALOGUE, otlp.Entry("logs", "success", "kept", basis="constant")])
+    constant = profile.drift_constant(otlp.all_attrs(r), c).select(F.lit("constant").alias("drift"), "path", col("values").alias("evidence"))
+    collinear = profile.drift_collinear(r, c, "logs").where("broken > 0").select(F.lit("collinear").alias("drift"), "path", col("broken").alias("evidence"))
+    thin = profile.drift_thin(r, c).select(F.lit("thin").alias("drift"), "path", col("seats").alias("evidence"))
+    return constant.unionByName(collinear).unionByName(thin)
+
+
+PROFILED = ["user_email", "prompt_id", "model", "tool_name", "effort", "error_type", "agent_name", "cc_version"]
+
+
+# --- two stores ------------------------------------------------------------------------------
+
+
+def flipped(e):
+    """A target store: each user's rows from a day of their own on; users of every eleventh number never moved."""
+    return e.where("user_id % 11 <> 0").where(F.expr("event_time >= timestamp_micros(1704067200000000 + (user_id % 20) * 86400000000)"))
+
+
+FLIPPED = "SELECT * FROM e WHERE user_id % 11 <> 0 AND event_time >= make_timestamp(1704067200000000 + (user_id % 20) * 86400000000)"
+MARKS = "SELECT user_email, min(event_time) AS watermark FROM t WHERE user_email IS NOT NULL GROUP BY 1"
+
+
+@frames(E)
+def x_copy(e):
+    return reconcile.to_copy(e, reconcile.watermarks(flipped(e)), FLOOR).groupBy("user_email").agg(F.count("*").alias("rows"), F.max("event_time").alias("last"))
+
+
+@frames(E)
+def x_verify(e):
+    t = flipped(e)
+    copied = t.unionByName(reconcile.to_copy(e, reconcile.watermarks(t), FLOOR).select(t.columns))
+    return reconcile.mismatches(e.where(col("event_time") >= F.lit(FLOOR)), copied.where(col("event_time") >= F.lit(FLOOR)))
+
+
+@frames(E)
+def purged(e):
+    kept, audit = reconcile.purge(e, ~col("user_email").endswith("@corp.example"), datetime.datetime(2024, 1, 15))
+    return audit.crossJoin(kept.agg(F.count("*").alias("kept")))  # one row each
+
+
+# --- streams ---------------------------------------------------------------------------------
+
+
+@frames(E)
+def streamed(e):
+    """The archive of the log payloads, ingested as a stream; days that arrive twice are stored once."""
+    spark = e.sparkSession
+    root, sink, checkpoint = (reservoir.workspace(spark, n) for n in ("raw", "sink", "stream"))
+    p = payloads.log_payloads(e)
+    reservoir.write_raw(p, root)
+    reservoir.write_raw(p.where("dt = DATE '2024-01-09'"), root)
+    ingest.continuous_ingest(ingest.payload_stream(spark, root), sink, checkpoint, "logs", DENIED, CONTENT).awaitTermination()
+    return spark.read.parquet(f"{sink}/rows").groupBy(F.to_date("event_time").alias("day"), "event_name").agg(F.count("*").alias("rows"), F.sum("k").alias("k"))
+
+
+@frames(E)
+def throttled(e):
+    return ingest.throttle_batch(e, "session_id", "event_time", gap_us=3_600_000_000).groupBy("key").agg(F.count("*").alias("accepted"), F.max("us").alias("last_us"))
+
+
+THROTTLE = """SELECT session_id AS key, us, us AS last, 1 AS n FROM (SELECT session_id, min(us) AS us FROM ts GROUP BY 1)
+    UNION ALL SELECT f.key, x.us, x.us, f.n + 1 FROM f, LATERAL (SELECT min(us) AS us FROM ts WHERE ts.session_id = f.key AND ts.us >= f.last + 3600000000) x WHERE x.us IS NOT NULL"""
+
+QUERIES = {
+    "p4_explode_metrics": (
+        explode_metrics,
+        sql(M, f"SELECT event_id, metric_name, 'sum' AS metric_type, value_kind, ts, value, k, tool_name, {OWN_EMAIL} AS user_email, session_id FROM m"),
+    ),
+    "p5_p11_p12_explode_logs": (
+        explode_logs,
+        sql(E, f"SELECT event_id, event_name, event_time, 'INFO' AS severity, k, success_bool, round(cost_usd, 6) AS cost_usd, {OWN_EMAIL} AS user_email, session_id FROM e"),
+    ),
+    "p8_promote": (promote_typed, sql(E, "SELECT event_id, CAST(k AS DOUBLE) AS k_number, true AS no_number FROM e")),
+    "p13_rate_limits": (
+        rate_limits,
+        sql(
+            E,
+            """SELECT event_id, '5h' AS usage_window, 'usage.utilization' AS metric_name, CAST(k AS DOUBLE) AS value FROM e UNION ALL SELECT event_id, '5h', 'usage.reset_in_seconds', CAST(greatest(0, k * 10 - 100) AS DOUBLE) FROM e
+            UNION ALL SELECT event_id, '7d_x', unnest(['usage.utilization', 'usage.reset_in_seconds']), unnest([12.5, 0.0]) FROM e WHERE k % 2 <> 0""",
+        ),
+    ),
+    "p14_batch_hash": (batch_hashes, sql(E, "SELECT count(*) AS payloads, count(*) AS hashes, count(*) AS same, count(*) AS turned FROM (SELECT DISTINCT pid FROM lf)", lf=LOG_FLAT)),
+    "p15_p16_p17_c1_key_paths": (key_path_counts, sql("events metrics", FILLS, lf=LOG_FLAT, mf=MET_FLAT)),
+    "r1_r2_r3_redaction": (
+        redacted,
+        sql(E, "SELECT count(DISTINCT pid) AS payloads, count(*) FILTER (k % 7 = 0) AS gate_leaks, count(DISTINCT pid) FILTER (k % 7 = 0) AS leaky_payloads, 0 AS denied_left FROM lf", lf=LOG_FLAT),
+    ),
+    "r4_redaction_leaks": (
+        leak_audit,
+        sql("events metrics", "SELECT path, CAST(sum(payloads) AS BIGINT) AS payloads FROM fl WHERE path IN ('secret.token', 'prompt.text') GROUP BY 1", lf=LOG_FLAT, mf=MET_FLAT, fl=FILLS),
+    ),
+    "s1_read_window": (
+        read_window,
+        sql(E, "SELECT activity_date AS dt, count(DISTINCT pid) AS payloads, count(DISTINCT pid) AS ids FROM lf WHERE activity_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-09' GROUP BY 1", lf=LOG_FLAT),
+    ),
+    "s2_s3_s4_compaction": (
+        compacted_days,
+        sql(
+            E,
+            """SELECT activity_date AS dt, CASE WHEN activity_date < DATE '2024-01-10' THEN 'compacted' ELSE 'raw' END AS kind, count(DISTINCT pid) AS payloads, activity_date >= DATE '2024-01-10' AND activity_date < DATE '2024-01-20' AS planned FROM lf GROUP BY 1""",
+            lf=LOG_FLAT,
+        ),
+    ),
+    "s5_scrub": (scrub_report, sql(E, "SELECT count(DISTINCT pid) AS scanned, count(DISTINCT pid) AS rewritten, count(*) FILTER (k % 7 = 0) AS leaks FROM lf", lf=LOG_FLAT)),
+    "s6_replay": (
+        replayed,
+        sql(
+            E,
+            """SELECT activity_date AS day, count(*) AS rows, 0 AS ledger FROM e WHERE activity_date < DATE '2024-01-12' OR k > 20 OR activity_date < DATE '2024-01-20' GROUP BY 1""",
+        ),
+    ),
+    "s7_ingest": (
+        ingested,
+        sql(E, "SELECT count(DISTINCT pid) AS fresh, min(activity_date) AS first_day, count(DISTINCT pid) AS hashes FROM lf WHERE activity_date >= DATE '2024-01-04'", lf=LOG_FLAT),
+    ),
+    "s8_retention": (
+        frames(E)(lambda e: reservoir.trim(e.select("event_id", "event_time"), "event_time", datetime.datetime(2024, 1, 30), datetime.timedelta(days=7))),
+        sql(E, "SELECT event_id, event_time FROM e WHERE event_time >= TIMESTAMP '2024-01-23'"),
+    ),
+    "s12_legacy_mapping": (
+        lambda spark, d: reconcile.map_legacy(spark.read.parquet(f"{d}/events.parquet"), datetime.datetime(2024, 1, 5), datetime.datetime(2024, 1, 12)),
+        "SELECT event_id AS legacy_id, ts AS event_time, event_type AS event_name, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k, value FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-12'",
+    ),
+    "s13_backfill": (
+        frames(E)(lambda e: reconcile.backfill(e.withColumn("scope_name", F.when(col("k") % 3 > 0, F.concat(F.lit("sc"), col("k") % 3))), e.where("k < 30"), scopes=["sc2"]).select("event_id")),
+        sql(E, "SELECT event_id FROM e WHERE k % 3 <> 2 AND (user_email IS NULL OR user_email LIKE '%@corp.example') AND session_id NOT IN (SELECT session_id FROM e WHERE k < 30)"),
+    ),
+    "s14_purge": (
+        purged,
+        sql(
+            E,
+            """SELECT (SELECT count(*) FROM e WHERE user_email NOT LIKE '%@corp.example' AND event_time < TIMESTAMP '2024-01-15') AS purged, 'mail.example' AS domains,
+            (SELECT count(*) FROM e WHERE NOT coalesce(user_email NOT LIKE '%@corp.example' AND event_time < TIMESTAMP '2024-01-15', false)) AS kept""",
+        ),
+    ),
+    "s15_overlap_sessions": (
+        frames(E)(lambda e: reconcile.overlap_sessions(e, e.where("k < 40"), datetime.datetime(2024, 1, 20))),
+        sql(E, "SELECT DISTINCT session_id FROM e WHERE event_time >= TIMESTAMP '2024-01-20' AND session_id NOT IN (SELECT session_id FROM e WHERE k < 40)"),
+    ),
+    "s16_refresh_all": (refresh_log, None),
+    "s17_inventory_diff": (
+        inventory,
+        sql(E, "SELECT 'logs' AS signal, activity_date AS dt, count(*) AS missing, min(pid) AS first_name FROM (SELECT DISTINCT activity_date, pid FROM lf) WHERE length(pid) % 2 <> 0 GROUP BY activity_date", lf=LOG_FLAT),
+    ),
+    "c2_l2_value_samples": (
+        frames(E, M)(lambda e, m: profile.value_samples(otlp.all_attrs(recs(e, m)).where("signal = 'logs' AND path IN ('k', 'k5')"), top=3).select("path", "value", "n", "cardinality", "rank")),
+        sql(
+            E,
+            """SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY path) AS cardinality, CAST(row_number() OVER (PARTITION BY path ORDER BY n DESC, value) AS INT) AS rank FROM (SELECT 'k' AS path, CAST(k AS VARCHAR) AS value, count(*) AS n FROM e GROUP BY 2
+            UNION ALL SELECT 'k5', CAST(k % 5 AS VARCHAR), count(*) FROM e GROUP BY 2)) WHERE rank <= 3""",
+        ),
+    ),
+    "l1_top_values": (
+        frames(E, M)(lambda e, m: profile.top_values(otlp.all_attrs(recs(e, m)).where("signal = 'logs'"), "k")),
+        sql(E, "SELECT CAST(k AS VARCHAR) AS value, count(*) AS n FROM e GROUP BY 1 ORDER BY n DESC, value LIMIT 50"),
+    ),
+    "c3_record_profile": (record_profile, sql(E, PROFILE, pv=VALUES)),
+    "c4_seat_reach": (
+        frames(E, M)(lambda e, m: profile.seat_reach(recs(e, m)).where("signal = 'logs' AND path IN ('k5', 'k', 'success')").select("path", "value", "seats")),
+        sql(
+            E,
+            "SELECT 'k5' AS path, CAST(k % 5 AS VARCHAR) AS value, count(DISTINCT user_email) AS seats FROM e GROUP BY 2 UNION ALL SELECT 'success', CASE WHEN success_bool THEN 'true' ELSE 'false' END, count(DISTINCT user_email) FROM e GROUP BY 2",
+        ),
+    ),
+    "c5_c6_sweep": (
+        swept,
+        sql("events metrics", "SELECT 'metrics' AS signal, 'tool' AS path, 'unclassified' AS finding, count(DISTINCT metric_name) AS names FROM m UNION ALL SELECT 'logs', 'prompt.text', 'denied', count(DISTINCT event_name) FROM e WHERE k % 7 < 2 UNION ALL SELECT 'resource', 'secret.token', 'denied', 2"),
+    ),
+    "c7_promotion_candidates": (
+        candidates,
+        sql(
+            E,
+            """SELECT 'logs' AS signal, name, path, records, round(records / population, 6) AS share, 'kept' AS status FROM (SELECT event_name AS name, 'model' AS path, count(model) AS records, count(*) AS population FROM e GROUP BY 1
+            UNION ALL SELECT event_name, 'k5', count(*), count(*) FROM e GROUP BY 1 UNION ALL SELECT event_name, 'service', count(*), count(*) FROM e GROUP BY 1) WHERE records > 0""",
+        ),
+    ),
+    "c8_c9_c10_basis_drift": (
+        drifts,
+        sql(
+            "events metrics",
+            "SELECT 'constant' AS drift, 'success' AS path, 2 AS evidence UNION ALL SELECT 'thin', 'os.type', count(DISTINCT user_email) FROM (SELECT user_email FROM e UNION SELECT user_email FROM m)",
+        ),
+    ),
+    "c11_column_profile": (
+        frames(E)(lambda e: profile.column_profile(e, PROFILED, at_once=4)),
+        sql(
+            E,
+            " UNION ALL ".join(f"SELECT '{c}' AS \"column\", round(100.0 * count({c}) / count(*), 4) AS non_null_pct, count(DISTINCT {c}) AS \"distinct\", round(100.0 * count(DISTINCT {c}) / count({c}), 4) AS unique_pct FROM e" for c in PROFILED),
+        ),
+    ),
+    "c12_signal_profile": (
+        frames(E)(lambda e: profile.signal_profile(e, "event_name", "event_time")),
+        sql(E, "SELECT event_name, count(*) AS rows, CAST(min(event_time) AS DATE) AS first_day, CAST(max(event_time) AS DATE) AS last_day, round(count(*) / sum(count(*)) OVER (), 6) AS share FROM e GROUP BY 1"),
+    ),
+    "c13_unknown_literals": (
+        frames(M)(lambda m: profile.unknown_literals(m, "metric_name", ["commit.count", "cost.usage", "active_time.total"])),
+        sql(M, "SELECT metric_name, count(*) AS rows FROM m WHERE metric_name NOT IN ('commit.count', 'cost.usage', 'active_time.total') GROUP BY 1"),
+    ),
+    "x1_watermarks": (frames(E)(lambda e: reconcile.watermarks(flipped(e))), sql(E, "SELECT * FROM w", t=FLIPPED, w=MARKS)),
+    "x2_bounded_copy": (
+        x_copy,
+        sql(E, f"SELECT e.user_email, count(*) AS rows, max(event_time) AS last FROM e JOIN w ON w.user_email = e.user_email WHERE watermark > TIMESTAMP '{FLOOR}' AND event_time >= TIMESTAMP '{FLOOR}' AND event_time < watermark GROUP BY 1", t=FLIPPED, w=MARKS),
+    ),
+    "x3_census": (
+        frames(E)(lambda e: reconcile.census(e, reconcile.watermarks(flipped(e)), FLOOR)),
+        sql(
+            E,
+            f"""SELECT CASE WHEN e.user_email IS NULL THEN 'no address' WHEN watermark IS NULL THEN 'held, not moved' WHEN event_time >= watermark THEN 'held, above' WHEN event_time >= TIMESTAMP '{FLOOR}' THEN 'to copy' ELSE 'below floor' END AS fate,
+            count(*) AS rows, count(DISTINCT e.user_email) AS seats FROM e LEFT JOIN w ON w.user_email = e.user_email GROUP BY 1""",
+            t=FLIPPED, w=MARKS,
+        ),
+    ),
+    "x4_shortfall": (
+        frames(E)(lambda e: reconcile.shortfall(e, flipped(e))),
+        sql(
+            E,
+            """SELECT a.user_email, CAST(sum(greatest(s - coalesce(n, 0), 0)) AS BIGINT) AS missing FROM (SELECT user_email, activity_date, count(*) AS s FROM e WHERE user_email IS NOT NULL GROUP BY 1, 2) a
+            LEFT JOIN (SELECT user_email, activity_date, count(*) AS n FROM t GROUP BY 1, 2) b ON a.user_email = b.user_email AND a.activity_date = b.activity_date GROUP BY 1""",
+            t=FLIPPED,
+        ),
+    ),
+    "x5_sweep_targets": (
+        frames(E)(lambda e: reconcile.sweep_targets(e, flipped(e))),
+        sql(E, "SELECT DISTINCT user_email, TIMESTAMP '2200-01-01' AS watermark FROM e WHERE user_email IS NOT NULL AND user_email NOT IN (SELECT user_email FROM t WHERE user_email IS NOT NULL)", t=FLIPPED),
+    ),
+    "x6_dual_sessions": (
+        frames(E)(lambda e: reconcile.dual_sessions(e, flipped(e).where("k % 2 = 0"), reconcile.watermarks(flipped(e)))),
+        sql(E, "SELECT DISTINCT session_id FROM e JOIN w ON w.user_email = e.user_email WHERE event_time >= watermark AND session_id IN (SELECT session_id FROM t WHERE k % 2 = 0)", t=FLIPPED, w=MARKS),
+    ),
+    "x7_write_quiet": (
+        frames(E)(lambda e: rounded(reconcile.quiet(e, "event_time", datetime.datetime(2024, 2, 1)), "quiet_hours")),
+        sql(E, "SELECT round((epoch_us(TIMESTAMP '2024-02-01') - epoch_us(max(event_time))) / 3.6e9, 4) AS quiet_hours, (epoch_us(TIMESTAMP '2024-02-01') - epoch_us(max(event_time))) / 3.6e9 >= 24 AS may_go FROM e"),
+    ),
+    "x8_verify_copy": (
+        x_verify,
+        sql(
+            E,
+            f"""SELECT user_email, s AS source_rows, n AS target_rows FROM (SELECT user_email, count(*) AS s, count(*) FILTER (c) AS n FROM (SELECT e.user_email, user_id % 11 <> 0 AND (event_time >= make_timestamp(1704067200000000 + (user_id % 20) * 86400000000)
+            OR (w.watermark > TIMESTAMP '{FLOOR}' AND event_time < w.watermark)) AS c FROM e LEFT JOIN w ON w.user_email = e.user_email WHERE event_time >= TIMESTAMP '{FLOOR}') GROUP BY 1) WHERE s <> n""",
+            t=FLIPPED, w=MARKS,
+        ),
+    ),
+    "st1_continuous_ingest": (
+        streamed,
+        sql(E, "SELECT activity_date AS day, event_name, count(*) AS rows, CAST(sum(k) AS BIGINT) AS k FROM e GROUP BY 1, 2"),
+    ),
+    "st3_throttle": (
+        throttled,
+        sql(E, "SELECT key, count(*) AS accepted, max(us) AS last_us FROM f GROUP BY 1", ts="SELECT session_id, epoch_us(event_time) AS us FROM e", f=THROTTLE),
+    ),
+}

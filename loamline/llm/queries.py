@@ -49,12 +49,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edited copies of every picture whose id is divisible by 20, searched among all pictures.
+    """Edited copies of every picture whose id is divisible by 20, searched among all pictures; a row for each.
 
     The tables hold no images: each embedding is drawn as tiles, equal embeddings as equal pictures.
     """
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image_id"), F.col("embedding").alias("v"))
-    images = materialize(vectors.select("image_id", media.tiles(F.col("v"), side=8, cell=8).alias("pixels"), F.lit(64).alias("width")), "images")
+    images = materialize(media.drawn(vectors), "images")
     groups = materialize(media.classes(images), "classes")
     first = groups.select("image_id")
     described = materialize(media.describe(images.join(first, "image_id", "left_semi")), "corners")
@@ -63,9 +63,12 @@ def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = media.edited(images.join(asked.select(F.col("first_id").alias("image_id")).distinct(), "image_id", "left_semi"))
     found = media.matches(materialize(media.describe(copies), "queries"), described)
     found = found.join(groups.select(F.col("image_id").alias("match_id"), "members"), "match_id")
-    found = materialize(found, "found")
+    # one row per query: the best match and how many classes and images match
+    order = F.struct(-F.col("inliers"), "match_id")
+    best = F.min_by(F.struct("match_id", "inliers", "turn", "scale", "dx", "dy"), order)
+    found = materialize(found.groupBy("query_id").agg(best.alias("b"), F.count("*").alias("matches"), F.sum("members").alias("matched_images")), "found")
     asked = asked.withColumnRenamed("first_id", "query_id")
-    return asked.join(found, "query_id").select("image_id", "query_id", "match_id", F.col("members").alias("class_size"), "inliers", "turn", "scale", "dx", "dy")
+    return asked.join(found, "query_id", "left").select("image_id", "query_id", "b.*", F.coalesce("matches", F.lit(0)).alias("matches"), F.coalesce("matched_images", F.lit(0)).alias("matched_images"))
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,7 +75,8 @@ class Throttle(StatefulProcessor):
 
 
 def throttle_stream(stream: DataFrame, *, gap_us: int = 300_000_000) -> DataFrame:
-    """Of (key, us) rows those at least ``gap_us`` after the last accepted one of their key."""
+    """Of (key, us) rows those at least ``gap_us`` after the last accepted one of their key; keyed state lives in RocksDB."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     return stream.groupBy("key").transformWithStateInPandas(Throttle(gap_us), "key string, us long", "append", "None")
 
 

@@ -54,6 +54,7 @@ def write_warc(pages: DataFrame, path: str, *, key: str = "page_id", url: str =
         F.col(key).cast("long").alias("key"), F.regexp_replace(F.coalesce(F.col(url), F.lit("")), "\r\n|\r|\n", "%0A").alias("url"), body.alias("body"),
         F.sha1(body).alias("digest"), F.octet_length(body).cast("long").alias("bytes"), F.monotonically_increasing_id().alias("n"),
     )
+    rows = materialize(rows, "captures")  # the numbers are fixed from here
     # one row per payload that occurs twice or more: what its revisits refer to
     long = rows.where(F.col("bytes") >= revisit_bytes)
     largest = long.groupBy("digest").agg(F.count("*").alias("times"), F.max(F.struct("key", "n")).alias("x")).where("times > 1")

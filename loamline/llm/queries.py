@@ -105,5 +105,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in found}
 
 
+#: Only the archive's digest columns can be told in SQL; the other operators are held against brute force.
+OP3_SQL = """WITH p AS (SELECT page_id, sha1(coalesce(html, '')) AS d, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+    t AS (SELECT d, max(page_id) AS top FROM p WHERE n >= 1000 GROUP BY d)
+SELECT page_id, n AS payload_bytes, p.d AS payload_digest, CASE WHEN page_id <> top THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id <> top THEN top END AS refers_to
+FROM p LEFT JOIN t ON p.d = t.d AND n >= 1000"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_warc": OP3_SQL}

@@ -4,6 +4,7 @@ The pieces and their first weights come from an existing vocabulary; expectation
 training words of the whole corpus refines the weights. A word's probability is the sum over
 all ways to cut it into pieces, by forward recursion in log space; a text's is the product over its words and an end.
 Pieces are byte strings and every single byte is a piece, so each text has a probability.
+Very long words are taken place by place, in time that grows with their length.
 
 Texts are read once, in chunks of a few megabytes. A chunk keeps each of its distinct words once; words
 of all chunks meet in one shuffle that counts them and takes them to the model, and
@@ -16,6 +17,7 @@ training documents all counts are 0 and weights stay the vocabulary's; no rows g
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,6 +35,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C55)
 _FILTER_BITS = 20
 #: Words that one call of the recursion works on.
 WORDS = 200_000
+#: Bytes beyond which a word is taken by itself, its places one after another.
+LONG = 64
 
 
 def vocabulary(path: str) -> tuple[list[bytes], np.ndarray]:
@@ -90,8 +94,8 @@ class Lattice:
         seen = np.zeros(1 << _FILTER_BITS, bool)
         seen[(hashes >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)] = True
         powers = np.ones(longest + 1, np.uint64)
-        for k in range(longest):
-            powers[k + 1] = powers[k] * _BASE
+        for k in range(longest):  # on arrays, where 64-bit products wrap
+            powers[k + 1 :] *= _BASE
         total = weight.sum() + end
         return cls(hashes[order], order, seen, powers, longest, np.log(weight / total), float(np.log(max(end, 1e-300) / total)))
 
@@ -122,11 +126,49 @@ class Lattice:
             alpha[:, j] = top + np.log(np.exp(terms - top[:, None]).sum(axis=1))
         return alpha
 
+    def _long_edges(self, word: bytes) -> list[list[tuple[int, int]]]:
+        """For each place of one long word the (from, piece) of the pieces that end there."""
+        data = np.frombuffer(b" " + word, np.uint8)
+        h = np.zeros(len(data) + 1, np.uint64)
+        at, base = 0, int(_BASE)
+        for j, b in enumerate(data.tolist()):
+            at = (at * base + b + 1) & 0xFFFFFFFFFFFFFFFF
+            h[j + 1] = at
+        ends: list[list[tuple[int, int]]] = [[] for _ in range(len(data) + 1)]
+        for k in range(1, min(self.longest, len(data)) + 1):
+            x = h[k:] - h[:-k] * self.powers[k]
+            row = np.flatnonzero(self.seen[(x >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)])
+            if len(row):
+                place = np.minimum(np.searchsorted(self.keys, x[row]), len(self.keys) - 1)
+                ok = self.keys[place] == x[row]
+                for i, piece in zip(row[ok].tolist(), self.ids[place[ok]].tolist(), strict=True):
+                    ends[i + k].append((i, piece))
+        return ends
+
+    def _long_forward(self, ends: list[list[tuple[int, int]]]) -> list[float]:
+        alpha, logp = [0.0], self.logp.tolist()
+        for found in ends[1:]:
+            terms = [alpha[i] + logp[piece] for i, piece in found]
+            top = max(terms)
+            alpha.append(top + math.log(sum(math.exp(t - top) for t in terms)))
+        return alpha
+
+    def _long_expected(self, word: bytes, count: float, total: np.ndarray) -> None:
+        ends = self._long_edges(word)
+        alpha, logp, size = self._long_forward(ends), self.logp.tolist(), len(ends) - 1
+        beta = [-math.inf] * size + [0.0]
+        for j in range(size, 0, -1):  # beta[j] is final once all later places are done
+            for i, piece in ends[j]:
+                term = logp[piece] + beta[j]
+                total[piece] += count * math.exp(min(0.0, alpha[i] + term - alpha[size]))
+                high, low = max(beta[i], term), min(beta[i], term)
+                beta[i] = high + math.log1p(math.exp(low - high))
+
     @staticmethod
     def _by_size(words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Words of equal size as rows of bytes behind the word mark, and their places."""
         sizes = np.array([len(w) for w in words])
-        for size in np.unique(sizes):
+        for size in np.unique(sizes[sizes <= LONG]):
             rows = np.flatnonzero(sizes == size)
             data = np.frombuffer(b"".join(words[i] for i in rows), np.uint8).reshape(len(rows), size)
             yield rows, np.concatenate((np.full((len(rows), 1), 32, np.uint8), data), axis=1).astype(np.uint64)
@@ -136,6 +178,9 @@ class Lattice:
         out = np.zeros(len(words))
         for rows, data in self._by_size(words):
             out[rows] = self._forward(self._edges(data), len(rows), data.shape[1])[:, -1]
+        for i, w in enumerate(words):
+            if len(w) > LONG:
+                out[i] = self._long_forward(self._long_edges(w))[-1]
         return out
 
     def expected(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
@@ -160,6 +205,9 @@ class Lattice:
                 safe = np.where(np.isfinite(top), top, 0)
                 with np.errstate(divide="ignore"):
                     beta[:, i] = safe + np.log(np.exp(terms - safe[:, None]).sum(axis=1))
+        for w, count in zip(words, counts, strict=True):
+            if len(w) > LONG:
+                self._long_expected(w, float(count), total)
         return total
 
 

@@ -221,6 +221,12 @@ def test_lattice_sums_all_segmentations():
 
     words = [b"a", b"ab", b"aba", b"abab", b"bbaab"]
     assert np.allclose(np.exp(lattice.log_marginals(words)), [total(b" " + w) for w in words])
+    # long words go another way, with the same result
+    before, lm_scoring.LONG = lm_scoring.LONG, 2
+    assert np.allclose(lattice.log_marginals(words), np.log([total(b" " + w) for w in words]))
+    other = lattice.expected(words, np.ones(len(words)))
+    lm_scoring.LONG = before
+    assert np.allclose(other, lattice.expected(words, np.ones(len(words))))
     # expected uses: derivative of the log probability by the log of a piece's probability
     uses = lattice.expected(words, np.ones(len(words)))
     for k in range(len(pieces)):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from loamline.operators import marts, otlp, profile, reconcile
 from loamline.plans.base import frames, sql
+from loamline.plans.marts import QUERIES as MART_QUERIES
 from loamline.plans.marts import rounded
 from loamline.sources import adapters, payloads, reservoir
 from loamline.streaming import ingest
@@ -168,6 +169,15 @@ def refresh_log(e, m, u):
     return log.select("mart", "row_count", (col("finished_at") >= col("started_at")).alias("in_order"))
 
 
+#: Row counts of the marts by the oracles of their own queries.
+MARTS = {
+    "fact_session": "a1_fact_session", "fact_session_daily": "a2_fact_session_daily", "fact_api_usage": "a3_fact_api_usage", "fact_edit_decision": "a4_fact_edit_decision", "fact_tool_outcome": "a5_fact_tool_outcome",
+    "fact_api_error_rate": "a6_fact_api_error_rate", "fact_usage_window": "a7_fact_usage_window", "bridge_agent": "b1_bridge_agent", "bridge_hook": "b2_bridge_hook", "bridge_server": "b3_bridge_server",
+    "bridge_plugin": "b4_bridge_plugin", "bridge_skill": "b5_bridge_skill", "dim_model": "d2_dim_model",
+}
+REFRESHED = " UNION ALL ".join(f"SELECT '{mart}' AS mart, (SELECT count(*) FROM ({MART_QUERIES[q][1]})) AS row_count, true AS in_order" for mart, q in MARTS.items())
+
+
 # --- profiles --------------------------------------------------------------------------------
 
 
@@ -339,7 +349,7 @@ QUERIES = {
         frames(E)(lambda e: reconcile.overlap_sessions(e, e.where("k < 40"), datetime.datetime(2024, 1, 20))),
         sql(E, "SELECT DISTINCT session_id FROM e WHERE event_time >= TIMESTAMP '2024-01-20' AND session_id NOT IN (SELECT session_id FROM e WHERE k < 40)"),
     ),
-    "s16_refresh_all": (refresh_log, None),
+    "s16_refresh_all": (refresh_log, REFRESHED),
     "s17_inventory_diff": (
         inventory,
         sql(E, "SELECT 'logs' AS signal, activity_date AS dt, count(*) AS missing, min(pid) AS first_name FROM (SELECT DISTINCT activity_date, pid FROM lf) WHERE length(pid) % 2 <> 0 GROUP BY activity_date", lf=LOG_FLAT),

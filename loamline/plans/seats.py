@@ -6,6 +6,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
+from loamline.functions.columns import as_of_from_path
 from loamline.operators import identity, marts, seats
 from loamline.plans.base import AS_OF, frames, sql
 from loamline.plans.marts import ALIAS, DIM_USER, SEEN, SIG
@@ -48,7 +49,31 @@ def at(roster, day):
     return roster.where(col("as_of_date") == F.lit(day))
 
 
+@frames(R)
+def parsed_roster(r):
+    """A snapshot written as a wide file and read back, its date told by the folder's name."""
+    from loamline.sources.reservoir import workspace
+
+    path = workspace(r.sparkSession, "drop") + "/roster-20221231.csv"
+    american = F.date_format("assignment_date", "M/d/yyyy")
+    wide = at(r, NEW).select(
+        F.concat(F.lit(" "), F.upper("user_email")).alias("EMAIL"), col("subscription_raw").alias("Subscription_1"), american.alias("Assignment_Date_1"), col("revoked_raw").alias("Revoked_Subscription_1"),
+        F.date_format("revoke_date", "yyyy-MM-dd").alias("Revoke_Date_1"), col("org_name").alias("Team"),
+    )
+    wide.write.option("header", True).csv(path)
+    good, _ = seats.parse_roster(r.sparkSession.read.option("header", True).csv(path).withColumn("source", F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)))
+    return good.select("user_email", "subscription_seq", "seat_tier", "assignment_date", "revoked_raw", "revoke_date", col("extra")["Team"].alias("team"), as_of_from_path(col("extra")["source"]).alias("as_of"))
+
+
 QUERIES = {
+    "s9_s10_s11_parse_roster": (
+        parsed_roster,
+        sql(
+            R,
+            f"""SELECT user_email, 1 AS subscription_seq, CASE WHEN subscription_raw IS NOT NULL THEN 'seat' END AS seat_tier, assignment_date, revoked_raw, revoke_date, org_name AS team, as_of_date AS as_of FROM r
+            WHERE as_of_date = DATE '{NEW}'""",
+        ),
+    ),
     "sc1_sc2_seat_interval": (frames(R)(seats.seat_intervals), sql(R, "SELECT * FROM i", **STEPS)),
     "d5_dim_seat": (
         frames(R)(lambda r: seats.seat_intervals(r).select("user_email", "seat_tier", "org_name", "valid_from", "valid_to", col("valid_to").isNull().alias("is_current"))),

@@ -232,6 +232,30 @@ def test_exact_copies_are_one_class_and_odd_images(spark):
     assert media.describe(tiny).count() == 0 and media.describe(tiny.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("n", [300, 6000])
+def test_all_corners_within_the_radius_are_found(n):
+    rng = np.random.default_rng(n)
+    m = np.zeros(n, media.RECORD)
+    for d in ("d0", "d1"):
+        m[d] = rng.integers(-(2**63), 2**63, n)
+        m[d][: n // 3] = m[d][0]  # a hot key
+    q = m[:: n // 100].copy()
+    for i in range(len(q)):  # 0 to 25 bits differ, over both halves
+        for b in rng.choice(128, i % 26, replace=False):
+            q[f"d{b // 64}"].view(np.uint64)[i] ^= np.uint64(1 << int(b % 64))
+    apart = sum(np.bitwise_count(q[d].view(np.uint64)[:, None] ^ m[d].view(np.uint64)[None, :]).astype(int) for d in ("d0", "d1"))
+    got = set(zip(*(x.tolist() for x in media.near(q, m, 20)), strict=True))
+    assert got == set(zip(*(x.tolist() for x in np.nonzero(apart <= 20)), strict=True))
+
+
+def test_copy_with_a_bit_changed_in_each_half(spark):
+    rng = np.random.default_rng(4)
+    vectors = spark.createDataFrame([(1, [float(x) for x in rng.normal(size=64)])], "image_id long, v array<double>")
+    all_corners = media.describe(media.drawn(vectors)).cache()
+    changed = all_corners.selectExpr("image_id", "x", "y", "scale", "turn", "d0 ^ 1 AS d0", "d1 ^ 1 AS d1")
+    assert [(r.query_id, r.match_id) for r in media.matches(changed, all_corners).collect()] == [(1, 1)]
+
+
 # --- pipeline --------------------------------------------------------------------------------
 
 

@@ -49,26 +49,41 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edited copies of every picture whose id is divisible by 20, searched among all pictures; a row for each.
+    """Edited copies of every picture whose id is divisible by 20, searched among all pictures.
 
     The tables hold no images: each embedding is drawn as tiles, equal embeddings as equal pictures.
     """
     vectors = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("image_id"), F.col("embedding").alias("v"))
-    images = materialize(media.drawn(vectors), "images")
+    return copies_found(materialize(media.drawn(vectors), "images"))
+
+
+def copies_found(images: DataFrame) -> DataFrame:
+    """All pairs of a class asked for and a class found, with their geometry, and the members of these classes.
+
+    query_id, match_id: the classes' first pictures. A pair of classes has one row, under the class's first asked picture; every
+    other asked picture has one row that leads to its class. A class found also has a row for each further member (member_id, without
+    geometry), once. So exact copies add rows, not pairs. ``exact``: the pixels are the query's, whether or not corners agree.
+    A null picture matches nothing.
+    """
     groups = materialize(media.classes(images), "classes")
     first = groups.select("image_id")
     described = materialize(media.describe(images.join(first, "image_id", "left_semi")), "corners")
-    asked = images.where("image_id % 20 = 0").select("image_id", media.class_of().alias("image_class"))
-    asked = materialize(asked.join(groups.select("image_class", F.col("image_id").alias("first_id")), "image_class").select("image_id", "first_id"), "asked")
-    copies = media.edited(images.join(asked.select(F.col("first_id").alias("image_id")).distinct(), "image_id", "left_semi"))
+    members = images.select("image_id", F.col("pixels").isNotNull().alias("shown"), media.class_of().alias("image_class")).join(groups.select("image_class", F.col("image_id").alias("first_id")), "image_class")
+    members = materialize(members.select("image_id", "first_id", "shown"), "members")
+    asked = members.where("image_id % 20 = 0").withColumnRenamed("first_id", "query_id")
+    lead = materialize(asked.groupBy("query_id").agg(F.min("image_id").alias("image_id"), F.bool_or("shown").alias("shown")), "asked")
+    copies = media.edited(images.join(lead.select(F.col("query_id").alias("image_id")), "image_id", "left_semi"))
     found = media.matches(materialize(media.describe(copies), "queries"), described)
-    found = found.join(groups.select(F.col("image_id").alias("match_id"), "members"), "match_id")
-    # one row per query: the best match and how many classes and images match
-    order = F.struct(-F.col("inliers"), "match_id")
-    best = F.min_by(F.struct("match_id", "inliers", "turn", "scale", "dx", "dy"), order)
-    found = materialize(found.groupBy("query_id").agg(best.alias("b"), F.count("*").alias("matches"), F.sum("members").alias("matched_images")), "found")
-    asked = asked.withColumnRenamed("first_id", "query_id")
-    return asked.join(found, "query_id", "left").select("image_id", "query_id", "b.*", F.coalesce("matches", F.lit(0)).alias("matches"), F.coalesce("matched_images", F.lit(0)).alias("matched_images"))
+    own = lead.select("query_id", F.when(F.col("shown"), F.col("query_id")).alias("match_id"))
+    found = own.join(found, ["query_id", "match_id"], "full").join(lead, "query_id")
+    found = found.join(groups.select(F.col("image_id").alias("match_id"), F.col("members").alias("class_size")), "match_id", "left")
+    found = materialize(found.withColumns({"member_id": F.col("match_id"), "exact": F.col("match_id") == F.col("query_id")}), "found")
+    columns = ["image_id", "query_id", "match_id", "member_id", "exact", "class_size", "inliers", "turn", "scale", "dx", "dy"]
+    others = asked.select("image_id", "query_id").join(lead, ["query_id", "image_id"], "left_anti").join(found.where("exact OR match_id IS NULL").drop("image_id"), "query_id")
+    by = found.groupBy("match_id").agg(F.min_by(F.struct("image_id", "query_id", "exact", "class_size"), F.struct(~F.col("exact"), "query_id")).alias("f"))
+    further = members.where("image_id <> first_id").select(F.col("first_id").alias("match_id"), F.col("image_id").alias("member_id")).join(by, "match_id")
+    further = further.select("f.*", "match_id", "member_id")
+    return found.select(*columns).unionByName(others.select(*columns)).unionByName(further, allowMissingColumns=True)
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

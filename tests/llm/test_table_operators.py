@@ -256,6 +256,20 @@ def test_copy_with_a_bit_changed_in_each_half(spark):
     assert [(r.query_id, r.match_id) for r in media.matches(changed, all_corners).collect()] == [(1, 1)]
 
 
+def test_all_matches_and_flat_exact_copies_are_returned(spark):
+    rng = np.random.default_rng(6)
+    v = [float(x) for x in rng.normal(size=64)]
+    near = [x + 1e-2 for x in v]
+    rows = [(0, v), (1, v), (2, near), *[(i, [1.0] * 64) for i in (20, 21, 40)], (3, [float(x) for x in rng.normal(size=64)]), (60, None), (80, None)]
+    out = queries.copies_found(media.drawn(spark.createDataFrame(rows, "image_id long, v array<double>")).cache()).collect()
+    got = sorted((r.image_id, r.match_id, r.member_id, r.exact, r.class_size, r.inliers is not None) for r in out if r.match_id is not None)
+    assert {(r.image_id, r.query_id) for r in out if r.match_id is None} == {(60, 60), (80, 60)}
+    assert got == [
+        (0, 0, 0, True, 2, True), (0, 0, 1, True, 2, False), (0, 2, 2, False, 1, True),
+        (20, 20, 20, True, 3, False), (20, 20, 21, True, 3, False), (20, 20, 40, True, 3, False), (40, 20, 20, True, 3, False),
+    ]
+
+
 # --- pipeline --------------------------------------------------------------------------------
 
 

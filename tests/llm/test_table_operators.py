@@ -270,6 +270,25 @@ def test_all_matches_and_flat_exact_copies_are_returned(spark):
     ]
 
 
+@pytest.mark.parametrize("degrees", [0, 17, 100])
+def test_half_size_crops_of_large_pictures_at_odd_turns(spark, degrees):
+    rng = np.random.default_rng(8)
+    large = [np.kron(rng.integers(0, 256, (40, 40)), np.ones((8, 8))) for _ in range(3)]
+    large = [(a[:-1, :-1] + a[1:, :-1] + a[:-1, 1:] + a[1:, 1:]) / 4 for a in large]
+    y, x = np.mgrid[:160, :160] - 80.0
+    c, s = np.cos(np.radians(degrees)), np.sin(np.radians(degrees))
+    sx, sy = c * x - s * y + 170, s * x + c * y + 150
+    ix, iy = sx.astype(int), sy.astype(int)
+    fx, fy = sx - ix, sy - iy
+    a = large[1]
+    cut = (a[iy, ix] * (1 - fx) + a[iy, ix + 1] * fx) * (1 - fy) + (a[iy + 1, ix] * (1 - fx) + a[iy + 1, ix + 1] * fx) * fy
+    frame = lambda rows: spark.createDataFrame([(i, bytearray(np.rint(p).astype(np.uint8).tobytes()), p.shape[1]) for i, p in rows], "image_id long, pixels binary, width int")
+    found = media.matches(media.describe(frame([(20, cut)])), media.describe(frame(enumerate(large)))).collect()
+    best = max(found, key=lambda r: r.inliers)
+    assert best.match_id == 1 and best.inliers >= 30 and all(r.inliers < best.inliers / 3 for r in found if r.match_id != 1)
+    assert min(abs(best.turn * 360 / media.TURNS - degrees), 360 - abs(best.turn * 360 / media.TURNS - degrees)) <= 3
+
+
 # --- pipeline --------------------------------------------------------------------------------
 
 

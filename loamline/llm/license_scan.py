@@ -19,6 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loamline.llm.scratch import small_batches
 from loamline.llm.text import alnum_ascii, by_slices, words_of
 
 #: Phrases of the base scan and the labels that they carry.
@@ -231,6 +232,7 @@ def with_licenses(docs: DataFrame, into: str, text: str = "text", *, templates:
     shortest: words that a stretch needs to count. cover: the share of a template that a chain must cover.
     """
     scanner = Scanner(templates, phrases, shortest=shortest, cover=cover)
+    small_batches(docs.sparkSession)
 
     @F.arrow_udf(_DDL)
     def scan(column: pa.Array) -> pa.Array:

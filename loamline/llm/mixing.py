@@ -11,8 +11,12 @@
 The head of a ranking is found by counting words in slots of the rank, twice, so that a hot source is
 never sorted in one task: only the last slot's documents are.
 
+Rows that repeat a doc_id, text and source are numbered from 0, and the number is part of what their random odds are
+drawn from: each of them is taken or left by itself. The numbering is dealt over parts, so a text that a third of all
+rows repeat is not numbered in one task.
+
 Defined results: a null text has size 0 and takes nothing; a null source is a source of its own, last
-in order; repeated rows are mixed each by itself, ties of the rank are settled by doc_id and text hash; no
+in order; repeated rows are mixed each by itself, ties of the rank are settled by doc_id, text hash and number; no
 rows give no rows; other columns stay.
 """
 
@@ -24,6 +28,9 @@ from pyspark.sql import functions as F
 from loamline.llm.scratch import materialize
 
 SLOTS = 512
+#: Repeated rows of one part that one task numbers, about.
+PER_PART = 1_000_000
+LEAST_PARTS = 64
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -63,13 +70,41 @@ def source_targets(sized: DataFrame, *, source: str, size: str, weights: tuple[f
     return out.select("source", "source_size", F.col("share").alias("target"))
 
 
-def with_mix(docs: DataFrame, into: str, *, source: str = "source", text: str = "text", doc_id: str = "doc_id", seed: int = 7, weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0) -> DataFrame:
-    """``docs`` with a struct ``into``: size, source_size, target, copies (0 to ``most``) and taken = copies x size."""
-    spark = docs.sparkSession
-    sized = docs.select(F.struct("*").alias("_d")).select(
-        "_d", word_count(F.col(f"_d.`{text}`")).alias("_size"), F.col(f"_d.`{source}`").alias("_source"), F.xxhash64(F.col(f"_d.`{text}`")).alias("_h"), F.col(f"_d.`{doc_id}`").alias("_id")
+def numbered(rows: DataFrame, keys: list[str], row: str, into: str) -> DataFrame | None:
+    """(row, into): a number from 0 for each row of a written table that shares its keys with another; None if no row does."""
+    same = lambda a, b: [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys]
+    often = materialize(rows.groupBy(*keys).agg(F.count("*").alias("_times")).where("_times > 1"), "repeated")
+    most = often.agg(F.max("_times")).first()[0]
+    if most is None:
+        return None
+    parts = max(LEAST_PARTS, most // PER_PART + 1)
+    again = rows.alias("a").join(often.alias("b"), same("a", "b"), "left_semi").withColumn("_part", F.pmod(F.xxhash64(row), F.lit(parts)))
+    again = materialize(again, "repeats")
+    sizes = again.groupBy(*keys, "_part").agg(F.count("*").alias("_in_part"))
+    before = F.sum("_in_part").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select(*keys, "_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(row))
+    inside = again.withColumn("_place", place).alias("a")
+    met = inside.join(sizes.alias("b"), [*same("a", "b"), F.col("a._part") == F.col("b._part")])
+    return met.select(F.col(f"a.{row}").alias(row), (F.col("_before") + F.col("_place") - 1).alias(into))
+
+
+def with_mix(docs: DataFrame, into: str, *, source: str = "source", text: str = "text", doc_id: str = "doc_id", seed: int = 7, weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0, keep: list[str] | None = None) -> DataFrame:
+    """``docs`` with a struct ``into``: size, source_size, target, copies (0 to ``most``) and taken = copies x size.
+
+    ``keep`` names the columns of ``docs`` that the result has (all, if it is not given); others are not written on the way.
+    """
+    kept = [c for c in (docs.columns if keep is None else keep) if c != into]
+    q = lambda c: F.col(f"`{c}`")
+    sized = docs.select(
+        F.struct(*[q(c) for c in kept]).alias("_d"), word_count(q(text)).alias("_size"), q(source).alias("_source"), F.xxhash64(q(text)).alias("_h"), q(doc_id).alias("_id"), F.monotonically_increasing_id().alias("_row")
     )
-    keys = materialize(sized.select("_id", "_h", "_size", "_source"), "sizes")
+    sized = materialize(sized, "sized")  # the row numbers are fixed from here
+    again = numbered(sized.select("_id", "_h", "_source", "_row"), ["_id", "_h", "_source"], "_row", "_copy")
+    # without repeated rows nothing is joined, and texts stay where they are
+    sized = sized.withColumn("_copy", F.lit(0)) if again is None else sized.join(again, "_row", "left").withColumn("_copy", F.coalesce("_copy", F.lit(0)))
+    keys = sized.select("_row", "_id", "_h", "_copy", "_size", "_source")
+    keys = keys if again is None else materialize(keys, "sizes")
     targets = materialize(source_targets(keys, source="_source", size="_size", weights=weights, most=most), "targets")
 
     # expected copies by source and bit length of the size
@@ -84,10 +119,10 @@ def with_mix(docs: DataFrame, into: str, *, source: str = "source", text: str =
     )
 
     # rank = random odds over inclusion odds, as a number from 0 to 1 that keeps the order
-    u = (F.shiftrightunsigned(F.xxhash64("_id", "_h", F.lit(seed)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
+    u = (F.shiftrightunsigned(F.xxhash64("_id", "_h", F.lit(seed), "_copy"), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
     odds = u / (1 - u) * (1 - F.col("_pi")) / F.col("_pi")
     ranked = keys.where("_size > 0").withColumn("_bits", length).join(bins, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bits") == F.col("_b")))
-    ranked = ranked.where("_pi > 0").select("_id", "_h", "_size", "_source", (odds / (1 + odds)).alias("_rank"))
+    ranked = ranked.where("_pi > 0").select("_row", "_id", "_h", "_copy", "_size", "_source", (odds / (1 + odds)).alias("_rank"))
     ranked = materialize(ranked, "ranked")
     lacking = bins.groupBy(F.col("_s").alias("source")).agg(F.sum("_lack").alias("lack"))
 
@@ -108,7 +143,7 @@ def with_mix(docs: DataFrame, into: str, *, source: str = "source", text: str =
     # the last slot's documents, in order, up to what is lacking; the gap is left to one document more
     found = found.select(*[F.col(c).alias(f"_{c}" if c != "source" else "_at") for c in found.columns])
     edge = ranked.join(found, F.col("_source").eqNullSafe(F.col("_at"))).where((F.col("_rank") >= F.col("_low")) & (F.col("_rank") < F.col("_low") + F.col("_width")))
-    order = Window.partitionBy("_source").orderBy("_rank", F.col("_id").asc_nulls_last(), "_h").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("_source").orderBy("_rank", F.col("_id").asc_nulls_last(), "_h", "_copy").rowsBetween(Window.unboundedPreceding, 0)
     heads = edge.withColumn("_until", F.col("_before") + F.sum("_size").over(order)).where("_until <= _lack")
     heads = heads.groupBy(F.col("_at").alias("_at2")).agg(F.max(F.struct("_rank", "_until")).alias("x"))
     limits = found.join(heads, F.col("_at").eqNullSafe(F.col("_at2")), "left").select(
@@ -118,7 +153,7 @@ def with_mix(docs: DataFrame, into: str, *, source: str = "source", text: str =
     beyond = (F.col("_rank") > F.col("_cut")) | ((F.col("_rank") == F.col("_cut")) & ~F.col("_closed"))
     # of the documents beyond, the one whose size comes nearest to the gap
     rest = ranked.join(limits, F.col("_source").eqNullSafe(F.col("_at"))).where(beyond & (F.col("_size") < 2 * F.col("_gap")))
-    fill = rest.groupBy(F.col("_at").alias("_at2")).agg(F.min(F.struct(F.abs(F.col("_size") - F.col("_gap")).alias("d"), "_rank", "_id", "_h")).alias("_fill"))
+    fill = rest.groupBy(F.col("_at").alias("_at2")).agg(F.min(F.struct(F.abs(F.col("_size") - F.col("_gap")).alias("d"), "_rank", "_id", "_h", "_copy", "_row")).alias("_fill"))
     limits = materialize(limits.join(fill, F.col("_at").eqNullSafe(F.col("_at2")), "left").select("_at", "_cut", "_closed", "_fill"), "filled")
 
     # every document again: certain copies, and one more at the head of its source's ranking
@@ -129,8 +164,7 @@ def with_mix(docs: DataFrame, into: str, *, source: str = "source", text: str =
     rank = F.when(F.col("_pi") > 0, odds / (1 + odds))
     # a source without a limit lacks more than its ranking holds: it takes all of it
     inside = F.col("_cut").isNull() | (rank < F.col("_cut")) | ((rank == F.col("_cut")) & F.col("_closed"))
-    extra = (rank == F.col("_fill._rank")) & F.col("_id").eqNullSafe(F.col("_fill._id")) & F.col("_h").eqNullSafe(F.col("_fill._h"))
-    head = F.coalesce(rank.isNotNull() & (inside | extra), F.lit(False))
+    head = F.coalesce(rank.isNotNull() & (inside | (F.col("_row") == F.col("_fill._row"))), F.lit(False))
     copies = F.when(F.col("_size") > 0, F.coalesce(F.col("_certain"), F.lit(0)) + head.cast("long")).otherwise(F.lit(0)).cast("long")
     result = F.struct(F.col("_size").alias("size"), "source_size", "target", copies.alias("copies"), (copies * F.col("_size")).alias("taken"))
-    return whole.select("_d", result.alias("_mix")).select(*[F.col(f"_d.`{c}`") for c in docs.columns if c != into], F.col("_mix").alias(into))
+    return whole.select("_d", result.alias("_mix")).select(*[F.col(f"_d.`{c}`") for c in kept], F.col("_mix").alias(into))

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamline.llm.scratch import materialize
+from loamline.llm.scratch import materialize, small_batches
 from loamline.llm.text import slices
 from loamline.llm.tokens import encoder
 
@@ -65,6 +65,7 @@ def pieces(docs: DataFrame, tokenizer: str, *, limit: int = LIMIT, end: int = 1,
                 at += len(part)
                 row += len(part)
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, kind)
 
 

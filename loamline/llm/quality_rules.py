@@ -20,6 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loamline.llm.scratch import small_batches
 from loamline.llm.text import by_slices, mix64, numbers, ragged, words_of
 
 WINDOW = 5
@@ -102,6 +103,7 @@ def _statistics_udf():
 
 def with_statistics(docs: DataFrame, into: str, text: str = "text") -> DataFrame:
     """``docs`` and a struct column ``into`` of counts over the whole text."""
+    small_batches(docs.sparkSession)
     return docs.withColumn(into, _statistics_udf()(F.col(text)))
 
 
@@ -229,9 +231,10 @@ def learn_rules(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, doc
     found = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_id")
     found = with_statistics(found, "_s", "_text")
     of = features(F.col("_s"))
-    rows = found.where(~base_failed(F.col("_s"))).select("_id", "_quality", *[c.alias(n) for n, c in of.items()]).toPandas()
-    # copies of a labelled doc_id come as several rows: bounded by keeping one of each
-    rows = rows.sort_values(list(rows.columns)).drop_duplicates("_id")
+    row = F.struct(base_failed(F.col("_s")).alias("_failed"), *[c.alias(n) for n, c in of.items()])
+    # of copies of a labelled doc_id one row comes to the driver: one that the base rule keeps, if there is any
+    rows = found.groupBy("_id", "_quality").agg(F.min(row).alias("r")).select("_id", "_quality", "r.*").toPandas()
+    rows = rows[~rows["_failed"]].sort_values("_id")
     names = list(of)
     return fit_rules(rows[names].to_numpy(float), rows["_quality"].to_numpy() == 0, names)
 

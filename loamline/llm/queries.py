@@ -44,7 +44,7 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mixing.with_mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "x")
+    out = mixing.with_mix(table(spark, sf_dir, "documents"), "x", keep=["doc_id"])
     return out.select("doc_id", "x.size", "x.source_size", "x.target", "x.taken")
 
 

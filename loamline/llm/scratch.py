@@ -1,17 +1,36 @@
-"""Intermediate tables in the shared folder that the cluster names."""
+"""Intermediate tables in the shared folder that the cluster names, and what a Python worker gets at a time."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of rows that Spark hands to a Python worker at a time, unless one row is longer.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound batches for Python workers by bytes: with a bound on rows alone they grow with the texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+
+
+def unused(columns: Iterable[str], name: str) -> str:
+    """``name``, or with underscores behind it, such that no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a fresh local one only where that is unset (tests)."""
+    """The folder in ``spark.checkpoint.dir``; where that is unset a fresh local one serves a local master, and a cluster gets an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="loamline-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -33,12 +52,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     written outlives it.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete an intermediate table that is no longer needed."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

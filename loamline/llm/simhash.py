@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamline.llm.components import components
-from loamline.llm.scratch import materialize
+from loamline.llm.scratch import materialize, small_batches
 from loamline.llm.text import by_slices, lower_ascii, ragged, split_words
 
 SEED = 42
@@ -78,6 +78,7 @@ def fingerprints(text: pa.Array, shingle: int) -> pa.Array:
 
 def with_fingerprint(docs: DataFrame, into: str, text: str = "text", *, shingle: int = 4) -> DataFrame:
     """``docs`` with a 64-bit SimHash column ``into``, as a signed integer."""
+    small_batches(docs.sparkSession)
 
     @F.arrow_udf("bigint")
     def fingerprint(column: pa.Array) -> pa.Array:

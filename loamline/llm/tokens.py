@@ -18,8 +18,10 @@ from tokenizers import Tokenizer
 
 from loamline.llm.text import ragged, words_of
 
-#: Chunks that a worker remembers; the memo starts anew when it is full.
-MEMO = 1_000_000
+#: Bytes that a worker's memo of chunks takes, about; it starts anew when it is full.
+MEMO_BYTES = 24 << 20
+#: Bytes of an entry besides its letters and ids.
+_ENTRY = 190
 #: Words that are encoded as one text.
 JOINED = 32
 #: Latin letters (but the dotted capital I, which lower-cases to two characters) and digits, then ASCII marks.
@@ -42,14 +44,18 @@ class ChunkEncoder:
         self.ends_word = np.zeros(size, bool)
         self.ends_word[[i for x, i in self.tokenizer.get_vocab().items() if x.endswith("</w>")]] = True
         self.memo: dict[str, bytes] = {}
+        self.held = 0
 
     def _fill(self, chunks: pa.Array) -> list[str]:
         """Put the ids of distinct chunks that the memo lacks into it."""
         listed = chunks.to_pylist()
         lacking = [x for x in listed if x not in self.memo]
-        if len(self.memo) + len(lacking) > MEMO:
+        more = sum(map(len, lacking)) * 3 + _ENTRY * len(lacking)
+        if self.memo and self.held + more > MEMO_BYTES:
             self.memo.clear()
-            lacking = listed
+            self.held, lacking = 0, listed
+            more = sum(map(len, lacking)) * 3 + _ENTRY * len(lacking)
+        self.held += more
         is_word = pc.match_substring_regex(pa.array(lacking, pa.string()), _WORD).to_pylist()
         words = [x for x, w in zip(lacking, is_word, strict=True) if w]
         rest = [x for x, w in zip(lacking, is_word, strict=True) if not w]

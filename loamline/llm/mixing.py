@@ -86,7 +86,7 @@ def numbered(rows: DataFrame, keys: list[str], row: str, into: str) -> DataFrame
     place = F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(row))
     inside = again.withColumn("_place", place).alias("a")
     met = inside.join(sizes.alias("b"), [*same("a", "b"), F.col("a._part") == F.col("b._part")])
-    return met.select(F.col(f"a.{row}").alias(row), (F.col("_before") + F.col("_place") - 1).alias(into))
+    return met.select(F.col(f"a.{row}").alias(row), (F.col("_before") + F.col("_place") - 1).cast("long").alias(into))
 
 
 def with_mix(docs: DataFrame, into: str, *, source: str = "source", text: str = "text", doc_id: str = "doc_id", seed: int = 7, weights: tuple[float, ...] = (1, 2, 3), most: float = 3.0, keep: list[str] | None = None) -> DataFrame:
@@ -102,7 +102,7 @@ def with_mix(docs: DataFrame, into: str, *, source: str = "source", text: str =
     sized = materialize(sized, "sized")  # the row numbers are fixed from here
     again = numbered(sized.select("_id", "_h", "_source", "_row"), ["_id", "_h", "_source"], "_row", "_copy")
     # without repeated rows nothing is joined, and texts stay where they are
-    sized = sized.withColumn("_copy", F.lit(0)) if again is None else sized.join(again, "_row", "left").withColumn("_copy", F.coalesce("_copy", F.lit(0)))
+    sized = sized.withColumn("_copy", F.lit(0).cast("long")) if again is None else sized.join(again, "_row", "left").withColumn("_copy", F.coalesce("_copy", F.lit(0).cast("long")))
     keys = sized.select("_row", "_id", "_h", "_copy", "_size", "_source")
     keys = keys if again is None else materialize(keys, "sizes")
     targets = materialize(source_targets(keys, source="_source", size="_size", weights=weights, most=most), "targets")

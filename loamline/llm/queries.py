@@ -65,25 +65,28 @@ def copies_found(images: DataFrame) -> DataFrame:
     geometry), once. So exact copies add rows, not pairs. ``exact``: the pixels are the query's, whether or not corners agree.
     A null picture matches nothing.
     """
+    images = materialize(images.withColumns({"picture": F.monotonically_increasing_id(), "image_class": media.class_of()}), "pictures")
     groups = materialize(media.classes(images), "classes")
-    first = groups.select("image_id")
-    described = materialize(media.describe(images.join(first, "image_id", "left_semi")), "corners")
-    members = images.select("image_id", F.col("pixels").isNotNull().alias("shown"), media.class_of().alias("image_class")).join(groups.select("image_class", F.col("image_id").alias("first_id")), "image_class")
-    members = materialize(members.select("image_id", "first_id", "shown"), "members")
+    described = materialize(media.describe(images.join(groups.select("picture"), "picture", "left_semi")), "corners")
+    first = groups.select("image_class", F.col("image_id").alias("first_id"), "picture", "shown")
+    members = materialize(images.select("image_id", F.col("picture").alias("row"), "image_class").join(first, "image_class"), "members")
     asked = members.where("image_id % 20 = 0").withColumnRenamed("first_id", "query_id")
-    lead = materialize(asked.groupBy("query_id").agg(F.min("image_id").alias("image_id"), F.bool_or("shown").alias("shown")), "asked")
-    copies = media.edited(images.join(lead.select(F.col("query_id").alias("image_id")), "image_id", "left_semi"))
-    found = media.matches(materialize(media.describe(copies), "queries"), described)
-    own = lead.select("query_id", F.when(F.col("shown"), F.col("query_id")).alias("match_id"))
-    found = own.join(found, ["query_id", "match_id"], "full").join(lead, "query_id")
-    found = found.join(groups.select(F.col("image_id").alias("match_id"), F.col("members").alias("class_size")), "match_id", "left")
-    found = materialize(found.withColumns({"member_id": F.col("match_id"), "exact": F.col("match_id") == F.col("query_id")}), "found")
+    lead = materialize(asked.groupBy("picture").agg(F.first("query_id").alias("query_id"), F.min("image_id").alias("image_id"), F.min(F.struct("image_id", "row"))["row"].alias("row"), F.bool_or("shown").alias("shown")), "asked")
+    copies = media.edited(images.join(lead.select("picture"), "picture", "left_semi"))
+    met = media.matches(materialize(media.describe(copies), "queries"), described)
+    own = lead.select(F.col("picture").alias("query_id"), F.when(F.col("shown"), F.col("picture")).alias("match_id"))
+    met = own.join(met, ["query_id", "match_id"], "full").withColumnsRenamed({"query_id": "picture", "match_id": "found"})
+    met = met.join(lead.select("picture", "query_id", "image_id"), "picture")
+    met = met.join(groups.select(F.col("picture").alias("found"), F.col("image_id").alias("match_id"), F.col("members").alias("class_size")), "found", "left")
+    met = materialize(met.withColumns({"member_id": F.col("match_id"), "exact": F.col("found") == F.col("picture")}), "found")
     columns = ["image_id", "query_id", "match_id", "member_id", "exact", "class_size", "inliers", "turn", "scale", "dx", "dy"]
-    others = asked.select("image_id", "query_id").join(lead, ["query_id", "image_id"], "left_anti").join(found.where("exact OR match_id IS NULL").drop("image_id"), "query_id")
-    by = found.groupBy("match_id").agg(F.min_by(F.struct("image_id", "query_id", "exact", "class_size"), F.struct(~F.col("exact"), "query_id")).alias("f"))
-    further = members.where("image_id <> first_id").select(F.col("first_id").alias("match_id"), F.col("image_id").alias("member_id")).join(by, "match_id")
-    further = further.select("f.*", "match_id", "member_id")
-    return found.select(*columns).unionByName(others.select(*columns)).unionByName(further, allowMissingColumns=True)
+    # every other asked picture leads to its class
+    others = asked.select("image_id", "row", "picture").join(lead.select("picture", "row"), ["picture", "row"], "left_anti")
+    others = others.join(met.where("exact OR found IS NULL").drop("image_id"), "picture")
+    # further members of the classes found
+    by = met.groupBy("found").agg(F.min_by(F.struct("image_id", "query_id", "match_id", "exact", "class_size"), F.struct(~F.col("exact"), "query_id", "picture")).alias("f"))
+    further = members.where("row <> picture").select(F.col("picture").alias("found"), F.col("image_id").alias("member_id")).join(by, "found").select("f.*", "member_id")
+    return met.select(*columns).unionByName(others.select(*columns)).unionByName(further, allowMissingColumns=True)
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

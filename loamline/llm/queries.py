@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamline.llm import license_scan, lm_scoring, media, mixing, packing, quality_rules, simhash, token_store, toxicity, warc
+from loamline.llm.components import components
 from loamline.llm.scratch import materialize
 
 TOKENIZER = "word_bpe_49k.json"
@@ -58,35 +59,35 @@ def op5_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def copies_found(images: DataFrame) -> DataFrame:
-    """All pairs of a class asked for and a class found, with their geometry, and the members of these classes.
+    """One row per picture: its class of equal pixels, the class of copies it belongs to, and what the search says of it.
 
-    query_id, match_id: the classes' first pictures. A pair of classes has one row, under the class's first asked picture; every
-    other asked picture has one row that leads to its class. A class found also has a row for each further member (member_id, without
-    geometry), once. So exact copies add rows, not pairs. ``exact``: the pixels are the query's, whether or not corners agree.
-    A null picture matches nothing.
+    An edited copy of every picture whose id is divisible by 20 is searched among all pictures. first_id, class_size: the
+    first picture with the same pixels and how many have them. copies_id: the smallest image_id that findings lead to
+    from here, itself included. found: the classes that the picture's copy finds, its own included (NULL if it was not
+    asked for). finders: the asked classes whose copies find it; finder_id and what follows are of the one with the
+    most inliers, the smallest id of ties. A null picture finds nothing and is found by nothing; flat pictures have no corners, but their exact copies still share first_id.
     """
     images = materialize(images.withColumns({"picture": F.monotonically_increasing_id(), "image_class": media.class_of()}), "pictures")
     groups = materialize(media.classes(images), "classes")
     described = materialize(media.describe(images.join(groups.select("picture"), "picture", "left_semi")), "corners")
-    first = groups.select("image_class", F.col("image_id").alias("first_id"), "picture", "shown")
-    members = materialize(images.select("image_id", F.col("picture").alias("row"), "image_class").join(first, "image_class"), "members")
-    asked = members.where("image_id % 20 = 0").withColumnRenamed("first_id", "query_id")
-    lead = materialize(asked.groupBy("picture").agg(F.first("query_id").alias("query_id"), F.min("image_id").alias("image_id"), F.min(F.struct("image_id", "row"))["row"].alias("row"), F.bool_or("shown").alias("shown")), "asked")
-    copies = media.edited(images.join(lead.select("picture"), "picture", "left_semi"))
-    met = media.matches(materialize(media.describe(copies), "queries"), described)
-    own = lead.select(F.col("picture").alias("query_id"), F.when(F.col("shown"), F.col("picture")).alias("match_id"))
-    met = own.join(met, ["query_id", "match_id"], "full").withColumnsRenamed({"query_id": "picture", "match_id": "found"})
-    met = met.join(lead.select("picture", "query_id", "image_id"), "picture")
-    met = met.join(groups.select(F.col("picture").alias("found"), F.col("image_id").alias("match_id"), F.col("members").alias("class_size")), "found", "left")
-    met = materialize(met.withColumns({"member_id": F.col("match_id"), "exact": F.col("found") == F.col("picture")}), "found")
-    columns = ["image_id", "query_id", "match_id", "member_id", "exact", "class_size", "inliers", "turn", "scale", "dx", "dy"]
-    # every other asked picture leads to its class
-    others = asked.select("image_id", "row", "picture").join(lead.select("picture", "row"), ["picture", "row"], "left_anti")
-    others = others.join(met.where("exact OR found IS NULL").drop("image_id"), "picture")
-    # further members of the classes found
-    by = met.groupBy("found").agg(F.min_by(F.struct("image_id", "query_id", "match_id", "exact", "class_size"), F.struct(~F.col("exact"), "query_id", "picture")).alias("f"))
-    further = members.where("row <> picture").select(F.col("picture").alias("found"), F.col("image_id").alias("member_id")).join(by, "found").select("f.*", "member_id")
-    return met.select(*columns).unionByName(others.select(*columns)).unionByName(further, allowMissingColumns=True)
+    first = groups.select("image_class", F.col("image_id").alias("first_id"), F.col("picture").alias("first"), F.col("members").alias("class_size"))
+    members = materialize(images.select("image_id", "image_class").join(first, "image_class").drop("image_class"), "members")
+    asked = members.where("image_id % 20 = 0").select("first").distinct()
+    copies = media.edited(images.join(asked.withColumnRenamed("first", "picture"), "picture", "left_semi"))
+    met = materialize(media.matches(materialize(media.describe(copies), "queries"), described), "met")
+    # query_id and match_id number pictures; a class of copies is named by its smallest image_id
+    ids = groups.select("picture", "image_id")
+    roots = components(met.select("query_id", "match_id"), "query_id", "match_id")
+    lowest = roots.join(ids.withColumnRenamed("picture", "node"), "node").groupBy("root").agg(F.min("image_id").alias("copies_id"))
+    named = roots.join(lowest, "root").select(F.col("node").alias("first"), "copies_id")
+    found = met.groupBy(F.col("query_id").alias("first")).agg(F.count("*").alias("found"))
+    best = F.max_by(F.struct("finder_id", "inliers", "turn", "scale", "dx", "dy"), F.struct("inliers", -F.col("finder_id"), -F.col("query_id"))).alias("b")
+    finders = met.join(ids.select(F.col("picture").alias("query_id"), F.coalesce("image_id", F.lit(-1)).alias("finder_id")), "query_id")
+    finders = finders.groupBy(F.col("match_id").alias("first")).agg(F.count("*").alias("finders"), best).select("first", "finders", "b.*")
+    per = materialize(groups.select(F.col("picture").alias("first")).join(named, "first", "left").join(found, "first", "left").join(finders, "first", "left"), "per class")
+    out = members.join(per, "first")
+    mine = F.when(F.col("image_id") % 20 == 0, F.coalesce("found", F.lit(0)))
+    return out.select("image_id", "first_id", "class_size", F.coalesce("copies_id", "first_id").alias("copies_id"), mine.alias("found"), F.coalesce("finders", F.lit(0)).alias("finders"), "finder_id", "inliers", "turn", "scale", "dx", "dy")
 
 
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamline.functions.columns import is_corporate
+from loamline.sources.shared import written
 
 col = F.col
 
@@ -38,19 +39,45 @@ def one_per_email(people: DataFrame) -> DataFrame:
     return people.withColumn("_n", F.row_number().over(Window.partitionBy("email").orderBy(*order))).where("_n = 1").drop("_n")
 
 
-def management_paths(people: DataFrame, *, excluded: tuple[str, ...] = (), depth: int = 30) -> DataFrame:
-    """(email, path from the root) by a recursive query; unknown and excluded managers make roots."""
-    spark = people.sparkSession
-    known = people.select(col("email").alias("_known"))
-    parent = F.when(col("_known").isNotNull() & (col("manager_email") != col("email")) & ~col("manager_email").isin(*excluded) if excluded else col("_known").isNotNull() & (col("manager_email") != col("email")), col("manager_email"))
-    links = people.select("email", "manager_email").join(known, col("manager_email") == col("_known"), "left").select("email", parent.alias("parent"))
-    return spark.sql(
-        """WITH RECURSIVE tree(email, path) MAX RECURSION LEVEL {levels} AS (
-            SELECT email, array(email) AS path FROM {links} WHERE parent IS NULL
-            UNION ALL SELECT l.email, concat(t.path, array(l.email)) FROM tree t JOIN {links} l ON l.parent = t.email WHERE size(t.path) < {deep})
-        SELECT email, path FROM tree""".replace("{levels}", str(depth + 1)).replace("{deep}", str(depth)),
-        links=links,
-    )
+def _managers(people: DataFrame, excluded: tuple[str, ...]) -> DataFrame:
+    """(email, parent): NULL where the manager is unknown, excluded or the person."""
+    known = people.select(col("email").alias("_known")).distinct()
+    real = col("_known").isNotNull() & (col("manager_email") != col("email"))
+    if excluded:
+        real &= ~col("manager_email").isin(*excluded)
+    links = people.select("email", "manager_email").join(known, col("manager_email") == col("_known"), "left")
+    return links.select("email", F.when(real, col("manager_email")).alias("parent"))
+
+
+def management_tree(people: DataFrame, *, excluded: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """(email, path from the root) of everyone below a root, and (email, parent) of those on or below a cycle.
+
+    Unknown and excluded managers make roots. Each round joins everyone's path with that of the head it has come to, so
+    paths double and the rounds grow with the logarithm of the depth. Once a round reaches no further root, none will:
+    whoever then still has a head is on or below a cycle and has no path.
+    """
+    links = written(_managers(people, excluded), "managers")
+    state = written(links.select("email", col("parent").alias("head"), F.array("email").alias("path")), "paths")
+    left = state.where(col("head").isNotNull()).count()
+    while left:
+        up = state.select(col("email").alias("_at"), col("head").alias("_next"), col("path").alias("_above"))
+        far = state.where(col("head").isNotNull()).join(up, col("head") == col("_at"))
+        step = far.select("email", col("_next").alias("head"), F.concat("_above", "path").alias("path"))
+        state = written(step.unionByName(state.where(col("head").isNull())), "paths")
+        before, left = left, state.where(col("head").isNotNull()).count()
+        if left == before:
+            break
+    return state.where(col("head").isNull()).select("email", "path"), links.join(state.where(col("head").isNotNull()), "email", "left_semi")
+
+
+def management_paths(people: DataFrame, *, excluded: tuple[str, ...] = ()) -> DataFrame:
+    """(email, path from the root) of everyone below a root."""
+    return management_tree(people, excluded=excluded)[0]
+
+
+def cyclic_managers(people: DataFrame, *, excluded: tuple[str, ...] = ()) -> DataFrame:
+    """(email, parent) of those who come to no root, since a cycle of managers lies between."""
+    return management_tree(people, excluded=excluded)[1]
 
 
 def visible_to(rows: DataFrame, paths: DataFrame, viewer: str, *, email: str = "user_email") -> DataFrame:

@@ -99,18 +99,16 @@ def seat_use(seat_days: DataFrame, current: DataFrame, users: DataFrame, daily:
 
 
 def cohorts(instrumented: DataFrame, daily: DataFrame, window: Window, before: Window, first: DataFrame) -> DataFrame:
-    """New, retained, reactivated and idle people; the four add up to the instrumented ones."""
-    now = within(daily, window).select("user_email").distinct().join(instrumented, "user_email", "left_semi")
-    then = within(daily, before).select("user_email").distinct()
-    new = now.join(first.where(col("first_seen_date") >= F.lit(window[0])).select("user_email"), "user_email", "left_semi")
-    retained = now.subtract(new).intersect(then)
-    reactivated = now.subtract(new).subtract(then)
-    idle = instrumented.subtract(now)
-    tagged = [df.select("user_email", F.lit(name).alias("cohort")) for df, name in ((new, "new"), (retained, "retained"), (reactivated, "reactivated"), (idle, "idle"))]
-    out = tagged[0]
-    for t in tagged[1:]:
-        out = out.unionByName(t)
-    return out
+    """New, retained, reactivated and idle people; the four add up to the instrumented ones.
+
+    Each person's days are told in one pass: whether any lies in either window.
+    """
+    seen = daily.groupBy("user_email").agg(
+        F.bool_or(col("activity_date").between(F.lit(window[0]), F.lit(window[1]))).alias("now"), F.bool_or(col("activity_date").between(F.lit(before[0]), F.lit(before[1]))).alias("then")
+    )
+    people = instrumented.select("user_email").distinct().join(seen, "user_email", "left").join(first.select("user_email", "first_seen_date"), "user_email", "left")
+    cohort = F.when(~F.coalesce("now", F.lit(False)), "idle").when(col("first_seen_date") >= F.lit(window[0]), "new").when(col("then"), "retained").otherwise("reactivated")
+    return people.select("user_email", cohort.alias("cohort"))
 
 
 def off_roster(days: DataFrame, roster: DataFrame, events: DataFrame) -> DataFrame:
@@ -119,13 +117,26 @@ def off_roster(days: DataFrame, roster: DataFrame, events: DataFrame) -> DataFra
     return off.crossJoin(events.agg(F.count_if(col("user_email").isNull()).alias("unattributed_events")))  # one row each
 
 
-def by_period(daily: DataFrame, period: str, anchor: datetime.date) -> DataFrame:
-    """Actives and delivery per week or month; a period that the anchor cuts is NULL."""
-    start = F.date_trunc(period, "activity_date").cast("date")
-    g = daily.groupBy(start.alias("period_start")).agg(F.count_distinct(F.when(col("user_email") != UNKNOWN, col("user_email"))).alias("actives"), F.sum("commits").alias("commits"), F.sum("prompts").alias("prompts"))
+def roster_mismatch(users: DataFrame, current: DataFrame, as_of: datetime.date) -> DataFrame:
+    """Addresses, the unknown one too, first seen by ``as_of`` that hold no current seat themselves; one linked to another's seat is among them."""
+    known = users.where(col("first_seen_date") <= F.lit(as_of))
+    seats = current.select("user_email").distinct().withColumn("_seat", F.lit(True))
+    return known.join(seats, "user_email", "left").agg(F.count_if(col("_seat").isNull() | (col("scope_email") != col("user_email"))).alias("roster_mismatches"))
+
+
+def by_period(daily: DataFrame, usage: DataFrame, period: str, anchor: datetime.date) -> DataFrame:
+    """Actives, delivery, tokens and ratios per active user by week or month; a period that the anchor cuts is NULL."""
+    start = F.date_trunc(period, "activity_date").cast("date").alias("period_start")
+    total = lambda *names: [F.sum(c).alias(c) for c in names]
+    g = daily.groupBy(start).agg(
+        F.count_distinct(F.when(col("user_email") != UNKNOWN, col("user_email"))).alias("actives"), *total("commits", "prs", "prompts"), F.sum(col("loc_added") + col("loc_removed")).alias("loc")
+    )
+    t = usage.groupBy(start).agg(*total("input_tokens", "output_tokens"))
+    g = g.join(t, "period_start", "full")
+    g = g.withColumns({f"{c}_per_user": ratio(col(c), col("actives")) for c in ("commits", "prs", "loc")})
     end = F.date_sub(F.add_months("period_start", 1), 1) if period == "month" else F.date_add("period_start", 6)
     whole = end <= F.lit(anchor)
-    return g.select("period_start", *[F.when(whole, col(c)).alias(c) for c in ("actives", "commits", "prompts")])
+    return g.select("period_start", *[F.when(whole, col(c)).alias(c) for c in g.columns if c != "period_start"])
 
 
 def over_previous(periods: DataFrame, value: str, *, months: int = 0, days: int = 0) -> DataFrame:
@@ -135,19 +146,29 @@ def over_previous(periods: DataFrame, value: str, *, months: int = 0, days: int
     return periods.select("period_start", value).join(before, "period_start", "left").withColumn("change", ratio(col(value) - col("previous"), col("previous")))
 
 
-def capability_use(bridge: DataFrame, sessions: DataFrame, name: str) -> DataFrame:
-    """How many sessions and users use one kind of extension."""
-    used = bridge.select("session_id").distinct()
-    s = sessions.join(used.withColumn("u", F.lit(1)), "session_id", "left")
+def capability_use(bridge: DataFrame, sessions: DataFrame, name: str, amount: str) -> DataFrame:
+    """How many sessions and users use one kind of extension, and how often in all: the sum of the bridge's ``amount``.
+
+    The intensities of several bridges stack: each is a row of its own under its capability.
+    """
+    used = bridge.groupBy("session_id").agg(F.sum(amount).alias("u"))
+    s = sessions.join(used, "session_id", "left")
     n = F.count("u")
-    return s.agg(F.lit(name).alias("capability"), n.alias("sessions_using"), ratio(100 * n, F.count("*")).alias("sessions_pct"), F.count_distinct(F.when(col("u") == 1, col("user_email"))).alias("users_using"))
+    one = s.agg(F.lit(name).alias("capability"), n.alias("sessions_using"), ratio(100 * n, F.count("*")).alias("sessions_pct"), F.count_distinct(F.when(col("u").isNotNull(), col("user_email"))).alias("users_using"))
+    return one.crossJoin(used.agg(F.coalesce(F.sum("u"), F.lit(0)).alias("intensity")))  # one row each
+
 
+def seat_value(current: DataFrame, users: DataFrame, usage: DataFrame, prices: dict[str, float], window: Window, *, standard: float) -> DataFrame:
+    """Monthly cost of the instrumented seats by tier (others at ``standard``), prorated by days / 30, against the value consumed.
 
-def seat_value(current: DataFrame, usage: DataFrame, prices: dict[str, float], days: int) -> DataFrame:
-    """Cost of current seats by tier, prorated by days / 30, against the value consumed."""
-    price = F.coalesce(*[F.when(col("seat_tier") == t, F.lit(p)) for t, p in prices.items()], F.lit(0.0))
-    cost = current.agg((F.sum(price) * days / 30).alias("seat_cost"))
-    return cost.crossJoin(usage.agg(F.sum("cost_usd").alias("value"))).withColumn("value_ratio", ratio(col("value"), col("seat_cost")))  # one row each
+    A seat is instrumented if its holder was first seen by the window's end.
+    """
+    days = (window[1] - window[0]).days + 1
+    seen = users.where(col("first_seen_date") <= F.lit(window[1])).select("user_email").distinct()
+    price = F.coalesce(*[F.when(col("seat_tier") == t, F.lit(p)) for t, p in prices.items()], F.lit(standard))
+    cost = current.join(seen, "user_email", "left_semi").agg(F.count("*").alias("instrumented_seats"), F.coalesce(F.sum(price), F.lit(0.0)).alias("monthly_cost"))
+    value = within(usage, window).agg(F.sum("cost_usd").alias("value"))
+    return cost.crossJoin(value).withColumn("seat_cost", col("monthly_cost") * days / 30).withColumn("value_ratio", ratio(col("value"), col("seat_cost")))  # one row each
 
 
 def period_over_period(measure: Callable[[Window], DataFrame], window: Window, kinds: dict[str, str]) -> DataFrame:
@@ -162,10 +183,15 @@ def period_over_period(measure: Callable[[Window], DataFrame], window: Window, k
     return both.select(*now.columns, *[c for c in both.columns if c.startswith("prior_")], *[change[k](col(c), col(f"prior_{c}")).alias(f"change_{c}") for c, k in kinds.items()])
 
 
-def freshness(signals: DataFrame, now: datetime.datetime) -> DataFrame:
-    """Hours since the last signal with a status by 24 and 168 hours."""
+def freshness(signals: DataFrame, refreshes: DataFrame, calendar: DataFrame, now: datetime.datetime) -> DataFrame:
+    """Hours since the last signal with a status by 24 and 168 hours, the last refresh of any mart, and the days that the calendar trails ``now``.
+
+    ``refreshes``: the log (finished_at); ``calendar``: (date).
+    """
     hours = (F.lit(int(now.replace(tzinfo=datetime.UTC).timestamp() * 1e6)) - F.unix_micros(F.max("t"))) / 3.6e9
-    return signals.agg(F.max("t").alias("last_signal"), hours.alias("hours")).withColumn("status", F.when(col("hours").isNull(), "None").when(col("hours") <= 24, "Fresh").when(col("hours") <= 168, "Late").otherwise("Stale"))
+    last = signals.agg(F.max("t").alias("last_signal"), hours.alias("hours")).withColumn("status", F.when(col("hours").isNull(), "None").when(col("hours") <= 24, "Fresh").when(col("hours") <= 168, "Late").otherwise("Stale"))
+    last = last.crossJoin(refreshes.agg(F.max("finished_at").alias("last_refresh")))  # one row each
+    return last.crossJoin(calendar.agg(F.datediff(F.lit(now.date()), F.max("date")).alias("calendar_lag_days")))
 
 
 def user_page(daily: DataFrame, usage: DataFrame, decisions: DataFrame, users: DataFrame) -> DataFrame:
@@ -178,11 +204,13 @@ def user_page(daily: DataFrame, usage: DataFrame, decisions: DataFrame, users: D
     return users.select("user_email", "first_seen_date", "last_seen_date").join(d, "user_email", "left").join(u, "user_email", "left").join(c, "user_email", "left")
 
 
-def session_drill(sessions: DataFrame, usage: DataFrame, bridges: dict[str, tuple[DataFrame, str]]) -> DataFrame:
-    """One row per session with tokens, requests, cost and sorted lists of what it used."""
+def session_drill(sessions: DataFrame, usage: DataFrame, decisions: DataFrame, bridges: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """One row per session with tokens, requests, cost, acceptance and sorted lists of what it used."""
     names = lambda df, c, out: df.where(col(c).isNotNull()).groupBy("session_id").agg(F.sort_array(F.collect_set(c)).alias(out))
     u = usage.groupBy("session_id").agg(F.sum(col("input_tokens") + col("output_tokens")).alias("tokens"), F.sum("request_count").alias("requests"), F.sum("cost_usd").alias("cost_usd"))
-    out = sessions.select("session_id", "user_email", "started_at", "duration_s").join(u, "session_id", "left").join(names(usage, "model", "models"), "session_id", "left")
+    d = decisions.groupBy("session_id").agg(ratio(F.sum(F.when(col("decision") == "accept", col("decisions"))), F.sum("decisions")).alias("acceptance_rate"))
+    out = sessions.select("session_id", "user_email", "started_at", "duration_s").join(u, "session_id", "left").join(d, "session_id", "left")
+    out = out.join(names(usage, "model", "models"), "session_id", "left").join(names(usage, "effort", "efforts"), "session_id", "left")
     for name, (df, c) in bridges.items():
         out = out.join(names(df, c, name), "session_id", "left")
     return out
@@ -191,3 +219,8 @@ def session_drill(sessions: DataFrame, usage: DataFrame, bridges: dict[str, tupl
 def held_longest(current: DataFrame, days: DataFrame, as_of: datetime.date) -> DataFrame:
     """Seats never tracked, longest held first, with the days since they opened."""
     return current.join(days.select("user_email"), "user_email", "left_anti").withColumn("days_held", F.datediff(F.lit(as_of), "held_since")).orderBy(col("days_held").desc(), "user_email")
+
+
+def oldest_held(current: DataFrame, as_of: datetime.date, *by: str) -> DataFrame:
+    """Per group the days since its oldest seat opened, and how many seats it has."""
+    return current.groupBy(*by).agg(F.datediff(F.lit(as_of), F.min("held_since")).alias("days_held"), F.count("*").alias("seats"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from loamline.functions import columns as C
@@ -189,66 +190,81 @@ def hour_profile(hourly: DataFrame) -> DataFrame:
 
 
 def bridge_agent(events: DataFrame) -> DataFrame:
-    named = events.where(col("session_id").isNotNull() & col("agent_name").isNotNull() & col("event_name").isin("api_request", "subagent_completed"))
+    """Invocations know an agent by its name, completions by its type; both meet under one name."""
     done = col("event_name") == "subagent_completed"
-    return named.groupBy("session_id", "agent_name").agg(
+    rows = events.where(col("session_id").isNotNull() & col("event_name").isin("api_request", "subagent_completed"))
+    rows = rows.withColumn("agent_name", F.when(done, col("agent_type")).otherwise(col("agent_name"))).where(col("agent_name").isNotNull())
+    return rows.groupBy("session_id", "agent_name").agg(
         F.count_if(~done).alias("invocations"), F.count_if(done).alias("completions"), F.count_if(done & col("subagent_is_async")).alias("async_completions"),
         F.coalesce(F.sum(F.when(done, col("subagent_tool_uses"))), F.lit(0)).alias("tool_uses"), F.coalesce(F.sum(F.when(done, col("subagent_total_tokens"))), F.lit(0)).alias("total_tokens"),
     )
 
 
 def bridge_hook(events: DataFrame) -> DataFrame:
-    rows = events.where((col("event_name") == "hook_execution") & col("session_id").isNotNull())
+    rows = events.where((col("event_name") == "hook_execution") & col("session_id").isNotNull() & col("hook_name").isNotNull())
     return rows.groupBy("session_id", "hook_name", F.coalesce("hook_event", F.lit("unknown")).alias("hook_event")).agg(
         F.count("*").alias("executions"), *[F.sum(c).alias(c) for c in ("total_duration_ms", "num_hooks", "num_success")]
     )
 
 
 def bridge_server(events: DataFrame) -> DataFrame:
-    """Connections by server full-joined with tool calls, which know the server by its slug only."""
-    links = events.where((col("event_name") == "server_connection") & col("session_id").isNotNull() & col("server_name").isNotNull())
-    conn = links.groupBy("session_id", "server_name").agg(
-        F.count("*").alias("connections"), F.count_if(col("server_status") == "failed").alias("failures"), C.latest(col("transport"), col("event_time")).alias("transport")
-    )
-    slugs = links.select("session_id", "server_name", C.slug(col("server_name")).alias("server_slug")).distinct()
-    calls = events.where((col("event_name") == "tool_result") & col("session_id").isNotNull()).select("session_id", "server_slug")
-    used = calls.join(slugs, ["session_id", "server_slug"]).groupBy("session_id", "server_name").agg(F.count("*").alias("calls"))
+    """Connections by server full-joined with requests, which know the server by its slug only.
+
+    A slug is that of any session's server: a session may call a server without a connection of its own. Calls are
+    counted by session and slug before they meet the names.
+    """
+    links = events.where((col("event_name") == "server_connection") & col("server_name").isNotNull())
+    conn = links.where(col("session_id").isNotNull()).groupBy("session_id", "server_name").agg(
+        F.count("*").alias("connections"), F.count_if(col("server_status") == "failed").alias("failures"), C.latest(col("transport"), col("event_time")).alias("transport"),
+        C.latest(col("server_scope"), col("event_time")).alias("server_scope"),
+    )
+    names = links.select("server_name", C.slug(col("server_name")).alias("server_slug")).distinct()
+    calls = events.where((col("event_name") == "api_request") & col("session_id").isNotNull() & col("server_slug").isNotNull())
+    calls = calls.groupBy("session_id", "server_slug").agg(F.count("*").alias("calls"))
+    used = calls.join(names, "server_slug").select("session_id", "server_name", "calls")
     zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
-    return conn.join(used, ["session_id", "server_name"], "full").select("session_id", "server_name", zero("connections"), zero("failures"), "transport", zero("calls"))
+    return conn.join(used, ["session_id", "server_name"], "full").select("session_id", "server_name", zero("connections"), zero("failures"), "transport", "server_scope", zero("calls"))
 
 
 def bridge_plugin(events: DataFrame) -> DataFrame:
-    rows = events.where((col("event_name") == "plugin_loaded") & col("session_id").isNotNull())
-    return rows.groupBy("session_id", "plugin_name", "plugin_scope", "plugin_version").agg(F.count("*").alias("loads"))
+    rows = events.where((col("event_name") == "plugin_loaded") & col("session_id").isNotNull() & col("plugin_name").isNotNull())
+    known = lambda c: F.coalesce(c, F.lit("unknown")).alias(c)
+    return rows.groupBy("session_id", "plugin_name", known("plugin_scope"), known("plugin_version"), known("marketplace_name")).agg(F.count("*").alias("loads"))
 
 
 def bridge_skill(events: DataFrame) -> DataFrame:
-    """Activations of two event kinds; the latest source comes from one of them."""
+    """Activations of two event kinds; the latest source and trigger come from one of them."""
     rows = events.where(col("event_name").isin("skill_activated", "api_request") & col("session_id").isNotNull() & col("skill_name").isNotNull())
-    own = F.when(col("event_name") == "skill_activated", col("skill_source"))
-    return rows.groupBy("session_id", "skill_name").agg(F.count("*").alias("activations"), C.latest(own, col("event_time")).alias("skill_source"))
+    own = lambda c: C.latest(F.when(col("event_name") == "skill_activated", col(c)), col("event_time")).alias(c)
+    return rows.groupBy("session_id", "skill_name").agg(F.count("*").alias("activations"), own("skill_source"), own("skill_trigger"))
 
 
 # --- refresh ---------------------------------------------------------------------------------
 
 
 def registry(events: DataFrame, metrics: DataFrame, utilization: DataFrame) -> dict[str, DataFrame]:
-    """Marts by name, each lazy."""
+    """Facts, bridges and the model dimension by name, each lazy; dimensions of people and seats come from their own operators."""
     segments = utilization_segments(utilization)
     return {
         "fact_session": fact_session(events, metrics), "fact_session_daily": fact_session_daily(events, metrics), "fact_api_usage": fact_api_usage(events),
         "fact_edit_decision": fact_edit_decision(metrics), "fact_tool_outcome": fact_tool_outcome(events), "fact_api_error_rate": fact_api_error_rate(events),
-        "fact_usage_window": fact_usage_window(segments), "bridge_agent": bridge_agent(events), "bridge_hook": bridge_hook(events), "bridge_server": bridge_server(events),
-        "bridge_plugin": bridge_plugin(events), "bridge_skill": bridge_skill(events), "dim_model": dim_model(events, metrics),
+        "fact_usage_window": fact_usage_window(segments), "fact_utilization_hourly": utilization_hourly(segments), "bridge_agent": bridge_agent(events), "bridge_hook": bridge_hook(events),
+        "bridge_server": bridge_server(events), "bridge_plugin": bridge_plugin(events), "bridge_skill": bridge_skill(events), "dim_model": dim_model(events, metrics),
     }
 
 
-def refresh_all(marts: dict[str, DataFrame], root: str) -> DataFrame:
-    """Write every mart under ``root`` and return (mart, row_count, started_at, finished_at), one row each."""
-    log, spark = [], None
-    for name, df in sorted(marts.items()):
-        spark = df.sparkSession
-        begun = datetime.datetime.now(datetime.UTC)
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-        log.append((name, spark.read.parquet(f"{root}/{name}").count(), begun, datetime.datetime.now(datetime.UTC)))
+def refresh_all(marts: dict[str, DataFrame], root: str, *, at_once: int = 4) -> DataFrame:
+    """Write every mart under ``root`` and return (mart, row_count, started_at, finished_at), one row each.
+
+    Marts do not read one another, so ``at_once`` of them are written at a time; rows are counted as they are written.
+    """
+
+    def write(name: str) -> tuple[str, int, datetime.datetime, datetime.datetime]:
+        begun, seen = datetime.datetime.now(datetime.UTC), Observation()
+        marts[name].observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(f"{root}/{name}")
+        return name, seen.get["n"], begun, datetime.datetime.now(datetime.UTC)
+
+    with ThreadPoolExecutor(at_once) as pool:
+        log = list(pool.map(write, sorted(marts)))
+    spark = next(iter(marts.values())).sparkSession
     return spark.createDataFrame(log, "mart string, row_count long, started_at timestamp, finished_at timestamp")

@@ -6,8 +6,11 @@ objects stay JSON text. Maps need spark.sql.mapKeyDedupPolicy=LAST_WIN: the last
 
 from __future__ import annotations
 
+import json as jsonlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +21,8 @@ col = F.col
 VALUE = "struct<stringValue:string,intValue:string,doubleValue:double,boolValue:boolean,arrayValue:string,kvlistValue:string>"
 ATTRS = f"array<struct<key:string,value:{VALUE}>>"
 POINT = f"struct<timeUnixNano:string,asDouble:double,asInt:string,sum:double,count:string,attributes:{ATTRS}>"
-METRIC = f"struct<name:string,unit:string,gauge:struct<dataPoints:array<{POINT}>>,sum:struct<aggregationTemporality:string,dataPoints:array<{POINT}>>,histogram:struct<aggregationTemporality:string,dataPoints:array<{POINT}>>>"
+OTHER = f"struct<dataPoints:array<struct<attributes:{ATTRS}>>>"
+METRIC = f"struct<name:string,unit:string,gauge:struct<dataPoints:array<{POINT}>>,sum:struct<aggregationTemporality:string,dataPoints:array<{POINT}>>,histogram:struct<aggregationTemporality:string,dataPoints:array<{POINT}>>,exponentialHistogram:{OTHER},summary:{OTHER}>"
 SCOPE = "struct<name:string,version:string>"
 RESOURCE = f"struct<attributes:{ATTRS}>"
 METRICS = f"resourceMetrics array<struct<resource:{RESOURCE},scopeMetrics:array<struct<scope:{SCOPE},metrics:array<{METRIC}>>>>>"
@@ -41,6 +45,20 @@ class Entry:
     partner: str = ""
 
 
+@dataclass(frozen=True)
+class Derived:
+    """A column that the first of several attributes fills that is there and is not empty, 0 or false."""
+
+    signal: str
+    column: str
+    paths: tuple[str, ...]
+    kind: str = "string"
+
+
+#: Own attributes come before those of resources.
+DERIVED = (Derived("logs", "family", ("prompt.text", "model", "service")), Derived("metrics", "family", ("tool",)), Derived("resource", "family", ("os.type",)))
+
+
 #: Decisions for the attributes that the payload adapter writes.
 CATALOGUE = (
     Entry("metrics", "k", "promoted", "k", "int"), Entry("metrics", "tool", "promoted", "tool_name"), Entry("metrics", "event.id", "promoted", "event_id", "bigint"),
@@ -106,11 +124,19 @@ def event_name(attrs: Column, name: Column, prefix: str) -> Column:
     return F.regexp_replace(F.coalesce(F.element_at(attrs, "event.name"), name), "^" + prefix.replace(".", r"\."), "")
 
 
-def promote(rows: DataFrame, catalogue: tuple[Entry, ...], signal: str) -> DataFrame:
-    """Promoted attributes of a signal and of resources as typed columns; a value that does not fit is NULL."""
+def promote(rows: DataFrame, catalogue: tuple[Entry, ...], signal: str, derived: tuple[Derived, ...] = ()) -> DataFrame:
+    """Promoted attributes of a signal and of resources as typed columns, then derived ones; a value that does not fit is NULL.
+
+    The sources of a derived column are the signal's own in order, then those of resources.
+    """
     own = [e for e in catalogue if e.status == "promoted" and e.signal in (signal, "resource")]
-    typed = lambda e: C.to_bool(F.element_at("attrs", e.path)) if e.kind == "boolean" else F.element_at("attrs", e.path).try_cast(e.kind)
-    out = rows.withColumns({e.column: typed(e) for e in own})
+    typed = lambda v, kind: C.to_bool(v) if kind == "boolean" else v.try_cast(kind)
+    out = rows.withColumns({e.column: typed(F.element_at("attrs", e.path), e.kind) for e in own})
+    found: dict[str, tuple[str, list[str]]] = {}
+    for d in sorted((d for d in derived if d.signal in (signal, "resource")), key=lambda d: d.signal == "resource"):
+        found.setdefault(d.column, (d.kind, []))[1].extend(d.paths)
+    if found:
+        out = out.withColumns({c: typed(C.first_truthy(col("attrs"), list(dict.fromkeys(paths))), kind) for c, (kind, paths) in found.items()})
     return out.withColumn("user_email", C.normalize_email(col("user_email"))) if any(e.column == "user_email" for e in own) else out
 
 
@@ -133,23 +159,34 @@ def rate_limit_points(rows: DataFrame, snapshot: str, at: str) -> DataFrame:
     return out.where(col("value").isNotNull())
 
 
-def records(metrics: DataFrame, logs: DataFrame) -> DataFrame:
-    """(payload_id, signal, name, attrs) of resource blocks, data points and log records alike."""
-    keep = ["payload_id"]
-    resources = None
-    for df, signal in ((metrics, "metrics"), (logs, "logs")):
-        block = "p.resourceMetrics" if signal == "metrics" else "p.resourceLogs"
-        one = decode(df, signal).select(*keep, F.explode(block).alias("r")).select(*keep, F.lit("resource").alias("signal"), F.lit(signal).alias("name"), flatten_attrs(col("r.resource.attributes")).alias("attrs"))
-        resources = one if resources is None else resources.unionByName(one)
-    points = explode_metrics(metrics).select(*keep, F.lit("metrics").alias("signal"), col("metric_name").alias("name"), col("own").alias("attrs"), col("resource"))
-    lines = explode_logs(logs).select(*keep, F.lit("logs").alias("signal"), F.coalesce("event_name", F.lit("∅")).alias("name"), col("own").alias("attrs"), col("resource"))
-    none = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>"))
-    return resources.withColumn("resource", none).unionByName(points).unionByName(lines)
+NONE = "array<struct<signal:string,name:string,attributes:" + ATTRS + ">>"
 
 
-def all_attrs(recs: DataFrame) -> DataFrame:
-    """(payload_id, signal, name, path, value) of every attribute."""
-    return recs.select("payload_id", "signal", "name", F.explode("attrs").alias("path", "value"))
+def records(metrics: DataFrame, logs: DataFrame) -> DataFrame:
+    """(payload_id, signal, name, attrs, resource) of resource blocks (named *), data points of all five kinds and log records alike.
+
+    Points of a metric without a name are left out; a record without a name is called ∅. A payload is decoded once.
+    """
+    out = None
+    for df, signal in ((metrics, "metrics"), (logs, "logs")):
+        some = lambda a: F.coalesce(a, F.array().cast(NONE))
+        one = lambda signal, name, attrs: F.struct(F.lit(signal).alias("signal"), name.alias("name"), attrs.alias("attributes"))
+        if signal == "metrics":
+            kinds = ("gauge", "sum", "histogram", "exponentialHistogram", "summary")
+            points = lambda m: F.flatten(F.array(*[some(F.transform(m[k]["dataPoints"], lambda d: one("metrics", m["name"], d["attributes"]))) for k in kinds]))
+            inner = lambda s: F.flatten(F.transform(F.filter(s["metrics"], lambda m: m["name"].isNotNull()), points))
+        else:
+            inner = lambda s: F.transform(s["logRecords"], lambda x: one("logs", any_value(x["body"]), x["attributes"]))
+        r = decode(df, signal).select("payload_id", F.explode(f"p.resource{signal.title()}").alias("r"))
+        own = F.flatten(F.transform(f"r.scope{signal.title()}", lambda s: some(inner(s))))  # noqa: B023
+        listed = F.concat(F.array(one("resource", F.lit("*"), col("r.resource.attributes"))), some(own))
+        each = r.select("payload_id", flatten_attrs(col("r.resource.attributes")).alias("resource"), F.explode(listed).alias("x"))
+        each = each.select("payload_id", "x.signal", col("x.name").alias("name"), flatten_attrs(col("x.attributes")).alias("attrs"), "resource")
+        if signal == "logs":
+            named = F.coalesce(event_name(col("attrs"), col("name"), "app."), F.lit("∅"))
+            each = each.withColumn("name", F.when(col("signal") == "logs", named).otherwise(col("name")))
+        out = each if out is None else out.unionByName(each)
+    return out
 
 
 def key_paths(recs: DataFrame) -> DataFrame:
@@ -157,42 +194,105 @@ def key_paths(recs: DataFrame) -> DataFrame:
     return recs.select("payload_id", "signal", "name", F.explode(F.map_keys("attrs")).alias("path")).distinct()
 
 
-# --- redaction -------------------------------------------------------------------------------
+# --- whole trees ------------------------------------------------------------------------------
+# Attributes stand at any depth, under names that no schema lists. These helpers walk one payload's JSON inside an Arrow UDF.
+
+
+def _parsed(text: str | None) -> dict | list | None:
+    """The tree of a payload's text; None for what is no JSON."""
+    try:
+        return jsonlib.loads(text) if text else None
+    except ValueError:
+        return None
+
+
+def _nodes(tree: dict | list | None) -> Iterator[dict]:
+    """Every object of a tree, outer ones and earlier ones first, however deep."""
+    todo = [tree]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, dict):
+            yield x
+            todo.extend(reversed(x.values()))
+        elif isinstance(x, list):
+            todo.extend(reversed(x))
+
+
+def _display(value: object) -> str | None:
+    """A tagged value as text: string, integer, double or boolean in this order, else its JSON."""
+    if isinstance(value, dict):
+        tag = next((t for t in ("stringValue", "intValue", "doubleValue", "boolValue") if t in value), None)
+        value = value if tag is None else value[tag]
+    return value if isinstance(value, str) else jsonlib.dumps(value, ensure_ascii=False, separators=(",", ":"))
 
 
-def _without(attrs: Column, keys: list[str]) -> Column:
-    return F.filter(attrs, lambda a: ~a["key"].isin(*keys))
+def all_attrs(payloads: DataFrame) -> DataFrame:
+    """(payload_id, signal, path, value) of every key with a value anywhere in a payload: of resources, scopes, records and inside objects.
 
+    A text that is no JSON has none.
+    """
 
-def strip_denied(tree: Column, signal: str, denied: list[str]) -> Column:
-    """The typed tree without denied keys in any attribute list."""
-    clean = lambda x: _without(x, denied)
-    resource = lambda r: r.withField("resource", F.when(r["resource"].isNotNull(), r["resource"].withField("attributes", clean(r["resource"]["attributes"]))))
-    if signal == "logs":
-        record = lambda x: x.withField("attributes", clean(x["attributes"]))
-        scope = lambda s: s.withField("logRecords", F.transform(s["logRecords"], record))
-        return tree.withField("resourceLogs", F.transform(tree["resourceLogs"], lambda r: resource(r).withField("scopeLogs", F.transform(r["scopeLogs"], scope))))
-    point = lambda d: d.withField("attributes", clean(d["attributes"]))
-    kind = lambda m, k: F.when(m[k].isNotNull(), m[k].withField("dataPoints", F.transform(m[k]["dataPoints"], point)))
-    metric = lambda m: m.withField("gauge", kind(m, "gauge")).withField("sum", kind(m, "sum")).withField("histogram", kind(m, "histogram"))
-    scope = lambda s: s.withField("metrics", F.transform(s["metrics"], metric))
-    return tree.withField("resourceMetrics", F.transform(tree["resourceMetrics"], lambda r: resource(r).withField("scopeMetrics", F.transform(r["scopeMetrics"], scope))))
+    @F.arrow_udf("array<struct<path:string,value:string>>")
+    def walked(texts: pa.Array) -> pa.Array:
+        found = [[{"path": x["key"], "value": _display(x["value"])} for x in _nodes(_parsed(t)) if isinstance(x.get("key"), str) and "value" in x] for t in texts.to_pylist()]
+        return pa.array(found, pa.list_(pa.struct([("path", pa.string()), ("value", pa.string())])))
 
+    return payloads.select("payload_id", "signal", F.explode(walked("json")).alias("x")).select("payload_id", "signal", "x.path", "x.value")
 
-def content_leaks(tree: Column, content: list[str]) -> Column:
-    """Content attributes of log records that hold something: an empty string is none, any typed value is."""
-    filled = lambda a: a["key"].isin(*content) & any_value(a["value"]).isNotNull() & F.coalesce(a["value"]["stringValue"] != "", F.lit(True))
-    flat = F.flatten(F.transform(F.flatten(F.transform(tree["resourceLogs"], lambda r: r["scopeLogs"])), lambda s: s["logRecords"]))
-    return F.aggregate(F.transform(flat, lambda x: F.size(F.filter(F.coalesce(x["attributes"], F.array().cast(ATTRS)), filled))), F.lit(0), lambda a, n: a + n)
+
+# --- redaction -------------------------------------------------------------------------------
+
+
+def _holds(value: object) -> bool:
+    """Whether a tagged value says something: an empty string does not, any other tag does."""
+    if not isinstance(value, dict):
+        return False
+    if value.get("stringValue") is not None:
+        return value["stringValue"] != ""
+    return any(t in value for t in ("intValue", "doubleValue", "boolValue", "arrayValue", "kvlistValue"))
+
+
+def _items(node: object, key: str) -> list[dict]:
+    listed = node.get(key) if isinstance(node, dict) else None
+    return [x for x in listed if isinstance(x, dict)] if isinstance(listed, list) else []
+
+
+def _cleaned(text: str | None, denied: set[str], content: set[str]) -> tuple[str | None, int]:
+    """A payload's text without denied keys in any list of attributes and without content keys in log records, and how many of those held something."""
+    tree = _parsed(text)
+    if tree is None:
+        return None, 0
+    leaks, gone = 0, False
+    for node in _nodes(tree):
+        listed = node.get("attributes")
+        if isinstance(listed, list):
+            kept = [a for a in listed if not (isinstance(a, dict) and a.get("key") in denied)]
+            gone |= len(kept) < len(listed)
+            node["attributes"] = kept
+    for record in (x for r in _items(tree, "resourceLogs") for s in _items(r, "scopeLogs") for x in _items(s, "logRecords")):
+        listed = record.get("attributes")
+        if isinstance(listed, list):
+            out = [a for a in listed if isinstance(a, dict) and a.get("key") in content]
+            leaks += sum(_holds(a.get("value")) for a in out)
+            gone |= bool(out)
+            record["attributes"] = [a for a in listed if a not in out]
+    return (jsonlib.dumps(tree, ensure_ascii=False, separators=(",", ":")) if gone else text), leaks
 
 
 def redact(payloads: DataFrame, signal: str, denied: list[str], content: list[str]) -> DataFrame:
-    """``payloads`` with redacted ``json`` and, for logs, the count of content values that had to go."""
-    df = decode(payloads, signal)
-    leaks = F.coalesce(content_leaks(col("p"), content), F.lit(0)) if signal == "logs" else F.lit(0)
-    df = df.withColumn("gate_leaks", leaks)
-    gone = denied + (content if signal == "logs" else [])
-    return df.withColumn("json", F.to_json(strip_denied(col("p"), signal, gone))).drop("p")
+    """``payloads`` with redacted ``json`` and ``gate_leaks``, the content values that had to go.
+
+    Only the denied attributes go: all other fields stay as they are, known or not, and a payload with nothing to
+    deny keeps its very text. A text that is no JSON becomes NULL, since nothing tells what it holds.
+    """
+    at_gate = set(content) if signal == "logs" else set()
+
+    @F.arrow_udf("struct<json:string,gate_leaks:bigint>")
+    def clean(texts: pa.Array) -> pa.Array:
+        done = [_cleaned(t, set(denied), at_gate) for t in texts.to_pylist()]
+        return pa.StructArray.from_arrays([pa.array([t for t, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], ["json", "gate_leaks"])
+
+    return payloads.withColumn("_clean", clean("json")).withColumns({"json": col("_clean.json"), "gate_leaks": col("_clean.gate_leaks")}).drop("_clean")
 
 
 def redaction_leaks(paths: DataFrame, catalogue: DataFrame) -> DataFrame:

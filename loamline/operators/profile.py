@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamline.operators.otlp import Entry
+from loamline.sources.shared import written
 
 col = F.col
 #: Cardinality is reported up to this number.
@@ -25,34 +26,49 @@ def path_fill(paths: DataFrame) -> DataFrame:
     return paths.groupBy("signal", "path").agg(F.count_distinct("payload_id").alias("payloads"))
 
 
+def top_of(values: DataFrame, keys: list[str], k: int, *, parts: int = 64) -> DataFrame:
+    """Of (keys, value, n) the k most frequent values of each key with their ``rank``; ties by value.
+
+    A key may have as many values as there are rows, so its head is found in ``parts`` first: no task sees all values of a key.
+    """
+    order = [col("n").desc(), col("value")]
+    heads = values.withColumn("_part", F.pmod(F.xxhash64("value"), F.lit(parts)))
+    heads = heads.withColumn("rank", F.row_number().over(Window.partitionBy(*keys, "_part").orderBy(*order))).where(col("rank") <= k)
+    return heads.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(col("rank") <= k).drop("_part")
+
+
 def value_samples(attrs: DataFrame, *, top: int = 5) -> DataFrame:
     """The most frequent values of each path with the path's cardinality; ties by value."""
-    n = attrs.groupBy("signal", "path", "value").agg(F.count("*").alias("n"))
-    by = Window.partitionBy("signal", "path")
-    ranked = n.withColumns({"cardinality": F.count("*").over(by), "rank": F.row_number().over(by.orderBy(col("n").desc(), "value"))})
-    return ranked.where(col("rank") <= top)
+    keys = ["signal", "path"]
+    n = written(attrs.groupBy(*keys, "value").agg(F.count("*").alias("n")), "values")
+    return top_of(n, keys, top).join(n.groupBy(*keys).agg(F.count("*").alias("cardinality")), keys)
 
 
 def record_profile(recs: DataFrame, *, session: str = "session.id", seat: str = "user.email") -> DataFrame:
-    """Per signal, name and path: records, sessions, seats, capped cardinality, top three, share of the name's records."""
-    who = F.coalesce(F.element_at("resource", session), F.element_at("attrs", session)), F.coalesce(F.element_at("resource", seat), F.element_at("attrs", seat))
-    population = recs.groupBy("signal", "name").agg(F.count("*").alias("population"))
-    flat = recs.select("signal", "name", who[0].alias("session"), who[1].alias("seat"), F.explode("attrs").alias("path", "value"))
+    """Per signal, name and path: records, sessions, seats, capped cardinality, top three, share of the name's records.
+
+    Records are decoded once, into a table that the counts read.
+    """
+    either = lambda key: F.coalesce(F.element_at("resource", key), F.element_at("attrs", key))
+    rows = written(recs.select("signal", "name", either(session).alias("session"), either(seat).alias("seat"), "attrs"), "records")
+    population = rows.groupBy("signal", "name").agg(F.count("*").alias("population"))
+    flat = rows.select("signal", "name", "session", "seat", F.explode("attrs").alias("path", "value"))
     keys = ["signal", "name", "path"]
     basic = flat.groupBy(*keys).agg(F.count("*").alias("records"), F.count_distinct("session").alias("sessions"), F.count_distinct("seat").alias("seats"))
     # values first, so that a path with few values and many records is counted in parts
-    values = flat.groupBy(*keys, "value").agg(F.count("*").alias("n"))
-    ranked = values.withColumns({"c": F.count("*").over(Window.partitionBy(*keys)), "r": F.row_number().over(Window.partitionBy(*keys).orderBy(col("n").desc(), "value"))})
-    top = ranked.where("r <= 3").groupBy(*keys, F.least("c", F.lit(CAP)).alias("cardinality")).agg(F.array_sort(F.collect_list(F.struct("r", "value"))).alias("t"))
-    out = basic.join(top, keys).join(F.broadcast(population), ["signal", "name"])
+    values = written(flat.groupBy(*keys, "value").agg(F.count("*").alias("n")), "values")
+    sizes = values.groupBy(*keys).agg(F.least(F.count("*"), F.lit(CAP)).alias("cardinality"))
+    top = top_of(values, keys, 3).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("rank", "value"))).alias("t"))
+    out = basic.join(sizes, keys).join(top, keys).join(population, ["signal", "name"])
     return out.select(*keys, "records", "sessions", "seats", "cardinality", F.concat_ws(",", F.transform("t", lambda x: x["value"])).alias("top3"), (col("records") / col("population")).alias("share"))
 
 
 def seat_reach(recs: DataFrame, *, most_values: int = 25, seat: str = "user.email") -> DataFrame:
     """Seats per value for paths of few values."""
-    flat = recs.select("signal", "path_seat", F.explode("attrs").alias("path", "value")) if "path_seat" in recs.columns else recs.select("signal", F.element_at("resource", seat).alias("path_seat"), F.explode("attrs").alias("path", "value"))
-    g = flat.groupBy("signal", "path", "value").agg(F.count_distinct("path_seat").alias("seats"))
-    return g.withColumn("_c", F.count("*").over(Window.partitionBy("signal", "path"))).where(col("_c") <= most_values).drop("_c")
+    flat = recs.select("signal", F.coalesce(F.element_at("resource", seat), F.element_at("attrs", seat)).alias("seat"), F.explode("attrs").alias("path", "value"))
+    g = written(flat.groupBy("signal", "path", "value").agg(F.count_distinct("seat").alias("seats")), "reach")
+    few = g.groupBy("signal", "path").agg(F.count("*").alias("n")).where(col("n") <= most_values)
+    return g.join(few, ["signal", "path"], "left_semi")
 
 
 def with_status(paths: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -105,16 +121,12 @@ def drift_thin(recs: DataFrame, catalogue: DataFrame, *, share: float = 0.5, lea
     return reach.crossJoin(total).where((col("total") >= least_seats) & (col("seats") >= share * col("total")))  # one row
 
 
-def column_profile(df: DataFrame, columns: list[str], *, at_once: int = 20) -> DataFrame:
-    """(column, non_null_pct, distinct, unique_pct) in one scan for every ``at_once`` columns."""
-    out = None
-    for at in range(0, len(columns), at_once):
-        part = columns[at : at + at_once]
-        row = df.agg(F.count("*").alias("n"), *[x for i, c in enumerate(part) for x in (F.count(c).alias(f"f{i}"), F.count_distinct(c).alias(f"d{i}"))])
-        each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), col(f"f{i}").alias("filled"), col(f"d{i}").alias("distinct")) for i, c in enumerate(part)]))
-        one = row.select("n", each.alias("x")).select("x.column", F.round(100 * col("x.filled") / col("n"), 4).alias("non_null_pct"), col("x.distinct").alias("distinct"), F.round(100 * F.try_divide(col("x.distinct"), col("x.filled")), 4).alias("unique_pct"))
-        out = one if out is None else out.unionByName(one)
-    return out
+def column_profile(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, non_null_pct, distinct, unique_pct) in one scan: each column's values are counted in parts, then put together."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), col(f"`{c}`").cast("string").alias("value")) for c in columns]))
+    values = df.select(each.alias("x")).groupBy("x.column", "x.value").agg(F.count("*").alias("n"))
+    g = values.groupBy("column").agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.when(col("value").isNotNull(), col("n"))), F.lit(0)).alias("filled"), F.count("value").alias("distinct"))
+    return g.select("column", F.round(100 * col("filled") / col("n"), 4).alias("non_null_pct"), "distinct", F.round(100 * F.try_divide("distinct", "filled"), 4).alias("unique_pct"))
 
 
 def signal_profile(df: DataFrame, name: str, time: str) -> DataFrame:

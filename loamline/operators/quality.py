@@ -7,7 +7,7 @@ import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamline.functions.columns import is_corporate, latest
+from loamline.functions.columns import email_bucket, is_corporate, latest
 from loamline.operators.marts import counter_delta
 
 col = F.col
@@ -106,9 +106,16 @@ def owner_mismatch(events: DataFrame, metrics: DataFrame) -> DataFrame:
 
 
 def config_convergence(events: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Whether each user's latest process stamp is the latest one on disk; NULL while either is missing."""
+    """Whether each user's latest process stamp is the latest one on disk, with when each was seen; NULL while either is missing.
+
+    Signals without an address share the unknown bucket.
+    """
     s = events.select("user_email", col("event_time").alias("t"), "stamp", "disk_stamp").unionAll(metrics.select("user_email", "ts", "stamp", "disk_stamp"))
-    g = s.where(col("user_email").isNotNull()).groupBy("user_email").agg(latest(col("stamp"), col("t")).alias("stamp"), latest(col("disk_stamp"), col("t")).alias("disk_stamp"), F.max("t").alias("last_seen"))
+    when = lambda c: F.max(F.when(col(c).isNotNull(), col("t")))
+    g = s.groupBy(email_bucket(col("user_email")).alias("user_email"), col("user_email").isNull().alias("is_unknown")).agg(
+        F.max("t").alias("last_seen"), F.max("t").cast("date").alias("last_seen_date"), latest(col("stamp"), col("t")).alias("stamp"), when("stamp").alias("stamp_seen_at"),
+        latest(col("disk_stamp"), col("t")).alias("disk_stamp"), when("disk_stamp").alias("disk_stamp_seen_at"),
+    )
     return g.withColumn("is_converged", col("stamp") == col("disk_stamp"))
 
 

@@ -6,11 +6,16 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from loamline.operators import marts, otlp, profile, reconcile
-from loamline.plans.base import frames, sql
+from loamline.operators import identity, marts, otlp, profile, quality, reconcile, seats
+from loamline.plans.base import AS_OF, frames, sql
 from loamline.plans.marts import QUERIES as MART_QUERIES
 from loamline.plans.marts import rounded
-from loamline.sources import adapters, payloads, reservoir
+from loamline.plans.quality import QUERIES as QUALITY_QUERIES
+from loamline.plans.quality import findings_log
+from loamline.plans.seats import LATE
+from loamline.plans.seats import QUERIES as SEAT_QUERIES
+from loamline.sources import payloads, reservoir
+from loamline.sources.shared import workspace
 from loamline.streaming import ingest
 
 E, M = "events", "metrics"
@@ -33,7 +38,7 @@ def _lines(e):
 
 @frames(M)
 def explode_metrics(m):
-    return _points(m).select("event_id", "metric_name", "metric_type", "value_kind", "ts", "value", "k", "tool_name", "user_email", "session_id")
+    return _points(m).select("event_id", "metric_name", "metric_type", "value_kind", "ts", "value", "count", "k", "tool_name", "user_email", "session_id").withColumn("count", F.coalesce("count", F.lit(-1)))
 
 
 @frames(E)
@@ -45,8 +50,8 @@ def explode_logs(e):
 def promote_typed(e):
     """Values that do not fit their column's type become NULL."""
     wrong = (otlp.Entry("logs", "event.id", "promoted", "event_id", "bigint"), otlp.Entry("logs", "model", "promoted", "model_number", "int"), otlp.Entry("logs", "k", "promoted", "k_number", "double"))
-    out = otlp.promote(otlp.explode_logs(payloads.log_payloads(e)), wrong, "logs")
-    return out.select("event_id", "k_number", col("model_number").isNull().alias("no_number"))
+    out = otlp.promote(otlp.explode_logs(payloads.log_payloads(e)), wrong, "logs", otlp.DERIVED)
+    return out.select("event_id", "k_number", col("model_number").isNull().alias("no_number"), "family")
 
 
 @frames(E)
@@ -65,7 +70,7 @@ def rate_limits(e):
 def batch_hashes(e):
     """Payloads written with their keys in another order are the same batch."""
     p = payloads.log_payloads(e).select("payload_id", "json")
-    turned = p.withColumn("json", F.regexp_replace("json", r'"scope":(\{[^{}]*\}),("logRecords":.*)\}\]\}\]\}$', r'$2,"scope":$1}]}]}'))
+    turned = p.withColumn("json", F.regexp_replace("json", r'^\{"resourceLogs":\[\{"schemaUrl":("[^"]*"),(.*)\}\]\}$', r'{"resourceLogs":[{$2,"schemaUrl":$1}]}'))
     h = otlp.batch_hash(col("json"))
     both = p.select("payload_id", h.alias("a")).join(turned.select("payload_id", h.alias("b"), col("json").alias("j")), "payload_id").join(p, "payload_id")
     return both.agg(F.count("*").alias("payloads"), F.count_distinct("a").alias("hashes"), F.count_if(col("a") == col("b")).alias("same"), F.count_if(col("json") != col("j")).alias("turned"))
@@ -75,27 +80,91 @@ def recs(e, m):
     return otlp.records(payloads.metric_payloads(m), payloads.log_payloads(e))
 
 
+def walked(e, m):
+    """Every attribute of both signals' payloads."""
+    return otlp.all_attrs(payloads.metric_payloads(m).unionByName(payloads.log_payloads(e)))
+
+
 @frames(E, M)
 def key_path_counts(e, m):
     return profile.path_fill(otlp.key_paths(recs(e, m)))
 
 
-#: Paths, records and payloads in SQL: one payload per user and day and signal.
-PAYLOAD = "concat('{s}-', user_id, '-', activity_date)"
-LOG_FLAT = "SELECT concat('l-', user_id, '-', activity_date) AS pid, * FROM e"
-MET_FLAT = "SELECT concat('m-', user_id, '-', activity_date) AS pid, * FROM m"
-FILLS = """SELECT 'metrics' AS signal, unnest(['k', 'tool', 'event.id']) AS path, count(DISTINCT pid) AS payloads FROM mf
-    UNION ALL SELECT 'logs', unnest(['k', 'event.id', 'success', 'cost', 'k5', 'service']), count(DISTINCT pid) FROM lf UNION ALL SELECT 'logs', 'prompt.text', count(DISTINCT pid) FROM lf WHERE k % 7 < 2 UNION ALL SELECT 'logs', 'model', count(DISTINCT pid) FROM lf WHERE model IS NOT NULL
-    UNION ALL SELECT 'resource', unnest(['session.id', 'os.type', 'secret.token']), (SELECT count(DISTINCT pid) FROM lf) + (SELECT count(DISTINCT pid) FROM mf)
-    UNION ALL SELECT 'resource', 'user.email', (SELECT count(DISTINCT pid) FROM lf WHERE user_email IS NOT NULL) + (SELECT count(DISTINCT pid) FROM mf WHERE user_email IS NOT NULL)"""
+#: Payloads in SQL: one per user, day and thousand events of a signal.
+LOG_FLAT = f"SELECT concat('l-', user_id, '-', activity_date, '-', event_id // {payloads.BATCH}) AS pid, * FROM e"
+MET_FLAT = f"SELECT concat('m-', user_id, '-', activity_date, '-', event_id // {payloads.BATCH}) AS pid, * FROM m"
+LISTED, KEYED = '{"values":[{"stringValue":"x"}]}', '{"values":[{"key":"inner","value":{"stringValue":"y"}}]}'
+SCALARS = {
+    "k": "CAST(k AS VARCHAR)", "event.id": "CAST(event_id AS VARCHAR)", "success": "CASE WHEN success_bool THEN 'true' ELSE 'false' END", "cost": "CAST(cost_usd AS VARCHAR)", "prompt.text": "CASE k % 7 WHEN 0 THEN 'said' WHEN 1 THEN '' END",
+    "model": "model", "k5": "CAST(k % 5 AS VARCHAR)", "service": "service_name",
+}
+NESTED = {"list": f"CASE WHEN k % 11 = 0 THEN '{LISTED}' END", "object": f"CASE WHEN k % 13 = 0 THEN '{KEYED}' END"}
+TAGGED = {"list": f"CASE WHEN k % 11 = 0 THEN '{{\"arrayValue\":{LISTED}}}' END", "object": f"CASE WHEN k % 13 = 0 THEN '{{\"kvlistValue\":{KEYED}}}' END", "inner": "CASE WHEN k % 13 = 0 THEN 'y' END"}
+POINTS = {"k": "CAST(k AS VARCHAR)", "tool": "tool_name", "event.id": "CAST(event_id AS VARCHAR)"}
+RESOURCES = {"user.email": "' ' || upper(user_email)", "session.id": "session_id", "os.type": "'os'", "secret.token": "'bait'"}
+
 
+def pairs(of: dict[str, str]) -> str:
+    """(path, v) of each row in SQL."""
+    return "unnest([" + ", ".join(f"{{'path': '{k}', 'v': {v}}}" for k, v in of.items()) + "]) AS x"
 
-@frames(E)
-def redacted(e):
-    clean = otlp.redact(payloads.log_payloads(e), "logs", DENIED, CONTENT)
-    left = otlp.key_paths(otlp.records(clean.limit(0).withColumn("json", F.lit("{}")), clean)).where(col("path").isin(*DENIED, *CONTENT))
-    a = clean.agg(F.count("*").alias("payloads"), F.sum("gate_leaks").alias("gate_leaks"), F.count_if(col("gate_leaks") > 0).alias("leaky_payloads"))
-    return a.crossJoin(left.agg(F.count("*").alias("denied_left")))  # one row each
+
+BLOCKS = "SELECT DISTINCT pid, 'logs' AS signal, session_id, user_email FROM lf UNION ALL SELECT DISTINCT pid, 'metrics', session_id, user_email FROM mf"
+#: Attributes of all records: pv(pid, signal, name, path, v, session_id, user_email).
+RECORDS = f"""SELECT pid, signal, name, x.path AS path, x.v AS v, session_id, user_email FROM (SELECT pid, 'logs' AS signal, event_name AS name, session_id, user_email, {pairs(SCALARS | NESTED)} FROM lf
+    UNION ALL SELECT pid, 'metrics', metric_name, session_id, user_email, {pairs(POINTS)} FROM mf UNION ALL SELECT pid, 'resource', '*', session_id, user_email, {pairs(RESOURCES)} FROM bl) WHERE x.v IS NOT NULL"""
+POPULATION = "SELECT 'logs' AS signal, event_name AS name, count(*) AS population FROM lf GROUP BY 2 UNION ALL SELECT 'metrics', metric_name, count(*) FROM mf GROUP BY 2 UNION ALL SELECT 'resource', '*', count(*) FROM bl"
+#: Every key with a value anywhere: av(pid, signal, path, v).
+ANYWHERE = f"""SELECT pid, signal, x.path AS path, x.v AS v FROM (SELECT pid, 'logs' AS signal, {pairs(SCALARS | TAGGED)} FROM lf UNION ALL SELECT pid, 'metrics', {pairs(POINTS)} FROM mf
+    UNION ALL SELECT pid, signal, {pairs(RESOURCES)} FROM bl UNION ALL SELECT pid, signal, {pairs({"scope.tag": "'t'", "secret.token": "'bait'"})} FROM bl) WHERE x.v IS NOT NULL"""
+PROFILING = {"lf": LOG_FLAT, "mf": MET_FLAT, "bl": BLOCKS, "pv": RECORDS, "po": POPULATION, "av": ANYWHERE}
+
+
+def catalogued(entries) -> str:
+    """The catalogue in SQL: ca(signal, path, status)."""
+    return "SELECT * FROM (VALUES " + ", ".join(f"('{x.signal}', '{x.path}', '{x.status}')" for x in entries) + ") AS t(signal, path, status)"
+
+
+DECIDED = "SELECT pv.*, coalesce(a.status, b.status) AS status FROM pv LEFT JOIN ca a ON a.signal = pv.signal AND a.path = pv.path LEFT JOIN ca b ON b.signal = 'resource' AND b.path = pv.path"
+
+KEYED_AS = "array<struct<key:string,value:struct<intValue:string,arrayValue:string,kvlistValue:string>>>"
+HEAD = "schemaUrl:string,resource:struct<attributes:array<struct<key:string>>>"
+SCOPED = "scope:struct<attributes:array<struct<key:string>>>"
+AS_READ = {
+    "logs": f"struct<resourceLogs:array<struct<{HEAD},scopeLogs:array<struct<{SCOPED},items:array<struct<timeUnixNano:string,flags:int,attributes:{KEYED_AS}>>>>>>>".replace("items", "logRecords"),
+    "metrics": f"struct<resourceMetrics:array<struct<{HEAD},scopeMetrics:array<struct<{SCOPED},metrics:array<struct<name:string,summary:struct<dataPoints:array<struct<timeUnixNano:string,sum:double,attributes:{KEYED_AS}>>>>>>>>>>",
+}
+
+
+@frames(E, M)
+def redacted(e, m):
+    """What is left of each log record and each summary point, read back with a schema of its own, beside the payload's leaks."""
+    keys = lambda c: F.concat_ws(",", F.transform(c, lambda a: a["key"]))
+    pick = lambda key, tag: F.get(F.filter("x.attributes", lambda a: a["key"] == key), F.lit(0))["value"][tag]
+    out = None
+    for signal, p in (("logs", payloads.log_payloads(e)), ("metrics", payloads.metric_payloads(m))):
+        clean = otlp.redact(p, signal, DENIED, CONTENT).withColumn("p", F.from_json("json", AS_READ[signal]))
+        r = clean.select("payload_id", "gate_leaks", F.explode(f"p.resource{signal.title()}").alias("r")).withColumn("s", F.explode(f"r.scope{signal.title()}"))
+        r = r.withColumn("x", F.explode("s.logRecords")) if signal == "logs" else r.withColumn("y", F.explode("s.metrics")).where("y.summary IS NOT NULL").withColumn("x", F.explode("y.summary.dataPoints"))
+        one = r.select(
+            "payload_id", "gate_leaks", col("r.schemaUrl").alias("schema_url"), keys("r.resource.attributes").alias("resource_keys"), keys("s.scope.attributes").alias("scope_keys"), col("x.timeUnixNano").alias("nanos"),
+            pick("event.id", "intValue").cast("bigint").alias("event_id"), (col("x.flags") if signal == "logs" else F.lit(-1)).alias("flags"), keys("x.attributes").alias("record_keys"),
+            F.coalesce(pick("list", "arrayValue"), F.lit("")).alias("listed"), F.coalesce(pick("object", "kvlistValue"), F.lit("")).alias("keyed"),
+        )
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def _present(*of: str) -> str:
+    """Keys whose value is there, comma-joined, in SQL."""
+    listed = SCALARS | NESTED
+    return "concat_ws(',', " + ", ".join(f"CASE WHEN {listed[k]} IS NOT NULL THEN '{k}' END" for k in of) + ")"
+
+
+REDACTED = f"""SELECT pid AS payload_id, count(*) FILTER (k % 7 = 0) OVER (PARTITION BY pid) AS gate_leaks, 'https://schema.example/1' AS schema_url, concat_ws(',', CASE WHEN user_email IS NOT NULL THEN 'user.email' END, 'session.id', 'os.type') AS resource_keys,
+        'scope.tag' AS scope_keys, concat(epoch_us(event_time), '123') AS nanos, event_id, CAST(k % 2 AS INT) AS flags, {_present("k", "event.id", "success", "cost", "model", "k5", "service", "list", "object")} AS record_keys,
+        CASE WHEN k % 11 = 0 THEN '{LISTED}' ELSE '' END AS listed, CASE WHEN k % 13 = 0 THEN '{KEYED}' ELSE '' END AS keyed FROM lf
+    UNION ALL SELECT pid, 0, 'https://schema.example/1', concat_ws(',', CASE WHEN user_email IS NOT NULL THEN 'user.email' END, 'session.id', 'os.type'), 'scope.tag', concat(epoch_us(ts), '123'), event_id, -1, 'k,tool,event.id', '', '' FROM mf WHERE k % 5 = 2"""
 
 
 @frames(E, M)
@@ -110,7 +179,7 @@ def leak_audit(e, m):
 def _stored(e):
     """An archive of log payloads with the days up to the tenth compacted."""
     spark = e.sparkSession
-    raw_root, small = reservoir.workspace(spark, "raw"), reservoir.workspace(spark, "compacted")
+    raw_root, small = workspace(spark, "raw"), workspace(spark, "compacted")
     reservoir.write_raw(payloads.log_payloads(e), raw_root)
     raw = reservoir.read_raw(spark, raw_root, ["logs"], datetime.date(2024, 1, 1), datetime.date(2024, 1, 30))
     none = raw.limit(0)
@@ -136,7 +205,10 @@ def read_window(e):
 
 @frames(E)
 def scrub_report(e):
-    return reservoir.scrub(payloads.log_payloads(e), "logs", DENIED, CONTENT)[1]
+    """Days that were redacted when they came in are scanned again and stay as they are."""
+    p = payloads.log_payloads(e)
+    early = otlp.redact(p.where("dt < DATE '2024-01-10'"), "logs", DENIED, CONTENT).drop("gate_leaks")
+    return reservoir.scrub(early.unionByName(p.where("dt >= DATE '2024-01-10'")), "logs", DENIED, CONTENT)[1]
 
 
 @frames(E)
@@ -163,19 +235,30 @@ def inventory(e):
     return reservoir.inventory_diff(names, names.where("length(name) % 2 = 0"))
 
 
-@frames(E, M, "utilization")
-def refresh_log(e, m, u):
-    log = marts.refresh_all(marts.registry(e, m, u), reservoir.workspace(e.sparkSession, "marts"))
+@frames(E, M, "utilization", "roster", "manual_alias")
+def refresh_log(e, m, u, r, a):
+    intervals = seats.seat_intervals(r)
+    derived = identity.derived_alias(e, m)
+    found = marts.registry(e, m, u) | {
+        "dim_user": marts.dim_user(e, m, a, derived), "dim_date": marts.dim_date([e.agg(F.min("activity_date")), m.agg(F.min("activity_date")), marts.api_requests(e).agg(F.min("activity_date"))], AS_OF),
+        "dim_seat": intervals.withColumn("is_current", col("valid_to").isNull()), "dim_seat_current": seats.current_seats(intervals), "fact_seat_day": seats.seat_days(intervals, AS_OF),
+        "dq_finding_current": quality.current_findings(findings_log(e)), "seat_config_convergence": quality.config_convergence(e, m),
+    }
+    log = marts.refresh_all(found, workspace(e.sparkSession, "marts"))
     return log.select("mart", "row_count", (col("finished_at") >= col("started_at")).alias("in_order"))
 
 
 #: Row counts of the marts by the oracles of their own queries.
 MARTS = {
     "fact_session": "a1_fact_session", "fact_session_daily": "a2_fact_session_daily", "fact_api_usage": "a3_fact_api_usage", "fact_edit_decision": "a4_fact_edit_decision", "fact_tool_outcome": "a5_fact_tool_outcome",
-    "fact_api_error_rate": "a6_fact_api_error_rate", "fact_usage_window": "a7_fact_usage_window", "bridge_agent": "b1_bridge_agent", "bridge_hook": "b2_bridge_hook", "bridge_server": "b3_bridge_server",
-    "bridge_plugin": "b4_bridge_plugin", "bridge_skill": "b5_bridge_skill", "dim_model": "d2_dim_model",
+    "fact_api_error_rate": "a6_fact_api_error_rate", "fact_usage_window": "a7_fact_usage_window", "fact_utilization_hourly": "a8_utilization_hourly", "bridge_agent": "b1_bridge_agent", "bridge_hook": "b2_bridge_hook",
+    "bridge_server": "b3_bridge_server", "bridge_plugin": "b4_bridge_plugin", "bridge_skill": "b5_bridge_skill", "dim_model": "d2_dim_model", "dim_user": "d1_dim_user", "dim_date": "d3_d4_dim_date", "dim_seat": "d5_dim_seat",
+    "dim_seat_current": "d6_dim_seat_current", "dq_finding_current": "w5_current_findings", "seat_config_convergence": "q13_config_convergence",
 }
-REFRESHED = " UNION ALL ".join(f"SELECT '{mart}' AS mart, (SELECT count(*) FROM ({MART_QUERIES[q][1]})) AS row_count, true AS in_order" for mart, q in MARTS.items())
+_SQL = MART_QUERIES | SEAT_QUERIES | QUALITY_QUERIES
+_DAYS = SEAT_QUERIES["a10_fact_seat_day"][1].replace(f"DATE '{LATE}'", f"DATE '{AS_OF}'")
+REFRESHED = " UNION ALL ".join(f"SELECT '{mart}' AS mart, (SELECT count(*) FROM ({_SQL[q][1]})) AS row_count, true AS in_order" for mart, q in MARTS.items())
+REFRESHED += f" UNION ALL SELECT 'fact_seat_day', (SELECT CAST(sum(seats) AS BIGINT) FROM ({_DAYS})), true"
 
 
 # --- profiles --------------------------------------------------------------------------------
@@ -183,16 +266,14 @@ REFRESHED = " UNION ALL ".join(f"SELECT '{mart}' AS mart, (SELECT count(*) FROM
 
 @frames(E, M)
 def record_profile(e, m):
-    return rounded(profile.record_profile(recs(e, m)).where("signal = 'logs' AND path IN ('k', 'k5', 'success', 'prompt.text')"), "share", digits=6)
+    return rounded(profile.record_profile(recs(e, m)), "share", digits=6)
 
 
-PROFILE = """SELECT 'logs' AS signal, t.name, t.path, records, sessions, seats, least(cardinality, 500) AS cardinality, top3, round(records / population, 6) AS share
-    FROM (SELECT name, path, count(*) AS records, count(DISTINCT session_id) AS sessions, count(DISTINCT user_email) AS seats, count(DISTINCT v) AS cardinality FROM pv GROUP BY 1, 2) t
-    JOIN (SELECT event_name AS name, count(*) AS population FROM e GROUP BY 1) p ON p.name = t.name
-    JOIN (SELECT name, path, array_to_string(array_agg(v ORDER BY n DESC, v), ',') AS top3 FROM (SELECT *, row_number() OVER (PARTITION BY name, path ORDER BY n DESC, v) AS r FROM (SELECT name, path, v, count(*) AS n FROM pv GROUP BY 1, 2, 3)) WHERE r <= 3 GROUP BY 1, 2) x
-    ON x.name = t.name AND x.path = t.path"""
-VALUES = """SELECT event_name AS name, 'k' AS path, CAST(k AS VARCHAR) AS v, session_id, user_email FROM e UNION ALL SELECT event_name, 'k5', CAST(k % 5 AS VARCHAR), session_id, user_email FROM e
-    UNION ALL SELECT event_name, 'success', CASE WHEN success_bool THEN 'true' ELSE 'false' END, session_id, user_email FROM e UNION ALL SELECT event_name, 'prompt.text', CASE WHEN k % 7 = 0 THEN 'said' ELSE '' END, session_id, user_email FROM e WHERE k % 7 < 2"""
+PROFILE = """SELECT t.signal, t.name, t.path, records, sessions, seats, least(cardinality, 500) AS cardinality, top3, round(records / population, 6) AS share
+    FROM (SELECT signal, name, path, count(*) AS records, count(DISTINCT session_id) AS sessions, count(DISTINCT user_email) AS seats, count(DISTINCT v) AS cardinality FROM pv GROUP BY 1, 2, 3) t
+    JOIN po p ON p.name = t.name AND p.signal = t.signal
+    JOIN (SELECT signal, name, path, array_to_string(array_agg(v ORDER BY n DESC, v), ',') AS top3 FROM (SELECT *, row_number() OVER (PARTITION BY signal, name, path ORDER BY n DESC, v) AS r
+        FROM (SELECT signal, name, path, v, count(*) AS n FROM pv GROUP BY 1, 2, 3, 4)) WHERE r <= 3 GROUP BY 1, 2, 3) x ON x.name = t.name AND x.path = t.path AND x.signal = t.signal"""
 
 
 @frames(E, M)
@@ -210,8 +291,8 @@ def candidates(e, m):
 
 @frames(E, M)
 def drifts(e, m):
-    r, c = recs(e, m), profile.catalogue_frame(e, [*otlp.CATALOGUE, otlp.Entry("logs", "success", "kept", basis="constant")])
-    constant = profile.drift_constant(otlp.all_attrs(r), c).select(F.lit("constant").alias("drift"), "path", col("values").alias("evidence"))
+    r, c = recs(e, m), profile.catalogue_frame(e, [*otlp.CATALOGUE, otlp.Entry("logs", "success", "kept", basis="constant"), otlp.Entry("logs", "cost", "kept", basis="collinear", partner="k5")])
+    constant = profile.drift_constant(r.select("signal", F.explode("attrs").alias("path", "value")), c).select(F.lit("constant").alias("drift"), "path", col("values").alias("evidence"))
     collinear = profile.drift_collinear(r, c, "logs").where("broken > 0").select(F.lit("collinear").alias("drift"), "path", col("broken").alias("evidence"))
     thin = profile.drift_thin(r, c).select(F.lit("thin").alias("drift"), "path", col("seats").alias("evidence"))
     return constant.unionByName(collinear).unionByName(thin)
@@ -257,7 +338,7 @@ def purged(e):
 def streamed(e):
     """The archive of the log payloads, ingested as a stream; days that arrive twice are stored once."""
     spark = e.sparkSession
-    root, sink, checkpoint = (reservoir.workspace(spark, n) for n in ("raw", "sink", "stream"))
+    root, sink, checkpoint = (workspace(spark, n) for n in ("raw", "sink", "stream"))
     p = payloads.log_payloads(e)
     reservoir.write_raw(p, root)
     reservoir.write_raw(p.where("dt = DATE '2024-01-09'"), root)
@@ -265,6 +346,21 @@ def streamed(e):
     return spark.read.parquet(f"{sink}/rows").groupBy(F.to_date("event_time").alias("day"), "event_name").agg(F.count("*").alias("rows"), F.sum("k").alias("k"))
 
 
+@frames(E)
+def refreshed(e):
+    """What has arrived is ingested, then a mart is refreshed from the stored rows."""
+    spark = e.sparkSession
+    root, sink, checkpoint = (workspace(spark, n) for n in ("raw", "sink", "stream"))
+    reservoir.write_raw(payloads.log_payloads(e), root)
+
+    def refresh():
+        rows = spark.read.parquet(f"{sink}/rows").withColumn("activity_date", F.to_date("event_time"))
+        return marts.refresh_all({"fact_api_error_rate": marts.fact_api_error_rate(rows)}, workspace(spark, "marts"))
+
+    log = ingest.run_available(lambda: ingest.continuous_ingest(ingest.payload_stream(spark, root), sink, checkpoint, "logs", DENIED, CONTENT), refresh)
+    return log.select("mart", "row_count", (col("finished_at") >= col("started_at")).alias("in_order"))
+
+
 @frames(E)
 def throttled(e):
     return ingest.throttle_batch(e, "session_id", "event_time", gap_us=3_600_000_000).groupBy("key").agg(F.count("*").alias("accepted"), F.max("us").alias("last_us"))
@@ -276,13 +372,17 @@ THROTTLE = """SELECT session_id AS key, us, us AS last, 1 AS n FROM (SELECT sess
 QUERIES = {
     "p4_explode_metrics": (
         explode_metrics,
-        sql(M, f"SELECT event_id, metric_name, 'sum' AS metric_type, value_kind, ts, value, k, tool_name, {OWN_EMAIL} AS user_email, session_id FROM m"),
+        sql(
+            M,
+            f"""SELECT event_id, metric_name, CASE k % 5 WHEN 0 THEN 'gauge' WHEN 1 THEN 'histogram' ELSE 'sum' END AS metric_type, CASE k % 5 WHEN 0 THEN 'gauge_last' WHEN 1 THEN 'hist_sum' ELSE value_kind END AS value_kind, ts, value,
+            CASE WHEN k % 5 = 1 THEN k ELSE -1 END AS count, k, tool_name, {OWN_EMAIL} AS user_email, session_id FROM m WHERE k % 5 <> 2""",
+        ),
     ),
     "p5_p11_p12_explode_logs": (
         explode_logs,
         sql(E, f"SELECT event_id, event_name, event_time, 'INFO' AS severity, k, success_bool, round(cost_usd, 6) AS cost_usd, {OWN_EMAIL} AS user_email, session_id FROM e"),
     ),
-    "p8_promote": (promote_typed, sql(E, "SELECT event_id, CAST(k AS DOUBLE) AS k_number, true AS no_number FROM e")),
+    "p8_promote": (promote_typed, sql(E, "SELECT event_id, CAST(k AS DOUBLE) AS k_number, true AS no_number, CASE WHEN k % 7 = 0 THEN 'said' ELSE coalesce(model, service_name) END AS family FROM e")),
     "p13_rate_limits": (
         rate_limits,
         sql(
@@ -292,15 +392,9 @@ QUERIES = {
         ),
     ),
     "p14_batch_hash": (batch_hashes, sql(E, "SELECT count(*) AS payloads, count(*) AS hashes, count(*) AS same, count(*) AS turned FROM (SELECT DISTINCT pid FROM lf)", lf=LOG_FLAT)),
-    "p15_p16_p17_c1_key_paths": (key_path_counts, sql("events metrics", FILLS, lf=LOG_FLAT, mf=MET_FLAT)),
-    "r1_r2_r3_redaction": (
-        redacted,
-        sql(E, "SELECT count(DISTINCT pid) AS payloads, count(*) FILTER (k % 7 = 0) AS gate_leaks, count(DISTINCT pid) FILTER (k % 7 = 0) AS leaky_payloads, 0 AS denied_left FROM lf", lf=LOG_FLAT),
-    ),
-    "r4_redaction_leaks": (
-        leak_audit,
-        sql("events metrics", "SELECT path, CAST(sum(payloads) AS BIGINT) AS payloads FROM fl WHERE path IN ('secret.token', 'prompt.text') GROUP BY 1", lf=LOG_FLAT, mf=MET_FLAT, fl=FILLS),
-    ),
+    "p15_p16_p17_c1_key_paths": (key_path_counts, sql("events metrics", "SELECT signal, path, count(DISTINCT pid) AS payloads FROM pv GROUP BY 1, 2", **PROFILING)),
+    "r1_r2_r3_redaction": (redacted, sql("events metrics", REDACTED, lf=LOG_FLAT, mf=MET_FLAT)),
+    "r4_redaction_leaks": (leak_audit, sql("events metrics", "SELECT path, count(DISTINCT pid) AS payloads FROM pv WHERE path IN ('secret.token', 'prompt.text') GROUP BY 1", **PROFILING)),
     "s1_read_window": (
         read_window,
         sql(E, "SELECT activity_date AS dt, count(DISTINCT pid) AS payloads, count(DISTINCT pid) AS ids FROM lf WHERE activity_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-09' GROUP BY 1", lf=LOG_FLAT),
@@ -313,7 +407,10 @@ QUERIES = {
             lf=LOG_FLAT,
         ),
     ),
-    "s5_scrub": (scrub_report, sql(E, "SELECT count(DISTINCT pid) AS scanned, count(DISTINCT pid) AS rewritten, count(*) FILTER (k % 7 = 0) AS leaks FROM lf", lf=LOG_FLAT)),
+    "s5_scrub": (
+        scrub_report,
+        sql(E, "SELECT count(DISTINCT pid) AS scanned, count(DISTINCT pid) FILTER (activity_date >= DATE '2024-01-10') AS rewritten, count(*) FILTER (k % 7 = 0 AND activity_date >= DATE '2024-01-10') AS leaks FROM lf", lf=LOG_FLAT),
+    ),
     "s6_replay": (
         replayed,
         sql(
@@ -355,46 +452,46 @@ QUERIES = {
         sql(E, "SELECT 'logs' AS signal, activity_date AS dt, count(*) AS missing, min(pid) AS first_name FROM (SELECT DISTINCT activity_date, pid FROM lf) WHERE length(pid) % 2 <> 0 GROUP BY activity_date", lf=LOG_FLAT),
     ),
     "c2_l2_value_samples": (
-        frames(E, M)(lambda e, m: profile.value_samples(otlp.all_attrs(recs(e, m)).where("signal = 'logs' AND path IN ('k', 'k5')"), top=3).select("path", "value", "n", "cardinality", "rank")),
+        frames(E, M)(lambda e, m: profile.value_samples(walked(e, m), top=3)),
         sql(
-            E,
-            """SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY path) AS cardinality, CAST(row_number() OVER (PARTITION BY path ORDER BY n DESC, value) AS INT) AS rank FROM (SELECT 'k' AS path, CAST(k AS VARCHAR) AS value, count(*) AS n FROM e GROUP BY 2
-            UNION ALL SELECT 'k5', CAST(k % 5 AS VARCHAR), count(*) FROM e GROUP BY 2)) WHERE rank <= 3""",
+            "events metrics",
+            """SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY signal, path) AS cardinality, CAST(row_number() OVER (PARTITION BY signal, path ORDER BY n DESC, value) AS INT) AS rank
+            FROM (SELECT signal, path, v AS value, count(*) AS n FROM av GROUP BY 1, 2, 3)) WHERE rank <= 3""",
+            **PROFILING,
         ),
     ),
-    "l1_top_values": (
-        frames(E, M)(lambda e, m: profile.top_values(otlp.all_attrs(recs(e, m)).where("signal = 'logs'"), "k")),
-        sql(E, "SELECT CAST(k AS VARCHAR) AS value, count(*) AS n FROM e GROUP BY 1 ORDER BY n DESC, value LIMIT 50"),
-    ),
-    "c3_record_profile": (record_profile, sql(E, PROFILE, pv=VALUES)),
+    "l1_top_values": (frames(E, M)(lambda e, m: profile.top_values(walked(e, m), "k")), sql("events metrics", "SELECT v AS value, count(*) AS n FROM av WHERE path = 'k' GROUP BY 1 ORDER BY n DESC, value LIMIT 50", **PROFILING)),
+    "c3_record_profile": (record_profile, sql("events metrics", PROFILE, **PROFILING)),
     "c4_seat_reach": (
-        frames(E, M)(lambda e, m: profile.seat_reach(recs(e, m)).where("signal = 'logs' AND path IN ('k5', 'k', 'success')").select("path", "value", "seats")),
-        sql(
-            E,
-            "SELECT 'k5' AS path, CAST(k % 5 AS VARCHAR) AS value, count(DISTINCT user_email) AS seats FROM e GROUP BY 2 UNION ALL SELECT 'success', CASE WHEN success_bool THEN 'true' ELSE 'false' END, count(DISTINCT user_email) FROM e GROUP BY 2",
-        ),
+        frames(E, M)(lambda e, m: profile.seat_reach(recs(e, m))),
+        sql("events metrics", "SELECT signal, path, v AS value, count(DISTINCT user_email) AS seats FROM pv WHERE (signal, path) IN (SELECT (signal, path) FROM pv GROUP BY signal, path HAVING count(DISTINCT v) <= 25) GROUP BY 1, 2, 3", **PROFILING),
     ),
     "c5_c6_sweep": (
         swept,
-        sql("events metrics", "SELECT 'metrics' AS signal, 'tool' AS path, 'unclassified' AS finding, count(DISTINCT metric_name) AS names FROM m UNION ALL SELECT 'logs', 'prompt.text', 'denied', count(DISTINCT event_name) FROM e WHERE k % 7 < 2 UNION ALL SELECT 'resource', 'secret.token', 'denied', 2"),
-    ),
+        sql(
+            "events metrics",
+            "SELECT signal, path, coalesce(status, 'unclassified') AS finding, count(DISTINCT name) AS names FROM de WHERE status IS NULL OR status = 'denied' GROUP BY 1, 2, 3",
+            **PROFILING, ca=catalogued(x for x in otlp.CATALOGUE if x.path != "tool"), de=DECIDED,
+        ),
+    ),
     "c7_promotion_candidates": (
         candidates,
         sql(
-            E,
-            """SELECT 'logs' AS signal, name, path, records, round(records / population, 6) AS share, 'kept' AS status FROM (SELECT event_name AS name, 'model' AS path, count(model) AS records, count(*) AS population FROM e GROUP BY 1
-            UNION ALL SELECT event_name, 'k5', count(*), count(*) FROM e GROUP BY 1 UNION ALL SELECT event_name, 'service', count(*), count(*) FROM e GROUP BY 1) WHERE records > 0""",
+            "events metrics",
+            """SELECT de.signal, de.name, path, count(*) AS records, round(count(*) / any_value(population), 6) AS share, coalesce(any_value(status), 'unclassified') AS status FROM de JOIN po ON po.signal = de.signal AND po.name = de.name
+            WHERE de.signal <> 'resource' AND path NOT IN (SELECT path FROM pv WHERE signal = 'resource') AND (status IS NULL OR status = 'kept') GROUP BY 1, 2, 3""",
+            **PROFILING, ca=catalogued(otlp.CATALOGUE), de=DECIDED,
         ),
-    ),
+    ),
     "c8_c9_c10_basis_drift": (
         drifts,
         sql(
             "events metrics",
-            "SELECT 'constant' AS drift, 'success' AS path, 2 AS evidence UNION ALL SELECT 'thin', 'os.type', count(DISTINCT user_email) FROM (SELECT user_email FROM e UNION SELECT user_email FROM m)",
+            "SELECT 'constant' AS drift, 'success' AS path, 2 AS evidence UNION ALL SELECT 'collinear', 'cost', count(*) FROM (SELECT k % 5 FROM e GROUP BY 1 HAVING count(DISTINCT cost_usd) > 1) UNION ALL SELECT 'thin', 'os.type', count(DISTINCT user_email) FROM (SELECT user_email FROM e UNION SELECT user_email FROM m)",
         ),
     ),
     "c11_column_profile": (
-        frames(E)(lambda e: profile.column_profile(e, PROFILED, at_once=4)),
+        frames(E)(lambda e: profile.column_profile(e, PROFILED)),
         sql(
             E,
             " UNION ALL ".join(f"SELECT '{c}' AS \"column\", round(100.0 * count({c}) / count(*), 4) AS non_null_pct, count(DISTINCT {c}) AS \"distinct\", round(100.0 * count(DISTINCT {c}) / count({c}), 4) AS unique_pct FROM e" for c in PROFILED),
@@ -456,6 +553,10 @@ QUERIES = {
         streamed,
         sql(E, "SELECT activity_date AS day, event_name, count(*) AS rows, CAST(sum(k) AS BIGINT) AS k FROM e GROUP BY 1, 2"),
     ),
+    "st5_refresh_after_ingest": (
+        refreshed,
+        sql(E, "SELECT 'fact_api_error_rate' AS mart, count(DISTINCT activity_date) AS row_count, true AS in_order FROM e WHERE event_name IN ('api_request', 'api_error')"),
+    ),
     "st3_throttle": (
         throttled,
         sql(E, "SELECT key, count(*) AS accepted, max(us) AS last_us FROM f GROUP BY 1", ts="SELECT session_id, epoch_us(event_time) AS us FROM e", f=THROTTLE),

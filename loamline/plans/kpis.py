@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from loamline.operators import identity, kpis, marts, seats
 from loamline.plans.base import AS_OF, frames, sql
-from loamline.plans.marts import ALIAS, API, DAILY, DIM_USER, SEEN, SEGMENTS, SIG, WINDOWS, rounded
+from loamline.plans.marts import AGENTS, ALIAS, API, DAILY, DIM_USER, HOOKS, PLUGINS, SEEN, SEGMENTS, SERVERS, SIG, SKILLS, WINDOWS, rounded
 from loamline.plans.seats import CURRENT, DAYS, STEPS
 
 E, M, U, R = "events", "metrics", "utilization", "roster"
@@ -16,7 +16,7 @@ col = F.col
 NOW = (datetime.date(2024, 1, 16), datetime.date(2024, 1, 30))
 BEFORE = (datetime.date(2024, 1, 1), datetime.date(2024, 1, 15))
 IN = f"BETWEEN DATE '{NOW[0]}' AND DATE '{NOW[1]}'"
-PRICES = {"Premium": 150.0, "Standard": 25.0}
+PRICES = {"Premium": 125.0}
 ACTIVE_USERS = "count(DISTINCT user_email) FILTER (user_email <> '(unknown)')"
 EDITS = """SELECT session_id, activity_date, tool_name, decision, coalesce(min(user_email), '(unknown)') AS user_email, sum(value) AS decisions FROM m
     WHERE metric_name = 'code_edit_tool.decision' AND value_kind = 'sum_delta' GROUP BY session_id, activity_date, tool_name, language, decision, decision_source"""
@@ -40,21 +40,26 @@ def paid(r, e, m, a):
     return kpis.seat_use(seats.seat_days(i, AS_OF), seats.current_seats(i), users(e, m, a), marts.fact_session_daily(e, m), NOW)
 
 
-#: Activity thinned by a rule, so that all four cohorts have members.
-THIN = "(activity_date - DATE '2024-01-01') % 9 = length(user_email) % 9 + CAST(substr(split_part(user_email, '@', 1), 2) AS INT) % 3"
+#: Cohorts of one day against the day before: few people are active on every day.
+DAY, DAY_BEFORE = datetime.date(2024, 1, 25), datetime.date(2024, 1, 24)
 
 
-def thin(daily):
-    return daily.where("user_email <> '(unknown)'").where(
-        F.expr("datediff(activity_date, DATE '2024-01-01') % 9 = length(user_email) % 9 + CAST(substr(split_part(user_email, '@', 1), 2) AS INT) % 3")
-    )
+@frames(E, M, "manual_alias")
+def day_cohorts(e, m, a):
+    people = users(e, m, a).where("NOT is_unknown")
+    return kpis.cohorts(people, marts.fact_session_daily(e, m), (DAY, DAY), (DAY_BEFORE, DAY_BEFORE), people)
 
 
-@frames(E, M, "manual_alias")
-def thin_cohorts(e, m, a):
-    daily = thin(marts.fact_session_daily(e, m))
-    first = daily.groupBy("user_email").agg(F.min("activity_date").alias("first_seen_date"))
-    return kpis.cohorts(users(e, m, a).where("NOT is_unknown").select("user_email"), daily, NOW, BEFORE, first)
+@frames(E, M)
+def fresh(e, m):
+    """The log of refreshes is told from the events: one a day, at the day's last."""
+    log = e.groupBy("activity_date").agg(F.max("event_time").alias("finished_at"))
+    return rounded(kpis.freshness(marts.signals(e, m), log, marts.dim_date([e.agg(F.min("activity_date"))], NOW[1]), datetime.datetime(2024, 2, 2)), "hours")
+
+
+@frames(R)
+def oldest_by_tier(r):
+    return kpis.oldest_held(seats.current_seats(seats.seat_intervals(r)), AS_OF, "seat_tier", "org_name")
 
 
 @frames(E, M)
@@ -76,37 +81,68 @@ def measured(window):
 @frames(E, M)
 def drill(e, m):
     bridges = {"agents": (marts.bridge_agent(e), "agent_name"), "hooks": (marts.bridge_hook(e), "hook_name"), "servers": (marts.bridge_server(e), "server_name"), "plugins": (marts.bridge_plugin(e), "plugin_name"), "skills": (marts.bridge_skill(e), "skill_name")}
-    out = kpis.session_drill(marts.fact_session(e, m), marts.fact_api_usage(e), bridges)
-    lists = ["models", *bridges]
-    return doubles(rounded(out.withColumns({c: F.concat_ws(",", c) for c in lists}), "cost_usd"), "tokens", "requests")
+    out = kpis.session_drill(marts.fact_session(e, m), marts.fact_api_usage(e), marts.fact_edit_decision(m), bridges)
+    lists = ["models", "efforts", *bridges]
+    return doubles(rounded(out.withColumns({c: F.concat_ws(",", c) for c in lists}), "cost_usd", "acceptance_rate"), "tokens", "requests")
 
 
-def listed(name: str, where: str, column: str) -> str:
-    return f"LEFT JOIN (SELECT session_id, array_to_string(list_sort(list(DISTINCT {column})), ',') AS {name} FROM e WHERE {where} AND {column} IS NOT NULL GROUP BY 1) x_{name} ON x_{name}.session_id = s.session_id"
+def listed(name: str, source: str, column: str) -> str:
+    return f"LEFT JOIN (SELECT session_id, array_to_string(list_sort(list(DISTINCT {column})), ',') AS {name} FROM ({source}) WHERE {column} IS NOT NULL GROUP BY 1) x_{name} ON x_{name}.session_id = s.session_id"
 
 
+#: Bridges with their SQL, the column that they name and what they count.
 BRIDGES = {
-    "agent": (marts.bridge_agent, "event_name IN ('api_request', 'subagent_completed') AND agent_name IS NOT NULL"), "hook": (marts.bridge_hook, "event_name = 'hook_execution'"),
-    "server": (marts.bridge_server, "event_name = 'server_connection' AND server_name IS NOT NULL"), "plugin": (marts.bridge_plugin, "event_name = 'plugin_loaded'"),
-    "skill": (marts.bridge_skill, "event_name IN ('skill_activated', 'api_request')"),
+    "agent": (marts.bridge_agent, AGENTS, "invocations"), "hook": (marts.bridge_hook, HOOKS, "executions"), "server": (marts.bridge_server, SERVERS, "calls"), "plugin": (marts.bridge_plugin, PLUGINS, "loads"),
+    "skill": (marts.bridge_skill, SKILLS, "activations"),
 }
 
 
 @frames(E, M)
 def capabilities(e, m):
     out, s = None, marts.fact_session(e, m)
-    for name, (bridge, _) in BRIDGES.items():
-        one = kpis.capability_use(bridge(e), s, name)
+    for name, (bridge, _, amount) in BRIDGES.items():
+        one = kpis.capability_use(bridge(e), s, name, amount)
         out = one if out is None else out.unionByName(one)
     return rounded(out, "sessions_pct")
 
 
 CAPABILITIES = " UNION ALL ".join(
-    f"""SELECT '{n}' AS capability, count(*) FILTER (u) AS sessions_using, round(100.0 * count(*) FILTER (u) / count(*), 4) AS sessions_pct, count(DISTINCT user_email) FILTER (u) AS users_using
-    FROM (SELECT *, session_id IN (SELECT session_id FROM e WHERE {w}) AS u FROM s)"""
-    for n, (_, w) in BRIDGES.items()
+    f"""SELECT '{n}' AS capability, count(*) FILTER (u) AS sessions_using, round(100.0 * count(*) FILTER (u) / count(*), 4) AS sessions_pct, count(DISTINCT user_email) FILTER (u) AS users_using,
+    (SELECT CAST(sum({amount}) AS BIGINT) FROM ({w})) AS intensity FROM (SELECT *, session_id IN (SELECT session_id FROM ({w})) AS u FROM s)"""
+    for n, (_, w, amount) in BRIDGES.items()
 )
-PERIOD = """SELECT CAST(date_trunc('{p}', activity_date) AS DATE) AS period_start, count(DISTINCT user_email) FILTER (user_email <> '(unknown)') AS actives, round(sum(commits), 4) AS commits, CAST(sum(prompts) AS BIGINT) AS prompts FROM d GROUP BY 1"""
+PERIOD = """SELECT coalesce(a.period_start, b.period_start) AS period_start, * EXCLUDE (period_start) FROM (SELECT CAST(date_trunc('{p}', activity_date) AS DATE) AS period_start, count(DISTINCT user_email) FILTER (user_email <> '(unknown)') AS actives,
+        sum(commits) AS commits, sum(prs) AS prs, sum(loc_added + loc_removed) AS loc, sum(prompts) AS prompts FROM d GROUP BY 1) a
+    FULL JOIN (SELECT CAST(date_trunc('{p}', activity_date) AS DATE) AS period_start, sum(input_tokens) AS input_tokens, sum(output_tokens) AS output_tokens FROM e WHERE event_name = 'api_request' GROUP BY 1) b ON a.period_start = b.period_start"""
+
+
+def periods(period: str, end: str):
+    """A query and its oracle of all measures per period."""
+    counts, sums = ["actives", "prompts", "input_tokens", "output_tokens"], ["commits", "prs", "loc"]
+
+    @frames(E, M)
+    def query(e, m):
+        out = kpis.by_period(marts.fact_session_daily(e, m), marts.fact_api_usage(e), period, NOW[1])
+        return doubles(rounded(out, *sums, *[f"{c}_per_user" for c in sums]), *counts)
+
+    whole = [f"CAST(CASE WHEN w THEN {c} END AS DOUBLE) AS {c}" for c in counts] + [f"CASE WHEN w THEN round({c}, 4) END AS {c}, CASE WHEN w THEN round({c} / actives, 4) END AS {c}_per_user" for c in sums]
+    return query, sql("events metrics", f"SELECT period_start, {', '.join(whole)} FROM (SELECT *, {end} <= DATE '{NOW[1]}' AS w FROM pr)", d=DAILY, pr=PERIOD.replace("{p}", period))
+
+
+def over_before(period: str, step: str, **back: int):
+    """A query and its oracle of actives against the period before."""
+
+    @frames(E, M)
+    def query(e, m):
+        each = kpis.by_period(marts.fact_session_daily(e, m), marts.fact_api_usage(e), period, datetime.date(2024, 3, 1))
+        return doubles(rounded(kpis.over_previous(each, "actives", **back), "change"), "actives", "previous", "change")
+
+    return query, sql(
+        "events metrics",
+        f"SELECT a.period_start, CAST(a.actives AS DOUBLE) AS actives, CAST(b.actives AS DOUBLE) AS previous, round((a.actives - b.actives) / b.actives, 4) AS change FROM pr a LEFT JOIN pr b ON b.period_start + {step} = a.period_start",
+        d=DAILY, pr=PERIOD.replace("{p}", period),
+    )
+
 
 QUERIES = {
     "k1_activity": (
@@ -187,13 +223,20 @@ QUERIES = {
         ),
     ),
     "k14_cohorts": (
-        thin_cohorts,
+        day_cohorts,
         sql(
-            "events metrics",
-            f"""SELECT user_email, CASE WHEN user_email NOT IN (SELECT user_email FROM t WHERE activity_date {IN}) THEN 'idle' WHEN (SELECT min(activity_date) FROM t WHERE t.user_email = p.user_email) >= DATE '{NOW[0]}' THEN 'new'
-            WHEN user_email IN (SELECT user_email FROM t WHERE activity_date BETWEEN DATE '{BEFORE[0]}' AND DATE '{BEFORE[1]}') THEN 'retained' ELSE 'reactivated' END AS cohort
-            FROM (SELECT DISTINCT user_email FROM (SELECT user_email FROM e UNION SELECT user_email FROM m) WHERE user_email IS NOT NULL) p""",
-            d=DAILY, t=f"SELECT * FROM d WHERE user_email <> '(unknown)' AND {THIN}",
+            "events metrics manual_alias",
+            f"""SELECT user_email, CASE WHEN user_email NOT IN (SELECT user_email FROM d WHERE activity_date = DATE '{DAY}') THEN 'idle' WHEN first_seen_date >= DATE '{DAY}' THEN 'new'
+            WHEN user_email IN (SELECT user_email FROM d WHERE activity_date = DATE '{DAY_BEFORE}') THEN 'retained' ELSE 'reactivated' END AS cohort FROM du WHERE NOT is_unknown""",
+            d=DAILY, sig=SIG, se=SEEN, al=ALIAS, du=DIM_USER,
+        ),
+    ),
+    "k15_roster_mismatch": (
+        frames(R, E, M, "manual_alias")(lambda r, e, m, a: kpis.roster_mismatch(users(e, m, a), seats.current_seats(seats.seat_intervals(r)), NOW[1])),
+        sql(
+            "roster events metrics manual_alias",
+            f"SELECT count(*) FILTER (user_email NOT IN (SELECT user_email FROM c) OR scope_email <> user_email) AS roster_mismatches FROM du WHERE first_seen_date <= DATE '{NOW[1]}'",
+            **STEPS, c=CURRENT, sig=SIG, se=SEEN, al=ALIAS, du=DIM_USER,
         ),
     ),
     "k15_off_roster": (
@@ -204,22 +247,20 @@ QUERIES = {
             td=DAYS,
         ),
     ),
-    "k16_weekly": (
-        frames(E, M)(lambda e, m: doubles(rounded(kpis.by_period(marts.fact_session_daily(e, m), "week", NOW[1]), "commits"), "actives", "prompts")),
-        sql("events metrics", f"SELECT period_start, CAST(CASE WHEN w THEN actives END AS DOUBLE) AS actives, CASE WHEN w THEN commits END AS commits, CAST(CASE WHEN w THEN prompts END AS DOUBLE) AS prompts FROM (SELECT *, period_start + 6 <= DATE '{NOW[1]}' AS w FROM pr)", d=DAILY, pr=PERIOD.replace("{p}", "week")),
-    ),
-    "k17_over_previous": (
-        frames(E, M)(lambda e, m: doubles(rounded(kpis.over_previous(kpis.by_period(marts.fact_session_daily(e, m), "week", AS_OF), "actives", days=7), "change"), "previous")),
-        sql("events metrics", "SELECT a.period_start, a.actives, CAST(b.actives AS DOUBLE) AS previous, round((a.actives - b.actives) / b.actives, 4) AS change FROM pr a LEFT JOIN pr b ON b.period_start + 7 = a.period_start", d=DAILY, pr=PERIOD.replace("{p}", "week")),
-    ),
+    "k16_weekly": periods("week", "period_start + 6"),
+    "k16_monthly": periods("month", "period_start + INTERVAL 1 MONTH - INTERVAL 1 DAY"),
+    "k17_over_previous": over_before("week", "7", days=7),
+    "k17_month_over_month": over_before("month", "INTERVAL 1 MONTH", months=1),
     "k18_capability_use": (capabilities, sql("events metrics", CAPABILITIES, sig=SIG, s=SESSIONS)),
     "k19_seat_value": (
-        frames(R, E)(lambda r, e: rounded(kpis.seat_value(seats.current_seats(seats.seat_intervals(r)), kpis.within(marts.fact_api_usage(e), NOW), PRICES, 15), "seat_cost", "value", "value_ratio")),
+        frames(R, E, M, "manual_alias")(
+            lambda r, e, m, a: rounded(kpis.seat_value(seats.current_seats(seats.seat_intervals(r)), users(e, m, a), marts.fact_api_usage(e), PRICES, NOW, standard=25.0), "seat_cost", "value", "value_ratio")
+        ),
         sql(
-            "roster events",
-            f"""SELECT round(sc, 4) AS seat_cost, round(v, 4) AS value, round(v / sc, 4) AS value_ratio FROM (SELECT (SELECT sum(CASE seat_tier WHEN 'Premium' THEN 150.0 WHEN 'Standard' THEN 25.0 ELSE 0 END) * 15 / 30 FROM c) AS sc,
-            (SELECT sum(cost_usd) FROM e WHERE event_name = 'api_request' AND activity_date {IN}) AS v)""",
-            **STEPS, c=CURRENT,
+            "roster events metrics manual_alias",
+            f"""SELECT n AS instrumented_seats, mc AS monthly_cost, round(mc * 15 / 30, 4) AS seat_cost, round(v, 4) AS value, round(v / (mc * 15 / 30), 4) AS value_ratio FROM (SELECT count(*) AS n, CAST(sum(CASE WHEN seat_tier = 'Premium' THEN 125 ELSE 25 END) AS DOUBLE) AS mc,
+            (SELECT sum(cost_usd) FROM e WHERE event_name = 'api_request' AND activity_date {IN}) AS v FROM c WHERE user_email IN (SELECT user_email FROM du WHERE first_seen_date <= DATE '{NOW[1]}'))""",
+            **STEPS, c=CURRENT, sig=SIG, se=SEEN, al=ALIAS, du=DIM_USER,
         ),
     ),
     "k20_period_over_period": (
@@ -232,10 +273,11 @@ QUERIES = {
         ),
     ),
     "k21_freshness": (
-        frames(E, M)(lambda e, m: rounded(kpis.freshness(marts.signals(e, m), datetime.datetime(2024, 2, 2)), "hours")),
+        fresh,
         sql(
             "events metrics",
-            """SELECT last_signal, round(hours, 4) AS hours, CASE WHEN hours IS NULL THEN 'None' WHEN hours <= 24 THEN 'Fresh' WHEN hours <= 168 THEN 'Late' ELSE 'Stale' END AS status
+            f"""SELECT last_signal, round(hours, 4) AS hours, CASE WHEN hours IS NULL THEN 'None' WHEN hours <= 24 THEN 'Fresh' WHEN hours <= 168 THEN 'Late' ELSE 'Stale' END AS status,
+            (SELECT max(event_time) FROM e) AS last_refresh, CAST(DATE '2024-02-02' - DATE '{NOW[1]}' AS INT) AS calendar_lag_days
             FROM (SELECT max(t) AS last_signal, (epoch_us(TIMESTAMP '2024-02-02') - epoch_us(max(t))) / 3.6e9 AS hours FROM (SELECT ts AS t FROM m UNION ALL SELECT event_time FROM e))""",
         ),
     ),
@@ -260,17 +302,23 @@ QUERIES = {
         drill,
         sql(
             "events metrics",
-            "SELECT s.session_id, user_email, started_at, duration_s, CAST(tokens AS DOUBLE) AS tokens, CAST(requests AS DOUBLE) AS requests, cost_usd, coalesce(models, '') AS models, coalesce(agents, '') AS agents, coalesce(hooks, '') AS hooks, coalesce(servers, '') AS servers, coalesce(plugins, '') AS plugins, coalesce(skills, '') AS skills FROM s "
+            "SELECT s.session_id, user_email, started_at, duration_s, CAST(tokens AS DOUBLE) AS tokens, CAST(requests AS DOUBLE) AS requests, cost_usd, acceptance_rate, coalesce(models, '') AS models, coalesce(efforts, '') AS efforts, coalesce(agents, '') AS agents, coalesce(hooks, '') AS hooks, coalesce(servers, '') AS servers, coalesce(plugins, '') AS plugins, coalesce(skills, '') AS skills FROM s "
             + "LEFT JOIN (SELECT session_id, CAST(sum(input_tokens + output_tokens) AS BIGINT) AS tokens, count(*) AS requests, round(sum(cost_usd), 4) AS cost_usd FROM e WHERE event_name = 'api_request' GROUP BY 1) y ON y.session_id = s.session_id "
+            + "LEFT JOIN (SELECT session_id, round(sum(decisions) FILTER (decision = 'accept') / sum(decisions), 4) AS acceptance_rate FROM ed GROUP BY 1) z ON z.session_id = s.session_id "
             + " ".join(
                 [
-                    listed("models", "event_name = 'api_request'", "model"), listed("agents", "event_name IN ('api_request', 'subagent_completed')", "agent_name"), listed("hooks", "event_name = 'hook_execution'", "hook_name"),
-                    listed("servers", "event_name = 'server_connection'", "server_name"), listed("plugins", "event_name = 'plugin_loaded'", "plugin_name"), listed("skills", "event_name IN ('skill_activated', 'api_request')", "skill_name"),
+                    listed("models", "SELECT * FROM e WHERE event_name = 'api_request'", "model"), listed("efforts", "SELECT * FROM e WHERE event_name = 'api_request'", "effort"), listed("agents", AGENTS, "agent_name"), listed("hooks", HOOKS, "hook_name"),
+                    listed("servers", SERVERS, "server_name"), listed("plugins", PLUGINS, "plugin_name"), listed("skills", SKILLS, "skill_name"),
                 ]
             ),
+            ed=EDITS,
             sig=SIG, s=SESSIONS,
         ),
     ),
+    "k25_oldest_held": (
+        oldest_by_tier,
+        sql(R, f"SELECT seat_tier, org_name, CAST(DATE '{AS_OF}' - min(held_since) AS INT) AS days_held, count(*) AS seats FROM c GROUP BY 1, 2", **STEPS, c=CURRENT),
+    ),
     "k25_untracked_worklist": (
         frames(R, E, M)(lambda r, e, m: kpis.held_longest(seats.current_seats(seats.seat_intervals(r)), marts.telemetry_days(e, m), AS_OF)),
         sql("roster events metrics", f"SELECT *, CAST(DATE '{AS_OF}' - held_since AS INT) AS days_held FROM c WHERE user_email NOT IN (SELECT user_email FROM td)", **STEPS, c=CURRENT, td=DAYS),

@@ -80,6 +80,23 @@ DATES = f"""SELECT CAST(d AS DATE) AS date, CAST(year(d) AS INT) AS year, CAST(q
     CAST(date_trunc('week', d) AS DATE) AS week_start, strftime(date_trunc('week', d), '%Y-%m-%d') AS week_label, CAST(date_trunc('month', d) AS DATE) AS month_start, strftime(d, '%Y-%m') AS month_label, isodow(d) >= 6 AS is_weekend
     FROM (SELECT unnest(generate_series(least((SELECT min(activity_date) FROM e), (SELECT min(activity_date) FROM m), (SELECT min(activity_date) FROM e WHERE event_name = 'api_request')), DATE '{AS_OF}', INTERVAL 1 DAY)) AS d)"""
 
+AGENTS = """SELECT session_id, agent AS agent_name, count(*) FILTER (event_name = 'api_request') AS invocations, count(*) FILTER (event_name = 'subagent_completed') AS completions,
+    count(*) FILTER (event_name = 'subagent_completed' AND subagent_is_async) AS async_completions, CAST(coalesce(sum(subagent_tool_uses) FILTER (event_name = 'subagent_completed'), 0) AS BIGINT) AS tool_uses,
+    CAST(coalesce(sum(subagent_total_tokens) FILTER (event_name = 'subagent_completed'), 0) AS BIGINT) AS total_tokens
+    FROM (SELECT *, agent_name AS agent FROM e WHERE event_name = 'api_request' UNION ALL SELECT *, agent_type FROM e WHERE event_name = 'subagent_completed') WHERE agent IS NOT NULL GROUP BY 1, 2"""
+HOOKS = """SELECT session_id, hook_name, coalesce(hook_event, 'unknown') AS hook_event, count(*) AS executions, CAST(sum(total_duration_ms) AS BIGINT) AS total_duration_ms, CAST(sum(num_hooks) AS BIGINT) AS num_hooks,
+    CAST(sum(num_success) AS BIGINT) AS num_success FROM e WHERE event_name = 'hook_execution' AND hook_name IS NOT NULL GROUP BY 1, 2, 3"""
+SERVERS = f"""SELECT coalesce(a.session_id, b.session_id) AS session_id, coalesce(a.server_name, b.server_name) AS server_name, coalesce(connections, 0) AS connections, coalesce(failures, 0) AS failures, transport, server_scope, coalesce(calls, 0) AS calls
+    FROM (SELECT session_id, server_name, count(*) AS connections, count(*) FILTER (server_status = 'failed') AS failures, {last("transport", "event_time")} AS transport, {last("server_scope", "event_time")} AS server_scope
+        FROM e WHERE event_name = 'server_connection' AND server_name IS NOT NULL GROUP BY 1, 2) a
+    FULL JOIN (SELECT session_id, s.server_name, count(*) AS calls FROM e JOIN (SELECT DISTINCT server_name, replace(replace(replace(server_name, ' ', '_'), '.', '_'), ':', '_') AS slug FROM e WHERE event_name = 'server_connection' AND server_name IS NOT NULL) s
+        ON e.server_slug = s.slug WHERE event_name = 'api_request' GROUP BY 1, 2) b ON a.session_id = b.session_id AND a.server_name = b.server_name"""
+PLUGINS = """SELECT session_id, plugin_name, coalesce(plugin_scope, 'unknown') AS plugin_scope, coalesce(plugin_version, 'unknown') AS plugin_version, coalesce(marketplace_name, 'unknown') AS marketplace_name, count(*) AS loads
+    FROM e WHERE event_name = 'plugin_loaded' AND plugin_name IS NOT NULL GROUP BY 1, 2, 3, 4, 5"""
+SKILLS = f"""SELECT session_id, skill_name, count(*) AS activations, {last("own_source", "event_time")} AS skill_source, {last("own_trigger", "event_time")} AS skill_trigger
+    FROM (SELECT *, CASE WHEN event_name = 'skill_activated' THEN skill_source END AS own_source, CASE WHEN event_name = 'skill_activated' THEN skill_trigger END AS own_trigger FROM e WHERE event_name IN ('skill_activated', 'api_request'))
+    WHERE skill_name IS NOT NULL GROUP BY 1, 2"""
+
 QUERIES = {
     "f1_counter_delta": (
         frames(M)(lambda m: marts.counter_delta(m).groupBy("metric_name").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))),
@@ -156,45 +173,9 @@ QUERIES = {
         frames(U)(lambda u: rounded(marts.hour_profile(marts.utilization_hourly(marts.utilization_segments(u))), "avg_pct")),
         sql(U, "SELECT CAST(hour(hour) AS INT) AS hour_of_day, window_type, round(avg(avg_pct), 4) AS avg_pct FROM h GROUP BY 1, 2", seg=SEGMENTS, h=HOURLY),
     ),
-    "b1_bridge_agent": (
-        frames(E)(marts.bridge_agent),
-        sql(
-            E,
-            """SELECT session_id, agent_name, count(*) FILTER (event_name = 'api_request') AS invocations, count(*) FILTER (event_name = 'subagent_completed') AS completions,
-            count(*) FILTER (event_name = 'subagent_completed' AND subagent_is_async) AS async_completions, CAST(coalesce(sum(subagent_tool_uses) FILTER (event_name = 'subagent_completed'), 0) AS BIGINT) AS tool_uses,
-            CAST(coalesce(sum(subagent_total_tokens) FILTER (event_name = 'subagent_completed'), 0) AS BIGINT) AS total_tokens
-            FROM e WHERE event_name IN ('api_request', 'subagent_completed') AND agent_name IS NOT NULL GROUP BY 1, 2""",
-        ),
-    ),
-    "b2_bridge_hook": (
-        frames(E)(marts.bridge_hook),
-        sql(
-            E,
-            """SELECT session_id, hook_name, coalesce(hook_event, 'unknown') AS hook_event, count(*) AS executions, CAST(sum(total_duration_ms) AS BIGINT) AS total_duration_ms, CAST(sum(num_hooks) AS BIGINT) AS num_hooks,
-            CAST(sum(num_success) AS BIGINT) AS num_success FROM e WHERE event_name = 'hook_execution' GROUP BY 1, 2, 3""",
-        ),
-    ),
-    "b3_bridge_server": (
-        frames(E)(marts.bridge_server),
-        sql(
-            E,
-            """SELECT coalesce(a.session_id, b.session_id) AS session_id, coalesce(a.server_name, b.server_name) AS server_name, coalesce(connections, 0) AS connections, coalesce(failures, 0) AS failures, transport, coalesce(calls, 0) AS calls
-            FROM (SELECT session_id, server_name, count(*) AS connections, count(*) FILTER (server_status = 'failed') AS failures, """ + last("transport", "event_time") + """ AS transport FROM c GROUP BY 1, 2) a
-            FULL JOIN (SELECT e.session_id, s.server_name, count(*) AS calls FROM e JOIN (SELECT DISTINCT session_id, server_name, regexp_replace(server_name, '[ .:]', '_', 'g') AS slug FROM c) s
-                ON e.session_id = s.session_id AND e.server_slug = s.slug WHERE event_name = 'tool_result' GROUP BY 1, 2) b ON a.session_id = b.session_id AND a.server_name = b.server_name""",
-            c="SELECT * FROM e WHERE event_name = 'server_connection' AND server_name IS NOT NULL",
-        ),
-    ),
-    "b4_bridge_plugin": (
-        frames(E)(marts.bridge_plugin),
-        sql(E, "SELECT session_id, plugin_name, plugin_scope, plugin_version, count(*) AS loads FROM e WHERE event_name = 'plugin_loaded' GROUP BY 1, 2, 3, 4"),
-    ),
-    "b5_bridge_skill": (
-        frames(E)(marts.bridge_skill),
-        sql(
-            E,
-            f"""SELECT session_id, skill_name, count(*) AS activations, {last('own', 'event_time')} AS skill_source
-            FROM (SELECT *, CASE WHEN event_name = 'skill_activated' THEN skill_source END AS own FROM e WHERE event_name IN ('skill_activated', 'api_request')) GROUP BY 1, 2""",
-        ),
-    ),
+    "b1_bridge_agent": (frames(E)(marts.bridge_agent), sql(E, AGENTS)),
+    "b2_bridge_hook": (frames(E)(marts.bridge_hook), sql(E, HOOKS)),
+    "b3_bridge_server": (frames(E)(marts.bridge_server), sql(E, SERVERS)),
+    "b4_bridge_plugin": (frames(E)(marts.bridge_plugin), sql(E, PLUGINS)),
+    "b5_bridge_skill": (frames(E)(marts.bridge_skill), sql(E, SKILLS)),
 }

@@ -143,8 +143,9 @@ QUERIES = {
         frames(E, M)(quality.config_convergence),
         sql(
             "events metrics",
-            f"""SELECT *, stamp = disk_stamp AS is_converged FROM (SELECT user_email, {last('stamp')} AS stamp, {last('disk_stamp')} AS disk_stamp, max(t) AS last_seen
-            FROM (SELECT user_email, event_time AS t, stamp, disk_stamp FROM e UNION ALL SELECT user_email, ts, stamp, disk_stamp FROM m) WHERE user_email IS NOT NULL GROUP BY 1)""",
+            f"""SELECT *, stamp = disk_stamp AS is_converged FROM (SELECT coalesce(user_email, '(unknown)') AS user_email, user_email IS NULL AS is_unknown, {last('stamp')} AS stamp, {last('disk_stamp')} AS disk_stamp, max(t) AS last_seen,
+            CAST(max(t) AS DATE) AS last_seen_date, max(t) FILTER (stamp IS NOT NULL) AS stamp_seen_at, max(t) FILTER (disk_stamp IS NOT NULL) AS disk_stamp_seen_at
+            FROM (SELECT user_email, event_time AS t, stamp, disk_stamp FROM e UNION ALL SELECT user_email, ts, stamp, disk_stamp FROM m) GROUP BY 1, 2)""",
         ),
     ),
     "w5_current_findings": (frames(E)(lambda e: quality.current_findings(findings_log(e))), sql(E, CURRENT, lg=LOG)),

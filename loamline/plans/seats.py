@@ -10,6 +10,7 @@ from loamline.functions.columns import as_of_from_path
 from loamline.operators import identity, marts, seats
 from loamline.plans.base import AS_OF, frames, sql
 from loamline.plans.marts import ALIAS, DIM_USER, SEEN, SIG
+from loamline.sources.shared import workspace
 
 E, M, R = "events", "metrics", "roster"
 col = F.col
@@ -52,8 +53,6 @@ def at(roster, day):
 @frames(R)
 def parsed_roster(r):
     """A snapshot written as a wide file and read back, its date told by the folder's name."""
-    from loamline.sources.reservoir import workspace
-
     path = workspace(r.sparkSession, "drop") + "/roster-20221231.csv"
     american = F.date_format("assignment_date", "M/d/yyyy")
     wide = at(r, NEW).select(
@@ -65,6 +64,12 @@ def parsed_roster(r):
     return good.select("user_email", "subscription_seq", "seat_tier", "assignment_date", "revoked_raw", "revoke_date", col("extra")["Team"].alias("team"), as_of_from_path(col("extra")["source"]).alias("as_of"))
 
 
+def repeated_drops(r):
+    """The newest drop, its rows in another order, against the hashes of two that were loaded."""
+    loaded = [seats.content_hash(at(r, d).drop("as_of_date")).select(F.lit(d).alias("as_of_date"), "content_hash") for d in (OLD, NEW)]
+    return seats.repeated_content(at(r, NEW).orderBy(col("user_email").desc()), loaded[0].unionByName(loaded[1]))
+
+
 QUERIES = {
     "s9_s10_s11_parse_roster": (
         parsed_roster,
@@ -100,11 +105,11 @@ QUERIES = {
         sql("events metrics manual_alias", "SELECT user_email, scope_email, user_email <> scope_email AS is_linked FROM du", sig=SIG, se=SEEN, al=ALIAS, du=DIM_USER),
     ),
     "a10_fact_seat_day": (
-        frames(R)(lambda r: seats.seat_days(seats.seat_intervals(r), LATE).groupBy("seat_date", "seat_tier").agg(F.count("*").alias("seats"))),
+        frames(R)(lambda r: seats.seat_days(seats.seat_intervals(r), LATE).groupBy("seat_date", "seat_tier", "org_name").agg(F.count("*").alias("seats"))),
         sql(
             R,
-            f"""SELECT seat_date, seat_tier, count(*) AS seats FROM (SELECT user_email, seat_tier, CAST(unnest(generate_series(valid_from, least(coalesce(valid_to - 1, DATE '{LATE}'), DATE '{LATE}'), INTERVAL 1 DAY)) AS DATE) AS seat_date FROM i
-            WHERE valid_from <= least(coalesce(valid_to - 1, DATE '{LATE}'), DATE '{LATE}')) GROUP BY 1, 2""",
+            f"""SELECT seat_date, seat_tier, org_name, count(*) AS seats FROM (SELECT user_email, seat_tier, org_name, CAST(unnest(generate_series(valid_from, least(coalesce(valid_to - 1, DATE '{LATE}'), DATE '{LATE}'), INTERVAL 1 DAY)) AS DATE) AS seat_date FROM i
+            WHERE valid_from <= least(coalesce(valid_to - 1, DATE '{LATE}'), DATE '{LATE}')) GROUP BY 1, 2, 3""",
             **STEPS,
         ),
     ),
@@ -130,10 +135,15 @@ QUERIES = {
         frames(R)(lambda r: seats.load_violations(at(r, NEW), at(r, OLD).where("seat_tier = 'Premium' AND org_name = 'OrgA'"), datetime.date(2020, 1, 1))),
         sql(
             R,
-            f"""SELECT 'future as-of' AS guard, '{OLD}' AS subject UNION ALL SELECT 'out of order', '{OLD}' UNION ALL SELECT * FROM (SELECT 'row count fell', concat((SELECT count(*) FROM r WHERE as_of_date = DATE '{NEW}'), '>', count(*))
+            f"""SELECT 'future as-of' AS guard, '{OLD}' AS subject UNION ALL SELECT 'out of order', '{OLD}'
+            UNION ALL SELECT * FROM (SELECT 'as-of before an assignment', CAST(max(assignment_date) AS VARCHAR) FROM r WHERE as_of_date = DATE '{OLD}' AND seat_tier = 'Premium' AND org_name = 'OrgA' HAVING max(assignment_date) > DATE '{OLD}') UNION ALL SELECT * FROM (SELECT 'row count fell', concat((SELECT count(*) FROM r WHERE as_of_date = DATE '{NEW}'), '>', count(*))
             FROM r WHERE as_of_date = DATE '{OLD}' AND seat_tier = 'Premium' AND org_name = 'OrgA') UNION ALL SELECT 'organisation vanished', 'OrgB' UNION ALL SELECT 'tier vanished', 'Standard'""",
         ),
     ),
+    "q14_repeated_content": (
+        frames(R)(repeated_drops),
+        sql(R, f"SELECT 'content loaded before' AS guard, CAST(as_of_date AS VARCHAR) AS subject FROM (SELECT DISTINCT as_of_date FROM r WHERE as_of_date IN (DATE '{OLD}', DATE '{NEW}')) WHERE as_of_date = DATE '{NEW}'"),
+    ),
     "id1_j9_derived_alias": (frames(E, M)(identity.derived_alias), sql("events metrics", ALIAS, se=SEEN)),
     "id2_j2_scoping_address": (
         frames(E, M, "manual_alias")(lambda e, m, a: identity.scoping_address(e.where("user_email IS NOT NULL"), a, identity.derived_alias(e, m))),
@@ -149,6 +159,10 @@ QUERIES = {
         frames("people")(lambda h: identity.management_paths(identity.one_per_email(h)).select("email", F.concat_ws(">", "path").alias("path"), F.size("path").alias("depth"))),
         sql("people", "SELECT email, array_to_string(path, '>') AS path, CAST(len(path) AS INT) AS depth FROM tree", p=PEOPLE1, tree=TREE),
     ),
+    "id3_cyclic_managers": (
+        frames("people")(lambda h: identity.cyclic_managers(identity.one_per_email(h))),
+        sql("people", "SELECT email, manager_email AS parent FROM p WHERE email NOT IN (SELECT email FROM tree)", p=PEOPLE1, tree=TREE),
+    ),
     "id4_one_per_email": (frames("people")(identity.one_per_email), sql("people", PEOPLE1)),
     "id5_visible_seats": (
         frames("people", R)(lambda h, r: identity.visible_to(seats.current_seats(seats.seat_intervals(r)), identity.management_paths(identity.one_per_email(h)), "u1@corp.example")),

@@ -23,14 +23,16 @@ SELECT *, CASE WHEN k % 7 = 0 THEN NULL ELSE concat('p', k % 23) END AS prompt_i
     CASE k % 5 WHEN 0 THEN 'acme-large-4-1[1m]' WHEN 1 THEN 'acme-medium-4' WHEN 2 THEN 'ACME-Small-3-5' WHEN 3 THEN NULL ELSE 'local-7b' END AS model,
     concat('tool', k % 4) AS tool_name, CAST(floor(value * 10) AS BIGINT) AS duration_ms, k % 3 <> 0 AS success_bool,
     CAST(k * 10 AS BIGINT) AS input_tokens, CAST(k * 3 AS BIGINT) AS output_tokens, CAST(k * 7 AS BIGINT) AS cache_read_tokens, CAST(k * 2 AS BIGINT) AS cache_creation_tokens,
-    value / 100.0 AS cost_usd, CASE k % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'low' ELSE NULL END AS effort, CASE WHEN k % 4 = 0 THEN 'main' ELSE 'side' END AS query_source,
+    CAST(floor(value * 10) AS DOUBLE) / 1000 AS cost_usd, CASE k % 3 WHEN 0 THEN 'high' WHEN 1 THEN 'low' ELSE NULL END AS effort, CASE WHEN k % 4 = 0 THEN 'main' ELSE 'side' END AS query_source,
     CASE WHEN k % 7 = 0 THEN NULL WHEN k % 2 = 0 THEN 'config' ELSE 'user' END AS decision_source, CASE WHEN k % 3 = 0 AND k % 7 <> 0 THEN 'timeout' ELSE NULL END AS error_type,
-    CASE WHEN k % 5 = 0 THEN NULL ELSE concat('agent', k % 3) END AS agent_name, k % 2 = 0 AS subagent_is_async, CAST(k % 9 AS BIGINT) AS subagent_tool_uses,
-    CAST(k * 11 AS BIGINT) AS subagent_total_tokens, concat('hook', k % 4) AS hook_name, CASE WHEN k % 7 = 0 THEN NULL ELSE concat('on', k % 2) END AS hook_event,
+    CASE WHEN k % 5 = 0 THEN NULL ELSE concat('agent', k % 3) END AS agent_name, CASE WHEN k % 6 = 0 THEN NULL ELSE concat('agent', k % 4) END AS agent_type, k % 2 = 0 AS subagent_is_async, CAST(k % 9 AS BIGINT) AS subagent_tool_uses,
+    CAST(k * 11 AS BIGINT) AS subagent_total_tokens, CASE WHEN k % 13 = 0 THEN NULL ELSE concat('hook', k % 4) END AS hook_name, CASE WHEN k % 7 = 0 THEN NULL ELSE concat('on', k % 2) END AS hook_event,
     CAST(floor(value) AS BIGINT) AS total_duration_ms, CAST(k % 6 AS BIGINT) AS num_hooks, CAST(k % 4 AS BIGINT) AS num_success,
-    CASE WHEN k % 5 = 0 THEN NULL ELSE concat('srv.', k % 3, ' x') END AS server_name, concat('srv_', k % 3, '_x') AS server_slug, CASE WHEN k % 4 = 0 THEN 'failed' ELSE 'connected' END AS server_status,
-    CASE WHEN k % 2 = 0 THEN 'stdio' ELSE 'http' END AS transport, concat('plug', k % 3) AS plugin_name, CASE WHEN k % 2 = 0 THEN 'user' ELSE NULL END AS plugin_scope, concat('1.', k % 2) AS plugin_version,
-    concat('skill', k % 4) AS skill_name, CASE WHEN k % 6 = 0 THEN NULL ELSE concat('from', k % 2) END AS skill_source,
+    CASE WHEN k % 5 = 0 THEN NULL ELSE concat('srv.', k % 3, ' x') END AS server_name, CASE WHEN k % 4 = 1 THEN NULL ELSE concat('srv_', k % 3, '_x') END AS server_slug,
+    CASE k % 3 WHEN 0 THEN 'project' WHEN 1 THEN 'user' ELSE NULL END AS server_scope, CASE WHEN k % 4 = 0 THEN 'failed' ELSE 'connected' END AS server_status,
+    CASE WHEN k % 2 = 0 THEN 'stdio' ELSE 'http' END AS transport, CASE WHEN k % 11 = 0 THEN NULL ELSE concat('plug', k % 3) END AS plugin_name, CASE WHEN k % 2 = 0 THEN 'user' ELSE NULL END AS plugin_scope, CASE WHEN k % 7 = 0 THEN NULL ELSE concat('1.', k % 2) END AS plugin_version,
+    CASE WHEN k % 5 < 2 THEN NULL ELSE concat('market', k % 2) END AS marketplace_name,
+    concat('skill', k % 4) AS skill_name, CASE WHEN k % 6 = 0 THEN NULL ELSE concat('from', k % 2) END AS skill_source, CASE WHEN k % 4 = 3 THEN NULL ELSE concat('by', k % 3) END AS skill_trigger,
     CASE WHEN k % 8 = 0 THEN NULL ELSE concat('v', k % 9) END AS cc_version, CASE WHEN k % 6 = 0 THEN NULL ELSE concat('term', k % 2) END AS terminal_type,
     concat('os', k % 3) AS os_type, 'dev-cli' AS service_name, CASE WHEN k % 10 = 0 THEN NULL ELSE concat('acc', user_id) END AS user_account_id, concat('org', user_id % 2) AS organization_id,
     CASE WHEN k % 9 = 0 THEN 'root' WHEN k % 5 = 1 THEN NULL ELSE concat('U', user_id) END AS process_owner,
@@ -78,14 +80,18 @@ SELECT make_date(CAST(extract(year FROM {od}) AS INT) + 23, 12, 31) AS as_of_dat
     CASE WHEN count(*) % 5 = 0 THEN make_date(CAST(extract(year FROM {od}) AS INT) + 22, 6, 1 + CAST(o_custkey % 27 AS INT)) ELSE NULL END AS revoke_date
 FROM {orders} GROUP BY extract(year FROM {od}), o_custkey"""
 
-#: People and managers: a tree over customers, some with an unknown manager, some listed twice.
+#: People and managers: a tree over customers with chains of up to 40 people, some with an unknown manager, some listed twice, and three around a cycle.
 PEOPLE = """
 SELECT concat('u', c_custkey, '@corp.example') AS email, CASE WHEN c_custkey = 0 THEN NULL WHEN c_custkey % 97 = 0 THEN 'nobody@corp.example'
+    WHEN c_custkey % 10 = 3 AND c_custkey % 400 > 10 THEN concat('u', c_custkey - 10, '@corp.example')
     ELSE concat('u', CAST(floor(c_custkey / 4) AS BIGINT), '@corp.example') END AS manager_email, c_mktsegment AS title, c_custkey AS person_id
 FROM {customer}
 UNION ALL
 SELECT concat('u', c_custkey, '@corp.example') AS email, concat('u', CAST(floor(c_custkey / 4) AS BIGINT), '@corp.example') AS manager_email, 'Zz duplicate' AS title, c_custkey AS person_id
-FROM {customer} WHERE c_custkey % 50 = 7"""
+FROM {customer} WHERE c_custkey % 50 = 7
+UNION ALL
+SELECT concat('x', c_custkey, '@corp.example') AS email, concat('x', CASE WHEN c_custkey = 3 THEN 2 ELSE 3 - c_custkey END, '@corp.example') AS manager_email, 'Zz cycle' AS title, c_custkey AS person_id
+FROM {customer} WHERE c_custkey IN (1, 2, 3)"""
 
 #: Hand-made links of personal to corporate addresses; one is a suppression.
 MANUAL_ALIAS = """

@@ -8,9 +8,16 @@ from pyspark.sql import functions as F
 col = F.col
 
 
+#: Records that one payload holds at most: a user's busy day makes several payloads.
+BATCH = 1000
+
+LISTED = "struct<values:array<struct<stringValue:string>>>"
+KEYED = "struct<values:array<struct<key:string,value:struct<stringValue:string>>>>"
+
+
 def _attr(key: str, kind: str, value: Column) -> Column:
     """An attribute with its tagged value, NULL if there is no value."""
-    kinds = {"stringValue": "string", "intValue": "string", "doubleValue": "double", "boolValue": "boolean"}
+    kinds = {"stringValue": "string", "intValue": "string", "doubleValue": "double", "boolValue": "boolean", "arrayValue": LISTED, "kvlistValue": KEYED}
     tags = [(value.cast(t) if k == kind else F.lit(None).cast(t)).alias(k) for k, t in kinds.items()]
     return F.when(value.isNotNull(), F.struct(F.lit(key).alias("key"), F.struct(*tags).alias("value")))
 
@@ -26,31 +33,50 @@ def _resource() -> Column:
     )
 
 
+def _scope(name: str) -> Column:
+    """A scope with attributes of its own, one of them denied."""
+    return F.struct(F.lit(name).alias("name"), _attrs(_attr("scope.tag", "stringValue", F.lit("t")), _attr("secret.token", "stringValue", F.lit("bait"))).alias("attributes"))
+
+
 def _nanos(t: str) -> Column:
     return F.concat(F.unix_micros(t).cast("string"), F.lit("123"))
 
 
+def _payloads(rows: DataFrame, signal: str, scope: str, item: Column, items: str, block: str, scoped: str) -> DataFrame:
+    """``item`` of each row, gathered into a payload per user, day and ``BATCH`` consecutive event ids."""
+    batch = F.floor(col("event_id") / BATCH).cast("bigint")
+    one = F.struct(_scope(scope).alias("scope"), F.array_sort(F.collect_list(item)).alias(items))
+    g = rows.groupBy("user_id", "user_email", "session_id", "activity_date", batch.alias("batch")).agg(one.alias("s"))
+    tree = F.struct(F.lit("https://schema.example/1").alias("schemaUrl"), _resource().alias("resource"), F.array("s").alias(scoped))
+    body = F.to_json(F.struct(F.array(tree).alias(block)))
+    return g.select(F.lit(signal).alias("signal"), col("activity_date").alias("dt"), F.concat_ws("-", F.lit(signal[0]), "user_id", "activity_date", "batch").alias("payload_id"), body.alias("json"))
+
+
 def metric_payloads(metrics: DataFrame) -> DataFrame:
-    """A payload per user and day, (signal, dt, payload_id, json)."""
-    point = F.struct(_nanos("ts").alias("timeUnixNano"), col("value").alias("asDouble"), _attrs(_attr("k", "intValue", col("k")), _attr("tool", "stringValue", col("tool_name")), _attr("event.id", "intValue", col("event_id"))).alias("attributes"))
-    temporality = F.when(col("value_kind") == "sum_delta", "AGGREGATION_TEMPORALITY_DELTA").otherwise("AGGREGATION_TEMPORALITY_CUMULATIVE")
-    metric = F.struct(col("metric_name").alias("name"), F.struct(temporality.alias("aggregationTemporality"), F.array(point).alias("dataPoints")).alias("sum"))
-    scoped = F.struct(F.struct(F.lit("meter").alias("name")).alias("scope"), F.array_sort(F.collect_list(metric)).alias("metrics"))
-    g = metrics.groupBy("user_id", "user_email", "session_id", "activity_date").agg(scoped.alias("s"))
-    body = F.to_json(F.struct(F.array(F.struct(_resource().alias("resource"), F.array("s").alias("scopeMetrics"))).alias("resourceMetrics")))
-    return g.select(F.lit("metrics").alias("signal"), col("activity_date").alias("dt"), F.concat_ws("-", F.lit("m"), "user_id", "activity_date").alias("payload_id"), body.alias("json"))
+    """Payloads of data points, (signal, dt, payload_id, json): sums, and of every fifth k a gauge, a histogram or a summary beside it."""
+    attrs = _attrs(_attr("k", "intValue", col("k")), _attr("tool", "stringValue", col("tool_name")), _attr("event.id", "intValue", col("event_id")))
+    nanos = _nanos("ts").alias("timeUnixNano")
+    temporality = F.when(col("value_kind") == "sum_delta", "AGGREGATION_TEMPORALITY_DELTA").otherwise("AGGREGATION_TEMPORALITY_CUMULATIVE").alias("aggregationTemporality")
+    number = F.array(F.struct(nanos, col("value").alias("asDouble"), attrs.alias("attributes"))).alias("dataPoints")
+    spread = F.array(F.struct(nanos, col("value").alias("sum"), col("k").cast("string").alias("count"), attrs.alias("attributes"))).alias("dataPoints")
+    kind = lambda k, s: F.when(k, s)
+    five = col("k") % 5
+    metric = F.struct(
+        col("metric_name").alias("name"), kind(five > 2, F.struct(temporality, number)).alias("sum"), kind(five == 0, F.struct(number)).alias("gauge"), kind(five == 1, F.struct(temporality, spread)).alias("histogram"),
+        kind(five == 2, F.struct(spread)).alias("summary"),
+    )
+    return _payloads(metrics, "metrics", "meter", metric, "metrics", "resourceMetrics", "scopeMetrics")
 
 
 def log_payloads(events: DataFrame) -> DataFrame:
-    """A payload per user and day; every seventh record carries content that must not be there."""
+    """Payloads of log records; every seventh record carries content that must not be there, some hold lists and objects."""
     body = F.struct(F.concat(F.lit("app."), "event_name").alias("stringValue"))
     text = F.when(col("k") % 7 == 0, "said").when(col("k") % 7 == 1, "")
+    listed = F.when(col("k") % 11 == 0, F.struct(F.array(F.struct(F.lit("x").alias("stringValue"))).alias("values")))
+    keyed = F.when(col("k") % 13 == 0, F.struct(F.array(F.struct(F.lit("inner").alias("key"), F.struct(F.lit("y").alias("stringValue")).alias("value"))).alias("values")))
     attrs = _attrs(
         _attr("k", "intValue", col("k")), _attr("event.id", "intValue", col("event_id")), _attr("success", "boolValue", col("success_bool")), _attr("cost", "doubleValue", col("cost_usd")), _attr("prompt.text", "stringValue", text),
-        _attr("model", "stringValue", col("model")), _attr("k5", "intValue", col("k") % 5), _attr("service", "stringValue", col("service_name")),
+        _attr("model", "stringValue", col("model")), _attr("k5", "intValue", col("k") % 5), _attr("service", "stringValue", col("service_name")), _attr("list", "arrayValue", listed), _attr("object", "kvlistValue", keyed),
     )
-    record = F.struct(_nanos("event_time").alias("timeUnixNano"), F.lit("INFO").alias("severityText"), body.alias("body"), attrs.alias("attributes"))
-    scoped = F.struct(F.struct(F.lit("logger").alias("name")).alias("scope"), F.array_sort(F.collect_list(record)).alias("logRecords"))
-    g = events.groupBy("user_id", "user_email", "session_id", "activity_date").agg(scoped.alias("s"))
-    json = F.to_json(F.struct(F.array(F.struct(_resource().alias("resource"), F.array("s").alias("scopeLogs"))).alias("resourceLogs")))
-    return g.select(F.lit("logs").alias("signal"), col("activity_date").alias("dt"), F.concat_ws("-", F.lit("l"), "user_id", "activity_date").alias("payload_id"), json.alias("json"))
+    record = F.struct(_nanos("event_time").alias("timeUnixNano"), F.lit("INFO").alias("severityText"), body.alias("body"), (col("k") % 2).alias("flags"), attrs.alias("attributes"))
+    return _payloads(events, "logs", "logger", record, "logRecords", "resourceLogs", "scopeLogs")

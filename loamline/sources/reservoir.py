@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import datetime
-import tempfile
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,15 +13,6 @@ col = F.col
 DAY_KEYS = ["signal", "dt"]
 
 
-def workspace(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that the cluster shares; a local one only where none is named."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="loamline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return f"{folder.rstrip('/')}/loamline/{name}-{uuid.uuid4().hex}"
-
-
 def write_raw(payloads: DataFrame, root: str) -> None:
     """Payload texts, one a line, gzipped, under signal=/dt=."""
     lines = payloads.select(*DAY_KEYS, F.to_json(F.struct("payload_id", "json")).alias("value"))
@@ -44,8 +33,11 @@ def compaction_plan(raw: DataFrame, compacted: DataFrame, today: datetime.date,
 
 
 def compact(raw: DataFrame, plan: DataFrame, path: str) -> None:
-    """Each planned partition as zstd Parquet, texts unchanged; only planned partitions are overwritten."""
-    rows = raw.join(F.broadcast(plan), DAY_KEYS, "left_semi").repartition(*DAY_KEYS)
+    """Each planned partition as zstd Parquet, texts unchanged; only planned partitions are overwritten.
+
+    Spark splits a large day over several tasks (and files) and gathers small ones, by bytes.
+    """
+    rows = raw.join(F.broadcast(plan), DAY_KEYS, "left_semi").hint("rebalance", *DAY_KEYS)
     rows.write.partitionBy(*DAY_KEYS).mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").parquet(path)
 
 
@@ -57,7 +49,7 @@ def prefer_compacted(raw: DataFrame, compacted: DataFrame) -> DataFrame:
 def scrub(payloads: DataFrame, signal: str, denied: list[str], content: list[str]) -> tuple[DataFrame, DataFrame]:
     """Payloads whose canonical text redaction changes, and a report of scanned, rewritten and leaks."""
     cleaned = otlp.redact(payloads.withColumn("_old", otlp.batch_hash(col("json"))), signal, denied, content)
-    cleaned = cleaned.withColumn("_changed", otlp.batch_hash(col("json")) != col("_old"))
+    cleaned = cleaned.withColumn("_changed", ~otlp.batch_hash(col("json")).eqNullSafe(col("_old")))
     report = cleaned.agg(F.count("*").alias("scanned"), F.count_if("_changed").alias("rewritten"), F.sum("gate_leaks").alias("leaks"))
     return cleaned.where("_changed").drop("_old", "_changed", "gate_leaks"), report
 

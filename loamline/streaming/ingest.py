@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from loamline.operators import otlp
+from loamline.sources.shared import written
 
 col = F.col
 
@@ -21,20 +24,27 @@ def payload_stream(spark: SparkSession, root: str) -> DataFrame:
     return rows.select("signal", "dt", F.from_json("value", "payload_id string, json string").alias("v")).select("signal", "dt", "v.payload_id", "v.json")
 
 
-def continuous_ingest(stream: DataFrame, sink: str, checkpoint: str, signal: str, denied: list[str], content: list[str]) -> StreamingQuery:
+def continuous_ingest(stream: DataFrame, sink: str, checkpoint: str, signal: str, denied: list[str], content: list[str], *, horizon_days: int = 7) -> StreamingQuery:
     """Redact, drop payloads that were stored before, decode and append; a batch that runs twice adds nothing.
 
-    A batch writes its rows and its hashes under its own number, so a retry overwrites and does not double.
+    A batch writes its rows and its hashes under its own number, so a retry overwrites and does not double. Hashes lie by
+    the payload's day: only days within the horizon of the batch's own are read, so old ones cost nothing.
     """
 
     def store(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         clean = otlp.redact(batch, signal, denied, content).withColumn("batch_hash", otlp.batch_hash(col("json"))).dropDuplicates(["batch_hash"])
-        ledger = spark.read.schema("batch_hash string, batch long").parquet(f"{sink}/ledger") if number else None
-        fresh = clean.join(ledger.where(col("batch") < number).select("batch_hash"), "batch_hash", "left_anti") if ledger is not None else clean
-        rows = otlp.promote(otlp.explode_logs(fresh.drop("gate_leaks")), otlp.CATALOGUE, signal).drop("attrs", "own", "resource")
+        clean = written(clean.drop("gate_leaks"), "batch")  # redacted and hashed once
+        days = clean.agg(F.min("dt").alias("first"), F.max("dt").alias("last")).first()
+        fresh = clean
+        if number and days["first"]:
+            reach = datetime.timedelta(days=horizon_days)
+            ledger = spark.read.schema("batch_hash string, batch long, dt date").parquet(f"{sink}/ledger")
+            ledger = ledger.where((col("batch") < number) & col("dt").between(F.lit(days["first"] - reach), F.lit(days["last"] + reach)))
+            fresh = clean.join(ledger.select("batch_hash"), "batch_hash", "left_anti")
+        rows = otlp.promote(otlp.explode_logs(fresh), otlp.CATALOGUE, signal).drop("attrs", "own", "resource")
         rows.write.mode("overwrite").parquet(f"{sink}/rows/batch={number}")
-        fresh.select("batch_hash").write.mode("overwrite").parquet(f"{sink}/ledger/batch={number}")
+        fresh.select("batch_hash", "dt").write.mode("overwrite").partitionBy("dt").parquet(f"{sink}/ledger/batch={number}")
 
     return stream.where(col("signal") == signal).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -80,15 +90,93 @@ def throttle_stream(stream: DataFrame, *, gap_us: int = 300_000_000) -> DataFram
     return stream.groupBy("key").transformWithStateInPandas(Throttle(gap_us), "key string, us long", "append", "None")
 
 
-def throttle_batch(rows: DataFrame, key: str, time: str, *, gap_us: int = 300_000_000) -> DataFrame:
-    """The same over a whole table: a fold over each key's sorted times.
-
-    Acceptance depends on all earlier rows of the key, so a key's times (8 bytes each) meet in one row.
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Rows sorted by ``keys`` as tables of whole groups; only the last group of a batch waits for the next."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        table = pa.Table.from_batches(held)
+        last = [table[k][-1].as_py() for k in keys]
+        cut = table.num_rows
+        while cut and [table[k][cut - 1].as_py() for k in keys] == last:
+            cut -= 1
+        if cut:
+            yield table.slice(0, cut)
+        held = table.slice(cut).to_batches()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _by_block(t: pa.Table) -> Iterator[tuple[int, list[int]]]:
+    """(first row, times) of each (key, block) of a sorted table."""
+    us, mark = t["us"].to_pylist(), list(zip(t["key"].to_pylist(), t["block"].to_pylist(), strict=True))
+    at = 0
+    for end in range(1, len(us) + 1):
+        if end == len(us) or mark[end] != mark[at]:
+            yield at, us[at:end]
+            at = end
+
+
+def throttle_batch(rows: DataFrame, key: str, time: str, *, gap_us: int = 300_000_000, block_us: int = 0) -> DataFrame:
+    """The same over a whole table, (key, us), without gathering a key's times in one place.
+
+    Time is cut into blocks (``block_us``, 256 gaps if not given). What a block needs of all before it is the earliest time that
+    may be accepted, which lies within one gap of its start or before. So (1) every block tells, for each of its first times up to one
+    gap in, which of its times would be the last accepted; (2) a fold over these few rows of a key finds where each block
+    begins; (3) blocks list their accepted times. Rows without a time are left out; a NULL key is a key.
     """
-    times = rows.groupBy(F.col(key).alias("key")).agg(F.array_sort(F.collect_list(F.unix_micros(time))).alias("ts"))
-    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<bigint>").alias("kept"))
-    take = lambda s, t: F.when(s["last"].isNull() | (t - s["last"] >= gap_us), F.struct(t.alias("last"), F.concat(s["kept"], F.array(t)).alias("kept"))).otherwise(s)
-    return times.select("key", F.explode(F.aggregate("ts", start, take)["kept"]).alias("us"))
+    size = block_us or 256 * gap_us
+    t = rows.select(F.col(key).alias("key"), F.unix_micros(time).alias("us")).where("us IS NOT NULL").distinct()
+    t = t.withColumn("block", F.floor(F.col("us") / size).cast("bigint"))
+    t = written(t.repartition("key", "block").sortWithinPartitions("key", "block", "us"), "times")
+    dealt = lambda df: df.repartition("key", "block").sortWithinPartitions("key", "block", "us")
+    key_type = t.schema["key"].dataType.simpleString()
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in _groups(batches, ["key", "block"]):
+            keys, blocks, out = whole["key"].to_pylist(), whole["block"].to_pylist(), {"key": [], "block": [], "us": [], "last": []}
+            for at, us in _by_block(whole):
+                last, to = us[:], len(us)
+                for i in range(len(us) - 1, -1, -1):  # the last accepted time if this one is accepted
+                    while to > i + 1 and us[to - 1] >= us[i] + gap_us:
+                        to -= 1
+                    last[i] = last[to] if to < len(us) else us[i]
+                first_free = blocks[at] * size + gap_us
+                few = next((i + 1 for i, x in enumerate(us) if x >= first_free), len(us))
+                out["key"] += [keys[at]] * few
+                out["block"] += [blocks[at]] * few
+                out["us"] += us[:few]
+                out["last"] += last[:few]
+            yield from pa.Table.from_pydict({"key": pa.array(out["key"], whole.schema.field("key").type), **{k: pa.array(out[k], pa.int64()) for k in ("block", "us", "last")}}).to_batches()
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, free, done = object(), 0, None
+        for batch in batches:
+            out = {"key": [], "block": [], "us": []}
+            for k, block, us, last in zip(*(batch[c].to_pylist() for c in ("key", "block", "us", "last")), strict=True):
+                if k != now:
+                    now, free, done = k, us, None
+                if block != done and us >= free:
+                    out["key"].append(k), out["block"].append(block), out["us"].append(us)
+                    free, done = last + gap_us, block
+            yield pa.RecordBatch.from_pydict({"key": pa.array(out["key"], batch.schema.field("key").type), "block": pa.array(out["block"], pa.int64()), "us": pa.array(out["us"], pa.int64())})
+
+    def accepted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in _groups(batches, ["key", "block"]):
+            keys, starts, out = whole["key"].to_pylist(), whole["start"].to_pylist(), {"key": [], "us": []}
+            for at, us in _by_block(whole):
+                free = starts[at]
+                for x in us:
+                    if x >= free:
+                        out["key"].append(keys[at]), out["us"].append(x)
+                        free = x + gap_us
+            yield from pa.Table.from_pydict({"key": pa.array(out["key"], whole.schema.field("key").type), "us": pa.array(out["us"], pa.int64())}).to_batches()
+
+    told = dealt(t).mapInArrow(entries, f"key {key_type}, block bigint, us bigint, last bigint")
+    starts = told.repartition("key").sortWithinPartitions("key", "block", "us").mapInArrow(begin, f"key {key_type}, block bigint, us bigint")
+    starts = starts.select(F.col("key").alias("_k"), F.col("block").alias("_b"), F.col("us").alias("start"))
+    inside = t.join(starts, F.col("key").eqNullSafe(F.col("_k")) & (F.col("block") == F.col("_b"))).select("key", "block", "us", "start")
+    return dealt(inside).mapInArrow(accepted, f"key {key_type}, us bigint")
 
 
 def run_available(start: Callable[[], StreamingQuery], then: Callable[[], DataFrame]) -> DataFrame:

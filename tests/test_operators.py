@@ -103,6 +103,35 @@ def test_management_cycle_and_self_links_do_not_hang(spark):
     assert got == {"c": ["c"], "d": ["c", "d"], "e": ["e"]}
 
 
+def test_long_chains_keep_everyone(spark):
+    n = 100
+    people = spark.createDataFrame([(f"p{i}", f"p{i - 1}" if i else None) for i in range(n)] + [("x", "y"), ("y", "x"), ("z", "y")], "email string, manager_email string")
+    paths, cyclic = identity.management_tree(people)
+    got = {r.email: r.path for r in paths.collect()}
+    assert got == {f"p{i}": [f"p{j}" for j in range(i + 1)] for i in range(n)}
+    assert {(r.email, r.parent) for r in cyclic.collect()} == {("x", "y"), ("y", "x"), ("z", "y")}
+    rows = spark.createDataFrame([("p99",), ("p3",), ("z",)], "user_email string")
+    assert [r.user_email for r in identity.visible_to(rows, paths, "p50").collect()] == ["p99"]
+
+
+def test_excluded_managers_make_roots(spark):
+    people = spark.createDataFrame([("a", None), ("b", "a"), ("c", "b")], "email string, manager_email string")
+    assert {r.email: r.path for r in identity.management_paths(people, excluded=("a",)).collect()} == {"a": ["a"], "b": ["b"], "c": ["b", "c"]}
+    assert identity.management_paths(people.limit(0)).count() == 0
+
+
+def test_calls_of_sessions_without_a_connection_count(spark):
+    rows = [("server_connection", "s1", "my.srv", None, "failed", "http", "user", 1), ("server_connection", "s1", "my.srv", None, "connected", None, None, 2), ("api_request", "s2", None, "my_srv", None, None, None, 3), ("api_request", "s2", None, "other", None, None, None, 3)]
+    e = spark.createDataFrame(rows, "event_name string, session_id string, server_name string, server_slug string, server_status string, transport string, server_scope string, event_time int")
+    got = {(r.session_id, r.server_name, r.connections, r.failures, r.transport, r.server_scope, r.calls) for r in marts.bridge_server(e).collect()}
+    assert got == {("s1", "my.srv", 2, 1, "http", "user", 0), ("s2", "my.srv", 0, 0, None, None, 1)}
+
+
+def test_content_hash_counts_repeats_and_ignores_order(spark):
+    h = lambda *x: seats.content_hash(spark.createDataFrame([(v,) for v in x], "a string")).first()
+    assert h("A", "A", "B") != h("C", "C", "B") and h("A", "B", "A") == h("B", "A", "A") and h("A", "B") != h("A", "A", "B")
+
+
 PAYLOAD = (
     '{"resourceLogs":[{"resource":{"attributes":[{"key":"session.id","value":{"stringValue":"r"}},{"key":"secret.token","value":{"stringValue":"x"}}]},"scopeLogs":[{"scope":{"name":"s"},"logRecords":['
     '{"timeUnixNano":"1704067200123456789","body":{"stringValue":"app.go"},"attributes":[{"key":"k","value":{"intValue":"7"}},{"key":"session.id","value":{"stringValue":"own"}},'
@@ -122,6 +151,50 @@ def test_decode_and_redact(spark):
     assert again.gate_leaks == 0 and again.json == row.json
 
 
+def test_redaction_keeps_all_that_is_not_denied(spark):
+    import json
+
+    tree = {
+        "extra": [1, {"deep": None}],
+        "resourceMetrics": [
+            {
+                "schemaUrl": "u", "resource": {"attributes": [{"key": "secret", "value": {"stringValue": "x"}}, {"key": "a", "value": {"kvlistValue": {"values": [{"key": "in", "value": {"intValue": "1"}}]}}}]},
+                "scopeMetrics": [{"scope": {"attributes": [{"key": "secret", "value": {}}], "v": 2}, "metrics": [{"name": "m", "summary": {"dataPoints": [{"quantileValues": [{"quantile": 0.5}], "attributes": [{"key": "secret", "value": {"intValue": "3"}}]}]}}]}],
+            }
+        ],
+    }
+    want = json.loads(json.dumps(tree))
+    block = want["resourceMetrics"][0]
+    del block["resource"]["attributes"][0], block["scopeMetrics"][0]["scope"]["attributes"][0], block["scopeMetrics"][0]["metrics"][0]["summary"]["dataPoints"][0]["attributes"][0]
+    texts = [json.dumps(tree), '{"resourceMetrics": [ {"schemaUrl": "kept as it is"} ]}', "no json", None, '{"resourceLogs": {"odd": 1}}', "[]"]
+    p = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, json string")
+    got = {r.i: (r.json, r.gate_leaks) for r in otlp.redact(p, "metrics", ["secret"], ["a"]).collect()}
+    assert json.loads(got[0][0]) == want and got[0][1] == 0
+    assert [got[i][0] for i in range(1, 6)] == [texts[1], None, None, texts[4], texts[5]]
+    changed, report = reservoir.scrub(p.where("i = 1").withColumn("signal", F.lit("metrics")), "metrics", ["secret"], [])
+    assert changed.count() == 0 and report.first().rewritten == 0
+
+
+def test_walk_finds_keys_at_any_depth(spark):
+    p = spark.createDataFrame([("p", "logs", PAYLOAD.replace('"scope":{"name":"s"}', '"scope":{"attributes":[{"key":"tag","value":{"kvlistValue":{"values":[{"key":"in","value":{"doubleValue":0.5}}]}}}]}')), ("q", "logs", "no json")], "payload_id string, signal string, json string")
+    got = {(r.path, r.value) for r in otlp.all_attrs(p).collect()}
+    assert ("in", "0.5") in got and ("tag", '{"kvlistValue":{"values":[{"key":"in","value":{"doubleValue":0.5}}]}}') in got and ("session.id", "own") in got and ("k", "7") in got
+
+
+def test_records_of_all_point_kinds(spark):
+    point = '{"dataPoints":[{"attributes":[{"key":"a","value":{"stringValue":"v"}}]}]}'
+    json = '{"resourceMetrics":[{"scopeMetrics":[{"metrics":[' + ",".join(f'{{"name":"{k}","{k}":{point}}}' for k in ("gauge", "sum", "histogram", "exponentialHistogram", "summary")) + f',{{"gauge":{point}}}]}}]}}]}}'
+    m = spark.createDataFrame([("p", json)], "payload_id string, json string")
+    got = sorted((r.signal, r.name, r.attrs.get("a")) for r in otlp.records(m, m.limit(0)).collect())
+    assert got == sorted([("metrics", k, "v") for k in ("gauge", "sum", "histogram", "exponentialHistogram", "summary")] + [("resource", "*", None)])
+
+
+def test_derived_columns_take_own_sources_first(spark):
+    rows = spark.createDataFrame([({"a": "", "os": "linux"},), ({"a": "x", "os": "linux"},), ({},)], "attrs map<string,string>")
+    derived = (otlp.Derived("resource", "where", ("os",)), otlp.Derived("logs", "where", ("a", "b")))
+    assert [r.where for r in otlp.promote(rows, (), "logs", derived).collect()] == ["linux", "x", None]
+
+
 def test_histogram_and_cumulative_points(spark):
     json = (
         '{"resourceMetrics":[{"scopeMetrics":[{"metrics":[{"name":"h","histogram":{"aggregationTemporality":"1","dataPoints":[{"timeUnixNano":"1000","sum":2.5,"count":"4"}]}},'
@@ -194,6 +267,25 @@ def test_stream_throttle_equals_batch(spark, tmp_path):
     assert sorted((r.key, r.us) for r in ingest.throttle_batch(batch, "k", "t", gap_us=300).collect()) == got
 
 
+@pytest.mark.parametrize("block", [0, 700, 5000])
+def test_throttle_over_blocks_equals_a_fold(spark, block):
+    import random
+
+    r = random.Random(5)
+    rows = [(k, r.randrange(20_000)) for k in ["a"] * 400 + ["b"] * 20 + [None] * 30] + [("c", 5), ("c", 5), ("d", None)]
+    df = spark.createDataFrame(rows, "k string, us long").select("k", F.timestamp_micros("us").alias("t")).repartition(3)
+    got = sorted((str(x.key), x.us) for x in ingest.throttle_batch(df, "k", "t", gap_us=300, block_us=block).collect())
+    want = []
+    for k in {k for k, _ in rows}:
+        last = None
+        for us in sorted(us for key, us in rows if key == k and us is not None):
+            if last is None or us - last >= 300:
+                want.append((str(k), us))
+                last = us
+    assert got == sorted(want)
+    assert ingest.throttle_batch(df.limit(0), "k", "t").count() == 0
+
+
 def test_stream_counts_leaks(spark, tmp_path):
     s = stream_of(spark, tmp_path, [(PAYLOAD,)], "json string")
     q = run(spark, ingest.observed_leaks(s, "logs", ["secret.token"], ["prompt.text"]), tmp_path, "observed")

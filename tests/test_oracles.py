@@ -46,4 +46,4 @@ def test_agrees_with_sql(spark, duck, name):
 
 def test_refresh_writes_every_mart(spark):
     log = QUERIES["s16_refresh_all"](spark, SF).collect()
-    assert len(log) == 13 and all(r.in_order and r.row_count > 0 for r in log)
+    assert len(log) == 21 and all(r.in_order and r.row_count > 0 for r in log)

@@ -27,14 +27,18 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm.scratch import fresh_path
-from loamline.llm.text import slices
+from loamline.llm.scratch import fresh_path, small_batches
+from loamline.llm.text import numbers, slices
 from loamline.llm.tokens import encoder
 
 MAGIC = b"LOAMTOK1"
 _HEAD = struct.Struct("<8Q")
 #: A select sample for every so many documents.
 SAMPLE = 64
+#: Bytes of text that a shard holds, about.
+SHARD_BYTES = 32 << 20
+#: Documents whose bounds are decoded at once, and tokens that are read at once unless a document has more.
+BLOCK, TOKENS = 4096, 500_000
 
 
 @dataclass
@@ -84,23 +88,36 @@ class EliasFano:
         place = word * 64 + (now & -now).bit_length() - 1
         return ((place - k) << self.low_bits) | self._low(k)
 
-    def values(self) -> np.ndarray:
-        """All values at once."""
-        ones = np.flatnonzero(np.unpackbits(self.high.view(np.uint8), bitorder="little"))[: self.n]
-        out = (ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.low_bits)
+    def select_block(self, first: int, last: int) -> np.ndarray:
+        """The values from ``first`` to before ``last``: from the sample before, only the words that hold these ones are unpacked."""
+        first, last = max(0, first), min(last, self.n)
+        if first >= last:
+            return np.zeros(0, np.int64)
+        word = int(self.samples[first // SAMPLE]) // 64
+        after = (last - 1) // SAMPLE + 1
+        end = int(self.samples[after]) // 64 + 1 if after < len(self.samples) else len(self.high)
+        ones = np.flatnonzero(np.unpackbits(self.high[word:end].view(np.uint8), bitorder="little")) + word * 64
+        # the sampled one is the first at or after its place; ones before it in its word belong to earlier values
+        at = int(np.searchsorted(ones, int(self.samples[first // SAMPLE]))) + first % SAMPLE
+        k = np.arange(first, last)
+        out = (ones[at : at + last - first] - k).astype(np.uint64) << np.uint64(self.low_bits)
         if self.low_bits:
-            flat = np.unpackbits(self.low.view(np.uint8), bitorder="little")[: self.n * self.low_bits].reshape(self.n, self.low_bits)
-            out |= (flat.astype(np.uint64) << np.arange(self.low_bits, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+            place = k.astype(np.uint64) * np.uint64(self.low_bits)
+            word, shift = (place >> np.uint64(6)).astype(np.int64), place & np.uint64(63)
+            low = self.low[word] >> shift
+            over = shift + np.uint64(self.low_bits) > np.uint64(64)
+            low[over] |= self.low[word[over] + 1] << (np.uint64(64) - shift[over])
+            out |= low & np.uint64((1 << self.low_bits) - 1)
         return out.astype(np.int64)
 
 
-def shard_head(doc_ids: list[int | None], ends: np.ndarray, width: int) -> bytes:
-    """All of a shard file but its ids."""
+def shard_head(doc_ids: np.ndarray, known: np.ndarray, ends: np.ndarray, width: int) -> bytes:
+    """All of a shard file but its ids; ``known`` tells which doc_ids are not null."""
     n, tokens = len(doc_ids), int(ends[-1]) if len(ends) else 0
     ef = EliasFano.encode(ends, tokens + 1)
     head = _HEAD.pack(n, tokens, width, ef.low_bits, len(ef.high), len(ef.low), len(ef.samples), 0)
-    known = np.packbits(np.array([x is not None for x in doc_ids], np.uint8), bitorder="little").tobytes()
-    return MAGIC + head + ef.high.tobytes() + ef.low.tobytes() + ef.samples.tobytes() + np.array([x or 0 for x in doc_ids], np.int64).tobytes() + known
+    given = np.packbits(known.astype(np.uint8), bitorder="little").tobytes()
+    return MAGIC + head + ef.high.tobytes() + ef.low.tobytes() + ef.samples.tobytes() + doc_ids.astype("<i8").tobytes() + given
 
 
 class Shard:
@@ -122,27 +139,37 @@ class Shard:
         """Start and end of document ``k``."""
         return (self.ends.select(k - 1) if k else 0), self.ends.select(k)
 
+    def cuts(self, first: int, last: int) -> np.ndarray:
+        """Where the documents from ``first`` to before ``last`` begin, and where the last of them ends."""
+        before = self.ends.select(first - 1) if first else 0
+        return np.concatenate(([before], self.ends.select_block(first, last)))
+
     def ids(self, start: int, end: int) -> np.ndarray:
         self.file.seek(self.data + start * self.width)
         return np.frombuffer(self.file.read((end - start) * self.width), self.dtype)
 
 
 def _open(uri: str):
-    system, path = fs.FileSystem.from_uri(uri)
-    return system, path
+    """The file system and path of a folder's URI, under the names that Spark's readers use, too."""
+    kind, mark, rest = uri.partition("://")
+    return fs.FileSystem.from_uri({"s3a": "s3", "s3n": "s3", "abfss": "abfs", "wasbs": "abfs"}.get(kind, kind) + mark + rest)
 
 
-def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None, *, end: int = 1, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Encode every whole text and write shards in ascending doc_id order; returns the manifest.
+def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None, *, end: int = 1, doc_id: str = "doc_id", text: str = "text", shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """Encode every whole text and write shards of about ``shard_bytes`` of text in ascending doc_id order; returns the manifest.
 
     The manifest (shard, path, documents, tokens) names the files of the attempts that succeeded: a
-    lost executor's half-written file is named by no row. Shards are ordered by ``shard``.
+    lost executor's half-written file is named by no row. Shards are ordered by ``shard``. Rows that repeat both doc_id
+    and text stand in one shard, which streams through its task.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     root = folder or fresh_path(spark, "tokens")
     ordered = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
+    size = ordered.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n")).first()
+    shards = max(1, ((size["bytes"] or 0) + 8 * size["n"]) // shard_bytes + 1)
     keys = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
-    ordered = ordered.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ordered = ordered.repartitionByRange(shards, *keys).sortWithinPartitions(*keys)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -152,7 +179,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
         shard = TaskContext.get().partitionId()
         name = f"{base}/part-{shard:06d}-{uuid.uuid4().hex}"
         system.create_dir(base, recursive=True)
-        ids, ends, total, width = [], [], 0, np.dtype(encode.dtype).itemsize
+        ids, known, ends, total, width = [], [], [], 0, np.dtype(encode.dtype).itemsize
         # the head stands before the ids but is known after them: ids go to a file of their own first
         with system.open_output_stream(name + ".ids") as out:
             for batch in batches:
@@ -161,15 +188,18 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
                     offsets, found = encode.encode(pc.fill_null(part, ""), end)
                     out.write(found.astype(f"<u{width}").tobytes())
                     ends.append(total + offsets[1:])
-                    ids += batch.column("id").slice(at, len(part)).to_pylist()
+                    own = batch.column("id").slice(at, len(part))
+                    ids.append(numbers(pc.fill_null(own, 0)))
+                    known.append(pc.is_valid(own).to_numpy(zero_copy_only=False))
                     at += len(part)
                     total += len(found)
         if ids:
             with system.open_output_stream(name + ".tok") as out, system.open_input_stream(name + ".ids") as back:
-                out.write(shard_head(ids, np.concatenate(ends), width))
+                out.write(shard_head(np.concatenate(ids), np.concatenate(known), np.concatenate(ends), width))
                 while block := back.read(4 << 20):
                     out.write(block)
-            yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [f"{root}/{name.rsplit('/', 1)[1]}.tok"], "documents": [len(ids)], "tokens": [total]})
+            row = {"shard": [shard], "path": [f"{root}/{name.rsplit('/', 1)[1]}.tok"], "documents": [sum(map(len, ids))], "tokens": [total]}
+            yield pa.RecordBatch.from_pydict(row)
         system.delete_file(name + ".ids")
 
     written = ordered.mapInArrow(write, "shard bigint, path string, documents bigint, tokens bigint")
@@ -178,10 +208,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
     return spark.read.schema(written.schema).parquet(manifest)
 
 
-def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32, ids) of every document, from the shard files.
+def read_token_files(spark: SparkSession, manifest: DataFrame, *, with_ids: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32, ids) of every document, from the shard files; ``ids`` only if asked for.
 
-    One row per shard goes through the driver, to give each shard its start and each file a task.
+    One row per shard goes through the driver, to give each shard its start and each file a task. Where documents begin
+    and end comes from select, a block of documents at a time.
     """
     shards = manifest.orderBy("shard", "path").collect()
     start, rows = 0, []
@@ -189,7 +220,7 @@ def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
         rows.append((x["path"], start))
         start += x["tokens"]
     files = spark.createDataFrame(rows, "path string, start long").repartition(max(1, len(rows)), "path")
-    kind = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids array<bigint>"
+    kind = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + (", ids array<bigint>" if with_ids else "")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,21 +228,21 @@ def read_token_files(spark: SparkSession, manifest: DataFrame) -> DataFrame:
                 system, name = _open(path)
                 with system.open_input_file(name) as file:
                     shard = Shard(file)
-                    ends = shard.ends.values()
-                    begins = np.concatenate(([0], ends[:-1]))
-                    at = 0
-                    while at < len(ends):
-                        to = max(at + 1, int(np.searchsorted(ends, begins[at] + 500_000, "right")))
-                        block = shard.ids(int(begins[at]), int(ends[to - 1])).astype("<u4")
-                        cut = np.concatenate(([0], ends[at:to] - begins[at]))
-                        crc = [zlib.crc32(block[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array(shard.doc_ids[at:to], pa.int64(), mask=~shard.known[at:to]), pa.array(first + begins[at:to]), pa.array(np.diff(cut)),
-                                pa.array(crc, pa.int64()), pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(block, pa.int64())),
-                            ],
-                            ["doc_id", "start", "n_tokens", "ids_crc32", "ids"],
-                        )
-                        at = to
+                    for block in range(0, shard.ends.n, BLOCK):
+                        cuts = shard.cuts(block, min(block + BLOCK, shard.ends.n))
+                        at = 0
+                        while at + 1 < len(cuts):
+                            to = max(at + 1, int(np.searchsorted(cuts, cuts[at] + TOKENS, "right")) - 1)
+                            ids = shard.ids(int(cuts[at]), int(cuts[to])).astype("<u4")
+                            own = cuts[at : to + 1] - cuts[at]
+                            crc = [zlib.crc32(ids[a:b]) for a, b in zip(own[:-1].tolist(), own[1:].tolist(), strict=True)]
+                            docs = slice(block + at, block + to)
+                            columns = {
+                                "doc_id": pa.array(shard.doc_ids[docs], pa.int64(), mask=~shard.known[docs]), "start": pa.array(first + cuts[at:to]), "n_tokens": pa.array(np.diff(own)), "ids_crc32": pa.array(crc, pa.int64()),
+                            }
+                            if with_ids:
+                                columns["ids"] = pa.ListArray.from_arrays(pa.array(own, pa.int32()), pa.array(ids, pa.int64()))
+                            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+                            at = to
 
     return files.mapInArrow(read, kind)

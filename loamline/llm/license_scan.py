@@ -1,16 +1,21 @@
 """License scans: a generalised suffix automaton over the words of licence templates.
 
 Each document's words stream through the automaton, which yields matching statistics (the longest
-stretch of words, ending here, that occurs in some template). Maximal stretches are chained in
-order into covered spans of a template; a template is reported if a chain covers enough of it.
+stretch of words, ending here, that occurs in some template). Maximal stretches are chained into covered
+spans of a template: a chain's stretches stand in the same order in the template and in the text and share no
+word of either, and of all chains those that cover most are taken. A template is reported if a chain covers enough of it.
 Only runs of words that templates know are streamed: any other word resets the automaton.
 
+Of the places of a stretch in a template the first and the last count, so that a state holds two numbers per
+template, however often it repeats itself.
+
 Defined results: a null or empty text has no words, no places, score 0 and empty labels; repeated
 rows and doc_ids are scanned each by itself; no rows give no rows; other columns stay untouched.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Mapping
 
 import numpy as np
@@ -64,13 +69,14 @@ class SuffixAutomaton:
 
     def __init__(self) -> None:
         self.length, self.link, self.next = [0], [-1], [{}]
-        self.ends: list[set[tuple[int, int]]] = [set()]
+        #: Of each state the templates that its stretches occur in, with their first and last end there.
+        self.ends: list[dict[int, tuple[int, int]]] = [{}]
 
     def _state(self, length: int, link: int, following: dict) -> int:
         self.length.append(length)
         self.link.append(link)
         self.next.append(following)
-        self.ends.append(set())
+        self.ends.append({})
         return len(self.length) - 1
 
     def _extend(self, last: int, word: int) -> int:
@@ -101,13 +107,18 @@ class SuffixAutomaton:
         last = 0
         for at, word in enumerate(words):
             last = self._extend(last, word)
-            self.ends[last].add((number, at))
+            self._ends_at(last, number, at, at)
+
+    def _ends_at(self, state: int, number: int, first: int, last: int) -> None:
+        known = self.ends[state].get(number, (first, last))
+        self.ends[state][number] = (min(first, known[0]), max(last, known[1]))
 
     def finish(self) -> None:
-        """Hand each state's places down its links: afterwards a state knows all ends of its stretches."""
+        """Hand each state's places down its links: afterwards a state knows the first and last ends of its stretches."""
         for v in sorted(range(1, len(self.length)), key=self.length.__getitem__, reverse=True):
             if self.link[v] > 0:
-                self.ends[self.link[v]] |= self.ends[v]
+                for number, (first, last) in self.ends[v].items():
+                    self._ends_at(self.link[v], number, first, last)
 
     def statistics(self, words: list[int]) -> tuple[list[int], list[int]]:
         """Matching statistics: per word the state and the length of the longest stretch that ends there."""
@@ -146,7 +157,7 @@ class Scanner:
             self.sequences.append(ids)
             self.names.append(label)
         #: Per state the phrases that end there, with their lengths: its own and those that its links know.
-        self.phrase_ends = [[(s, len(self.sequences[s])) for s, at in sorted(ends) if s in self.phrase and at == len(self.sequences[s]) - 1] for ends in self.automaton.ends]
+        self.phrase_ends = [[(s, len(self.sequences[s])) for s, (_, last) in sorted(ends.items()) if s in self.phrase and last == len(self.sequences[s]) - 1] for ends in self.automaton.ends]
         for v in sorted(range(1, len(self.phrase_ends)), key=self.automaton.length.__getitem__):
             self.phrase_ends[v] += self.phrase_ends[self.automaton.link[v]]
         self.automaton.finish()
@@ -160,31 +171,21 @@ class Scanner:
                 if k <= n:
                     places.append((start + i - k + 1, self.phrase[s]))
             if n >= self.shortest and (i + 1 == len(words) or lengths[i + 1] <= n):
-                for s, at in self.automaton.ends[v]:
-                    if s not in self.phrase and at + 1 >= n:
-                        matches.append((s, at + 1 - n, start + i - n + 1, n))
+                for s, ends in self.automaton.ends[v].items():
+                    if s not in self.phrase:
+                        for at in {x for x in ends if x + 1 >= n}:
+                            matches.append((s, at + 1 - n, start + i - n + 1, n))
 
     def chains(self, matches: list) -> list[tuple[int, int, int, float]]:
-        """Spans (template, first word, last word, covered share): stretches in template order, close in the text."""
+        """Spans (template, first word, last word, covered share) of the chains that cover most, which share no words of the text."""
         found = []
-        by: dict[int, list] = {}
+        by: dict[int, set] = {}
         for s, a, b, n in matches:
-            by.setdefault(s, []).append((b, a, n))
-        for s, list_ in by.items():
-            size, chain = len(self.sequences[s]), []
-            for b, a, n in sorted(list_):
-                if chain and a >= chain[-1][1] + chain[-1][2] and b - (chain[-1][0] + chain[-1][2]) <= size:
-                    chain.append((b, a, n))
-                    continue
-                found += self._span(s, chain, size)
-                chain = [(b, a, n)]
-            found += self._span(s, chain, size)
+            by.setdefault(s, set()).add((b, a, n))
+        for s, listed in by.items():
+            found += _spans(s, sorted(listed), len(self.sequences[s]))
         return found
 
-    @staticmethod
-    def _span(s: int, chain: list, size: int) -> list[tuple[int, int, int, float]]:
-        return [(s, chain[0][0], chain[-1][0] + chain[-1][2] - 1, sum(n for *_, n in chain) / size)] if chain else []
-
     def scan(self, text: pa.Array) -> pa.Array:
         """The result struct of each of the null-free texts."""
         w = words_of(alnum_ascii(text))
@@ -220,6 +221,41 @@ class Scanner:
         }
 
 
+def _spans(template: int, stretches: list[tuple[int, int, int]], size: int) -> list[tuple[int, int, int, float]]:
+    """Chains over (place in the text, place in the template, words), sorted: the best first, then the best of those that share no words of the text with it.
+
+    A chain goes on to a stretch that begins behind its last one in both, at most a template's length further on in the text;
+    where two overlap, the words that they share count once.
+    """
+    covered, before = [n for _, _, n in stretches], [-1] * len(stretches)
+    for j, (b, a, n) in enumerate(stretches):
+        for i in range(j - 1, -1, -1):
+            pb, pa_, pn = stretches[i]
+            if b - pb > 2 * size:  # stretches are no longer than the template: none further back is near enough
+                break
+            shared = max(pb + pn - b, pa_ + pn - a, 0)
+            if pb < b and pa_ < a and shared < n and b + n > pb + pn and a + n > pa_ + pn and b - pb - pn <= size and covered[i] + n - shared > covered[j]:
+                covered[j], before[j] = covered[i] + n - shared, i
+    found, firsts, lasts = [], [], []  # places of what is taken, in order of the text
+
+    def free(first: int, last: int) -> bool:
+        at = bisect_right(firsts, last)
+        return not at or lasts[at - 1] < first
+
+    for at in sorted(range(len(stretches)), key=lambda j: (-covered[j], stretches[j][0])):
+        last = stretches[at][0] + stretches[at][2] - 1
+        if not free(stretches[at][0], last):
+            continue
+        first = at
+        while before[first] >= 0 and free(stretches[before[first]][0], last):
+            first = before[first]
+        start = stretches[first][0]
+        found.append((template, start, last, (covered[at] - covered[first] + stretches[first][2]) / size))
+        place = bisect_right(firsts, start)
+        firsts.insert(place, start), lasts.insert(place, last)
+    return found
+
+
 def _in_vocabulary(names: pa.Array, vocabulary: Mapping[str, int]) -> list:
     """The distinct words with nulls for all that no template has."""
     known = pc.is_in(names, pa.array(list(vocabulary), names.type))

@@ -6,12 +6,14 @@ largest key is the response; the others are revisit records, which hold the HTTP
 and refer to it. ``read_warc`` parses records of any WARC file by their Content-Length.
 ``assemble`` joins records of a transaction by concurrent-to into one nested row per capture.
 
-Archives are gzip files of a bounded number of captures, written and read by Spark's own sources, so a
-failed task leaves no half archive behind.
+Archives are gzip files of bounded size, written and read by Spark's own sources, so a failed task leaves no half
+archive behind: captures are written in classes by their size, and the larger they are the fewer share a file.
+A file is one gzip member, so its records are read in order.
 
 Defined results: a null payload counts as empty; a null url is written empty, line breaks in it as
 %0A; a null key counts as the smallest; repeated rows are captures of their own, of which one is the
-response; records without a partner give null or empty fields; no rows give no archive and no rows.
+response; records without a partner give null or empty fields, each one without any id a row of its own; no rows give
+no archive and no rows.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 from loamline.llm.scratch import fresh_path, materialize
 
 REVISIT_BYTES = 1000
-CAPTURES_PER_FILE = 2000
+#: Payload bytes up to which captures are of a class, and how many of them share a file: 128 MB at most, or one capture.
+CLASSES = ((1 << 16, 2000), (1 << 20, 128), (1 << 24, 8), (None, 1))
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _CRLF = "\r\n"
 
@@ -77,9 +80,17 @@ def write_warc(pages: DataFrame, path: str, *, key: str = "page_id", url: str =
     request = _record("request", name(F.col("key"), F.col("n"), "request"), [uri, beside], "application/http;msgtype=request", asked, date)
     facts = F.concat(F.lit("capture-key: "), F.coalesce(F.col("key").cast("string"), F.lit("")), F.lit(_CRLF))
     metadata = _record("metadata", name(F.col("key"), F.col("n"), "metadata"), [uri, beside], "application/warc-fields", facts, date)
-    lines = rows.select(F.concat(request, F.lit(_CRLF * 2), main, F.lit(_CRLF * 2), metadata).alias("value"))
-    # a record ends with two line ends, which the writer puts after each row
-    lines.write.option("lineSep", _CRLF * 2).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", CAPTURES_PER_FILE).text(path)
+    lines = rows.select("bytes", F.concat(request, F.lit(_CRLF * 2), main, F.lit(_CRLF * 2), metadata).alias("value"))
+    longest = rows.agg(F.max("bytes")).first()[0]
+    least = 0
+    for most, share in CLASSES:
+        if least > (longest or 0):  # the first class makes the folder, even without rows
+            break
+        some = F.col("bytes") >= least if most is None else F.col("bytes").between(least, most - 1)
+        # a record ends with two line ends, which the writer puts after each row
+        part = lines.where(some).select("value").write.option("lineSep", _CRLF * 2).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+        part.option("maxRecordsPerFile", share).mode("append").text(path)
+        least = most
 
 
 def parse_records(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -168,7 +179,12 @@ def assemble(records: DataFrame) -> DataFrame:
     keyed = records.withColumn("capture_id", F.when(main, F.col("record_id")).otherwise(F.coalesce("concurrent_to", "record_id")))
     whole = F.struct(*[F.col(c) for c in records.columns if c != "capture_id"])
     part = lambda kind: F.collect_list(F.when(F.col("record_type") == kind, whole))
-    return keyed.groupBy("capture_id").agg(F.first(F.when(main, whole), ignorenulls=True).alias("response"), part("request").alias("requests"), part("metadata").alias("metadata"))
+    met = keyed.where("capture_id IS NOT NULL").groupBy("capture_id").agg(
+        F.first(F.when(main, whole), ignorenulls=True).alias("response"), part("request").alias("requests"), part("metadata").alias("metadata")
+    )
+    alone = lambda kind: F.array_compact(F.array(F.when(F.col("record_type") == kind, whole)))
+    lone = keyed.where("capture_id IS NULL").select("capture_id", F.when(main, whole).alias("response"), alone("request").alias("requests"), alone("metadata").alias("metadata"))
+    return met.unionByName(lone)
 
 
 def archive(pages: DataFrame, **options) -> DataFrame:

@@ -6,9 +6,9 @@ all ways to cut it into pieces, by forward recursion in log space; a text's is t
 Pieces are byte strings and every single byte is a piece, so each text has a probability.
 Very long words are taken place by place, in time that grows with their length.
 
-Texts are read once, in chunks of a few megabytes. A chunk keeps each of its distinct words once; words
-of all chunks meet in one shuffle that counts them and takes them to the model, and
-the answers go back to their chunk, so a frequent word costs one row a chunk, not one a document.
+Texts are read once, in chunks of a few megabytes. A chunk keeps each of its distinct words once, so a frequent
+word costs one row a chunk, not one a document. Counts are summed in parts, the model sees each distinct word
+once, and its answers are joined back to the words' chunks; Spark can split the join at a word that very many chunks have.
 
 Defined results: a null text counts as empty, it holds the end only; a null doc_id counts as the
 empty id when documents are held out; repeated rows and doc_ids are scored each by itself; without
@@ -26,7 +26,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from loamline.llm.scratch import materialize
 from loamline.llm.text import lower_ascii, slices, words_of
@@ -299,22 +298,18 @@ def scored(docs: DataFrame, held_out: Column, path: str, *, doc_id: str = "doc_i
     n_all, ends = totals["n"] or 0, totals["ends"] or 0
 
     listed = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "train")).alias("pos", "x")).select(F.col("x.words").alias("word"), "chunk", "pos", F.col("x.train").alias("train"))
-    same = Window.partitionBy("word")
-    met = listed.select("word", "chunk", "pos", F.sum("train").over(same).alias("c"), (F.min("chunk").over(same) == F.col("chunk")).alias("first"))
-    met = materialize(met, "words")
-    known = met.where("first AND c > 0").select("word", "c")
+    counted = materialize(listed.groupBy("word").agg(F.sum("train").alias("c")), "counts")
+    known = counted.where("c > 0")
     v = known.count() + (1 if ends else 0)
     lattice = fit(known, ends, path, rounds=rounds)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _in_bulk(batches):
-            coded = t["word"].combine_chunks().dictionary_encode()
-            coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
-            value = lattice.log_marginals(coded.dictionary.cast(pa.binary()).to_pylist())[coded.indices.to_numpy()]
-            columns = [t[c].combine_chunks() for c in ("chunk", "pos", "c")]
-            yield pa.RecordBatch.from_arrays([*(x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in columns), pa.array(value)], ["chunk", "pos", "c", "value"])
+            value = lattice.log_marginals(t["word"].cast(pa.binary()).to_pylist())
+            yield from pa.table({"word": t["word"], "c": t["c"], "value": value}).to_batches()
 
-    answers = met.select("word", "chunk", "pos", "c").mapInArrow(answer, "chunk bigint, pos int, c bigint, value double")
+    answered = counted.mapInArrow(answer, "word string, c bigint, value double")
+    answers = listed.select("word", "chunk", "pos").join(answered, "word").select("chunk", "pos", "c", "value")
     floor = float(np.log10(n_all + 0.5 * (v + 1)))
     end_base, end_value = float(np.log10(ends + 0.5)), lattice.log_end
 

@@ -297,7 +297,7 @@ def scored(docs: DataFrame, held_out: Column, path: str, *, doc_id: str = "doc_i
     totals = chunks.agg(F.sum(learned).alias("n"), F.sum(F.size(F.filter("held", lambda x: ~x))).alias("ends")).first()
     n_all, ends = totals["n"] or 0, totals["ends"] or 0
 
-    listed = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "train")).alias("pos", "x")).select(F.col("x.words").alias("word"), "chunk", "pos", F.col("x.train").alias("train"))
+    listed = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "train")).alias("pos", "x")).select(F.col("x.words").alias("word"), F.col("chunk").alias("of"), "pos", F.col("x.train").alias("train"))
     counted = materialize(listed.groupBy("word").agg(F.sum("train").alias("c")), "counts")
     known = counted.where("c > 0")
     v = known.count() + (1 if ends else 0)
@@ -309,7 +309,7 @@ def scored(docs: DataFrame, held_out: Column, path: str, *, doc_id: str = "doc_i
             yield from pa.table({"word": t["word"], "c": t["c"], "value": value}).to_batches()
 
     answered = counted.mapInArrow(answer, "word string, c bigint, value double")
-    answers = listed.select("word", "chunk", "pos").join(answered, "word").select("chunk", "pos", "c", "value")
+    answers = listed.select("word", "of", "pos").join(answered, "word").select("of", "pos", "c", "value")
     floor = float(np.log10(n_all + 0.5 * (v + 1)))
     end_base, end_value = float(np.log10(ends + 0.5)), lattice.log_end
 
@@ -340,4 +340,4 @@ def scored(docs: DataFrame, held_out: Column, path: str, *, doc_id: str = "doc_i
 
     kind = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     blobs = chunks.select("chunk", "doc_id", "held", "n_words", "starts", "word", "times")
-    return blobs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(add, kind)
+    return blobs.groupBy("chunk").cogroup(answers.groupBy("of")).applyInArrow(add, kind)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import io
+import math
 import zlib
 from collections import defaultdict
 from pathlib import Path
@@ -19,7 +20,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 import public_tokenizers
-from loamline.llm import media, mixing, packing, queries, token_store, tokens, warc
+from loamline.llm import media, mixing, packing, queries, scratch, token_store, tokens, warc
 
 from .conftest import ODD, SF
 
@@ -35,7 +36,7 @@ def ids_of(t: str | None) -> np.ndarray:
 
 
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(alphabet=st.one_of(st.characters(), st.sampled_from(list("abcdeE .,!'<|>0\nİ́é"))), max_size=40), max_size=4))
+@given(st.lists(st.text(alphabet=st.one_of(st.characters(exclude_categories=["Cs"]), st.sampled_from(list("abcdeE .,!'<|>0\nİ́é"))), max_size=40), max_size=4))
 def test_chunks_encode_as_the_library_does(found):
     offsets, ids = tokens.encoder(PATH).encode(pa.array(found, pa.string()), 1)
     assert [ids[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:], strict=True)] == [ids_of(t).tolist() for t in found]
@@ -46,7 +47,9 @@ def test_chunks_encode_as_the_library_does(found):
 def test_elias_fano_round_trip(steps, more):
     values = np.cumsum(steps)
     ef = token_store.EliasFano.encode(values, int(values[-1]) + 1 + more)
-    assert ef.values().tolist() == values.tolist() and [ef.select(k) for k in range(len(values))] == values.tolist()
+    assert ef.select_block(0, len(values)).tolist() == values.tolist() and [ef.select(k) for k in range(len(values))] == values.tolist()
+    for first, last in ((0, 1), (len(values) // 3, len(values) // 2 + 1), (len(values) - 1, len(values) + 5), (63, 64), (64, 130)):
+        assert ef.select_block(first, last).tolist() == values[first:last].tolist()
 
 
 def test_elias_fano_is_small():
@@ -171,6 +174,56 @@ def test_mixing_caps_and_odd_rows(spark, odd, empty):
     assert mixing.with_mix(empty, "m").count() == 0
 
 
+def test_mixing_takes_repeated_rows_one_by_one(spark):
+    rows = [(1, "one two three four five six seven eight nine ten", "a")] * 1000 + [(2, "x " * 10, "b")] * 400
+    out = mixing.with_mix(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5), "m").collect()
+    want = plain_targets({"a": 10_000, "b": 4_000})
+    for s in want:
+        assert abs(sum(r.m.taken for r in out if r.source == s) - want[s]) <= 10
+    assert len(out) == 1400 and {r.m.copies for r in out if r.source == "a"} == {0, 1} and max(r.m.copies for r in out) <= 3
+
+
+def test_mixing_equals_plain_pareto_sampling(spark, docs):
+    """The documents that are taken, by plain sorting of ranks drawn from the same random numbers."""
+    word = mixing.word_count(F.col("text"))
+    u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.xxhash64("text"), F.lit(7), F.lit(0).cast("long")), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
+    rows = docs.select("doc_id", "source", word.alias("n"), u.alias("u")).collect()
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r.source] += r.n
+    targets, want = plain_targets(sizes), {}
+    for s, target in targets.items():
+        own = [r for r in rows if r.source == s and r.n]
+        words = defaultdict(int)
+        for r in own:
+            words[r.n.bit_length()] += r.n
+        share, open_, left = {}, set(words), target
+        while open_:  # shares by bit length times words, at most thrice the words
+            level = left / sum(b * words[b] for b in open_)
+            over = {b for b in open_ if b * level >= 3}
+            share |= {b: 3.0 * words[b] for b in over} if over else {b: b * words[b] * level for b in open_}
+            left -= sum(share[b] for b in over)
+            open_ = open_ - over if over else set()
+        copies = {b: share[b] / words[b] for b in words}
+        certain = {b: math.floor(c + 1e-12) for b, c in copies.items()}
+        pi = {b: copies[b] - certain[b] for b in copies}
+        lack = sum(share[b] - certain[b] * words[b] for b in words)
+        rank = lambda r: (o := r.u / (1 - r.u) * (1 - (p := pi[r.n.bit_length()])) / p) / (1 + o)  # noqa: E731, B023
+        drawn = sorted((rank(r), r.doc_id, r) for r in own if pi[r.n.bit_length()] > 1e-12)
+        head, total = set(), 0
+        for _, i, r in drawn:
+            if total + r.n > lack:
+                break
+            head.add(i)
+            total += r.n
+        gap = lack - total
+        rest = [(abs(r.n - gap), k, i) for k, i, r in drawn if i not in head and r.n < 2 * gap]
+        head |= {min(rest)[2]} if rest else set()
+        want |= {r.doc_id: certain[r.n.bit_length()] + (r.doc_id in head) for r in own}
+    got = {r.doc_id: r.m.copies for r in mixing.with_mix(docs, "m", keep=["doc_id"]).collect()}
+    assert {i: got[i] for i in want} == want and all(not k for i, k in got.items() if i not in want)
+
+
 # --- WARC ------------------------------------------------------------------------------------
 
 
@@ -207,29 +260,88 @@ def test_warc_query_and_no_rows(spark, pages):
     assert warc.assemble(warc.archive(pages.limit(0))).count() == 0
 
 
+def test_warc_sizes_odd_records_and_ids(spark, tmp_path):
+    rows = [(1, "http://a", "x" * (3 << 20)), (2, "http://b", "y" * (70 << 10)), (3, "http://c", "z"), (4, "http://c", "w" * (17 << 20))]
+    path = f"file://{tmp_path}/warc"
+    warc.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string"), path)
+    records = warc.read_warc(spark, path)
+    got = warc.assemble(records)
+    assert sorted((int(r.metadata[0].fields["capture-key"]), r.response.payload_bytes) for r in got.collect()) == [(i, len(t)) for i, _, t in rows]
+    nameless = records.withColumns({"record_id": F.lit(None).cast("string"), "concurrent_to": F.lit(None).cast("string")})
+    lone = warc.assemble(nameless).collect()
+    assert len(lone) == 12 and sum(r.response is not None for r in lone) == 4 and sum(len(r.requests) for r in lone) == 4
+
+
 # --- images ----------------------------------------------------------------------------------
 
 
+def pictures(spark, vectors):
+    """Drawn vectors as a written table with a number for each row."""
+    drawn = media.drawn(spark.createDataFrame(vectors, "image_id long, v array<double>"))
+    return scratch.materialize(drawn.withColumns({"picture": F.monotonically_increasing_id(), "image_class": media.class_of()}))
+
+
+def described(df):
+    return scratch.materialize(media.describe(df))
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(i, bytearray(np.rint(p).astype(np.uint8).tobytes()), p.shape[1]) for i, p in rows], "picture long, pixels binary, width int")
+
+
+def vector(rng):
+    return [float(x) for x in rng.normal(size=64)]
+
+
 def test_copies_found_and_others_not(spark):
     out = queries.op5_media(spark, SF).collect()
     e = {r.vec_id: np.array(r.embedding) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()}
-    assert {r.image_id for r in out} == {i for i in e if i % 20 == 0}
-    hit = [r for r in out if r.match_id is not None]
+    assert sorted(r.image_id for r in out) == sorted(e)
+    asked = [r for r in out if r.found is not None]
+    assert {r.image_id for r in asked} == {i for i in e if i % 20 == 0} and sum(r.found > 0 and r.finders > 0 for r in asked) >= 0.95 * len(asked)
     cosine = lambda a, b: a @ b / np.linalg.norm(a) / np.linalg.norm(b)
-    assert len(hit) >= 0.95 * len(out) and all(r.match_id == r.query_id or cosine(e[r.match_id], e[r.query_id]) > 0.9 for r in hit)
+    assert all(cosine(e[r.finder_id], e[r.image_id]) > 0.9 for r in out if r.finders)
+    assert all(r.copies_id <= r.image_id and cosine(e[r.copies_id], e[r.image_id]) > 0.9 for r in out)
+
+
+def test_tables_find_what_comparing_all_corners_finds(spark):
+    """Recall against brute force, over edits from none to noise and odd turns, at a share of 0.9 at least."""
+    rng = np.random.default_rng(11)
+    vectors = [vector(rng) for _ in range(150)]
+    vectors += [[x + float(rng.normal()) * 0.05 * (i % 6) for x in vectors[i]] for i in range(100)]
+    all_ = pictures(spark, list(enumerate(vectors)))
+    a, q = described(all_), described(media.edited(all_.where("picture % 3 = 0")))
+    got = {(r.query_id, r.match_id) for r in media.matches(q, a).collect()}
+    left, right = ([(r.picture, bytes(r.corners)) for r in x.collect()] for x in (q, a))
+    want = {(int(i), int(j)) for x in left for columns in media.verified([(x[1], y[1]) for y in right]) for i, j in zip(columns[0], columns[1], strict=True)}
+    assert got <= want and len(want) > len(left) and len(got) >= 0.9 * len(want)
+
+
+def test_keys_grow_with_the_corners():
+    rng = np.random.default_rng(5)
+    r = np.zeros(20_000, media.RECORD)
+    for d in ("d0", "d1"):
+        r[d] = rng.integers(-(2**63), 2**63, len(r))
+    lengths = [media.key_length(r, n) for n in (10, 10**4, 10**6, 10**9, 10**12)]
+    assert lengths == sorted(lengths) and lengths[0] < lengths[2] < lengths[4] <= 64
+    assert media.key_length(r[:0], 10**6) == 8 and media.table_count(40) > media.table_count(8) >= 4
+    r["d0"] = r["d1"] = 5  # all alike: no key is long enough
+    assert media.key_length(r, 10**6) == 64
 
 
 def test_exact_copies_are_one_class_and_odd_images(spark):
     rng = np.random.default_rng(2)
-    v = [[float(x) for x in rng.normal(size=64)] for _ in range(3)]
-    vectors = spark.createDataFrame([(0, v[0]), (1, v[1]), (2, v[0]), (3, None), (4, [None, 1.0])], "image_id long, v array<double>")
-    images = media.drawn(vectors).cache()
-    sizes = sorted(r.members for r in media.classes(images).collect())
-    assert sizes == [1, 1, 1, 2]
-    found = media.matches(media.describe(media.edited(images)), media.describe(images)).collect()
-    assert {(r.query_id, r.match_id) for r in found} == {(0, 0), (0, 2), (1, 1), (2, 0), (2, 2)}
-    tiny = spark.createDataFrame([(1, bytearray(9), 3), (2, bytearray(b""), 0), (3, bytearray(5), 3), (None, None, None)], "image_id long, pixels binary, width int")
+    v = [vector(rng) for _ in range(3)]
+    images = pictures(spark, [(0, v[0]), (1, v[1]), (2, v[0]), (3, None), (4, [None, 1.0])])
+    sizes = sorted((r.image_id, r.members, r.shown) for r in media.classes(images).collect())
+    assert sizes == [(0, 2, True), (1, 1, True), (3, 1, False), (4, 1, True)]
+    name = {r.picture: r.image_id for r in images.collect()}
+    found = media.matches(described(media.edited(images)), described(images)).collect()
+    assert {(name[r.query_id], name[r.match_id]) for r in found} == {(0, 0), (0, 2), (1, 1), (2, 0), (2, 2)}
+    tiny = spark.createDataFrame([(1, bytearray(9), 3), (2, bytearray(b""), 0), (3, bytearray(5), 3), (None, None, None)], "picture long, pixels binary, width int")
     assert media.describe(tiny).count() == 0 and media.describe(tiny.limit(0)).count() == 0
+    none = described(tiny)
+    assert media.matches(none, none).count() == 0
 
 
 @pytest.mark.parametrize("n", [300, 6000])
@@ -248,30 +360,38 @@ def test_all_corners_within_the_radius_are_found(n):
     assert got == set(zip(*(x.tolist() for x in np.nonzero(apart <= 20)), strict=True))
 
 
-def test_copy_with_a_bit_changed_in_each_half(spark):
+def test_copies_with_bits_changed_in_each_half(spark):
     rng = np.random.default_rng(4)
-    vectors = spark.createDataFrame([(1, [float(x) for x in rng.normal(size=64)])], "image_id long, v array<double>")
-    all_corners = media.describe(media.drawn(vectors)).cache()
-    changed = all_corners.selectExpr("image_id", "x", "y", "scale", "turn", "d0 ^ 1 AS d0", "d1 ^ 1 AS d1")
-    assert [(r.query_id, r.match_id) for r in media.matches(changed, all_corners).collect()] == [(1, 1)]
-
-
-def test_all_matches_and_flat_exact_copies_are_returned(spark):
+    a = described(pictures(spark, [(i, vector(rng)) for i in range(20)]))
+    rows = []
+    for x in a.collect():
+        r = np.frombuffer(x.corners, media.RECORD).copy()
+        for d in ("d0", "d1"):
+            for b in rng.choice(64, 4, replace=False):
+                r[d] ^= np.int64(1) << np.int64(b)
+        rows.append((x.picture, bytearray(r.tobytes())))
+    changed = scratch.materialize(spark.createDataFrame(rows, "picture long, corners binary"))
+    assert {(r.query_id, r.match_id) for r in media.matches(changed, a).collect()} >= {(i, i) for i, _ in rows}
+
+
+def test_near_exact_flat_and_missing_copies(spark):
     rng = np.random.default_rng(6)
-    v = [float(x) for x in rng.normal(size=64)]
+    v = vector(rng)
     near = [x + 1e-2 for x in v]
-    rows = [(0, v), (1, v), (2, near), *[(i, [1.0] * 64) for i in (20, 21, 40)], (3, [float(x) for x in rng.normal(size=64)]), (60, None), (80, None)]
-    out = queries.copies_found(media.drawn(spark.createDataFrame(rows, "image_id long, v array<double>")).cache()).collect()
-    got = sorted((r.image_id, r.match_id, r.member_id, r.exact, r.class_size, r.inliers is not None) for r in out if r.match_id is not None)
-    assert {(r.image_id, r.query_id) for r in out if r.match_id is None} == {(60, 60), (80, 60)}
+    rows = [(0, v), (1, v), (2, near), *[(i, [1.0] * 64) for i in (20, 21, 40)], (3, vector(rng)), (60, None), (80, None), (100, vector(rng)), (100, v)]
+    drawn = media.drawn(spark.createDataFrame(rows, "image_id long, v array<double>"))
+    extra = drawn.withColumns({"picture": F.lit("taken"), "found": F.lit(1)}).select("image_id", "pixels", "width")
+    out = queries.copies_found(extra).collect()
+    got = sorted((r.image_id, r.first_id, r.class_size, r.copies_id, r.found if r.found is not None else -1, r.finders) for r in out)
+    # two pictures share the id 100: one is a copy of 0, and both are asked for
     assert got == [
-        (0, 0, 0, True, 2, True), (0, 0, 1, True, 2, False), (0, 2, 2, False, 1, True),
-        (20, 20, 20, True, 3, False), (20, 20, 21, True, 3, False), (20, 20, 40, True, 3, False), (40, 20, 20, True, 3, False),
+        (0, 0, 3, 0, 2, 1), (1, 0, 3, 0, -1, 1), (2, 2, 1, 0, -1, 1), (3, 3, 1, 3, -1, 0), (20, 20, 3, 20, 0, 0), (21, 20, 3, 20, -1, 0), (40, 20, 3, 20, 0, 0),
+        (60, 60, 2, 60, 0, 0), (80, 60, 2, 60, 0, 0), (100, 0, 3, 0, 2, 1), (100, 100, 1, 100, 1, 1),
     ]
 
 
 @pytest.mark.parametrize("degrees", [0, 17, 100])
-def test_half_size_crops_of_large_pictures_at_odd_turns(spark, degrees):
+def test_crops_of_large_pictures_at_odd_turns(spark, degrees):
     rng = np.random.default_rng(8)
     large = [np.kron(rng.integers(0, 256, (40, 40)), np.ones((8, 8))) for _ in range(3)]
     large = [(a[:-1, :-1] + a[1:, :-1] + a[:-1, 1:] + a[1:, 1:]) / 4 for a in large]
@@ -282,13 +402,24 @@ def test_half_size_crops_of_large_pictures_at_odd_turns(spark, degrees):
     fx, fy = sx - ix, sy - iy
     a = large[1]
     cut = (a[iy, ix] * (1 - fx) + a[iy, ix + 1] * fx) * (1 - fy) + (a[iy + 1, ix] * (1 - fx) + a[iy + 1, ix + 1] * fx) * fy
-    frame = lambda rows: spark.createDataFrame([(i, bytearray(np.rint(p).astype(np.uint8).tobytes()), p.shape[1]) for i, p in rows], "image_id long, pixels binary, width int")
-    found = media.matches(media.describe(frame([(20, cut)])), media.describe(frame(enumerate(large)))).collect()
+    found = media.matches(described(frame(spark, [(20, cut)])), described(frame(spark, enumerate(large)))).collect()
     best = max(found, key=lambda r: r.inliers)
-    assert best.match_id == 1 and best.inliers >= 30 and all(r.inliers < best.inliers / 3 for r in found if r.match_id != 1)
+    assert best.match_id == 1 and best.inliers >= 20 and all(r.inliers < best.inliers / 3 for r in found if r.match_id != 1)
     assert min(abs(best.turn * 360 / media.TURNS - degrees), 360 - abs(best.turn * 360 / media.TURNS - degrees)) <= 3
 
 
+def test_half_size_and_noisy_copies(spark):
+    rng = np.random.default_rng(9)
+    whole = [np.kron(rng.integers(0, 256, (24, 24)), np.ones((6, 6))) for _ in range(25)]
+    half = [(a[::2, ::2] + a[1::2, ::2] + a[::2, 1::2] + a[1::2, 1::2]) / 4 for a in whole]
+    noisy = [np.clip(a[10:, 12:] * 0.8 + 20 + rng.normal(0, 4, (134, 132)), 0, 255) for a in whole]
+    a = described(frame(spark, enumerate(whole)))
+    for edited, scale in ((half, 1), (noisy, 0)):
+        found = media.matches(described(frame(spark, enumerate(edited))), a).collect()
+        best = {q: max((r for r in found if r.query_id == q), key=lambda r: r.inliers) for q in {r.query_id for r in found}}
+        assert sum(q == r.match_id and r.scale == scale for q, r in best.items()) >= 23 and all(q == r.match_id for q, r in best.items())
+
+
 # --- pipeline --------------------------------------------------------------------------------
 
 

@@ -102,7 +102,8 @@ def test_matching_statistics(sequences, words):
         assert lengths[i] == best
         if best:
             found = tuple(words[i - best + 1 : i + 1])
-            assert a.ends[states[i]] == {(n, j) for n, s in enumerate(sequences) for j in range(len(s)) if tuple(s[j - best + 1 : j + 1]) == found and j + 1 >= best}
+            ends = {n: [j for j in range(len(s)) if j + 1 >= best and tuple(s[j - best + 1 : j + 1]) == found] for n, s in enumerate(sequences)}
+            assert a.ends[states[i]] == {n: (j[0], j[-1]) for n, j in ends.items() if j}
 
 
 @settings(max_examples=100, deadline=None)
@@ -120,6 +121,148 @@ def test_license_template_spans(spark):
     assert x.labels == ["gpl", "gpl-3.0"] and x.score == 1.0 and [(s.first_word, s.last_word) for s in x.spans] == [(2, 13)]
 
 
+def plain_best_chain(template: list[str], words: list[str], shortest: int = 3) -> float:
+    """The largest share of a template that stretches of at least ``shortest`` words cover, in order in both and sharing no word."""
+    n, m = len(template), len(words)
+    stretches = [
+        (b, a, k) for b in range(m) for a in range(n) for k in range(shortest, min(n - a, m - b) + 1) if template[a : a + k] == words[b : b + k]
+    ]
+    best = {}
+    for b, a, k in sorted(stretches):
+        best[b, a, k] = k + max((v for (pb, pa_, pk), v in best.items() if pb + pk <= b and pa_ + pk <= a and b - pb - pk <= n), default=0)
+    return max(best.values(), default=0) / n
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.permutations(list("abcdefgh")), st.lists(st.sampled_from(list("abcdefghxy")), max_size=30))
+def test_license_score_equals_the_best_chain(template, words):
+    """Templates without repeats: all places of a stretch count, and single words beside stretches do not."""
+    s = license_scan.Scanner({"t": [" ".join(template)]}, {})
+    r = s.scan(pa.array([" ".join(words)])).to_pylist()[0]
+    assert r["score"] == pytest.approx(min(1.0, plain_best_chain(list(template), words)))
+    assert r["labels"] == (["t"] if r["score"] >= 0.8 else [])
+
+
+def test_license_words_of_the_text_count_once():
+    s = license_scan.Scanner({"t": ["a b c x y z a b c"]}, {})
+    one, both, far = s.scan(pa.array(["a b c", "a b c then x y z then a b c", "a b c " + "q " * 40 + "x y z"])).to_pylist()
+    assert (one["score"], both["score"], far["score"]) == pytest.approx((1 / 3, 1.0, 1 / 3))
+    assert [(x["first_word"], x["last_word"]) for x in both["spans"]] == [(0, 10)]
+    long = s.scan(pa.array(["a b c " * 20_000])).to_pylist()[0]  # many chains of one template
+    assert long["n_words"] == 60_000 and long["score"] == pytest.approx(2 / 3)
+
+
+def test_license_odd_rows(odd, empty):
+    got = license_scan.with_licenses(odd, "x").select("doc_id", "x.*", "size").collect()
+    assert len(got) == len(ODD) and all(r["size"] == "s" for r in got)
+    assert all((r.n_words, r.n_base, r.score, r.labels) == (0, 0, 0.0, []) for r in got if r.doc_id in (1, 2, 3))
+    assert [(r.base_labels, r.labels) for r in got if r.doc_id == 5] == [(["cc-by"], ["cc-by", "cc-by-4.0"])]
+    assert license_scan.with_licenses(empty, "x").count() == 0
+
+
+def test_quality_rules_equal_plain_covering():
+    """The first condition is the best of all thresholds, tried one by one, and the verdicts are those of plain if-statements."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 3))
+    bad = (x[:, 1] > 0.4) & (x[:, 2] < 0.3)
+    names = ["p", "q", "r"]
+    cuts = [np.unique(np.quantile(c, np.linspace(0, 1, 128))) for c in x.T]
+    cuts = [(c[1:] + c[:-1]) / 2 for c in cuts]
+    first = quality_rules._grow(x, bad, names, cuts, 1)[0]
+
+    def gain(j, above, at):
+        hit = x[:, j] > at if above else x[:, j] <= at
+        p, n = (hit & bad).sum(), (hit & ~bad).sum()
+        return p * (math.log2(p / (p + n)) - math.log2(bad.mean())) if p else 0.0
+
+    best = max(gain(j, above, at) for j in range(3) for above in (False, True) for at in cuts[j])
+    assert gain(names.index(first.feature), first.above, first.threshold) == pytest.approx(best)
+    rules = quality_rules.fit_rules(x, bad, names)
+    verdict = [any(all((row[names.index(c.feature)] > c.threshold) == c.above for c in r.conditions) for r in rules) for row in x]
+    assert np.mean(np.array(verdict) == bad) > 0.95
+    assert verdict == np.any([r.holds(x, names) for r in rules], axis=0).tolist()
+
+
+def test_quality_verdicts_equal_plain_conditionals(spark, docs, labels, texts):
+    rules = quality_rules.learn_rules(docs, labels)
+    rows = quality_rules.judge(docs, rules, "q").select("doc_id", "q.*").collect()
+    for r in rows:
+        w, c, lines = max(r.n_words, 1), max(r.word_chars, 1), max(r.n_lines, 1)
+        of = {
+            "words": r.n_words, "chars_per_word": r.word_chars / w, "symbols_per_word": r.n_symbols / w, "repeated_share": r.n_repeat_words / w, "dup_line_share": r.n_dup_lines / lines, "upper_share": r.n_upper / c,
+            "marks_per_word": r.n_marks / w, "digit_share": r.n_digits / c, "long_word_share": r.n_long_words / w, "words_per_line": r.n_words / lines,
+        }
+        hit = [k for k, rule in enumerate(rules, 1) if all((of[x.feature] > x.threshold) == x.above for x in rule.conditions)]
+        assert r.rule == (hit[0] if hit else 0) and r.kept == (not r.base_failed and not hit)
+
+
+def test_quality_takes_one_row_of_a_repeated_id(spark, labels):
+    rows = [(i, ("good words in a row that read well number %d and so on until the end" % i) if i % 2 else "## $$ %% ## $$ %% && || ## $$ %d <> <>" % i) for i in range(200)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    rules = quality_rules.learn_rules(docs, marks)
+    assert rules and rules == quality_rules.learn_rules(docs.dropDuplicates(), marks)
+
+
+def test_toxicity_score_equals_a_plain_forward_pass(docs, labels, texts):
+    m = toxicity.fit(docs, labels)
+    some = [t for _, t in sorted(texts.items())][:40] + ["", "one", "one two"]
+    got = m.score(pa.array(some))
+    for t, score in zip(some, got, strict=True):
+        words = re.sub(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]", " ", lower(t)).split(" ")
+        words = [w for w in words if w]
+        v = []
+        for w in words:
+            rows = []
+            for form in (b"w" + w.encode(), b"4" + w[:4].encode(), b"5" + w[:5].encode()):
+                h = xxhash.xxh64_intdigest(form, 7)
+                at = h % toxicity.BUCKETS
+                rows.append(m.rows[at] if m.tags[at] == (h >> 33 & 0xFFFFFFFF | 1) else 0)
+            v.append(m.table[rows].sum(axis=0))
+        z = m.out_bias
+        for f, (filters, bias) in enumerate(zip(m.filters, m.biases, strict=True)):
+            n = len(filters)
+            for c in range(toxicity.FILTERS):
+                all_ = [sum(float(v[i + k] @ filters[k, :, c]) for k in range(n)) + bias[c] for i in range(len(v) - n + 1)]
+                z += m.out[f * toxicity.FILTERS + c] * max(0.0, *all_) if all_ else 0.0
+        counts = [sum(w in listed for w in words) for listed in toxicity.FUNCTION_WORDS.values()]
+        z -= m.shift[counts.index(max(counts)) if max(counts) else len(toxicity.LANGUAGES) - 1]
+        assert score == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-4)
+
+
+def test_toxicity_sample_is_bounded_in_bytes(docs, labels):
+    s = toxicity.labelled_sample(docs, labels, sample_bytes=20_000)
+    whole = toxicity.labelled_sample(docs, labels)
+    assert 0 < len(s.label) < len(whole.label) and s.label.min() == 0 and s.label.max() == 1
+
+
+def test_lm_score_equals_a_plain_recursion(spark, docs, texts):
+    import public_tokenizers
+
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    counts = Counter(x for i, t in texts.items() if not held(i) for x in WORD.findall(lower(t)))
+    ends = sum(not held(i) for i in texts)
+    lattice = lm_scoring.fit(spark.createDataFrame(list(counts.items()), "word string, c bigint"), ends, path)
+    pieces, _ = lm_scoring.vocabulary(path)
+    logp = dict(zip(pieces, lattice.logp.tolist(), strict=True))
+    memo = {}
+
+    def plain(word: str) -> float:
+        if word not in memo:
+            x = b" " + word.encode()
+            alpha = [0.0] + [-math.inf] * len(x)
+            for j in range(1, len(x) + 1):
+                terms = [alpha[i] + logp[x[i:j]] for i in range(max(0, j - lattice.longest), j) if x[i:j] in logp]
+                alpha[j] = max(terms) + math.log(sum(math.exp(t - max(terms)) for t in terms))
+            memo[word] = alpha[-1]
+        return memo[word]
+
+    got = {r.doc_id: r.score for r in lm_scoring.scored(docs, queries.remainder() == 1, path).collect()}
+    for i in sorted(texts)[:150]:
+        want = (sum(map(plain, WORD.findall(lower(texts[i])))) + lattice.log_end) / math.log(10)
+        assert got[i] == pytest.approx(want, rel=1e-6)
+
+
 def plain_fingerprint(t: str | None) -> int:
     w = WORD.findall(lower(t or ""))
     shingles = [" ".join(w[k : k + 4]) for k in range(len(w) - 3)] if len(w) >= 4 else ([" ".join(w)] if w else [])

@@ -72,8 +72,8 @@ def batch_hashes(e):
     p = payloads.log_payloads(e).select("payload_id", "json")
     turned = p.withColumn("json", F.regexp_replace("json", r'^\{"resourceLogs":\[\{"schemaUrl":("[^"]*"),(.*)\}\]\}$', r'{"resourceLogs":[{$2,"schemaUrl":$1}]}'))
     h = otlp.batch_hash(col("json"))
-    both = p.select("payload_id", h.alias("a")).join(turned.select("payload_id", h.alias("b"), col("json").alias("j")), "payload_id").join(p, "payload_id")
-    return both.agg(F.count("*").alias("payloads"), F.count_distinct("a").alias("hashes"), F.count_if(col("a") == col("b")).alias("same"), F.count_if(col("json") != col("j")).alias("turned"))
+    both = p.select("payload_id", h.alias("batch_hash")).join(turned.select("payload_id", h.alias("b"), col("json").alias("j")), "payload_id").join(p.select("payload_id", "json"), "payload_id")
+    return both.select("payload_id", "batch_hash", (col("batch_hash") == col("b")).alias("same_when_turned"), (col("json") != col("j")).alias("turned"))
 
 
 def recs(e, m):
@@ -127,6 +127,29 @@ def catalogued(entries) -> str:
 
 DECIDED = "SELECT pv.*, coalesce(a.status, b.status) AS status FROM pv LEFT JOIN ca a ON a.signal = pv.signal AND a.path = pv.path LEFT JOIN ca b ON b.signal = 'resource' AND b.path = pv.path"
 
+def _tagged(key: str, tag: str, value: str, there: str = "") -> str:
+    """An attribute's canonical JSON in SQL; NULL where its value is."""
+    one = f"""concat('{{"key":"{key}","value":{{"{tag}":', {value}, '}}}}')"""
+    return f"CASE WHEN {there} THEN {one} END" if there else one
+
+
+_quoted = lambda v: f"""concat('"', {v}, '"')"""
+#: The canonical text of each log payload: keys in order, no spaces, numbers without idle zeros.
+CANONICAL = """SELECT pid, concat('{"resourceLogs":[{"resource":{"attributes":[', concat_ws(',', EMAIL, SESSION, OS, TOKEN), ']},"schemaUrl":"https://schema.example/1","scopeLogs":[{"logRecords":[',
+        string_agg(concat('{"attributes":[', concat_ws(',', ATTRIBUTES), ']', ',"body":{"stringValue":"app.', event_name, '"},"flags":', k % 2, ',"severityText":"INFO","timeUnixNano":"', epoch_us(event_time), '123"}'), ',' ORDER BY epoch_us(event_time), event_id),
+        '],"scope":{"attributes":[', TAG, ',', TOKEN, '],"name":"logger"}}]}]}') AS json FROM lf GROUP BY pid, user_email, session_id"""
+for _name, _sql in {
+    "EMAIL": _tagged("user.email", "stringValue", """'" ' || upper(user_email) || '"'""", "user_email IS NOT NULL"), "SESSION": _tagged("session.id", "stringValue", _quoted("session_id")), "OS": _tagged("os.type", "stringValue", """'"os"'"""),
+    "TOKEN": _tagged("secret.token", "stringValue", """'"bait"'"""), "TAG": _tagged("scope.tag", "stringValue", """'"t"'"""),
+    "ATTRIBUTES": ", ".join([
+        _tagged("k", "intValue", _quoted("k")), _tagged("event.id", "intValue", _quoted("event_id")), _tagged("success", "boolValue", "CASE WHEN success_bool THEN 'true' ELSE 'false' END"),
+        _tagged("cost", "doubleValue", "CASE WHEN cost_usd = floor(cost_usd) THEN CAST(CAST(cost_usd AS BIGINT) AS VARCHAR) ELSE CAST(cost_usd AS VARCHAR) END"), _tagged("prompt.text", "stringValue", """CASE k % 7 WHEN 0 THEN '"said"' ELSE '""' END""", "k % 7 < 2"),
+        _tagged("model", "stringValue", _quoted("model"), "model IS NOT NULL"), _tagged("k5", "intValue", _quoted("k % 5")), _tagged("service", "stringValue", _quoted("service_name")),
+        _tagged("list", "arrayValue", f"'{LISTED}'", "k % 11 = 0"), _tagged("object", "kvlistValue", f"'{KEYED}'", "k % 13 = 0"),
+    ]),
+}.items():
+    CANONICAL = CANONICAL.replace(_name, _sql)
+
 KEYED_AS = "array<struct<key:string,value:struct<intValue:string,arrayValue:string,kvlistValue:string>>>"
 HEAD = "schemaUrl:string,resource:struct<attributes:array<struct<key:string>>>"
 SCOPED = "scope:struct<attributes:array<struct<key:string>>>"
@@ -216,7 +239,7 @@ def ingested(e):
     p = payloads.log_payloads(e)
     ledger = p.where("dt < DATE '2024-01-04'").select(otlp.batch_hash(col("json")).alias("batch_hash"))
     fresh, more = reservoir.ingest(p.unionAll(p.where("dt = DATE '2024-01-09'")), ledger)
-    return fresh.agg(F.count("*").alias("fresh"), F.min("dt").alias("first_day")).crossJoin(more.agg(F.count_distinct("batch_hash").alias("hashes")))  # one row each
+    return fresh.select("payload_id", "dt", "batch_hash").join(more.withColumn("in_ledger", F.lit(True)), "batch_hash", "left").drop("batch_hash")
 
 
 @frames(E)
@@ -391,7 +414,7 @@ QUERIES = {
             UNION ALL SELECT event_id, '7d_x', unnest(['usage.utilization', 'usage.reset_in_seconds']), unnest([12.5, 0.0]) FROM e WHERE k % 2 <> 0""",
         ),
     ),
-    "p14_batch_hash": (batch_hashes, sql(E, "SELECT count(*) AS payloads, count(*) AS hashes, count(*) AS same, count(*) AS turned FROM (SELECT DISTINCT pid FROM lf)", lf=LOG_FLAT)),
+    "p14_batch_hash": (batch_hashes, sql(E, f"SELECT pid AS payload_id, sha256(json) AS batch_hash, true AS same_when_turned, true AS turned FROM ({CANONICAL})", lf=LOG_FLAT)),
     "p15_p16_p17_c1_key_paths": (key_path_counts, sql("events metrics", "SELECT signal, path, count(DISTINCT pid) AS payloads FROM pv GROUP BY 1, 2", **PROFILING)),
     "r1_r2_r3_redaction": (redacted, sql("events metrics", REDACTED, lf=LOG_FLAT, mf=MET_FLAT)),
     "r4_redaction_leaks": (leak_audit, sql("events metrics", "SELECT path, count(DISTINCT pid) AS payloads FROM pv WHERE path IN ('secret.token', 'prompt.text') GROUP BY 1", **PROFILING)),
@@ -418,10 +441,7 @@ QUERIES = {
             """SELECT activity_date AS day, count(*) AS rows, 0 AS ledger FROM e WHERE activity_date < DATE '2024-01-12' OR k > 20 OR activity_date < DATE '2024-01-20' GROUP BY 1""",
         ),
     ),
-    "s7_ingest": (
-        ingested,
-        sql(E, "SELECT count(DISTINCT pid) AS fresh, min(activity_date) AS first_day, count(DISTINCT pid) AS hashes FROM lf WHERE activity_date >= DATE '2024-01-04'", lf=LOG_FLAT),
-    ),
+    "s7_ingest": (ingested, sql(E, "SELECT DISTINCT pid AS payload_id, activity_date AS dt, true AS in_ledger FROM lf WHERE activity_date >= DATE '2024-01-04'", lf=LOG_FLAT)),
     "s8_retention": (
         frames(E)(lambda e: reservoir.trim(e.select("event_id", "event_time"), "event_time", datetime.datetime(2024, 1, 30), datetime.timedelta(days=7))),
         sql(E, "SELECT event_id, event_time FROM e WHERE event_time >= TIMESTAMP '2024-01-23'"),

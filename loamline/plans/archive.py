@@ -369,6 +369,32 @@ def streamed(e):
     return spark.read.parquet(f"{sink}/rows").groupBy(F.to_date("event_time").alias("day"), "event_name").agg(F.count("*").alias("rows"), F.sum("k").alias("k"))
 
 
+@frames(E)
+def deduped(e):
+    """Payloads of an archive in which some days arrived twice, as a stream keeps them: each once."""
+    spark = e.sparkSession
+    root, sink, checkpoint = (workspace(spark, n) for n in ("raw", "sink", "stream"))
+    p = payloads.log_payloads(e)
+    reservoir.write_raw(p, root)
+    reservoir.write_raw(p.where("dt > DATE '2024-01-25'"), root)
+    first = ingest.dedupe(ingest.payload_stream(spark, root).withColumn("arrived", col("dt").cast("timestamp")), "arrived", horizon="60 days")
+    first.select("payload_id", "dt").writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink).awaitTermination()
+    return spark.read.schema("payload_id string, dt date").parquet(sink)
+
+
+@frames(E)
+def leaks_of_batches(e):
+    """The leak counts that micro-batches report, added up."""
+    spark = e.sparkSession
+    root, sink, checkpoint = (workspace(spark, n) for n in ("raw", "sink", "stream"))
+    reservoir.write_raw(payloads.log_payloads(e), root)
+    clean = ingest.observed_leaks(ingest.payload_stream(spark, root), "logs", DENIED, CONTENT)
+    running = clean.select("payload_id").writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink)
+    running.awaitTermination()
+    seen = [x.observedMetrics["gate"] for x in running.recentProgress if "gate" in x.observedMetrics]
+    return spark.createDataFrame([(sum(x.leaks or 0 for x in seen), sum(x.payloads for x in seen))], "leaks long, payloads long")
+
+
 @frames(E)
 def refreshed(e):
     """What has arrived is ingested, then a mart is refreshed from the stored rows."""
@@ -573,6 +599,8 @@ QUERIES = {
         streamed,
         sql(E, "SELECT activity_date AS day, event_name, count(*) AS rows, CAST(sum(k) AS BIGINT) AS k FROM e GROUP BY 1, 2"),
     ),
+    "st2_dedupe": (deduped, sql(E, "SELECT DISTINCT pid AS payload_id, activity_date AS dt FROM lf", lf=LOG_FLAT)),
+    "st4_leak_counts": (leaks_of_batches, sql(E, "SELECT count(*) FILTER (k % 7 = 0) AS leaks, count(DISTINCT pid) AS payloads FROM lf", lf=LOG_FLAT)),
     "st5_refresh_after_ingest": (
         refreshed,
         sql(E, "SELECT 'fact_api_error_rate' AS mart, count(DISTINCT activity_date) AS row_count, true AS in_order FROM e WHERE event_name IN ('api_request', 'api_error')"),

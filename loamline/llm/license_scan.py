@@ -46,9 +46,20 @@ TEMPLATES = {
     ],
     "cc-by-nc-4.0": ["Licensed under CC BY-NC 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"],
     "cc-by-4.0": ["Licensed under CC BY 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"],
-    "bsd": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
+    "cc-by-sa-4.0": ["Licensed under CC BY-SA 4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"],
+    "cc0-1.0": ["To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"],
+    "lgpl-3.0": ["This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"],
+    "agpl-3.0": ["You can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"],
+    "bsd": [
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    ],
     "mpl-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"],
+    "epl-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"],
     "isc": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
+    "zlib": ["This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software"],
+    "boost-1.0": ["Distributed under the Boost Software License, Version 1.0"],
+    "unlicense": ["This is free and unencumbered software released into the public domain"],
 }
 
 _SPAN = pa.struct([("template", pa.int32()), ("first_word", pa.int64()), ("last_word", pa.int64()), ("coverage", pa.float64())])

@@ -449,6 +449,27 @@ def test_pipeline_stages_take_effect(spark, docs, labels, texts):
     check_packing(kept[4].collect(), want)
 
 
+def test_pipeline_keeps_columns_of_any_name(spark, docs):
+    names = ["_toxicity", "_quality", "_f", "_row", "_root", "_group", "_mix", "_copy", "_d", "_size"]
+    step = docs.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    for _, f in corpus_pipeline.STAGES[:4]:
+        step = f(spark, step, SF).cache()
+    rows = step.select("doc_id", *names).collect()
+    assert rows and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
+
+
+def test_pipeline_stages_on_odd_rows(spark, odd):
+    """Null, empty, very long and repeated texts: every stage gives what it states, whatever comes in."""
+    columns = odd.columns
+    toxic, quality, near, mixed, packed = (f(spark, odd, SF).cache() for _, f in corpus_pipeline.STAGES)
+    assert all(df.columns == columns for df in (toxic, quality, near, mixed)) and toxic.count() <= len(ODD)
+    assert {r.doc_id for r in quality.collect()} <= {5, None, 7}  # base failures go: under ten words, or repeats
+    ids = [r.doc_id for r in near.collect()]
+    assert ids.count(4) == 1 and sum(i in (1, 2, 3) for i in ids) == 1
+    assert {r.doc_id for r in mixed.collect()} & {1, 2, 3} == set()
+    assert sum(r.length for r in packed.collect()) == sum(len(ids_of(t)) for _, t, _ in ODD)
+
+
 def test_pipeline_of_no_rows(spark, docs):
     step = docs.limit(0)
     for _, f in corpus_pipeline.STAGES:

@@ -82,7 +82,7 @@ def recs(e, m):
 
 def walked(e, m):
     """Every attribute of both signals' payloads."""
-    return otlp.all_attrs(payloads.metric_payloads(m).unionByName(payloads.log_payloads(e)))
+    return otlp.all_attrs(both_payloads(e, m))
 
 
 @frames(E, M)
@@ -93,6 +93,7 @@ def key_path_counts(e, m):
 #: Payloads in SQL: one per user, day and thousand events of a signal.
 LOG_FLAT = f"SELECT concat('l-', user_id, '-', activity_date, '-', event_id // {payloads.BATCH}) AS pid, * FROM e"
 MET_FLAT = f"SELECT concat('m-', user_id, '-', activity_date, '-', event_id // {payloads.BATCH}) AS pid, * FROM m"
+NAMES = "SELECT DISTINCT 'logs' AS signal, activity_date AS dt, pid FROM lf UNION ALL SELECT DISTINCT 'metrics', activity_date, pid FROM mf"
 LISTED, KEYED = '{"values":[{"stringValue":"x"}]}', '{"values":[{"key":"inner","value":{"stringValue":"y"}}]}'
 SCALARS = {
     "k": "CAST(k AS VARCHAR)", "event.id": "CAST(event_id AS VARCHAR)", "success": "CASE WHEN success_bool THEN 'true' ELSE 'false' END", "cost": "CAST(cost_usd AS VARCHAR)", "prompt.text": "CASE k % 7 WHEN 0 THEN 'said' WHEN 1 THEN '' END",
@@ -199,39 +200,49 @@ def leak_audit(e, m):
 # --- archive ---------------------------------------------------------------------------------
 
 
-def _stored(e):
-    """An archive of log payloads with the days up to the tenth compacted."""
+def both_payloads(e, m):
+    return payloads.metric_payloads(m).unionByName(payloads.log_payloads(e))
+
+
+def _stored(e, m):
+    """An archive of both signals' payloads with the days up to the tenth compacted."""
     spark = e.sparkSession
     raw_root, small = workspace(spark, "raw"), workspace(spark, "compacted")
-    reservoir.write_raw(payloads.log_payloads(e), raw_root)
-    raw = reservoir.read_raw(spark, raw_root, ["logs"], datetime.date(2024, 1, 1), datetime.date(2024, 1, 30))
+    reservoir.write_raw(both_payloads(e, m), raw_root)
+    raw = reservoir.read_raw(spark, raw_root, ["logs", "metrics"], datetime.date(2024, 1, 1), datetime.date(2024, 1, 30))
     none = raw.limit(0)
     plan = reservoir.compaction_plan(raw, none, datetime.date(2024, 1, 10))
     reservoir.compact(raw, plan, small)
     return raw, spark.read.schema("payload_id string, json string, signal string, dt date").parquet(small).select(raw.columns), raw_root
 
 
-@frames(E)
-def compacted_days(e):
-    raw, small, _ = _stored(e)
+@frames(E, M)
+def compacted_days(e, m):
+    raw, small, _ = _stored(e, m)
     plan = reservoir.compaction_plan(raw, small, datetime.date(2024, 1, 20))
     whole = reservoir.prefer_compacted(raw.withColumn("kind", F.lit("raw")), small.withColumn("kind", F.lit("compacted")))
-    return whole.groupBy("dt", "kind").agg(F.count("*").alias("payloads")).join(plan.select("dt", F.lit(True).alias("planned")), "dt", "left").select("dt", "kind", "payloads", F.coalesce("planned", F.lit(False)).alias("planned"))
+    each = whole.groupBy("signal", "dt", "kind").agg(F.count("*").alias("payloads"), F.bit_xor(F.xxhash64("json")).alias("texts"))
+    first = raw.groupBy("signal", "dt").agg(F.bit_xor(F.xxhash64("json")).alias("raw_texts"))
+    out = each.join(plan.select("signal", "dt", F.lit(True).alias("planned")), ["signal", "dt"], "left").join(first, ["signal", "dt"])
+    return out.select("signal", "dt", "kind", "payloads", F.coalesce("planned", F.lit(False)).alias("planned"), (col("texts") == col("raw_texts")).alias("unchanged"))
 
 
-@frames(E)
-def read_window(e):
-    raw, _, root = _stored(e)
-    some = reservoir.read_raw(raw.sparkSession, root, ["logs"], datetime.date(2024, 1, 5), datetime.date(2024, 1, 9))
-    return some.groupBy("dt").agg(F.count("*").alias("payloads"), F.count_distinct("payload_id").alias("ids"))
+@frames(E, M)
+def read_window(e, m):
+    raw, _, root = _stored(e, m)
+    some = reservoir.read_raw(raw.sparkSession, root, ["logs", "metrics"], datetime.date(2024, 1, 5), datetime.date(2024, 1, 9))
+    return some.groupBy("signal", "dt").agg(F.count("*").alias("payloads"), F.count_distinct("payload_id").alias("ids"))
 
 
-@frames(E)
-def scrub_report(e):
+@frames(E, M)
+def scrub_report(e, m):
     """Days that were redacted when they came in are scanned again and stay as they are."""
-    p = payloads.log_payloads(e)
-    early = otlp.redact(p.where("dt < DATE '2024-01-10'"), "logs", DENIED, CONTENT).drop("gate_leaks")
-    return reservoir.scrub(early.unionByName(p.where("dt >= DATE '2024-01-10'")), "logs", DENIED, CONTENT)[1]
+    out = None
+    for signal, p in (("logs", payloads.log_payloads(e)), ("metrics", payloads.metric_payloads(m))):
+        early = otlp.redact(p.where("dt < DATE '2024-01-10'"), signal, DENIED, CONTENT).drop("gate_leaks")
+        report = reservoir.scrub(early.unionByName(p.where("dt >= DATE '2024-01-10'")), signal, DENIED, CONTENT)[1].withColumn("signal", F.lit(signal))
+        out = report if out is None else out.unionByName(report)
+    return out
 
 
 @frames(E)
@@ -446,20 +457,25 @@ QUERIES = {
     "r4_redaction_leaks": (leak_audit, sql("events metrics", "SELECT path, count(DISTINCT pid) AS payloads FROM pv WHERE path IN ('secret.token', 'prompt.text') GROUP BY 1", **PROFILING)),
     "s1_read_window": (
         read_window,
-        sql(E, "SELECT activity_date AS dt, count(DISTINCT pid) AS payloads, count(DISTINCT pid) AS ids FROM lf WHERE activity_date BETWEEN DATE '2024-01-05' AND DATE '2024-01-09' GROUP BY 1", lf=LOG_FLAT),
+        sql("events metrics", "SELECT signal, dt, count(*) AS payloads, count(*) AS ids FROM pl WHERE dt BETWEEN DATE '2024-01-05' AND DATE '2024-01-09' GROUP BY 1, 2", lf=LOG_FLAT, mf=MET_FLAT, pl=NAMES),
     ),
     "s2_s3_s4_compaction": (
         compacted_days,
         sql(
-            E,
-            """SELECT activity_date AS dt, CASE WHEN activity_date < DATE '2024-01-10' THEN 'compacted' ELSE 'raw' END AS kind, count(DISTINCT pid) AS payloads, activity_date >= DATE '2024-01-10' AND activity_date < DATE '2024-01-20' AS planned FROM lf GROUP BY 1""",
-            lf=LOG_FLAT,
+            "events metrics",
+            """SELECT signal, dt, CASE WHEN dt < DATE '2024-01-10' THEN 'compacted' ELSE 'raw' END AS kind, count(*) AS payloads, dt >= DATE '2024-01-10' AND dt < DATE '2024-01-20' AS planned, true AS unchanged FROM pl GROUP BY 1, 2""",
+            lf=LOG_FLAT, mf=MET_FLAT, pl=NAMES,
         ),
-    ),
+    ),
     "s5_scrub": (
         scrub_report,
-        sql(E, "SELECT count(DISTINCT pid) AS scanned, count(DISTINCT pid) FILTER (activity_date >= DATE '2024-01-10') AS rewritten, count(*) FILTER (k % 7 = 0 AND activity_date >= DATE '2024-01-10') AS leaks FROM lf", lf=LOG_FLAT),
-    ),
+        sql(
+            "events metrics",
+            """SELECT 'logs' AS signal, count(DISTINCT pid) AS scanned, count(DISTINCT pid) FILTER (activity_date >= DATE '2024-01-10') AS rewritten, count(*) FILTER (k % 7 = 0 AND activity_date >= DATE '2024-01-10') AS leaks FROM lf
+            UNION ALL SELECT 'metrics', count(DISTINCT pid), count(DISTINCT pid) FILTER (activity_date >= DATE '2024-01-10'), 0 FROM mf""",
+            lf=LOG_FLAT, mf=MET_FLAT,
+        ),
+    ),
     "s6_replay": (
         replayed,
         sql(

@@ -86,7 +86,7 @@ QUERIES = {
         ),
     ),
     "j10_lateral_generator": (
-        frames(R)(lambda r: seats.seat_days(seats.current_seats(seats.seat_intervals(r)).select("user_email", "seat_tier", col("held_since").alias("valid_from"), F.lit(None).cast("date").alias("valid_to")), AS_OF).groupBy("user_email").agg(F.count("*").alias("days"))),
+        frames(R)(lambda r: seats.seat_days(seats.current_seats(seats.seat_intervals(r)).select("user_email", "seat_tier", "org_name", col("held_since").alias("valid_from"), F.lit(None).cast("date").alias("valid_to")), AS_OF).groupBy("user_email").agg(F.count("*").alias("days"))),
         sql(R, f"SELECT user_email, count(*) AS days FROM (SELECT user_email, unnest(generate_series(held_since, DATE '{AS_OF}', INTERVAL 1 DAY)) FROM c WHERE held_since <= DATE '{AS_OF}') GROUP BY 1", **STEPS, c=CURRENT),
     ),
     "j11_role_playing_join": (

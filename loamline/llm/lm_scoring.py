@@ -8,7 +8,8 @@ Very long words are taken place by place, in time that grows with their length.
 
 Texts are read once, in chunks of a few megabytes. A chunk keeps each of its distinct words once; words
 of all chunks meet in one shuffle that counts them and takes them to the model, and
-the answers go back to their chunk, so a frequent word costs one row a chunk, not one a document.
+the answers go back to their chunk, so a frequent word costs one row a chunk, not one a document: the
+rows of the commonest word, which meet in one task, are one for every few megabytes of text.
 
 Defined results: a null text counts as empty, it holds the end only; a null doc_id counts as the
 empty id when documents are held out; repeated rows and doc_ids are scored each by itself; without

@@ -18,8 +18,9 @@ from tokenizers import Tokenizer
 
 from loamline.llm.text import ragged, words_of
 
-#: Bytes that a worker's memo of chunks takes, about; it starts anew when it is full.
-MEMO_BYTES = 24 << 20
+#: Bytes that a worker's memo of chunks takes, about. It has two halves: once the young one is full it becomes the old one,
+#: and of that only chunks that are met again go on, so words that occur once do not drive out the common ones.
+MEMO_BYTES = 128 << 20
 #: Bytes of an entry besides its letters and ids.
 _ENTRY = 190
 #: Words that are encoded as one text.
@@ -44,18 +45,19 @@ class ChunkEncoder:
         self.ends_word = np.zeros(size, bool)
         self.ends_word[[i for x, i in self.tokenizer.get_vocab().items() if x.endswith("</w>")]] = True
         self.memo: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.held = 0
 
     def _fill(self, chunks: pa.Array) -> list[str]:
         """Put the ids of distinct chunks that the memo lacks into it."""
         listed = chunks.to_pylist()
-        lacking = [x for x in listed if x not in self.memo]
-        more = sum(map(len, lacking)) * 3 + _ENTRY * len(lacking)
-        if self.memo and self.held + more > MEMO_BYTES:
-            self.memo.clear()
-            self.held, lacking = 0, listed
-            more = sum(map(len, lacking)) * 3 + _ENTRY * len(lacking)
-        self.held += more
+        if self.held > MEMO_BYTES // 2:
+            self.old, self.memo, self.held = self.memo, {}, 0
+        unmet = [x for x in listed if x not in self.memo]
+        again = {x: self.old[x] for x in unmet if x in self.old}
+        self.memo.update(again)
+        lacking = [x for x in unmet if x not in again]
+        self.held += sum(map(len, unmet)) * 3 + _ENTRY * len(unmet)
         is_word = pc.match_substring_regex(pa.array(lacking, pa.string()), _WORD).to_pylist()
         words = [x for x, w in zip(lacking, is_word, strict=True) if w]
         rest = [x for x, w in zip(lacking, is_word, strict=True) if not w]

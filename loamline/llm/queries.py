@@ -104,7 +104,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_store.write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
-    return token_store.read_token_files(spark, manifest, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return token_store.read_token_files(manifest, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

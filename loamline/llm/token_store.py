@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyarrow import fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamline.llm.scratch import fresh_path, small_batches
@@ -208,18 +208,14 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
     return spark.read.schema(written.schema).parquet(manifest)
 
 
-def read_token_files(spark: SparkSession, manifest: DataFrame, *, with_ids: bool = True) -> DataFrame:
+def read_token_files(manifest: DataFrame, *, with_ids: bool = True) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32, ids) of every document, from the shard files; ``ids`` only if asked for.
 
-    One row per shard goes through the driver, to give each shard its start and each file a task. Where documents begin
-    and end comes from select, a block of documents at a time.
+    A shard's start is the sum of the tokens of those before it, over one row per shard, and each file gets a task. Where
+    documents begin and end comes from select, a block of documents at a time.
     """
-    shards = manifest.orderBy("shard", "path").collect()
-    start, rows = 0, []
-    for x in shards:
-        rows.append((x["path"], start))
-        start += x["tokens"]
-    files = spark.createDataFrame(rows, "path string, start long").repartition(max(1, len(rows)), "path")
+    before = F.sum("tokens").over(Window.partitionBy(F.lit(0)).orderBy("shard", "path").rowsBetween(Window.unboundedPreceding, -1))
+    files = manifest.select("path", F.coalesce(before, F.lit(0)).alias("start")).repartition(max(1, manifest.count()), "path")
     kind = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint" + (", ids array<bigint>" if with_ids else "")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -69,7 +69,7 @@ def test_token_files_equal_plain_ones(spark, texts):
 
 def test_token_files_odd_rows_and_random_access(spark, odd, empty):
     manifest = token_store.write_token_files(odd, PATH)
-    got = token_store.read_token_files(spark, manifest).orderBy("start").collect()
+    got = token_store.read_token_files(manifest).orderBy("start").collect()
     assert [r.doc_id for r in got][0] is None and [r.doc_id for r in got][1:] == sorted(i for i, *_ in ODD if i is not None)
     assert sum(r.n_tokens for r in got) == got[-1].start + got[-1].n_tokens and all(len(r.ids) == r.n_tokens and r.ids[-1] == 1 for r in got)
     path = manifest.orderBy("shard").first().path.removeprefix("file:")
@@ -78,7 +78,7 @@ def test_token_files_odd_rows_and_random_access(spark, odd, empty):
         for k in range(shard.ends.n):
             assert shard.ids(*shard.bounds(k)).tolist() == got[k].ids
     none = token_store.write_token_files(empty, PATH)
-    assert none.count() == 0 and token_store.read_token_files(spark, none).count() == 0
+    assert none.count() == 0 and token_store.read_token_files(none).count() == 0
 
 
 # --- packing ---------------------------------------------------------------------------------

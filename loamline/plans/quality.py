@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from loamline.operators import identity, marts, quality, seats
 from loamline.plans.base import frames, sql
-from loamline.plans.marts import ALIAS, API, SEEN, last
-from loamline.plans.seats import DAYS, DROPS, STEPS, UNCOVERED
+from loamline.plans.marts import ALIAS, SEEN, last
+from loamline.plans.seats import DAYS, STEPS, UNCOVERED
 
 E, M, R = "events", "metrics", "roster"
 col = F.col

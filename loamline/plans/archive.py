@@ -15,7 +15,7 @@ from loamline.plans.quality import findings_log
 from loamline.plans.seats import LATE
 from loamline.plans.seats import QUERIES as SEAT_QUERIES
 from loamline.sources import payloads, reservoir
-from loamline.sources.shared import workspace
+from loamline.sources.shared import workspace, written
 from loamline.streaming import ingest
 
 E, M = "events", "metrics"
@@ -271,7 +271,8 @@ def inventory(e):
 
 @frames(E, M, "utilization", "roster", "manual_alias")
 def refresh_log(e, m, u, r, a):
-    intervals = seats.seat_intervals(r)
+    e, m, u, r = (written(x, name) for x, name in ((e, "events"), (m, "metrics"), (u, "utilization"), (r, "roster")))  # adapted once for all marts
+    intervals = written(seats.seat_intervals(r), "intervals")
     derived = identity.derived_alias(e, m)
     found = marts.registry(e, m, u) | {
         "dim_user": marts.dim_user(e, m, a, derived), "dim_date": marts.dim_date([e.agg(F.min("activity_date")), m.agg(F.min("activity_date")), marts.api_requests(e).agg(F.min("activity_date"))], AS_OF),

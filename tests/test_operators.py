@@ -267,6 +267,19 @@ def test_stream_throttle_equals_batch(spark, tmp_path):
     assert sorted((r.key, r.us) for r in ingest.throttle_batch(batch, "k", "t", gap_us=300).collect()) == got
 
 
+def test_ingest_over_several_batches_stores_each_payload_once(spark, tmp_path):
+    root, sink, checkpoint = (f"file://{tmp_path}/{n}" for n in ("raw", "sink", "ck"))
+    rows = [("logs", D(2024, 1, d), str(d), PAYLOAD.replace('"7"', f'"{d}"')) for d in range(1, 5)]
+    frame = lambda some: spark.createDataFrame(some, "signal string, dt date, payload_id string, json string")
+    stored = []
+    for some in (rows[:2], rows[:3], [rows[3], ("metrics", D(2024, 1, 4), "m", "{}"), ("logs", D(2024, 1, 4), "odd", "no json")], rows):
+        reservoir.write_raw(frame(some), root)
+        ingest.continuous_ingest(ingest.payload_stream(spark, root), sink, checkpoint, "logs", ["secret.token"], ["prompt.text"]).awaitTermination()
+        stored.append(sorted(r.k for r in spark.read.parquet(f"{sink}/rows").collect()))
+    assert stored == [[1, 2], [1, 2, 3], [1, 2, 3, 4], [1, 2, 3, 4]]
+    assert spark.read.parquet(f"{sink}/ledger").where("batch_hash IS NOT NULL").count() == 4
+
+
 @pytest.mark.parametrize("block", [0, 700, 5000])
 def test_throttle_over_blocks_equals_a_fold(spark, block):
     import random

@@ -1,13 +1,13 @@
-"""Intermediate tables in the shared folder that the cluster names, and what a Python worker gets at a time."""
+"""Intermediate tables, what a Python worker gets at a time, and names that no column has."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loamline.sources.shared import written
+
 #: Bytes of rows that Spark hands to a Python worker at a time, unless one row is longer.
 BATCH_BYTES = 8 << 20
 
@@ -25,34 +25,11 @@ def unused(columns: Iterable[str], name: str) -> str:
     return name
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; where that is unset a fresh local one serves a local master, and a cluster gets an error."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="loamline-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path under the shared folder, removed when the driver's JVM ends."""
-    path = f"{shared_dir(spark)}/loamline/{name}-{uuid.uuid4().hex}"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return path
-
-
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
     Cuts lineage: a lost executor costs at most the tasks that were running, since what was
     written outlives it.
     """
-    spark = df.sparkSession
-    small_batches(spark)
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    small_batches(df.sparkSession)
+    return written(df, name)

@@ -27,9 +27,10 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamline.llm.scratch import fresh_path, small_batches
+from loamline.llm.scratch import small_batches
 from loamline.llm.text import numbers, slices
 from loamline.llm.tokens import encoder
+from loamline.sources.shared import workspace
 
 MAGIC = b"LOAMTOK1"
 _HEAD = struct.Struct("<8Q")
@@ -164,7 +165,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
     """
     spark = docs.sparkSession
     small_batches(spark)
-    root = folder or fresh_path(spark, "tokens")
+    root = folder or workspace(spark, "tokens")
     ordered = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).alias("text"))
     size = ordered.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("n")).first()
     shards = max(1, ((size["bytes"] or 0) + 8 * size["n"]) // shard_bytes + 1)
@@ -203,7 +204,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, folder: str | None = None
         system.delete_file(name + ".ids")
 
     written = ordered.mapInArrow(write, "shard bigint, path string, documents bigint, tokens bigint")
-    manifest = fresh_path(spark, "manifest")
+    manifest = workspace(spark, "manifest")
     written.write.parquet(manifest)
     return spark.read.schema(written.schema).parquet(manifest)
 

@@ -27,7 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm.scratch import fresh_path, materialize
+from loamline.llm.scratch import materialize
+from loamline.sources.shared import workspace
 
 REVISIT_BYTES = 1000
 #: Payload bytes up to which captures are of a class, and how many of them share a file: 128 MB at most, or one capture.
@@ -190,6 +191,6 @@ def assemble(records: DataFrame) -> DataFrame:
 def archive(pages: DataFrame, **options) -> DataFrame:
     """Records of ``pages`` written to new archives in the shared folder and read back, without payloads."""
     spark = pages.sparkSession
-    path = fresh_path(spark, "warc")
+    path = workspace(spark, "warc")
     write_warc(pages, path, **options)
     return read_warc(spark, path, with_payload=False)

@@ -158,12 +158,13 @@ def capability_use(bridge: DataFrame, sessions: DataFrame, name: str, amount: st
     return one.crossJoin(used.agg(F.coalesce(F.sum("u"), F.lit(0)).alias("intensity")))  # one row each
 
 
-def seat_value(current: DataFrame, users: DataFrame, usage: DataFrame, prices: dict[str, float], window: Window, *, standard: float) -> DataFrame:
+def seat_value(seat_days: DataFrame, current: DataFrame, users: DataFrame, usage: DataFrame, prices: dict[str, float], window: Window, *, standard: float) -> DataFrame:
     """Monthly cost of the instrumented seats by tier (others at ``standard``), prorated by days / 30, against the value consumed.
 
-    A seat is instrumented if its holder was first seen by the window's end.
+    A seat is instrumented if its holder has a seat in the window and now, and was first seen by the window's end.
     """
     days = (window[1] - window[0]).days + 1
+    current = current.join(within(seat_days, window, "seat_date").select("user_email").distinct(), "user_email", "left_semi")
     seen = users.where(col("first_seen_date") <= F.lit(window[1])).select("user_email").distinct()
     price = F.coalesce(*[F.when(col("seat_tier") == t, F.lit(p)) for t, p in prices.items()], F.lit(standard))
     cost = current.join(seen, "user_email", "left_semi").agg(F.count("*").alias("instrumented_seats"), F.coalesce(F.sum(price), F.lit(0.0)).alias("monthly_cost"))

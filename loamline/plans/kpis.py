@@ -254,13 +254,13 @@ QUERIES = {
     "k18_capability_use": (capabilities, sql("events metrics", CAPABILITIES, sig=SIG, s=SESSIONS)),
     "k19_seat_value": (
         frames(R, E, M, "manual_alias")(
-            lambda r, e, m, a: rounded(kpis.seat_value(seats.current_seats(seats.seat_intervals(r)), users(e, m, a), marts.fact_api_usage(e), PRICES, NOW, standard=25.0), "seat_cost", "value", "value_ratio")
+            lambda r, e, m, a: rounded(kpis.seat_value(seats.seat_days(seats.seat_intervals(r), AS_OF), seats.current_seats(seats.seat_intervals(r)), users(e, m, a), marts.fact_api_usage(e), PRICES, NOW, standard=25.0), "seat_cost", "value", "value_ratio")
         ),
         sql(
             "roster events metrics manual_alias",
             f"""SELECT n AS instrumented_seats, mc AS monthly_cost, round(mc * 15 / 30, 4) AS seat_cost, round(v, 4) AS value, round(v / (mc * 15 / 30), 4) AS value_ratio FROM (SELECT count(*) AS n, CAST(sum(CASE WHEN seat_tier = 'Premium' THEN 125 ELSE 25 END) AS DOUBLE) AS mc,
-            (SELECT sum(cost_usd) FROM e WHERE event_name = 'api_request' AND activity_date {IN}) AS v FROM c WHERE user_email IN (SELECT user_email FROM du WHERE first_seen_date <= DATE '{NOW[1]}'))""",
-            **STEPS, c=CURRENT, sig=SIG, se=SEEN, al=ALIAS, du=DIM_USER,
+            (SELECT sum(cost_usd) FROM e WHERE event_name = 'api_request' AND activity_date {IN}) AS v FROM c WHERE user_email IN (SELECT user_email FROM sd) AND user_email IN (SELECT user_email FROM du WHERE first_seen_date <= DATE '{NOW[1]}'))""",
+            **STEPS, c=CURRENT, sd=SEAT_DAYS, sig=SIG, se=SEEN, al=ALIAS, du=DIM_USER,
         ),
     ),
     "k20_period_over_period": (

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamline.llm import license_scan, lm_scoring, media, mixing, packing, quality_rules, simhash, token_store, toxicity, warc
+from loamline.llm import lexical, license_scan, lm_scoring, media, mixing, packing, quality_rules, simhash, suffix_dedup, token_store, toxicity, warc, whitening
 from loamline.llm.components import components
 from loamline.llm.scratch import materialize
 
@@ -119,8 +119,27 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.without_repeats(table(spark, sf_dir, "documents"), "x")
+    return out.select("doc_id", "x.n_bytes", "x.n_removed", "x.n_spans", F.sha2("x.kept", 256).alias("kept_sha256"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.integers(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "embedding", "x").select("vec_id", "x")
+    model = whitening.fit(rows, "x")
+    out = whitening.whitened(rows, "x", model, "w").select("vec_id", "w.deviation", F.posexplode("w.whitened").alias("at", "whitened"))
+    shares = F.array(*[F.lit(float(e / model.trace)) for e in model.values]) if model else F.array(F.lit(0.0))
+    explained = F.get(shares, "at").alias("explained")
+    n, error = (model.n, model.identity_error) if model else (0, 0.0)
+    return out.select("vec_id", (F.col("at") + 1).alias("component"), F.lit(n).cast("long").alias("n"), "deviation", "whitened", explained, F.lit(error).alias("identity_error"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = [op1_quality_rules, op2_license_scans, op3_warc, op4_mixing, op5_media, op6_lm_scoring, op7_simhash, op8_token_files, op9_toxicity, op10_packing]
+    found = [op1_quality_rules, op2_license_scans, op3_warc, op4_mixing, op5_media, op6_lm_scoring, op7_simhash, op8_token_files, op9_toxicity, op10_packing, op11_suffix_dedup, op12_lexical_search, op13_whitening]
     return {f.__name__: f for f in found}
 
 

@@ -358,8 +358,8 @@ def _marked(split: np.ndarray, a: np.ndarray) -> set[int]:
 # --- the whole job -----------------------------------------------------------------------------
 
 
-def _numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(k, copy, doc_id, text) as a written table bucketed by k, the documents' order: joins on k leave the texts where they are."""
+def _numbered(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, int]:
+    """(k, copy, doc_id, text) as a written table in buckets of k, the documents' order, and how many: joins on k leave the texts where they are."""
     spark = docs.sparkSession
     small_batches(spark)
     whole = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
@@ -373,7 +373,7 @@ def _numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     table = spark.table(name)
     table.schema  # noqa: B018  resolved: the catalogue's entry is not needed any more, the files stay
     spark.sql(f"DROP TABLE {name}")
-    return table
+    return table, buckets
 
 
 def _hot(texts: DataFrame, sample: int, least: int, part: int) -> tuple[np.ndarray, np.ndarray]:
@@ -448,7 +448,7 @@ def without_repeats(
 
     The other arguments bound what is sorted at a time; the result is the same for all of them.
     """
-    texts = _numbered(docs, doc_id, text)
+    texts, buckets = _numbered(docs, doc_id, text)
     hot, parts = _hot(texts, sample, hot_runs, part)
 
     def deal(a: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -460,14 +460,14 @@ def without_repeats(
     if len(hot):
         several = several | F.col("a").isin(*hot.tolist()) if len(hot) <= 200 else several | _among(hot)(F.col("a"))
     told = materialize(runs.withColumn("several", several).where("gone OR several").drop("deal", "several"), "runs")
-    asked = told.where("NOT gone").groupBy("k").agg(F.collect_list(F.struct("copy", "a", "h", "start", "size", "lead")).alias("asked"))
+    asked = told.where("NOT gone").repartition(buckets, "k").groupBy("k").agg(F.collect_list(F.struct("copy", "a", "h", "start", "size", "lead")).alias("asked"))
     contexts = _contexts(texts.join(asked.hint("merge"), "k"), hot, parts)
     sorted_ = contexts.repartition("deal").sortWithinPartitions("deal", "a").mapInArrow(_sorted_groups(hot, chunk), _SPAN_TYPE)
     found = materialize(sorted_, "spans")
     again = found.where("w IS NOT NULL").withColumn("r", F.row_number().over(Window.partitionBy("a", "w").orderBy("k", "copy", "at"))).where("r > 1")
     whole = told.where("gone").select("k", "copy", F.col("start").alias("at"), (F.col("size") + (WINDOW - 1)).alias("length"))
     spans = whole.unionByName(found.where("w IS NULL").select("k", "copy", "at", "length")).unionByName(again.select("k", "copy", "at", "length"))
-    spans = spans.groupBy("k").agg(F.collect_list(F.struct("copy", "at", "length")).alias("spans"))
+    spans = spans.repartition(buckets, "k").groupBy("k").agg(F.collect_list(F.struct("copy", "at", "length")).alias("spans"))
     joined = texts.join(spans.hint("merge"), "k", "left")
     column = unused(["doc_id", "text", "k", "copy", "spans"], into)
     return joined.select("doc_id", _kept(F.col("text"), F.col("spans"), F.col("copy")).alias(column)).withColumnRenamed(column, into)

@@ -28,6 +28,8 @@ from loamline.llm.scratch import materialize
 COMPONENTS, GUARD = 32, 16
 #: Degree of the filter, and the residual, relative to the largest eigenvalue, that certifies a pair.
 DEGREE, TOLERANCE = 12, 2e-14
+#: How much further than the last wanted value a filter may raise the largest.
+STEEP = 1e6
 #: Filters applied at most before the block is made wider; a block of all dimensions is exact at once.
 ROUNDS = 12
 #: Partial sums that one task, or the driver, adds up at most.
@@ -177,10 +179,17 @@ def _iterate(times: Callable[[np.ndarray], np.ndarray], q: np.ndarray, wanted: i
         best = min(best, residual)
         if residual <= tolerance * values[0] or settled or round_ == ROUNDS or q.shape[0] == q.shape[1]:
             return q, vq, values, (min(residual, tolerance * values[0]) if settled else residual)
-        q = np.linalg.qr(_filtered(times, q, vq, values, degree))[0]
+        q = np.linalg.qr(_filtered(times, q, vq, values, _degree(values, wanted, degree)))[0]
     raise AssertionError("unreachable")
 
 
+def _degree(values: np.ndarray, wanted: int, most: int) -> int:
+    """The degree at which the filter raises the largest value at most STEEP times as far as the last wanted one: beyond, rounding drowns that."""
+    half = max(values[-1], values[0] * 1e-12) / 2
+    reach = np.arccosh(np.maximum(1.0, (values[[0, wanted - 1]] - half) / half))
+    return int(np.clip(math.log(STEEP) / max(reach[0] - reach[1], 1e-9), 2, most))
+
+
 def _filtered(times: Callable[[np.ndarray], np.ndarray], q: np.ndarray, vq: np.ndarray, values: np.ndarray, degree: int) -> np.ndarray:
     """A Chebyshev polynomial of V, small on [0, the least Ritz value] and scaled to 1 at the largest, applied to q.
 

@@ -6,15 +6,16 @@ objects stay JSON text. Maps need spark.sql.mapKeyDedupPolicy=LAST_WIN: the last
 
 from __future__ import annotations
 
-import json as jsonlib
-from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamline.functions import columns as C
+from loamline.functions import spans
 
 col = F.col
 
@@ -141,8 +142,8 @@ def promote(rows: DataFrame, catalogue: tuple[Entry, ...], signal: str, derived:
 
 
 def batch_hash(json: Column) -> Column:
-    """A digest of the payload in canonical form: keys sorted, no spaces."""
-    return F.sha2(F.to_json(F.parse_json(json)), 256)
+    """A digest of the payload in canonical form, keys sorted and no spaces, or of its text where it has no such form."""
+    return F.sha2(F.coalesce(F.to_json(F.try_parse_json(json)), json), 256)
 
 
 def rate_limit_points(rows: DataFrame, snapshot: str, at: str) -> DataFrame:
@@ -194,106 +195,63 @@ def key_paths(recs: DataFrame) -> DataFrame:
     return recs.select("payload_id", "signal", "name", F.explode(F.map_keys("attrs")).alias("path")).distinct()
 
 
-# --- whole trees ------------------------------------------------------------------------------
-# Attributes stand at any depth, under names that no schema lists. These helpers walk one payload's JSON inside an Arrow UDF.
-
-
-def _parsed(text: str | None) -> dict | list | None:
-    """The tree of a payload's text; None for what is no JSON."""
-    try:
-        return jsonlib.loads(text) if text else None
-    except ValueError:
-        return None
-
-
-def _nodes(tree: dict | list | None) -> Iterator[dict]:
-    """Every object of a tree, outer ones and earlier ones first, however deep."""
-    todo = [tree]
-    while todo:
-        x = todo.pop()
-        if isinstance(x, dict):
-            yield x
-            todo.extend(reversed(x.values()))
-        elif isinstance(x, list):
-            todo.extend(reversed(x))
-
-
-def _display(value: object) -> str | None:
-    """A tagged value as text: string, integer, double or boolean in this order, else its JSON."""
-    if isinstance(value, dict):
-        tag = next((t for t in ("stringValue", "intValue", "doubleValue", "boolValue") if t in value), None)
-        value = value if tag is None else value[tag]
-    return value if isinstance(value, str) else jsonlib.dumps(value, ensure_ascii=False, separators=(",", ":"))
+# --- attributes of whole texts ---------------------------------------------------------------
+# Attributes stand at any depth, under names that no schema lists: they are found by a scan of each payload's text.
 
 
 def all_attrs(payloads: DataFrame) -> DataFrame:
     """(payload_id, signal, path, value) of every key with a value anywhere in a payload: of resources, scopes, records and inside objects.
 
-    A text that is no JSON has none.
+    A text whose brackets do not close has none. Half surrogate pairs, which no UTF-8 holds, come out as question marks.
     """
 
     @F.arrow_udf("array<struct<path:string,value:string>>")
-    def walked(texts: pa.Array) -> pa.Array:
-        found = [[{"path": x["key"], "value": _display(x["value"])} for x in _nodes(_parsed(t)) if isinstance(x.get("key"), str) and "value" in x] for t in texts.to_pylist()]
-        return pa.array(found, pa.list_(pa.struct([("path", pa.string()), ("value", pa.string())])))
-
-    return payloads.select("payload_id", "signal", F.explode(walked("json")).alias("x")).select("payload_id", "signal", "x.path", "x.value")
-
-
-# --- redaction -------------------------------------------------------------------------------
-
+    def found(texts: pa.Array) -> pa.Array:
+        listed = [[{"path": k, "value": v} for k, v in spans.pairs(t)] if t else [] for t in texts.to_pylist()]
+        return pa.array(listed, pa.list_(pa.struct([("path", pa.string()), ("value", pa.string())])))
 
-#: Tags of values that are no texts: any of them says something, whatever it is.
-_TYPED = frozenset(("intValue", "doubleValue", "boolValue", "arrayValue", "kvlistValue"))
+    return payloads.select("payload_id", "signal", F.explode(found("json")).alias("x")).select("payload_id", "signal", "x.path", "x.value")
 
 
-def _holds(value: object) -> bool:
-    """Whether a tagged value says something; an empty text does not."""
-    text = value.get("stringValue") if isinstance(value, dict) else ""
-    return not _TYPED.isdisjoint(value) if text is None else text != ""
-
-
-def _items(node: object, key: str) -> list[dict]:
-    listed = node.get(key) if isinstance(node, dict) else None
-    return [x for x in listed if isinstance(x, dict)] if isinstance(listed, list) else []
-
-
-def _cleaned(text: str | None, denied: set[str], content: set[str]) -> tuple[str | None, int]:
-    """A payload's text without denied keys in any list of attributes and without content keys in log records, and how many of those held something."""
-    tree = _parsed(text)
-    if tree is None:
-        return None, 0
-    leaks, gone = 0, False
-    for node in _nodes(tree):
-        listed = node.get("attributes")
-        if isinstance(listed, list):
-            kept = [a for a in listed if not (isinstance(a, dict) and a.get("key") in denied)]
-            gone |= len(kept) < len(listed)
-            node["attributes"] = kept
-    for record in (x for r in _items(tree, "resourceLogs") for s in _items(r, "scopeLogs") for x in _items(s, "logRecords")):
-        listed = record.get("attributes")
-        if isinstance(listed, list):
-            out = [a for a in listed if isinstance(a, dict) and a.get("key") in content]
-            leaks += sum(_holds(a.get("value")) for a in out)
-            gone |= bool(out)
-            record["attributes"] = [a for a in listed if a not in out]
-    return (jsonlib.dumps(tree, ensure_ascii=False, separators=(",", ":")) if gone else text), leaks
+# --- redaction and quarantine ----------------------------------------------------------------
 
 
 def redact(payloads: DataFrame, signal: str, denied: list[str], content: list[str]) -> DataFrame:
     """``payloads`` with redacted ``json`` and ``gate_leaks``, the content values that had to go.
 
-    Only the denied attributes go: all other fields stay as they are, known or not, and a payload with nothing to
-    deny keeps its very text. A text that is no JSON becomes NULL, since nothing tells what it holds.
+    Denied attributes are cut out of the text, the rest stays byte for byte. A text that is no JSON becomes NULL, since nothing
+    tells what it holds. Only texts that name such a key, or might in escapes, or have no canonical form are scanned; all others
+    stay in the JVM.
     """
-    at_gate = set(content) if signal == "logs" else set()
+    at_gate = content if signal == "logs" else []
+    keys, gate = frozenset(denied), frozenset(at_gate)
+    named = [F.instr("json", k) > 0 for k in sorted(keys | gate)]
+    suspect = reduce(or_, named, F.instr("json", "\\") > 0) | F.try_parse_json("json").isNull()
 
     @F.arrow_udf("struct<json:string,gate_leaks:bigint>")
     def clean(texts: pa.Array) -> pa.Array:
-        done = [_cleaned(t, set(denied), at_gate) for t in texts.to_pylist()]
+        done = [spans.without(t, keys, gate) if t is not None else (None, 0) for t in texts.to_pylist()]
         return pa.StructArray.from_arrays([pa.array([t for t, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], ["json", "gate_leaks"])
 
-    return payloads.withColumn("_clean", clean("json")).withColumns({"json": col("_clean.json"), "gate_leaks": col("_clean.gate_leaks")}).drop("_clean")
+    marked = payloads.withColumn("_suspect", F.coalesce(suspect, F.lit(False)))
+    marked = marked.withColumn("_clean", clean(F.when(col("_suspect"), col("json"))))
+    json = F.when(col("_suspect"), col("_clean.json")).otherwise(col("json"))
+    return marked.withColumns({"json": json, "gate_leaks": col("_clean.gate_leaks")}).drop("_clean", "_suspect")
+
+
+def quarantined(payloads: DataFrame, text: str = "json") -> DataFrame:
+    """``payloads`` with ``reason``: why a text may not be ingested, NULL where it may.
+
+    Without a canonical form nothing tells whether a payload came before: it is no JSON, or repeats a key, or is beyond what a VARIANT holds.
+    """
+
+    @F.arrow_udf("string")
+    def why(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else spans.fault(t) for t in texts.to_pylist()], pa.string())
+
+    odd = F.try_parse_json(text).isNull()
+    reason = F.when(col(text).isNull(), F.lit("no text")).when(odd, why(F.when(odd, col(text))))
+    return payloads.withColumn("reason", reason)
 
 
 def redaction_leaks(paths: DataFrame, catalogue: DataFrame) -> DataFrame:

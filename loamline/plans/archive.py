@@ -14,7 +14,8 @@ from loamline.plans.quality import QUERIES as QUALITY_QUERIES
 from loamline.plans.quality import findings_log
 from loamline.plans.seats import LATE
 from loamline.plans.seats import QUERIES as SEAT_QUERIES
-from loamline.sources import payloads, reservoir
+from loamline.sources import payloads, reservoir, store
+from loamline.sources.commits import Commits
 from loamline.sources.shared import workspace, written
 from loamline.streaming import ingest
 
@@ -245,6 +246,36 @@ def scrub_report(e, m):
     return out
 
 
+#: Texts that no fact can take: one is cut off, one repeats a key, one is null; each of some days.
+BROKEN = ("concat('{\"resourceLogs\":[', payload_id)", "concat('{\"resourceLogs\":[],\"resourceLogs\":[\"', payload_id, '\"]}')", "CAST(NULL AS STRING)")
+
+
+def with_broken(p):
+    """``p`` and beside each payload of every fifth day three texts that are none."""
+    some = p.where("dayofmonth(dt) % 5 = 0")
+    for n, text in enumerate(BROKEN):
+        p = p.unionByName(some.select("signal", "dt", F.concat("payload_id", F.lit(f"-broken{n}")).alias("payload_id"), F.expr(text).alias("json")))
+    return p
+
+
+def stored_rows(spark, root):
+    """Rows of both facts, hashes and quarantined texts by table and day."""
+    facts = None
+    for signal, (table, _, _) in store.FACTS.items():
+        rows = store.read_facts(spark, root, signal).groupBy("day").agg(F.count("*").alias("rows"), F.sum("k").alias("k")).select(F.lit(table).alias("fact"), "day", "rows", "k")
+        facts = rows if facts is None else facts.unionByName(rows)
+    commits = Commits(spark, root)
+    hashes = commits.read("ledger", store.LEDGER).groupBy("dt").agg(F.count("*").alias("rows"), F.count_distinct("batch_hash").alias("k")).select(F.lit("ledger").alias("fact"), col("dt").alias("day"), "rows", "k")
+    bad = commits.read("quarantine", store.QUARANTINE).groupBy("dt", "reason").agg(F.count("*").alias("rows")).select(F.concat(F.lit("quarantine, "), "reason").alias("fact"), col("dt").alias("day"), "rows", F.lit(0).cast("long").alias("k"))
+    return facts.unionByName(hashes).unionByName(bad)
+
+
+#: The same in SQL over e and m, lf and mf; points of k % 5 = 2 are summaries, which the fact does not take.
+STORED_FACTS = """SELECT 'events' AS fact, activity_date AS day, count(*) AS rows, CAST(sum(k) AS BIGINT) AS k FROM e GROUP BY 2 UNION ALL SELECT 'metrics', activity_date, count(*), CAST(sum(k) AS BIGINT) FROM m WHERE k % 5 <> 2 GROUP BY 2
+    UNION ALL SELECT 'ledger', dt, count(*), count(*) FROM pl GROUP BY 2"""
+STORED = STORED_FACTS + """ UNION ALL SELECT 'quarantine, ' || reason, dt, TIMES * count(*), 0 FROM pl, (VALUES ('no JSON'), ('repeated key'), ('no text')) AS t(reason) WHERE day(dt) % 5 = 0 GROUP BY reason, dt"""
+
+
 @frames(E)
 def ingested(e):
     p = payloads.log_payloads(e)
@@ -253,14 +284,29 @@ def ingested(e):
     return fresh.select("payload_id", "dt", "batch_hash").join(more.withColumn("in_ledger", F.lit(True)), "batch_hash", "left").drop("batch_hash")
 
 
-@frames(E)
-def replayed(e):
-    raw = _lines(e).select("event_id", "event_time", "k", "user_email", "session_id")
-    broken = raw.where("event_time < TIMESTAMP '2024-01-12' OR k > 20")
-    p = payloads.log_payloads(e)
-    ledger = p.select(otlp.batch_hash(col("json")).alias("batch_hash"))
-    rows, cleared = reservoir.replay(broken, ledger, p, "logs", datetime.datetime(2024, 1, 12), datetime.datetime(2024, 1, 20))
-    return rows.groupBy(F.to_date("event_time").alias("day")).agg(F.count("*").alias("rows")).crossJoin(cleared.agg(F.count("*").alias("ledger")))  # one row
+@frames(E, M)
+def ingested_facts(e, m):
+    """Both signals, a part of them twice, with texts among them that are no payloads."""
+    spark, root = e.sparkSession, workspace(e.sparkSession, "store")
+    p = written(with_broken(both_payloads(e, m)), "payloads")
+    store.ingest(spark, root, p.where("dt <= DATE '2024-01-12'"), DENIED, CONTENT, horizon_days=60)
+    store.ingest(spark, root, p.where("dt > DATE '2024-01-06'"), DENIED, CONTENT, horizon_days=60)
+    return stored_rows(spark, root).withColumn("rows", F.when(col("fact").startswith("quarantine") & col("day").between(F.lit("2024-01-07").cast("date"), F.lit("2024-01-12").cast("date")), F.floor(col("rows") / 2)).otherwise(col("rows")))
+
+
+@frames(E, M)
+def replayed(e, m):
+    """A store that lost and spoilt rows of both signals in a window gets them again from the archive."""
+    spark, root = e.sparkSession, workspace(e.sparkSession, "store")
+    p = written(both_payloads(e, m), "payloads")
+    store.ingest(spark, root, p.where("dt < DATE '2024-01-12'"), DENIED, CONTENT)
+    commits = Commits(spark, root)
+    spoilt = [part for s in store.FACTS for part in commits.write(store.FACTS[s][0], store.facts(p.where("dt >= DATE '2024-01-12'"), s).where("k > 20").withColumn("k", col("k") + 1), "day")]
+    commits.commit(spoilt)  # rows without hashes, some missing, all wrong
+    late = datetime.datetime(2024, 3, 1)
+    store.replay(spark, root, p, DENIED, CONTENT, datetime.datetime(2024, 1, 12), late)
+    store.ingest(spark, root, p, DENIED, CONTENT, horizon_days=60)  # all hashes are there: nothing comes twice
+    return stored_rows(spark, root)
 
 
 @frames(E)
@@ -369,16 +415,16 @@ def purged(e):
 # --- streams ---------------------------------------------------------------------------------
 
 
-@frames(E)
-def streamed(e):
-    """The archive of the log payloads, ingested as a stream; days that arrive twice are stored once."""
+@frames(E, M)
+def streamed(e, m):
+    """The archive of both signals' payloads, ingested as a stream; days that arrive twice are stored once, broken texts are set aside."""
     spark = e.sparkSession
     root, sink, checkpoint = (workspace(spark, n) for n in ("raw", "sink", "stream"))
-    p = payloads.log_payloads(e)
+    p = written(with_broken(both_payloads(e, m)), "payloads")
     reservoir.write_raw(p, root)
     reservoir.write_raw(p.where("dt = DATE '2024-01-09'"), root)
-    ingest.continuous_ingest(ingest.payload_stream(spark, root), sink, checkpoint, "logs", DENIED, CONTENT).awaitTermination()
-    return spark.read.parquet(f"{sink}/rows").groupBy(F.to_date("event_time").alias("day"), "event_name").agg(F.count("*").alias("rows"), F.sum("k").alias("k"))
+    ingest.continuous_ingest(ingest.payload_stream(spark, root), sink, checkpoint, DENIED, CONTENT).awaitTermination()
+    return stored_rows(spark, sink)
 
 
 @frames(E)
@@ -415,10 +461,10 @@ def refreshed(e):
     reservoir.write_raw(payloads.log_payloads(e), root)
 
     def refresh():
-        rows = spark.read.parquet(f"{sink}/rows").withColumn("activity_date", F.to_date("event_time"))
+        rows = store.read_facts(spark, sink, "logs").withColumn("activity_date", col("day"))
         return marts.refresh_all({"fact_api_error_rate": marts.fact_api_error_rate(rows)}, workspace(spark, "marts"))
 
-    log = ingest.run_available(lambda: ingest.continuous_ingest(ingest.payload_stream(spark, root), sink, checkpoint, "logs", DENIED, CONTENT), refresh)
+    log = ingest.run_available(lambda: ingest.continuous_ingest(ingest.payload_stream(spark, root), sink, checkpoint, DENIED, CONTENT), refresh)
     return log.select("mart", "row_count", (col("finished_at") >= col("started_at")).alias("in_order"))
 
 
@@ -477,13 +523,8 @@ QUERIES = {
             lf=LOG_FLAT, mf=MET_FLAT,
         ),
     ),
-    "s6_replay": (
-        replayed,
-        sql(
-            E,
-            """SELECT activity_date AS day, count(*) AS rows, 0 AS ledger FROM e WHERE activity_date < DATE '2024-01-12' OR k > 20 OR activity_date < DATE '2024-01-20' GROUP BY 1""",
-        ),
-    ),
+    "s6_replay": (replayed, sql("events metrics", STORED_FACTS, lf=LOG_FLAT, mf=MET_FLAT, pl=NAMES)),
+    "s7_p14_ingest_facts": (ingested_facts, sql("events metrics", STORED.replace("TIMES", "1"), lf=LOG_FLAT, mf=MET_FLAT, pl=NAMES)),
     "s7_ingest": (ingested, sql(E, "SELECT DISTINCT pid AS payload_id, activity_date AS dt, true AS in_ledger FROM lf WHERE activity_date >= DATE '2024-01-04'", lf=LOG_FLAT)),
     "s8_retention": (
         frames(E)(lambda e: reservoir.trim(e.select("event_id", "event_time"), "event_time", datetime.datetime(2024, 1, 30), datetime.timedelta(days=7))),
@@ -612,10 +653,7 @@ QUERIES = {
             t=FLIPPED, w=MARKS,
         ),
     ),
-    "st1_continuous_ingest": (
-        streamed,
-        sql(E, "SELECT activity_date AS day, event_name, count(*) AS rows, CAST(sum(k) AS BIGINT) AS k FROM e GROUP BY 1, 2"),
-    ),
+    "st1_continuous_ingest": (streamed, sql("events metrics", STORED.replace("TIMES", "1"), lf=LOG_FLAT, mf=MET_FLAT, pl=NAMES)),
     "st2_dedupe": (deduped, sql(E, "SELECT DISTINCT pid AS payload_id, activity_date AS dt FROM lf", lf=LOG_FLAT)),
     "st4_leak_counts": (leaks_of_batches, sql(E, "SELECT count(*) FILTER (k % 7 = 0) AS leaks, count(DISTINCT pid) AS payloads FROM lf", lf=LOG_FLAT)),
     "st5_refresh_after_ingest": (

@@ -16,23 +16,23 @@ E, M, R = "events", "metrics", "roster"
 col = F.col
 
 DROPS = "SELECT as_of_date, lag(as_of_date) OVER (ORDER BY as_of_date) AS prev_as_of, lead(as_of_date) OVER (ORDER BY as_of_date) AS next_as_of FROM (SELECT DISTINCT as_of_date FROM r)"
-#: Seat history in SQL, in named steps: o(bservations), b(oundaries), n(umbered), g(rouped runs), i(ntervals).
+#: Seat history in SQL, told of each opening by itself: sg, who stands in which drop; op, the drops in which a seat opens, as those that do not go on from
+#: the drop before; i, each opening with the next one of the person, the last drop before that, and the first drop without.
 STEPS = {
     "dr": DROPS,
-    "o": """SELECT as_of_date, user_email, arg_min(seat_tier, subscription_seq) FILTER (subscription_seq = 1) AS seat_tier0, max(seat_tier) FILTER (subscription_seq = 1) AS seat_tier, max(org_name) FILTER (subscription_seq = 1) AS org_name,
-        max(assignment_date) FILTER (subscription_seq = 1) AS assignment_date, bool_or(coalesce(subscription_raw LIKE 'Product %', false)) AS holds, max(CASE WHEN revoked_raw LIKE 'Product %' THEN revoke_date END) AS revoked_on FROM r GROUP BY 1, 2""",
-    "b": """SELECT o.*, prev_as_of, next_as_of, CASE WHEN NOT holds THEN revoked_on END AS closed_on, lag(o.as_of_date) OVER w AS ps, lag(seat_tier) OVER w AS pt, lag(org_name) OVER w AS po, lag(assignment_date) OVER w AS pa
-        FROM o JOIN dr ON o.as_of_date = dr.as_of_date WINDOW w AS (PARTITION BY user_email ORDER BY o.as_of_date)""",
-    "n": """SELECT *, sum(CASE WHEN starts THEN 1 ELSE 0 END) OVER (PARTITION BY user_email ORDER BY as_of_date) AS run, CASE WHEN sourced THEN assignment_date ELSE as_of_date END AS vf,
-        CASE WHEN sourced THEN 'source-dated' ELSE 'observation-dated' END AS vb FROM (SELECT *, ps IS NULL OR ps IS DISTINCT FROM prev_as_of OR seat_tier IS DISTINCT FROM pt OR org_name IS DISTINCT FROM po AS starts,
-        assignment_date IS NOT NULL AND (ps IS NULL OR assignment_date IS DISTINCT FROM pa) AS sourced FROM b)""",
-    "g": """SELECT *, lead(valid_from) OVER (PARTITION BY user_email ORDER BY run) AS nf, lead(closed_on) OVER (PARTITION BY user_email ORDER BY run) AS nc FROM (
-        SELECT user_email, run, min(as_of_date) AS first_seen_on, max(as_of_date) AS last_seen_on, (array_agg(seat_tier ORDER BY as_of_date))[1] AS seat_tier, (array_agg(org_name ORDER BY as_of_date))[1] AS org_name,
-        (array_agg(vf ORDER BY as_of_date))[1] AS valid_from, (array_agg(vb ORDER BY as_of_date))[1] AS valid_from_basis, (array_agg(holds ORDER BY as_of_date))[1] AS holds, (array_agg(closed_on ORDER BY as_of_date))[1] AS closed_on,
-        (array_agg(next_as_of ORDER BY as_of_date DESC))[1] AS gone FROM n GROUP BY 1, 2)""",
-    "i": """SELECT user_email, seat_tier, org_name, valid_from, valid_to, valid_from_basis, valid_to_basis, first_seen_on, last_seen_on FROM (SELECT *, CASE valid_to_basis WHEN 'revoke-dated' THEN greatest(valid_from, nc)
-        WHEN 'succession-dated' THEN greatest(valid_from, nf) WHEN 'observation-dated' THEN greatest(valid_from, gone) END AS valid_to FROM (SELECT *, CASE WHEN holds AND nc IS NOT NULL AND (nf IS NULL OR nc <= nf) THEN 'revoke-dated'
-        WHEN nf IS NOT NULL AND (gone IS NULL OR nf <= gone) THEN 'succession-dated' WHEN gone IS NOT NULL THEN 'observation-dated' END AS valid_to_basis FROM g)) WHERE valid_to IS NULL OR valid_to > valid_from""",
+    "sg": """SELECT a.user_email, a.as_of_date, a.seat_tier, a.org_name, a.assignment_date, EXISTS (SELECT 1 FROM r x WHERE x.user_email = a.user_email AND x.as_of_date = a.as_of_date AND x.subscription_raw LIKE 'Product %') AS holds,
+        (SELECT max(x.revoke_date) FROM r x WHERE x.user_email = a.user_email AND x.as_of_date = a.as_of_date AND x.revoked_raw LIKE 'Product %') AS revoked_on FROM r a WHERE a.subscription_seq = 1""",
+    "op": """SELECT x.*, CASE WHEN x.assignment_date IS DISTINCT FROM p.assignment_date THEN x.assignment_date END AS told FROM (SELECT sg.*, prev_as_of FROM sg JOIN dr ON dr.as_of_date = sg.as_of_date) x
+        ASOF LEFT JOIN sg p ON p.user_email = x.user_email AND p.as_of_date < x.as_of_date
+        WHERE NOT EXISTS (SELECT 1 FROM sg q WHERE q.user_email = x.user_email AND q.as_of_date = x.prev_as_of AND q.seat_tier IS NOT DISTINCT FROM x.seat_tier AND q.org_name IS NOT DISTINCT FROM x.org_name)""",
+    "i": """SELECT user_email, seat_tier, org_name, coalesce(told, as_of_date) AS valid_from, CASE WHEN u THEN greatest(coalesce(told, as_of_date), ended) WHEN v THEN greatest(coalesce(told, as_of_date), opened) WHEN gone IS NOT NULL THEN greatest(coalesce(told, as_of_date), gone) END AS valid_to,
+        CASE WHEN told IS NULL THEN 'observation-dated' ELSE 'source-dated' END AS valid_from_basis, CASE WHEN u THEN 'revoke-dated' WHEN v THEN 'succession-dated' WHEN gone IS NOT NULL THEN 'observation-dated' END AS valid_to_basis, as_of_date AS first_seen_on, seen AS last_seen_on
+        FROM (SELECT *, coalesce(holds AND ended <= coalesce(opened, ended), false) AS u, coalesce(opened <= coalesce(gone, opened), false) AS v FROM (
+            SELECT t.*, coalesce(y.told, y.as_of_date) AS opened, CASE WHEN NOT y.holds THEN y.revoked_on END AS ended, (SELECT min(dr.as_of_date) FROM dr WHERE dr.as_of_date > t.seen) AS gone
+            FROM (SELECT x.*, (SELECT max(s.as_of_date) FROM sg s WHERE s.user_email = x.user_email AND s.as_of_date >= x.as_of_date AND (x.nxt IS NULL OR s.as_of_date < x.nxt)) AS seen
+                FROM (SELECT a.*, (SELECT min(b.as_of_date) FROM op b WHERE b.user_email = a.user_email AND b.as_of_date > a.as_of_date) AS nxt FROM op a) x) t
+            LEFT JOIN op y ON y.user_email = t.user_email AND y.as_of_date = t.nxt))
+        WHERE NOT coalesce(CASE WHEN u THEN greatest(coalesce(told, as_of_date), ended) WHEN v THEN greatest(coalesce(told, as_of_date), opened) WHEN gone IS NOT NULL THEN greatest(coalesce(told, as_of_date), gone) END <= coalesce(told, as_of_date), false)""",
 }
 DAYS = "SELECT user_email, activity_date FROM e WHERE user_email IS NOT NULL UNION SELECT user_email, activity_date FROM m WHERE user_email IS NOT NULL"
 UNCOVERED = """SELECT t.user_email, t.activity_date, (SELECT max(i.valid_to) FROM i WHERE i.user_email = t.user_email AND i.valid_to <= t.activity_date) AS closed_on FROM td t

@@ -61,17 +61,6 @@ def ingest(payloads: DataFrame, ledger: DataFrame) -> tuple[DataFrame, DataFrame
     return fresh, fresh.select("batch_hash")
 
 
-def replay(raw: DataFrame, ledger: DataFrame, payloads: DataFrame, signal: str, since: datetime.datetime, until: datetime.datetime) -> tuple[DataFrame, DataFrame]:
-    """Rows of a half-open window of event time derived anew from the archive, and the ledger without those payloads.
-
-    The window is by event time while the archive is by arrival, so the whole of it is decoded.
-    """
-    keep = raw.where(~((col("event_time") >= F.lit(since)) & (col("event_time") < F.lit(until))))
-    again = otlp.promote(otlp.explode_logs(payloads), otlp.CATALOGUE, signal).where((col("event_time") >= F.lit(since)) & (col("event_time") < F.lit(until)))
-    cleared = ledger.join(payloads.select(otlp.batch_hash(col("json")).alias("batch_hash")), "batch_hash", "left_anti")
-    return keep.unionByName(again.select(*raw.columns)), cleared
-
-
 def trim(df: DataFrame, time: str, now: datetime.datetime, keep: datetime.timedelta) -> DataFrame:
     """Rows not older than ``keep``."""
     return df.where(col(time) >= F.lit(now - keep))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import datetime
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,6 +13,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from loamline.operators import otlp
+from loamline.sources import store
 from loamline.sources.shared import written
 
 col = F.col
@@ -24,29 +25,22 @@ def payload_stream(spark: SparkSession, root: str) -> DataFrame:
     return rows.select("signal", "dt", F.from_json("value", "payload_id string, json string").alias("v")).select("signal", "dt", "v.payload_id", "v.json")
 
 
-def continuous_ingest(stream: DataFrame, sink: str, checkpoint: str, signal: str, denied: list[str], content: list[str], *, horizon_days: int = 7) -> StreamingQuery:
-    """Redact, drop payloads that were stored before, decode and append; a batch that runs twice adds nothing.
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a checkpoint: a new checkpoint, even in the same place, is a new stream."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
-    A batch writes its rows and its hashes under its own number, so a retry overwrites and does not double. Hashes lie by
-    the payload's day: only days within the horizon of the batch's own are read, so old ones cost nothing.
+
+def continuous_ingest(stream: DataFrame, sink: str, checkpoint: str, denied: list[str], content: list[str], *, horizon_days: int = 7) -> StreamingQuery:
+    """Redact, drop payloads that were stored before, decode both signals and store each micro-batch by one commit.
+
+    A batch that runs twice finds its number in the manifests and adds nothing; one that died left nothing that is visible.
     """
 
-    def store(batch: DataFrame, number: int) -> None:
+    def keep(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        clean = otlp.redact(batch, signal, denied, content).withColumn("batch_hash", otlp.batch_hash(col("json"))).dropDuplicates(["batch_hash"])
-        clean = written(clean.drop("gate_leaks"), "batch")  # redacted and hashed once
-        days = clean.agg(F.min("dt").alias("first"), F.max("dt").alias("last")).first()
-        fresh = clean
-        if number and days["first"]:
-            reach = datetime.timedelta(days=horizon_days)
-            ledger = spark.read.schema("batch_hash string, batch long, dt date").parquet(f"{sink}/ledger")
-            ledger = ledger.where((col("batch") < number) & col("dt").between(F.lit(days["first"] - reach), F.lit(days["last"] + reach)))
-            fresh = clean.join(ledger.select("batch_hash"), "batch_hash", "left_anti")
-        rows = otlp.promote(otlp.explode_logs(fresh), otlp.CATALOGUE, signal).drop("attrs", "own", "resource")
-        rows.write.mode("overwrite").parquet(f"{sink}/rows/batch={number}")
-        fresh.select("batch_hash", "dt").write.mode("overwrite").partitionBy("dt").parquet(f"{sink}/ledger/batch={number}")
-
-    return stream.where(col("signal") == signal).writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        store.ingest(spark, sink, batch, denied, content, horizon_days=horizon_days, batch=(stream_id(spark, checkpoint), number))
+
+    return stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def dedupe(stream: DataFrame, time: str, *, horizon: str = "7 days") -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from loamline.functions import columns as C
 from loamline.operators import identity, kpis, marts, otlp, quality, seats
 from loamline.sources import reservoir
+from loamline.sources import store
+from loamline.sources.commits import Commits, Part
 from loamline.streaming import ingest
 
 D = dt.date
@@ -270,14 +272,101 @@ def test_stream_throttle_equals_batch(spark, tmp_path):
 def test_ingest_over_several_batches_stores_each_payload_once(spark, tmp_path):
     root, sink, checkpoint = (f"file://{tmp_path}/{n}" for n in ("raw", "sink", "ck"))
     rows = [("logs", D(2024, 1, d), str(d), PAYLOAD.replace('"7"', f'"{d}"')) for d in range(1, 5)]
+    point = '{"resourceMetrics":[{"scopeMetrics":[{"metrics":[{"name":"m","gauge":{"dataPoints":[{"timeUnixNano":"1704067200000000000","asInt":"3","attributes":[{"key":"k","value":{"intValue":"9"}}]}]}}]}]}]}'
     frame = lambda some: spark.createDataFrame(some, "signal string, dt date, payload_id string, json string")
     stored = []
-    for some in (rows[:2], rows[:3], [rows[3], ("metrics", D(2024, 1, 4), "m", "{}"), ("logs", D(2024, 1, 4), "odd", "no json")], rows):
+    for some in (rows[:2], rows[:3], [rows[3], ("metrics", D(2024, 1, 4), "m", point), ("logs", D(2024, 1, 4), "odd", "no json")], rows):
         reservoir.write_raw(frame(some), root)
-        ingest.continuous_ingest(ingest.payload_stream(spark, root), sink, checkpoint, "logs", ["secret.token"], ["prompt.text"]).awaitTermination()
-        stored.append(sorted(r.k for r in spark.read.parquet(f"{sink}/rows").collect()))
-    assert stored == [[1, 2], [1, 2, 3], [1, 2, 3, 4], [1, 2, 3, 4]]
-    assert spark.read.parquet(f"{sink}/ledger").where("batch_hash IS NOT NULL").count() == 4
+        ingest.continuous_ingest(ingest.payload_stream(spark, root), sink, checkpoint, ["secret.token"], ["prompt.text"]).awaitTermination()
+        stored.append(sorted(r.k for s in ("logs", "metrics") for r in store.read_facts(spark, sink, s).collect()))
+    assert stored == [[1, 2], [1, 2, 3], [1, 2, 3, 4, 9], [1, 2, 3, 4, 9]]
+    assert Commits(spark, sink).read("ledger", store.LEDGER).count() == 5
+    assert [r.reason for r in Commits(spark, sink).read("quarantine", store.QUARANTINE).collect()] == ["no JSON"]
+
+
+def test_a_new_checkpoint_in_the_same_place_loses_nothing(spark, tmp_path):
+    import shutil
+
+    root, sink, checkpoint = (f"file://{tmp_path}/{n}" for n in ("raw", "sink", "ck"))
+    for d in (1, 2):
+        reservoir.write_raw(spark.createDataFrame([("logs", D(2024, 1, d), str(d), PAYLOAD.replace('"7"', f'"{d}"'))], store.PAYLOAD), root)
+        ingest.continuous_ingest(ingest.payload_stream(spark, root), sink, checkpoint, [], []).awaitTermination()
+        shutil.rmtree(tmp_path / "ck")  # the stream begins with batch 0 again
+    assert sorted(r.k for r in store.read_facts(spark, sink, "logs").collect()) == [1, 2]
+
+
+def test_a_batch_that_dies_between_two_tables_leaves_nothing(spark, tmp_path, monkeypatch):
+    root = f"file://{tmp_path}/store"
+    p = spark.createDataFrame([("logs", D(2024, 1, 1), "1", PAYLOAD)], store.PAYLOAD)
+    real = Commits.write
+
+    def dying(self, table, rows, day):
+        if table == "ledger":
+            raise OSError("lost")
+        return real(self, table, rows, day)
+
+    monkeypatch.setattr(Commits, "write", dying)
+    with pytest.raises(OSError, match="lost"):
+        store.ingest(spark, root, p, [], [])
+    assert store.read_facts(spark, root, "logs").count() == 0 and list((tmp_path / "store" / "events").iterdir())
+    monkeypatch.undo()
+    assert store.ingest(spark, root, p, [], []) == 1 and store.ingest(spark, root, p, [], [], batch=("s", 0)) == 2
+    assert store.ingest(spark, root, p, [], [], batch=("s", 0)) is None
+    assert store.read_facts(spark, root, "logs").count() == 1 and Commits(spark, root).read("ledger", store.LEDGER).count() == 1
+    monkeypatch.setattr(Commits, "write", dying)
+    with pytest.raises(OSError, match="lost"):  # an interrupted replay leaves the old rows
+        store.replay(spark, root, p.limit(0), [], [], dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2))
+    assert store.read_facts(spark, root, "logs").count() == 1
+
+
+def test_unknown_signals_are_an_error(spark, tmp_path):
+    p = spark.createDataFrame([("traces", D(2024, 1, 1), "1", PAYLOAD)], store.PAYLOAD)
+    with pytest.raises(Exception, match="no fact takes the signal traces"):
+        store.ingest(spark, f"file://{tmp_path}/store", p, [], [])
+
+
+def test_manifests_are_read_from_the_last_snapshot(spark, tmp_path):
+    commits = Commits(spark, f"file://{tmp_path}/store")
+    parts = [Part("t", f"t/{i}", "2024-01-01", f"2024-01-{i % 28 + 1:02d}") for i in range(70)]
+    for i, part in enumerate(parts):
+        commits.commit([part], [parts[i - 1]] if i % 2 else [], ("s", i))
+    (tmp_path / "store" / "_commits" / "000000000001.json").unlink()  # behind two snapshots
+    state = commits.state()
+    assert state.number == 70 and state.batches == {"s": 69} and sorted(state.live) == sorted(p.path for p in parts[1::2])
+    assert all(p.last >= "2024-01-20" for p in state.parts("t", since=D(2024, 1, 20)))
+
+
+def test_spans_leave_the_rest_byte_for_byte():
+    from loamline.functions import spans
+
+    cut = lambda text, denied="d", content="c": spans.without(text, frozenset([denied]), frozenset([content]))
+    d, o = '{"key":"d","value":{"stringValue":"x"}}', '{ "key" : "o", "value":{"doubleValue": 1.10} }'
+    for items, want in (
+        (f"{d}, {o}", o), (f"{o} , {d}", o + " "), (f"{d},{o} ,{d}", o + " "), (f"{o},{d},{d}", o), (d, ""), (f" {d} , {d} ", "  "), (f"{o},{d},{o}", f"{o},{o}"), ("1, " + d + ", [2]", "1, [2]"),
+    ):
+        text = '{"a": 1e400, "n":12345678901234567890.123,"attributes":[%s]}'
+        assert cut(text % items) == (text % want, 0)
+    deep = "[" * 200_000 + "]" * 200_000
+    assert cut('{"attributes":[%s],"deep":%s}' % (d, deep)) == ('{"attributes":[],"deep":%s}' % deep, 0)
+    assert spans.pairs('{"x":{"key":"a","value":%s}}' % deep) == [("a", deep)]
+    assert cut('{"attributes":[{"key":"\\u0064","value":1}]}'.replace("\\\\", "\\")) == ('{"attributes":[]}', 0)  # an escaped name
+    assert cut('{"attributes":[{"key":["d"],"value":1},{"key":{"d":1}}]}')[0].count("key") == 2
+    assert cut('{"attributes":[{"value":{"kvlistValue":{"values":[{"key":"d"}],"attributes":[%s,%s]}},"key":"o"}]}' % (d, o))[0].count('"d"') == 1
+    assert cut("{oops") == (None, 0) == cut('{"a":1') and cut('"text"') == ('"text"', 0)
+    assert spans.pairs('{"key":"s","value":"\\ud800 x"}'.replace("\\\\", "\\")) == [("s", "? x")] and spans.pairs('{"key":"n","value": 5 , "z":[]}') == [("n", "5")]
+    log = '{"resourceLogs":[{"resource":{"attributes":[C]},"scopeLogs":[{"logRecords":[{"attributes":[C]}]}]}]}'
+    for value, leaks in (('{"stringValue":""}', 0), ('{"stringValue":"s"}', 1), ('{"intValue":"0"}', 1), ('{"stringValue":null,"boolValue":false}', 1), ('{"stringValue":"","intValue":"1"}', 0), ("{}", 0), ("7", 0)):
+        c = '{"key":"c","value":%s}' % value
+        assert cut(log.replace("C", c)) == (log.replace("C", c, 1).replace("[C]", "[]"), leaks)
+    assert [spans.fault(x) for x in ("{oops", '{"a":1,"a":2}', '{"a":[{"b":1,"b":1}]}', "[" * 100_000 + "]" * 100_000)] == ["no JSON", "repeated key", "repeated key", "too deep"]
+
+
+def test_payloads_that_are_none_stop_nothing(spark):
+    texts = ["{oops", '{"a":1,"a":2}', None, PAYLOAD, "{}", '{"key":"k","value":{"stringValue":"\\ud800"}}'.replace("\\\\", "\\")]
+    p = spark.createDataFrame([("logs", D(2024, 1, 1), str(i), t) for i, t in enumerate(texts)], store.PAYLOAD)
+    assert p.select(otlp.batch_hash(F.col("json")).alias("h")).where("h IS NULL").count() == 1
+    assert [r.reason for r in otlp.quarantined(p).orderBy("payload_id").collect()] == ["no JSON", "repeated key", "no text", None, None, None]
+    assert reservoir.scrub(p, "logs", ["secret.token"], [])[1].first().rewritten == 2 and otlp.all_attrs(p).count() == 8
 
 
 @pytest.mark.parametrize("block", [0, 700, 5000])

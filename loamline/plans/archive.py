@@ -205,22 +205,25 @@ def both_payloads(e, m):
     return payloads.metric_payloads(m).unionByName(payloads.log_payloads(e))
 
 
+FIRST, LAST = datetime.date(2024, 1, 1), datetime.date(2024, 1, 30)
+
+
 def _stored(e, m):
     """An archive of both signals' payloads with the days up to the tenth compacted."""
     spark = e.sparkSession
     raw_root, small = workspace(spark, "raw"), workspace(spark, "compacted")
     reservoir.write_raw(both_payloads(e, m), raw_root)
-    raw = reservoir.read_raw(spark, raw_root, ["logs", "metrics"], datetime.date(2024, 1, 1), datetime.date(2024, 1, 30))
-    none = raw.limit(0)
-    plan = reservoir.compaction_plan(raw, none, datetime.date(2024, 1, 10))
+    raw = reservoir.read_raw(spark, raw_root, ["logs", "metrics"], FIRST, LAST)
+    plan = reservoir.compaction_plan(reservoir.listed(spark, raw_root), reservoir.listed(spark, small), datetime.date(2024, 1, 10))
     reservoir.compact(raw, plan, small)
-    return raw, spark.read.schema("payload_id string, json string, signal string, dt date").parquet(small).select(raw.columns), raw_root
+    return raw, spark.read.schema("payload_id string, json string, signal string, dt date").parquet(small).select(raw.columns), raw_root, small
 
 
 @frames(E, M)
 def compacted_days(e, m):
-    raw, small, _ = _stored(e, m)
-    plan = reservoir.compaction_plan(raw, small, datetime.date(2024, 1, 20))
+    raw, small, raw_root, small_root = _stored(e, m)
+    spark = e.sparkSession
+    plan = reservoir.compaction_plan(reservoir.listed(spark, raw_root), reservoir.listed(spark, small_root), datetime.date(2024, 1, 20), datetime.date(2024, 1, 3), datetime.date(2024, 1, 18))
     whole = reservoir.prefer_compacted(raw.withColumn("kind", F.lit("raw")), small.withColumn("kind", F.lit("compacted")))
     each = whole.groupBy("signal", "dt", "kind").agg(F.count("*").alias("payloads"), F.bit_xor(F.xxhash64("json")).alias("texts"))
     first = raw.groupBy("signal", "dt").agg(F.bit_xor(F.xxhash64("json")).alias("raw_texts"))
@@ -230,8 +233,9 @@ def compacted_days(e, m):
 
 @frames(E, M)
 def read_window(e, m):
-    raw, _, root = _stored(e, m)
-    some = reservoir.read_raw(raw.sparkSession, root, ["logs", "metrics"], datetime.date(2024, 1, 5), datetime.date(2024, 1, 9))
+    root = workspace(e.sparkSession, "raw")
+    reservoir.write_raw(both_payloads(e, m), root)
+    some = reservoir.read_raw(e.sparkSession, root, ["logs", "metrics"], datetime.date(2024, 1, 5), datetime.date(2024, 1, 9))
     return some.groupBy("signal", "dt").agg(F.count("*").alias("payloads"), F.count_distinct("payload_id").alias("ids"))
 
 
@@ -309,10 +313,31 @@ def replayed(e, m):
     return stored_rows(spark, root)
 
 
-@frames(E)
-def inventory(e):
-    names = payloads.log_payloads(e).select("signal", "dt", col("payload_id").alias("name"))
-    return reservoir.inventory_diff(names, names.where("length(name) % 2 = 0"))
+@frames(E, M)
+def archive_scrub(e, m):
+    """An archive of both signals of which the days before the tenth came in clean, scrubbed by execution, then looked at again."""
+    spark, root = e.sparkSession, workspace(e.sparkSession, "raw")
+    out = None
+    for signal, p in (("logs", payloads.log_payloads(e)), ("metrics", payloads.metric_payloads(m))):
+        reservoir.write_raw(otlp.redact(p.where("dt < DATE '2024-01-10'"), signal, DENIED, CONTENT).repartition("dt"), root)
+        reservoir.write_raw(p.where("dt >= DATE '2024-01-10'").repartition("dt"), root)
+    before = written(reservoir.listed(spark, root).select(*reservoir.DAY_KEYS, "name"), "listing")
+    for signal in ("logs", "metrics"):
+        first = written(reservoir.scrub_archive(spark, root, signal, DENIED, CONTENT, FIRST, LAST, execute=True), "report")
+        again = reservoir.scrub_archive(spark, root, signal, DENIED, CONTENT, FIRST, LAST).select("dt", col("payloads").alias("left"), col("rewritten").alias("still"))
+        one = first.join(again, "dt").select(F.lit(signal).alias("signal"), "dt", "files", "dirty_files", "payloads", "rewritten", "leaks", "left", "still")
+        out = one if out is None else out.unionByName(one)
+    kept = before.join(reservoir.listed(spark, root), [*reservoir.DAY_KEYS, "name"], "left_semi").groupBy(*reservoir.DAY_KEYS).agg(F.count("*").alias("kept_files"))
+    return out.join(kept, reservoir.DAY_KEYS, "left").withColumn("kept_files", F.coalesce("kept_files", F.lit(0)))
+
+
+@frames(E, M)
+def inventory(e, m):
+    """Listings of a source and a target whose files are named by the second and the payload; some names tell no time."""
+    names = both_payloads(e, m).select("signal", "dt", "payload_id").withColumn("n", F.length("payload_id"))
+    clock = F.concat(F.lpad((col("n") % 24).cast("string"), 2, "0"), F.lit("0930-"), "payload_id", F.lit(".json.gz"))
+    named = names.select("signal", "dt", "n", F.when(col("n") % 5 == 0, F.concat(F.lit("odd-"), "payload_id")).otherwise(clock).alias("name"))
+    return reservoir.inventory_diff(named, named.where("n % 2 = 0 AND signal = 'logs'"), datetime.date(2024, 1, 4))
 
 
 @frames(E, M, "utilization", "roster", "manual_alias")
@@ -510,7 +535,7 @@ QUERIES = {
         compacted_days,
         sql(
             "events metrics",
-            """SELECT signal, dt, CASE WHEN dt < DATE '2024-01-10' THEN 'compacted' ELSE 'raw' END AS kind, count(*) AS payloads, dt >= DATE '2024-01-10' AND dt < DATE '2024-01-20' AS planned, true AS unchanged FROM pl GROUP BY 1, 2""",
+            """SELECT signal, dt, CASE WHEN dt < DATE '2024-01-10' THEN 'compacted' ELSE 'raw' END AS kind, count(*) AS payloads, dt >= DATE '2024-01-10' AND dt <= DATE '2024-01-18' AS planned, true AS unchanged FROM pl GROUP BY 1, 2""",
             lf=LOG_FLAT, mf=MET_FLAT, pl=NAMES,
         ),
     ),
@@ -553,8 +578,24 @@ QUERIES = {
     "s16_refresh_all": (refresh_log, REFRESHED),
     "s17_inventory_diff": (
         inventory,
-        sql(E, "SELECT 'logs' AS signal, activity_date AS dt, count(*) AS missing, min(pid) AS first_name FROM (SELECT DISTINCT activity_date, pid FROM lf) WHERE length(pid) % 2 <> 0 GROUP BY activity_date", lf=LOG_FLAT),
-    ),
+        sql(
+            "events metrics",
+            """SELECT signal, dt, count(*) AS names, count(*) FILTER (lacking) AS missing, min(name) FILTER (lacking) AS first_name, count(*) FILTER (NOT lacking) AS target_names, max(wt) AS newest_source, max(wt) FILTER (NOT lacking) AS newest_target,
+            count(*) FILTER (wt IS NULL) AS untimed FROM (SELECT signal, dt, NOT (n % 2 = 0 AND signal = 'logs') AS lacking, CASE WHEN n % 5 = 0 THEN 'odd-' || pid ELSE lpad(CAST(n % 24 AS VARCHAR), 2, '0') || '0930-' || pid || '.json.gz' END AS name,
+            CASE WHEN n % 5 <> 0 THEN dt + INTERVAL (n % 24) HOUR + INTERVAL 570 SECOND END AS wt FROM (SELECT *, length(pid) AS n FROM pl WHERE dt >= DATE '2024-01-04')) GROUP BY 1, 2""",
+            lf=LOG_FLAT, mf=MET_FLAT, pl=NAMES,
+        ),
+    ),
+    "s5_scrub_archive": (
+        archive_scrub,
+        sql(
+            "events metrics",
+            """SELECT signal, dt, 1 AS files, CASE WHEN dirty THEN 1 ELSE 0 END AS dirty_files, n AS payloads, CASE WHEN dirty THEN n ELSE 0 END AS rewritten, CASE WHEN dirty THEN leaks ELSE 0 END AS leaks, n AS left, 0 AS still, CASE WHEN dirty THEN 0 ELSE 1 END AS kept_files
+            FROM (SELECT pl.signal, pl.dt, pl.dt >= DATE '2024-01-10' AS dirty, count(*) AS n, coalesce(any_value(l.leaks), 0) AS leaks FROM pl
+            LEFT JOIN (SELECT 'logs' AS signal, activity_date AS dt, count(*) FILTER (k % 7 = 0) AS leaks FROM lf GROUP BY 2) l ON l.signal = pl.signal AND l.dt = pl.dt GROUP BY 1, 2, 3)""",
+            lf=LOG_FLAT, mf=MET_FLAT, pl=NAMES,
+        ),
+    ),
     "c2_l2_value_samples": (
         frames(E, M)(lambda e, m: profile.value_samples(walked(e, m), top=3)),
         sql(

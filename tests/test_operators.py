@@ -369,6 +369,52 @@ def test_payloads_that_are_none_stop_nothing(spark):
     assert reservoir.scrub(p, "logs", ["secret.token"], [])[1].first().rewritten == 2 and otlp.all_attrs(p).count() == 8
 
 
+def archive(spark, root):
+    rows = [("logs", D(2024, 1, d), str(d), PAYLOAD if d > 1 else '{"a": 1.10}') for d in (1, 2, 3)] + [("logs", D(2024, 1, 3), "odd", "no json")]
+    for row in rows:
+        reservoir.write_raw(spark.createDataFrame([row], store.PAYLOAD), root)
+
+
+def test_plans_come_from_listings(spark, tmp_path):
+    raw, small = f"file://{tmp_path}/raw", f"file://{tmp_path}/small"
+    archive(spark, raw)
+    days = lambda plan: sorted(r.dt.day for r in plan.collect())
+    mine = reservoir.listed(spark, raw)
+    plan = lambda *a, **k: reservoir.compaction_plan(mine, reservoir.listed(spark, small), *a, **k)
+    assert days(plan(D(2024, 1, 3))) == [1, 2] and days(plan(D(2024, 1, 9), D(2024, 1, 2), D(2024, 1, 2))) == [2]
+    text = plan(D(2024, 1, 3))._jdf.queryExecution().toString()
+    assert "binaryFile" in text and "FileScan text" not in text and "content" not in text.split("Physical Plan")[-1]
+    reservoir.compact(reservoir.read_raw(spark, raw, ["logs"], D(2024, 1, 1), D(2024, 1, 1)), plan(D(2024, 1, 2)), small)
+    assert days(plan(D(2024, 1, 9))) == [2, 3] and days(plan(D(2024, 1, 9), rebuild=True)) == [1, 2, 3]
+    assert reservoir.inventory_diff(mine, reservoir.listed(spark, small), D(2024, 1, 3)).first().missing == 2
+
+
+def test_newest_write_is_told_from_names(spark):
+    f = lambda *names: spark.createDataFrame([("logs", D(2024, 1, 1), n) for n in names], "signal string, dt date, name string")
+    r = reservoir.inventory_diff(f("101500-a", "235959-b", "250000-c", "d", "d"), f("101500-a", "235958-z")).first()
+    assert (r.names, r.missing, r.first_name, r.target_names, r.newest_source, r.newest_target, r.untimed) == (4, 3, "235959-b", 2, dt.datetime(2024, 1, 1, 23, 59, 59), dt.datetime(2024, 1, 1, 23, 59, 58), 2)
+
+
+def test_scrub_rewrites_dirty_files_only(spark, tmp_path, monkeypatch):
+    root, window = f"file://{tmp_path}/raw", (D(2024, 1, 1), D(2024, 1, 9))
+    archive(spark, root)
+    files = lambda: {r.path: r.modified for r in reservoir.listed(spark, root).collect()}
+    texts = lambda: sorted(r.json for r in reservoir.read_raw(spark, root, ["logs"], *window).collect())
+    before, said = files(), texts()
+    dry = reservoir.scrub_archive(spark, root, "logs", ["secret.token"], ["prompt.text"], *window)
+    assert {(r.dt.day, r.files, r.dirty_files, r.rewritten, r.leaks) for r in dry.collect()} == {(1, 1, 0, 0, 0), (2, 1, 1, 1, 1), (3, 2, 1, 1, 1)} and files() == before
+    finish = reservoir.finish_swap
+    monkeypatch.setattr(reservoir, "finish_swap", lambda *a: False)  # dies when all is written down
+    reservoir.scrub_archive(spark, root, "logs", ["secret.token"], ["prompt.text"], *window, execute=True)
+    assert files() == before and texts() == said
+    monkeypatch.undo()
+    assert finish(spark, root) and not finish(spark, root)
+    after = files()
+    assert sum(after.get(p) == t for p, t in before.items()) == 2 and len(after) == 4
+    now = texts()
+    assert len(now) == 4 and not any("secret.token" in t for t in now) and {'{"a": 1.10}', "no json"} <= set(now)
+
+
 @pytest.mark.parametrize("block", [0, 700, 5000])
 def test_throttle_over_blocks_equals_a_fold(spark, block):
     import random

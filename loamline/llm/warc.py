@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loamline.llm.components import components
 from loamline.llm.scratch import materialize
 from loamline.sources.shared import workspace
 
@@ -35,9 +36,11 @@ REVISIT_BYTES = 1000
 CLASSES = ((1 << 16, 2000), (1 << 20, 128), (1 << 24, 8), (None, 1))
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _CRLF = "\r\n"
+#: The header that a record may have several times.
+REPEATED = "warc-concurrent-to"
 
 RECORD = (
-    "record_type string, record_id string, concurrent_to string, refers_to string, target_uri string, date string, "
+    "record_type string, record_id string, concurrent_to array<string>, refers_to string, target_uri string, date string, "
     "http_head string, payload binary, payload_bytes bigint, payload_digest string, digest_ok boolean, fields map<string,string>"
 )
 
@@ -95,7 +98,7 @@ def write_warc(pages: DataFrame, path: str, *, key: str = "page_id", url: str =
 
 
 def parse_records(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
-    """(headers with lower-case names, block) of each record of an uncompressed WARC stream."""
+    """(headers with lower-case names, block) of each record of an uncompressed WARC stream; repeats of the header that may have some are joined by spaces."""
     while True:
         line = stream.readline()
         if not line:
@@ -107,7 +110,8 @@ def parse_records(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], b
         head = {}
         while (line := stream.readline().rstrip(b"\r\n")):
             name, _, value = line.partition(b":")
-            head[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
+            name, value = name.decode("latin-1").strip().lower(), value.decode("utf-8", "replace").strip()
+            head[name] = f"{head[name]} {value}" if name == REPEATED and name in head else value
         yield head, stream.read(int(head.get("content-length", 0)))
 
 
@@ -116,7 +120,7 @@ def _row(head: dict[str, str], block: bytes, with_payload: bool) -> dict:
     kind = head.get("warc-type")
     plain = lambda x: x[1:-1] if x and x[0] == "<" else x
     row = {
-        "record_type": kind, "record_id": plain(head.get("warc-record-id")), "concurrent_to": plain(head.get("warc-concurrent-to")), "refers_to": plain(head.get("warc-refers-to")),
+        "record_type": kind, "record_id": plain(head.get("warc-record-id")), "concurrent_to": [plain(x) for x in head.get(REPEATED, "").split()], "refers_to": plain(head.get("warc-refers-to")),
         "target_uri": head.get("warc-target-uri"), "date": head.get("warc-date"), "http_head": None, "payload": None, "payload_bytes": None, "payload_digest": None, "digest_ok": None,
         "fields": None,
     }
@@ -141,7 +145,7 @@ def _row(head: dict[str, str], block: bytes, with_payload: bool) -> dict:
 
 _ARROW = pa.schema(
     [
-        ("record_type", pa.string()), ("record_id", pa.string()), ("concurrent_to", pa.string()), ("refers_to", pa.string()), ("target_uri", pa.string()), ("date", pa.string()),
+        ("record_type", pa.string()), ("record_id", pa.string()), ("concurrent_to", pa.list_(pa.string())), ("refers_to", pa.string()), ("target_uri", pa.string()), ("date", pa.string()),
         ("http_head", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("digest_ok", pa.bool_()),
         ("fields", pa.map_(pa.string(), pa.string())),
     ]
@@ -170,22 +174,47 @@ def read_warc(spark: SparkSession, path: str, *, with_payload: bool = True) -> D
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(read, RECORD)
 
 
+def _captures(records: DataFrame, main: Column) -> DataFrame:
+    """``records`` with the capture_id of the set of records that they are linked to, in either direction and over any number of steps.
+
+    The set is called by its smallest main record, or by its smallest record. In the usual case, when requests and metadata each name one
+    main record and that names none, the name is at hand; else the sets are components.
+    """
+    ids = materialize(records.where("record_id IS NOT NULL").select(F.col("record_id").alias("id"), F.array_distinct("concurrent_to").alias("to"), main.alias("main")), "ids")
+    links = ids.select("id", "main", F.size("to").alias("n"), F.explode("to").alias("to"))
+    mains = ids.where("main").select(F.col("id").alias("to"))
+    odd = links.where("main OR n > 1").select("to").unionByName(links.where("NOT main AND n = 1").select("to").join(mains, "to", "left_anti"))
+    if odd.isEmpty():
+        return records.withColumn("capture_id", F.when(main, F.col("record_id")).otherwise(F.coalesce(F.get("concurrent_to", F.lit(0)), "record_id")))
+    roots = components(links, "id", "to")
+    of = ids.groupBy(F.col("id").alias("node")).agg(F.max("main").alias("main"))
+    named = roots.join(of, "node", "left").groupBy("root").agg(F.min(F.struct(~F.coalesce("main", F.lit(False)), "node"))["node"].alias("capture_id"))
+    found = roots.join(named, "root").select(F.col("node").alias("_node"), "capture_id")
+    # a record without an id goes where its first link leads
+    at = F.coalesce("record_id", F.get("concurrent_to", F.lit(0)))
+    return records.withColumn("_at", at).join(found, F.col("_at") == F.col("_node"), "left").withColumn("capture_id", F.coalesce("capture_id", "_at")).drop("_at", "_node")
+
+
 def assemble(records: DataFrame) -> DataFrame:
-    """One row per capture: capture_id, the response or revisit record, its requests and its metadata.
+    """One row per capture: capture_id, the response, revisit or resource record, its requests, its metadata, and further main records.
 
-    Records join by what they are concurrent to; those that name no capture of the input make rows
-    with a null ``response``.
+    Records belong together that concurrent-to links connect, whichever of the two names the other and over any number of steps.
+    Of several main records of a set, or of one id, the first by date, id and digest is ``response``, the others stand in ``more``. Sets without a
+    main record make rows with a null ``response``; a record without any id makes a row of its own.
     """
     main = F.col("record_type").isin("response", "revisit", "resource")
-    keyed = records.withColumn("capture_id", F.when(main, F.col("record_id")).otherwise(F.coalesce("concurrent_to", "record_id")))
+    keyed = _captures(records, main)
     whole = F.struct(*[F.col(c) for c in records.columns if c != "capture_id"])
-    part = lambda kind: F.collect_list(F.when(F.col("record_type") == kind, whole))
-    met = keyed.where("capture_id IS NOT NULL").groupBy("capture_id").agg(
-        F.first(F.when(main, whole), ignorenulls=True).alias("response"), part("request").alias("requests"), part("metadata").alias("metadata")
-    )
-    alone = lambda kind: F.array_compact(F.array(F.when(F.col("record_type") == kind, whole)))
-    lone = keyed.where("capture_id IS NULL").select("capture_id", F.when(main, whole).alias("response"), alone("request").alias("requests"), alone("metadata").alias("metadata"))
-    return met.unionByName(lone)
+    rank = lambda r: F.struct(*[F.coalesce(r[c], F.lit("")) for c in ("date", "record_id", "payload_digest")])
+    order = lambda a, b: F.when(rank(a) < rank(b), -1).when(rank(a) > rank(b), 1).otherwise(0)
+    sets = lambda all_: [F.get(all_, F.lit(0)).alias("response"), "requests", "metadata", F.slice(all_, 2, F.greatest(F.size(all_) - 1, F.lit(0))).alias("more")]
+    part = lambda kind: F.collect_list(F.when(kind, whole))
+    request, metadata = F.col("record_type") == "request", F.col("record_type") == "metadata"
+    met = keyed.where("capture_id IS NOT NULL").groupBy("capture_id").agg(part(main).alias("mains"), part(request).alias("requests"), part(metadata).alias("metadata"))
+    met = met.select("capture_id", *sets(F.array_sort("mains", order)))
+    alone = lambda kind: F.array_compact(F.array(F.when(kind, whole)))
+    lone = keyed.where("capture_id IS NULL").select("capture_id", alone(main).alias("mains"), alone(request).alias("requests"), alone(metadata).alias("metadata"))
+    return met.unionByName(lone.select("capture_id", *sets(F.col("mains"))))
 
 
 def archive(pages: DataFrame, **options) -> DataFrame:

@@ -267,7 +267,7 @@ def test_warc_sizes_odd_records_and_ids(spark, tmp_path):
     records = warc.read_warc(spark, path)
     got = warc.assemble(records)
     assert sorted((int(r.metadata[0].fields["capture-key"]), r.response.payload_bytes) for r in got.collect()) == [(i, len(t)) for i, _, t in rows]
-    nameless = records.withColumns({"record_id": F.lit(None).cast("string"), "concurrent_to": F.lit(None).cast("string")})
+    nameless = records.withColumns({"record_id": F.lit(None).cast("string"), "concurrent_to": F.lit(None).cast("array<string>")})
     lone = warc.assemble(nameless).collect()
     assert len(lone) == 12 and sum(r.response is not None for r in lone) == 4 and sum(len(r.requests) for r in lone) == 4
 
@@ -475,3 +475,30 @@ def test_pipeline_of_no_rows(spark, docs):
     for _, f in corpus_pipeline.STAGES:
         step = f(spark, step, SF)
     assert step.count() == 0
+
+
+def records_of(spark, *rows):
+    full = [(kind, rid, to, None, f"u{i}", date, None, None, 0, None, None, None) for i, (kind, rid, to, date) in enumerate(rows)]
+    return spark.createDataFrame(full, warc.RECORD)
+
+
+def test_transactions_are_connected_in_either_direction(spark):
+    got = warc.assemble(
+        records_of(
+            spark, ("response", "a", ["b"], "1"), ("request", "b", None, "1"), ("metadata", "c", ["a"], "1"),  # response -> request, metadata -> response
+            ("response", "d", [], "1"), ("request", "e", ["d"], "1"), ("metadata", "f", ["e"], "1"),  # metadata -> request
+            ("response", "g", [], "2"), ("revisit", "g", [], "1"), ("request", "h", ["g", "i"], "1"), ("metadata", "i", [], "1"),  # one id twice, several links
+            ("request", "k", ["gone"], "1"), ("metadata", "l", ["gone"], "1"), ("metadata", None, ["a"], "1"), ("metadata", None, None, "1"),
+        )
+    ).collect()
+    ids = lambda rs: sorted(str(r.record_id) for r in rs)
+    told = sorted((str(r.capture_id), r.response and r.response.date, ids(r.requests), ids(r.metadata), ids(r.more)) for r in got)
+    assert told == [("None", None, [], ["None"], []), ("a", "1", ["b"], ["None", "c"], []), ("d", "1", ["e"], ["f"], []), ("g", "1", ["h"], ["i"], ["g"]), ("gone", None, ["k"], ["l"], [])]
+
+
+def test_repeated_headers_are_all_links():
+    import io
+
+    text = b"WARC/1.1\r\nWARC-Type: request\r\nWARC-Record-ID: <x>\r\nWARC-Concurrent-To: <a>\r\nWARC-Concurrent-To: <b>\r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+    head, block = next(warc.parse_records(io.BytesIO(text)))
+    assert warc._row(head, block, False)["concurrent_to"] == ["a", "b"]

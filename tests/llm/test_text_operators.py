@@ -395,3 +395,18 @@ def test_words_split_at_ascii_space_only(found):
     w = text.words_of(pa.array(found, pa.string()))
     names = w.names.to_pylist()
     assert [[names[i] for i in w.ids[a:b]] for a, b in zip(w.offsets[:-1], w.offsets[1:], strict=True)] == [WORD.findall(t) for t in found]
+
+
+def test_one_long_text_does_not_switch_the_classifier_off(spark, docs, labels):
+    from loamline.llm import toxicity
+
+    some = labels.where("toxic IS NOT NULL").limit(400)
+    mine = docs.join(some.select("doc_id"), "doc_id", "left_semi").select("doc_id", "text")
+    bound = 1 << 20
+    first = [r[0] for r in spark.range(10_000_000, 10_020_000).orderBy(F.xxhash64("id")).limit(2).collect()]  # ids that sort before nearly all others
+    long = spark.createDataFrame([(i, "word " * (bound // 4)) for i in first], "doc_id long, text string")
+    told = some.select("doc_id", "toxic").unionByName(spark.createDataFrame([(first[0], 1), (first[1], 0)], "doc_id long, toxic int").selectExpr("doc_id", f"CAST(toxic AS {dict(some.dtypes)['toxic']}) AS toxic"))
+    plain, with_long = (toxicity.labelled_sample(d, told, sample_bytes=bound) for d in (mine, mine.unionByName(long)))
+    assert sorted(with_long.label.tolist()) == sorted(plain.label.tolist()) and {0, 1} == set(plain.label.tolist())
+    only = toxicity.labelled_sample(long, told, sample_bytes=bound)
+    assert sorted(only.label.tolist()) == [0, 1]

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from loamline.sources.shared import written
@@ -17,6 +20,15 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
 
 
+def release_memory() -> None:
+    """Give back what the driver's Python has freed: allocators keep it, and it would count for the rest of the job."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim:
+        trim(0)
+
+
 def unused(columns: Iterable[str], name: str) -> str:
     """``name``, or with underscores behind it, such that no column is called so."""
     taken = {c.lower() for c in columns}

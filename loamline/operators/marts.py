@@ -242,17 +242,6 @@ def bridge_skill(events: DataFrame) -> DataFrame:
 # --- refresh ---------------------------------------------------------------------------------
 
 
-def registry(events: DataFrame, metrics: DataFrame, utilization: DataFrame) -> dict[str, DataFrame]:
-    """Facts, bridges and the model dimension by name, each lazy; dimensions of people and seats come from their own operators."""
-    segments = utilization_segments(utilization)
-    return {
-        "fact_session": fact_session(events, metrics), "fact_session_daily": fact_session_daily(events, metrics), "fact_api_usage": fact_api_usage(events),
-        "fact_edit_decision": fact_edit_decision(metrics), "fact_tool_outcome": fact_tool_outcome(events), "fact_api_error_rate": fact_api_error_rate(events),
-        "fact_usage_window": fact_usage_window(segments), "fact_utilization_hourly": utilization_hourly(segments), "bridge_agent": bridge_agent(events), "bridge_hook": bridge_hook(events),
-        "bridge_server": bridge_server(events), "bridge_plugin": bridge_plugin(events), "bridge_skill": bridge_skill(events), "dim_model": dim_model(events, metrics),
-    }
-
-
 def refresh_all(marts: dict[str, DataFrame], root: str, *, at_once: int = 4) -> DataFrame:
     """Write every mart under ``root`` and return (mart, row_count, started_at, finished_at), one row each.
 

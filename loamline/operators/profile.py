@@ -63,12 +63,28 @@ def record_profile(recs: DataFrame, *, session: str = "session.id", seat: str =
     return out.select(*keys, "records", "sessions", "seats", "cardinality", F.concat_ws(",", F.transform("t", lambda x: x["value"])).alias("top3"), (col("records") / col("population")).alias("share"))
 
 
+def few_valued(flat: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """Keys whose values may be ``most`` or fewer, without shuffling a value: each value sets one of 64 bits of its key, and a key with more than
+    ``most`` bits has more values than that. Keys that are left may have more too, by about as many as share a bit.
+    """
+    bit = F.expr("shiftleft(1L, CAST(pmod(xxhash64(value), 64) AS INT))")
+    return flat.groupBy(*keys).agg(F.bit_or(bit).alias("bits")).where(F.bit_count("bits") <= most).select(*keys)
+
+
 def seat_reach(recs: DataFrame, *, most_values: int = 25, seat: str = "user.email") -> DataFrame:
-    """Seats per value for paths of few values."""
-    flat = recs.select("signal", F.coalesce(F.element_at("resource", seat), F.element_at("attrs", seat)).alias("seat"), F.explode("attrs").alias("path", "value"))
-    g = written(flat.groupBy("signal", "path", "value").agg(F.count_distinct("seat").alias("seats")), "reach")
-    few = g.groupBy("signal", "path").agg(F.count("*").alias("n")).where(col("n") <= most_values)
-    return g.join(few, ["signal", "path"], "left_semi")
+    """Seats per value for paths of at most ``most_values`` values (at most 40, so that 64 bits tell them from many).
+
+    Paths of many values, such as ids, drop out by a bit set before values are grouped; those that are left are counted exactly.
+    """
+    if not 0 < most_values <= 40:
+        raise ValueError("most_values must lie between 1 and 40")
+    keys = ["signal", "path"]
+    own = recs.select("signal", F.coalesce(F.element_at("resource", seat), F.element_at("attrs", seat)).alias("seat"), "attrs")
+    flat = written(own, "records").select("signal", "seat", F.explode("attrs").alias("path", "value"))
+    g = flat.join(few_valued(flat, keys, most_values), keys, "left_semi").groupBy(*keys, "value").agg(F.count_distinct("seat").alias("seats"))
+    g = written(g, "reach")
+    few = g.groupBy(*keys).agg(F.count("*").alias("n")).where(col("n") <= most_values)
+    return g.join(few, keys, "left_semi")
 
 
 def with_status(paths: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -136,8 +152,8 @@ def signal_profile(df: DataFrame, name: str, time: str) -> DataFrame:
 
 
 def unknown_literals(df: DataFrame, name: str, known: list[str]) -> DataFrame:
-    """Names in the data that the catalogue does not list."""
-    return df.groupBy(name).agg(F.count("*").alias("rows")).where(~col(name).isin(*known))
+    """Names in the data that the catalogue does not list; no name is none of them."""
+    return df.groupBy(name).agg(F.count("*").alias("rows")).where(~F.coalesce(col(name).isin(*known), F.lit(False)))
 
 
 def top_values(attrs: DataFrame, path: str | Column, *, k: int = 50) -> DataFrame:

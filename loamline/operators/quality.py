@@ -119,12 +119,13 @@ def config_convergence(events: DataFrame, metrics: DataFrame) -> DataFrame:
     return g.withColumn("is_converged", col("stamp") == col("disk_stamp"))
 
 
-def current_findings(log: DataFrame) -> DataFrame:
+def current_findings(log: DataFrame, held: DataFrame | None = None) -> DataFrame:
     """Findings of the last cycle with first sight and the start of their present streak of cycles.
 
-    ``log``: (cycle date, finding_type, subject). Cycles are numbered, so an island keeps one difference.
+    ``log``: (cycle date, finding_type, subject). Cycles are numbered, so an island keeps one difference. ``held`` names all cycles;
+    without it those that found nothing are unknown.
     """
-    cycles = log.select("cycle").distinct().withColumn("n", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("cycle")))
+    cycles = (log if held is None else held).select("cycle").distinct().withColumn("n", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("cycle")))
     rows = log.select("cycle", "finding_type", "subject").distinct().join(F.broadcast(cycles), "cycle")
     key = Window.partitionBy("finding_type", "subject").orderBy("n")
     rows = rows.withColumns({"island": col("n") - F.row_number().over(key), "first_seen": F.min("cycle").over(Window.partitionBy("finding_type", "subject"))})

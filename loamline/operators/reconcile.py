@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamline.functions.columns import is_corporate
+from loamline.sources.commits import Commits
 
 col = F.col
 #: A watermark later than any row.
@@ -91,6 +92,36 @@ def purge(raw: DataFrame, condition, cutoff: datetime.datetime) -> tuple[DataFra
     return raw.where(~gone), audit
 
 
+def load_backfill(spark: SparkSession, root: str, run: str, staged: DataFrame, existing: DataFrame, *, scopes: list[str]) -> int | None:
+    """Load a backfill into the table ``backfilled`` under ``root`` by one commit that carries the run's name.
+
+    A run that is in already loads nothing and gives None, whatever is staged; one that died left nothing that is visible.
+    """
+    commits = Commits(spark, root)
+    if run in commits.state().batches:
+        return None
+    return commits.commit(commits.write("backfilled", backfill(staged, existing, scopes=scopes), "activity_date"), batch=(run, 0))
+
+
+def purge_facts(events: DataFrame, metrics: DataFrame, condition: Column, cutoff: datetime.datetime, name: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """What stays of both facts, and one finding in the log's form with the rows of each that go before the cut-off and their distinct domains.
+
+    A condition that is NULL keeps the row. Nothing to purge is a finding of 0 rows.
+    """
+    early = {"events": (events, "event_time"), "metrics": (metrics, "ts")}
+    gone = {k: F.coalesce(condition & (col(time) < F.lit(cutoff)), F.lit(False)) for k, (_, time) in early.items()}
+    kept = [df.where(~gone[k]) for k, (df, _) in early.items()]
+    parts = [df.where(gone[k]).select(F.lit(k).alias("fact"), F.split_part(col("user_email"), F.lit("@"), F.lit(2)).alias("domain")) for k, (df, _) in early.items()]
+    n = parts[0].unionAll(parts[1]).groupBy("fact", "domain").agg(F.count("*").alias("n"))
+    total = lambda k: F.coalesce(F.sum(F.when(col("fact") == k, col("n"))), F.lit(0))
+    told = n.agg(total("events").alias("events"), total("metrics").alias("metrics"), F.sort_array(F.collect_set("domain")).alias("domains"))
+    finding = told.select(
+        F.lit(name).alias("finding_type"), F.lit("(dataset)").alias("subject"), F.lit("gauge").alias("kind"), (col("events") + col("metrics")).alias("row_count"),
+        F.to_json(F.struct("events", "metrics", "domains")).alias("details"),
+    )
+    return kept[0], kept[1], finding
+
+
 def overlap_sessions(staged: DataFrame, existing: DataFrame, since: datetime.datetime) -> DataFrame:
     """Sessions since a time that do not exist yet."""
     return staged.where(col("event_time") >= F.lit(since)).select("session_id").distinct().join(existing.select("session_id"), "session_id", "left_anti")

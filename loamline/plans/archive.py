@@ -6,12 +6,13 @@ import datetime
 
 from pyspark.sql import functions as F
 
-from loamline.operators import identity, marts, otlp, profile, quality, reconcile, seats
+from loamline.operators import marts, otlp, profile, quality, reconcile, refresh
 from loamline.plans.base import AS_OF, frames, sql
 from loamline.plans.marts import QUERIES as MART_QUERIES
 from loamline.plans.marts import rounded
 from loamline.plans.quality import QUERIES as QUALITY_QUERIES
-from loamline.plans.quality import findings_log
+from loamline.plans.quality import FLOOR as COST_FLOOR
+from loamline.plans.quality import LEAST
 from loamline.plans.seats import LATE
 from loamline.plans.seats import QUERIES as SEAT_QUERIES
 from loamline.sources import payloads, reservoir, store
@@ -342,15 +343,10 @@ def inventory(e, m):
 
 @frames(E, M, "utilization", "roster", "manual_alias")
 def refresh_log(e, m, u, r, a):
-    e, m, u, r = (written(x, name) for x, name in ((e, "events"), (m, "metrics"), (u, "utilization"), (r, "roster")))  # adapted once for all marts
-    intervals = written(seats.seat_intervals(r), "intervals")
-    derived = identity.derived_alias(e, m)
-    found = marts.registry(e, m, u) | {
-        "dim_user": marts.dim_user(e, m, a, derived), "dim_date": marts.dim_date([e.agg(F.min("activity_date")), m.agg(F.min("activity_date")), marts.api_requests(e).agg(F.min("activity_date"))], AS_OF),
-        "dim_seat": intervals.withColumn("is_current", col("valid_to").isNull()), "dim_seat_current": seats.current_seats(intervals), "fact_seat_day": seats.seat_days(intervals, AS_OF),
-        "dq_finding_current": quality.current_findings(findings_log(e)), "seat_config_convergence": quality.config_convergence(e, m),
-    }
-    log = marts.refresh_all(found, workspace(e.sparkSession, "marts"))
+    spark = e.sparkSession
+    sources = {name: written(x, name) for name, x in ((E, e), (M, m), ("utilization", u), ("roster", r))} | {"manual_alias": a}  # adapted once for all marts
+    nodes = refresh.graph(spark, workspace(spark, "findings"), AS_OF, floor=COST_FLOOR, least_sessions=LEAST)
+    log = refresh.refresh(spark, nodes, sources, workspace(spark, "marts"))
     return log.select("mart", "row_count", (col("finished_at") >= col("started_at")).alias("in_order"))
 
 
@@ -359,7 +355,7 @@ MARTS = {
     "fact_session": "a1_fact_session", "fact_session_daily": "a2_fact_session_daily", "fact_api_usage": "a3_fact_api_usage", "fact_edit_decision": "a4_fact_edit_decision", "fact_tool_outcome": "a5_fact_tool_outcome",
     "fact_api_error_rate": "a6_fact_api_error_rate", "fact_usage_window": "a7_fact_usage_window", "fact_utilization_hourly": "a8_utilization_hourly", "bridge_agent": "b1_bridge_agent", "bridge_hook": "b2_bridge_hook",
     "bridge_server": "b3_bridge_server", "bridge_plugin": "b4_bridge_plugin", "bridge_skill": "b5_bridge_skill", "dim_model": "d2_dim_model", "dim_user": "d1_dim_user", "dim_date": "d3_d4_dim_date", "dim_seat": "d5_dim_seat",
-    "dim_seat_current": "d6_dim_seat_current", "dq_finding_current": "w5_current_findings", "seat_config_convergence": "q13_config_convergence",
+    "dim_seat_current": "d6_dim_seat_current", "dq_finding_current": "w5_detection_log", "seat_config_convergence": "q13_config_convergence",
 }
 _SQL = MART_QUERIES | SEAT_QUERIES | QUALITY_QUERIES
 _DAYS = SEAT_QUERIES["a10_fact_seat_day"][1].replace(f"DATE '{LATE}'", f"DATE '{AS_OF}'")
@@ -437,6 +433,25 @@ def purged(e):
     return audit.crossJoin(kept.agg(F.count("*").alias("kept")))  # one row each
 
 
+@frames(E)
+def loaded_once(e):
+    """A backfill loaded, then once more with all rows staged: the second run of its name adds nothing."""
+    spark, root = e.sparkSession, workspace(e.sparkSession, "backfill")
+    staged = e.select("event_id", "session_id", "user_email", "activity_date", "k").withColumn("scope_name", F.when(col("k") % 3 > 0, F.concat(F.lit("sc"), col("k") % 3)))
+    first = reconcile.load_backfill(spark, root, "backfill-1", staged, e.where("k < 30"), scopes=["sc2"])
+    again = reconcile.load_backfill(spark, root, "backfill-1", staged, e.where("k < 0"), scopes=[])
+    rows = Commits(spark, root).read("backfilled", staged.schema)
+    return rows.groupBy("activity_date").agg(F.count("*").alias("rows"), F.count_distinct("event_id").alias("ids")).withColumns({"first_run": F.lit(first is not None), "second_run": F.lit(again is not None)})
+
+
+@frames(E, M)
+def purged_facts(e, m):
+    kept_e, kept_m, finding = reconcile.purge_facts(e, m, ~col("user_email").endswith("@corp.example"), datetime.datetime(2024, 1, 15), "purged_domains")
+    detail = F.from_json("details", "events long, metrics long, domains array<string>").alias("d")
+    told = finding.select("finding_type", "subject", "kind", "row_count", detail).select("*", "d.events", "d.metrics", F.concat_ws(",", "d.domains").alias("domains")).drop("d")
+    return told.crossJoin(kept_e.agg(F.count("*").alias("kept_events"))).crossJoin(kept_m.agg(F.count("*").alias("kept_metrics")))  # one row each
+
+
 # --- streams ---------------------------------------------------------------------------------
 
 
@@ -471,11 +486,9 @@ def leaks_of_batches(e):
     spark = e.sparkSession
     root, sink, checkpoint = (workspace(spark, n) for n in ("raw", "sink", "stream"))
     reservoir.write_raw(payloads.log_payloads(e), root)
-    clean = ingest.observed_leaks(ingest.payload_stream(spark, root), "logs", DENIED, CONTENT)
-    running = clean.select("payload_id").writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink)
-    running.awaitTermination()
-    seen = [x.observedMetrics["gate"] for x in running.recentProgress if "gate" in x.observedMetrics]
-    return spark.createDataFrame([(sum(x.leaks or 0 for x in seen), sum(x.payloads for x in seen))], "leaks long, payloads long")
+    clean = ingest.observed_leaks(ingest.payload_stream(spark, root), "logs", DENIED, CONTENT).select("payload_id")
+    seen = ingest.tallied(spark, lambda: clean.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink))
+    return spark.createDataFrame([(seen.get("leaks", 0), seen.get("payloads", 0))], "leaks long, payloads long")
 
 
 @frames(E)
@@ -571,6 +584,23 @@ QUERIES = {
             (SELECT count(*) FROM e WHERE NOT coalesce(user_email NOT LIKE '%@corp.example' AND event_time < TIMESTAMP '2024-01-15', false)) AS kept""",
         ),
     ),
+    "s13_load_once": (
+        loaded_once,
+        sql(
+            E,
+            """SELECT activity_date, count(*) AS rows, count(*) AS ids, true AS first_run, false AS second_run FROM e WHERE k % 3 <> 2 AND (user_email IS NULL OR user_email LIKE '%@corp.example')
+            AND session_id NOT IN (SELECT session_id FROM e WHERE k < 30) GROUP BY 1""",
+        ),
+    ),
+    "s14_purge_facts": (
+        purged_facts,
+        sql(
+            "events metrics",
+            """SELECT 'purged_domains' AS finding_type, '(dataset)' AS subject, 'gauge' AS kind, ge + gm AS row_count, ge AS events, gm AS metrics, 'mail.example' AS domains, ne - ge AS kept_events, nm - gm AS kept_metrics
+            FROM (SELECT count(*) AS ne, count(*) FILTER (user_email NOT LIKE '%@corp.example' AND event_time < TIMESTAMP '2024-01-15') AS ge FROM e),
+            (SELECT count(*) AS nm, count(*) FILTER (user_email NOT LIKE '%@corp.example' AND ts < TIMESTAMP '2024-01-15') AS gm FROM m)""",
+        ),
+    ),
     "s15_overlap_sessions": (
         frames(E)(lambda e: reconcile.overlap_sessions(e, e.where("k < 40"), datetime.datetime(2024, 1, 20))),
         sql(E, "SELECT DISTINCT session_id FROM e WHERE event_time >= TIMESTAMP '2024-01-20' AND session_id NOT IN (SELECT session_id FROM e WHERE k < 40)"),

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import threading
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -53,6 +55,55 @@ def observed_leaks(stream: DataFrame, signal: str, denied: list[str], content: l
     return otlp.redact(stream, signal, denied, content).observe(name, F.sum("gate_leaks").alias("leaks"), F.count("*").alias("payloads"))
 
 
+class Tally(StreamingQueryListener):
+    """Adds up what the micro-batches of one run of a stream observe under a name, however many there are; Spark itself remembers the last ones only."""
+
+    def __init__(self, name: str) -> None:
+        self.name, self.sums, self._ended = name, {}, {}
+        self._lock = threading.Lock()
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        seen = event.progress.observedMetrics.get(self.name)
+        if seen is None:
+            return
+        with self._lock:
+            mine = self.sums.setdefault(str(event.progress.runId), {})
+            for k, v in seen.asDict().items():
+                mine[k] = mine.get(k, 0) + (v or 0)
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        self._end(str(event.runId)).set()
+
+    def _end(self, run: str) -> threading.Event:
+        with self._lock:
+            return self._ended.setdefault(run, threading.Event())
+
+    def of(self, query: StreamingQuery, *, patience: float = 60) -> dict[str, int]:
+        """The sums of a run that has ended; events come after one another, so the last batch's is in once the end is."""
+        run = str(query.runId)
+        if not self._end(run).wait(patience):
+            raise TimeoutError("the stream's end was not reported")
+        return dict(self.sums.get(run, {}))
+
+
+def tallied(spark: SparkSession, start: Callable[[], StreamingQuery], name: str = "gate") -> dict[str, int]:
+    """Run a stream over all that has arrived and return the sums of what its batches observed; empty if there was no batch."""
+    tally = Tally(name)
+    spark.streams.addListener(tally)
+    try:
+        query = start()
+        query.awaitTermination()
+        return tally.of(query)
+    finally:
+        spark.streams.removeListener(tally)
+
+
 class Throttle(StatefulProcessor):
     """Keeps the time of the last accepted row of a key."""
 

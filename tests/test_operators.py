@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loamline.functions import columns as C
-from loamline.operators import identity, kpis, marts, otlp, quality, seats
+from loamline.operators import detection, identity, kpis, marts, otlp, profile, quality, reconcile, refresh, seats
 from loamline.sources import reservoir
 from loamline.sources import store
 from loamline.sources.commits import Commits, Part
@@ -222,6 +222,80 @@ def test_standing_since_restarts_after_a_gap(spark):
     assert [(r.subject, r.first_seen, r.standing_since, r.cycles) for r in quality.current_findings(df).collect()] == [("s", D(2024, 1, 1), D(2024, 1, 3), 2)]
 
 
+FOUND = "finding_type string, subject string, kind string, row_count long, details string"
+
+
+def test_cycles_append_once_and_one_that_finds_nothing_counts(spark, tmp_path):
+    root = f"file://{tmp_path}/log"
+    some = spark.createDataFrame([("t", "s", "defect", 2, "{}"), ("g", "s", "gauge", None, None)], FOUND)
+    assert detection.append_cycle(spark, root, D(2024, 1, 1), some)
+    assert not detection.append_cycle(spark, root, D(2024, 1, 1), some) and not detection.append_cycle(spark, root, D(2023, 12, 1), some)
+    assert detection.append_cycle(spark, root, D(2024, 1, 2), some.limit(0))
+    log, cycles = detection.read_log(spark, root)
+    assert log.count() == 2 and sorted((c.cycle.day, c.findings) for c in cycles.collect()) == [(1, 2), (2, 0)]
+    assert detection.open_findings(log, cycles).count() == 0
+    detection.append_cycle(spark, root, D(2024, 1, 3), some.withColumn("row_count", F.lit(7).cast("long")))
+    found = detection.open_findings(*detection.read_log(spark, root))
+    assert sorted((r.finding_type, r.first_seen, r.standing_since, r.cycles, r.row_count) for r in found.collect()) == [(t, D(2024, 1, 1), D(2024, 1, 3), 1, 7) for t in "gt"]
+    assert [tuple(r) for r in detection.open_defects(found).collect()] == [("t", 1, D(2024, 1, 3))]
+
+
+def test_a_mart_added_to_the_graph_is_written(spark, tmp_path):
+    built = []
+
+    def shared(n):
+        built.append("shared")
+        return n.where("x > 1")
+
+    nodes = {
+        "last": refresh.Node(("added", "numbers"), lambda a, n: n.join(a, "x", "left_anti")), "added": refresh.Node(("part",), lambda p: p.where("x < 4")),
+        "part": refresh.Node(("numbers",), shared, mart=False), "other": refresh.Node(("part",), lambda p: p),
+    }
+    numbers = spark.createDataFrame([(x,) for x in range(6)], "x int")
+    for _ in range(2):
+        log = refresh.refresh(spark, nodes, {"numbers": numbers}, str(tmp_path))
+    assert {r.mart: r.row_count for r in log.collect()} == {"added": 2, "other": 4, "last": 4} and built == ["shared"] * 2
+    assert spark.read.parquet(str(tmp_path / "_refresh_log")).count() == 6
+    with pytest.raises(ValueError, match="nothing"):
+        refresh.refresh(spark, nodes | {"bad": refresh.Node(("nothing",), lambda x: x)}, {"numbers": numbers}, str(tmp_path))
+
+
+def test_paths_of_many_values_drop_out_before_grouping(spark):
+    rows = [("logs", None if x % 3 else {"user.email": f"s{x % 2}"}, {"id": str(x), "few": str(x % 25), "more": str(x % 26)}) for x in range(3000)]
+    recs = spark.createDataFrame(rows, "signal string, resource map<string,string>, attrs map<string,string>")
+    flat = recs.select("signal", F.explode("attrs").alias("path", "value"))
+    left = {r.path for r in profile.few_valued(flat, ["signal", "path"], 25).collect()}
+    assert "few" in left and "id" not in left
+    got = profile.seat_reach(recs).collect()
+    assert {r.path for r in got} == {"few"} and len(got) == 25 and {r.seats for r in got} == {2}
+    assert profile.seat_reach(recs.limit(0)).count() == 0
+
+
+def test_missing_names_are_unknown_literals(spark):
+    df = spark.createDataFrame([("a",), (None,), ("z",)], "name string")
+    assert {r.name for r in profile.unknown_literals(df, "name", ["a"]).collect()} == {None, "z"}
+
+
+def test_a_backfill_loads_once_by_name(spark, tmp_path):
+    schema = "session_id string, user_email string, scope_name string, activity_date date"
+    staged = spark.createDataFrame([(None, None, None, D(2024, 1, 1)), ("s", "a@corp.example", "drop", D(2024, 1, 1)), ("t", "a@corp.example", "keep", None)], schema)
+    root = f"file://{tmp_path}/b"
+    assert reconcile.load_backfill(spark, root, "one", staged, staged.limit(0), scopes=["drop"]) == 1
+    assert reconcile.load_backfill(spark, root, "one", staged, staged.limit(0), scopes=[]) is None
+    assert sorted(str(r.scope_name) for r in Commits(spark, root).read("backfilled", staged.schema).collect()) == ["None", "keep"]
+
+
+def test_purge_tells_both_facts_and_keeps_what_it_cannot_judge(spark):
+    t = dt.datetime(2024, 1, 1)
+    e = spark.createDataFrame([("a@x.example", t), (None, t), ("b@corp.example", t)], "user_email string, event_time timestamp")
+    m = spark.createDataFrame([("c@y.example", t), ("d@x.example", dt.datetime(2024, 2, 1))], "user_email string, ts timestamp")
+    condition = ~F.col("user_email").endswith("@corp.example")
+    kept_e, kept_m, finding = reconcile.purge_facts(e, m, condition, dt.datetime(2024, 1, 15), "gone")
+    assert (kept_e.count(), kept_m.count()) == (2, 1)
+    assert tuple(finding.first()) == ("gone", "(dataset)", "gauge", 2, '{"events":1,"metrics":1,"domains":["x.example","y.example"]}')
+    assert reconcile.purge_facts(e.limit(0), m.limit(0), condition, t, "gone")[2].first().row_count == 0
+
+
 def test_cohorts_partition_the_instrumented(spark):
     daily = spark.createDataFrame([("a", D(2024, 1, 20)), ("b", D(2024, 1, 5)), ("b", D(2024, 1, 20)), ("c", D(2023, 12, 1)), ("c", D(2024, 1, 20))], "user_email string, activity_date date")
     people = spark.createDataFrame([(x,) for x in "abcd"], "user_email string")
@@ -441,6 +515,19 @@ def test_stream_counts_leaks(spark, tmp_path):
     assert sum(r.leaks or 0 for r in seen) == 1
 
 
+def test_leaks_of_more_batches_than_spark_remembers_add_up(spark, tmp_path):
+    for i in range(6):
+        spark.createDataFrame([(PAYLOAD,)], "json string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        s = spark.readStream.schema("json string").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        clean = ingest.observed_leaks(s, "logs", ["secret.token"], ["prompt.text"])
+        seen = ingest.tallied(spark, lambda: clean.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert seen == {"leaks": 6, "payloads": 6}
+
+
 def test_catalogue_is_consistent():
     seen = set()
     for e in otlp.CATALOGUE:

@@ -511,8 +511,22 @@ def throttled(e):
     return ingest.throttle_batch(e, "session_id", "event_time", gap_us=3_600_000_000).groupBy("key").agg(F.count("*").alias("accepted"), F.max("us").alias("last_us"))
 
 
+@frames(E)
+def throttled_stream(e):
+    """The same as a stream that stops and goes on: each week's rows arrive after the last, and state is what the checkpoint holds."""
+    spark = e.sparkSession
+    root, sink, checkpoint = (workspace(spark, n) for n in ("times", "sink", "stream"))
+    times = written(e.where("event_time IS NOT NULL").select(col("session_id").alias("key"), F.unix_micros("event_time").alias("us")).withColumn("week", F.floor(col("us") / (7 * 86_400_000_000))), "weeks")
+    for (week,) in times.select("week").distinct().orderBy("week").collect():  # weeks, of which there are few
+        times.where(col("week") == week).drop("week").write.mode("append").parquet(root)
+        kept = ingest.throttle_stream(spark.readStream.schema(times.drop("week").schema).parquet(root), gap_us=3_600_000_000)
+        kept.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink).awaitTermination()
+    return spark.read.schema(kept.schema).parquet(sink).groupBy("key").agg(F.count("*").alias("accepted"), F.max("us").alias("last_us"))
+
+
 THROTTLE = """SELECT session_id AS key, us, us AS last, 1 AS n FROM (SELECT session_id, min(us) AS us FROM ts GROUP BY 1)
     UNION ALL SELECT f.key, x.us, x.us, f.n + 1 FROM f, LATERAL (SELECT min(us) AS us FROM ts WHERE ts.session_id = f.key AND ts.us >= f.last + 3600000000) x WHERE x.us IS NOT NULL"""
+THROTTLED = sql(E, "SELECT key, count(*) AS accepted, max(us) AS last_us FROM f GROUP BY 1", ts="SELECT session_id, epoch_us(event_time) AS us FROM e WHERE event_time IS NOT NULL", f=THROTTLE)
 
 QUERIES = {
     "p4_explode_metrics": (
@@ -731,8 +745,6 @@ QUERIES = {
         refreshed,
         sql(E, "SELECT 'fact_api_error_rate' AS mart, count(DISTINCT activity_date) AS row_count, true AS in_order FROM e WHERE event_name IN ('api_request', 'api_error')"),
     ),
-    "st3_throttle": (
-        throttled,
-        sql(E, "SELECT key, count(*) AS accepted, max(us) AS last_us FROM f GROUP BY 1", ts="SELECT session_id, epoch_us(event_time) AS us FROM e", f=THROTTLE),
-    ),
+    "st3_throttle": (throttled, THROTTLED),
+    "st3_throttle_stream": (throttled_stream, THROTTLED),
 }

@@ -6,8 +6,10 @@ import json
 import threading
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
@@ -105,49 +107,84 @@ def tallied(spark: SparkSession, start: Callable[[], StreamingQuery], name: str
 
 
 class Throttle(StatefulProcessor):
-    """Keeps the time of the last accepted row of a key."""
+    """Keeps the time of the last accepted row of a key until the watermark is one gap behind it, from when on it says nothing."""
 
     def __init__(self, gap_us: int) -> None:
         self.gap_us = gap_us
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.last = handle.getValueState("last", "us long")
 
+    def _free_ms(self, last: int) -> int:
+        return max(1, -(-(last + self.gap_us) // 1000))
+
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        got = pd.concat(list(rows)).sort_values("us")
-        last = self.last.get()[0] if self.last.exists() else None
-        out = []
-        for us in got["us"]:
-            if last is None or us - last >= self.gap_us:
-                out.append(int(us))
-                last = int(us)
+        times = np.sort(np.concatenate([part["us"].to_numpy(np.int64) for part in rows]))
+        known = self.last.exists()
+        last, out, at = self.last.get()[0] if known else None, [], 0
+        while True:  # from one accepted row straight to the next
+            if last is not None:
+                at = int(np.searchsorted(times, last + self.gap_us))
+            if at >= len(times):
+                break
+            last = int(times[at])
+            out.append(last)
         if out:
             self.last.update((last,))
-        yield pd.DataFrame({"key": [key[0]] * len(out), "us": out})
+            if not known:  # one timer a key: where the state moved on meanwhile, it is set anew when it rings
+                self.handle.registerTimer(self._free_ms(last))
+        yield pd.DataFrame({"key": pd.Series([key[0]] * len(out), dtype=object), "us": np.array(out, np.int64)})
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        if self.last.exists():
+            free = self._free_ms(self.last.get()[0])
+            if free <= timerValues.getCurrentWatermarkInMs():
+                self.last.clear()
+            else:
+                self.handle.registerTimer(free)
+        return iter([])
 
     def close(self) -> None:
         pass
 
 
-def throttle_stream(stream: DataFrame, *, gap_us: int = 300_000_000) -> DataFrame:
-    """Of (key, us) rows those at least ``gap_us`` after the last accepted one of their key; keyed state lives in RocksDB."""
-    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    return stream.groupBy("key").transformWithStateInPandas(Throttle(gap_us), "key string, us long", "append", "None")
+def throttle_stream(stream: DataFrame, *, gap_us: int = 300_000_000, late: str = "1 hour") -> DataFrame:
+    """Of (key, us) rows those at least ``gap_us`` after the last accepted one of their key.
+
+    Keyed state lives in RocksDB and goes once the watermark, ``late`` behind the newest row, has passed the last accepted row by a
+    gap: no row that may still arrive needs it, so the state holds the keys of the last gap only. Rows at the watermark or behind it are
+    dropped (times up to 1970 once it has moved at all), as are rows without a time; a row before the last accepted one of its key is
+    not accepted; a NULL key is a key.
+    """
+    spark = stream.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    timed = stream.where("us IS NOT NULL").select("key", "us", F.timestamp_micros(F.greatest("us", F.lit(1))).alias("at")).withWatermark("at", late)
+    kind = stream.schema["key"].dataType.simpleString()
+    return timed.groupBy("key").transformWithStateInPandas(Throttle(gap_us), f"key {kind}, us long", "append", "EventTime")
+
+
+def _same(column: pa.Array, value: pa.Scalar) -> pa.Array:
+    return pc.fill_null(pc.equal(column, value), False) if value.is_valid else pc.is_null(column)
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Rows sorted by ``keys`` as tables of whole groups; only the last group of a batch waits for the next."""
-    held: list[pa.RecordBatch] = []
+    held: list[pa.RecordBatch] = []  # of one group
     for batch in batches:
-        held.append(batch)
-        table = pa.Table.from_batches(held)
-        last = [table[k][-1].as_py() for k in keys]
-        cut = table.num_rows
-        while cut and [table[k][cut - 1].as_py() for k in keys] == last:
-            cut -= 1
+        if not batch.num_rows:
+            continue
+        other = np.zeros(batch.num_rows, bool)
+        for k in keys:
+            other |= ~_same(batch[k], batch[k][-1]).to_numpy(zero_copy_only=False)
+        cut = int(np.flatnonzero(other)[-1]) + 1 if other.any() else 0
         if cut:
-            yield table.slice(0, cut)
-        held = table.slice(cut).to_batches()
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)])
+            held = []
+        elif held and not all(_same(held[-1][k].slice(0, 1), batch[k][-1])[0].as_py() for k in keys):
+            yield pa.Table.from_batches(held)
+            held = []
+        held.append(batch.slice(cut))
     if held:
         yield pa.Table.from_batches(held)
 

@@ -489,6 +489,32 @@ def test_scrub_rewrites_dirty_files_only(spark, tmp_path, monkeypatch):
     assert len(now) == 4 and not any("secret.token" in t for t in now) and {'{"a": 1.10}', "no json"} <= set(now)
 
 
+def test_throttle_state_goes_with_time(spark, tmp_path):
+    """A key that was silent for a gap has no state left; one that goes on keeps it, across restarts of the stream."""
+    second = 1_000_000
+    for rows in [[("a", 0), ("b", 1), (None, 2), ("b", None)], [("a", 200), ("c", 250)], [("a", 310), ("c", 900)], [("a", 2000), ("d", 2000)], [("d", 2001)]]:
+        df = spark.createDataFrame(rows, "key string, us long").withColumn("us", F.col("us") * second)
+        df.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        s = spark.readStream.schema("key string, us long").parquet(str(tmp_path / "in"))
+        q = ingest.throttle_stream(s, gap_us=300 * second, late="0 seconds").writeStream.option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start(str(tmp_path / "out"))
+        q.awaitTermination()
+        assert q.exception() is None
+    got = sorted((str(r.key), r.us // second) for r in spark.read.schema("key string, us long").parquet(str(tmp_path / "out")).collect())
+    assert got == [("None", 2), ("a", 0), ("a", 310), ("a", 2000), ("b", 1), ("c", 250), ("c", 900), ("d", 2000)]
+    state = spark.read.format("statestore").option("stateVarName", "last").load(str(tmp_path / "ck"))
+    assert {r.k for r in state.select(F.col("key.key").alias("k")).collect()} == {"a", "d"}
+
+
+def test_groups_of_sorted_batches(spark):
+    import pyarrow as pa
+
+    batches = [[("a", 1), ("a", 1)], [("a", 1)], [("b", 1), (None, 1)], [(None, 1)], [(None, 2)], [], [("c", 2), ("c", 3), ("d", 3)], [("d", 3)], [("e", 3)]]
+    rows = [pa.RecordBatch.from_pydict({"k": pa.array([k for k, _ in b], pa.string()), "n": pa.array([n for _, n in b], pa.int64())}) for b in batches]
+    parts = [list(zip(*t.to_pydict().values(), strict=True)) for t in ingest._groups(iter(rows), ["k", "n"])]
+    assert [r for p in parts for r in p] == [r for b in batches for r in b]
+    assert all(not set(p) & set(q) for i, p in enumerate(parts) for q in parts[:i]) and max(map(len, parts)) <= 4
+
+
 @pytest.mark.parametrize("block", [0, 700, 5000])
 def test_throttle_over_blocks_equals_a_fold(spark, block):
     import random

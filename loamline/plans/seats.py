@@ -64,6 +64,26 @@ def parsed_roster(r):
     return good.select("user_email", "subscription_seq", "seat_tier", "assignment_date", "revoked_raw", "revoke_date", col("extra")["Team"].alias("team"), as_of_from_path(col("extra")["source"]).alias("as_of"))
 
 
+@frames(R)
+def parsed_drops(r):
+    """All snapshots as wide files, several of each: a person's slots are the seat of the year, the tier of the year before, and a revocation of two years before."""
+    before = lambda years: r.select(
+        "user_email", F.add_months("as_of_date", 12 * years).alias("as_of_date"), *[col(c).alias(f"{c}_{years}") for c in ("seat_tier", "assignment_date", "revoked_raw", "revoke_date")]
+    )
+    wide = r.join(before(1), ["user_email", "as_of_date"], "left").join(before(2), ["user_email", "as_of_date"], "left")
+    iso, american = (lambda c, f=f: F.date_format(c, f) for f in ("yyyy-MM-dd", "M/d/yyyy"))
+    wide = wide.select(
+        F.concat(F.lit("roster-"), F.date_format("as_of_date", "yyyyMMdd"), F.lit(".csv")).alias("drop"), F.concat(F.upper("user_email"), F.lit(" ")).alias("Email"),
+        col("subscription_raw").alias("Subscription_1"), american("assignment_date").alias("ASSIGNMENT_DATE_1"), col("revoked_raw").alias("revoked_subscription_1"), iso("revoke_date").alias("Revoke_Date_1"),
+        F.concat(F.lit(seats.PRODUCT), "seat_tier_1").alias("subscription_2"), iso("assignment_date_1").alias("Assignment_Date_2"), col("revoked_raw_1").alias("Revoked_Subscription_2"),
+        american("revoke_date_1").alias("Revoke_Date_2"), col("revoked_raw_2").alias("Revoked_Subscription_3"), iso("revoke_date_2").alias("revoke_date_3"), col("org_name").alias("Team"),
+    )
+    path = workspace(r.sparkSession, "drops")
+    wide.repartition(3).write.option("header", True).partitionBy("drop").csv(path)
+    good, _ = seats.parse_roster(r.sparkSession.read.option("header", True).csv(path), drop="drop")
+    return good.withColumns({"team": col("extra")["Team"], "as_of": as_of_from_path(col("drop"))}).drop("extra", "drop")
+
+
 def repeated_drops(r):
     """The newest drop, its rows in another order, against the hashes of two that were loaded."""
     loaded = [seats.content_hash(at(r, d).drop("as_of_date")).select(F.lit(d).alias("as_of_date"), "content_hash") for d in (OLD, NEW)]
@@ -79,6 +99,17 @@ QUERIES = {
             WHERE as_of_date = DATE '{NEW}'""",
         ),
     ),
+    "s9_s10_s11_parse_drops": (
+        parsed_drops,
+        sql(
+            R,
+            """SELECT user_email, subscription_seq, substr(subscription_raw, 9) AS seat_tier, subscription_raw, assignment_date, revoked_raw, revoke_date, team, as_of FROM (
+            SELECT user_email, 1 AS subscription_seq, subscription_raw, assignment_date, revoked_raw, revoke_date, org_name AS team, as_of_date AS as_of FROM r
+            UNION ALL SELECT r.user_email, 2, 'Product ' || o.seat_tier, o.assignment_date, o.revoked_raw, o.revoke_date, r.org_name, r.as_of_date FROM r JOIN r o ON o.user_email = r.user_email AND year(o.as_of_date) = year(r.as_of_date) - 1
+            UNION ALL SELECT r.user_email, 3, NULL, NULL, o.revoked_raw, o.revoke_date, r.org_name, r.as_of_date FROM r JOIN r o ON o.user_email = r.user_email AND year(o.as_of_date) = year(r.as_of_date) - 2)
+            WHERE subscription_raw IS NOT NULL OR revoked_raw IS NOT NULL""",
+        ),
+    ),
     "sc1_sc2_seat_interval": (frames(R)(seats.seat_intervals), sql(R, "SELECT * FROM i", **STEPS)),
     "d5_dim_seat": (
         frames(R)(lambda r: seats.seat_intervals(r).select("user_email", "seat_tier", "org_name", "valid_from", "valid_to", col("valid_to").isNull().alias("is_current"))),

@@ -83,6 +83,19 @@ def test_parse_roster(spark):
     assert {r.violation for r in bad.collect()} == {"blank email", "bad date"}
 
 
+def test_parse_roster_tells_drops_apart(spark):
+    rows = [("A@corp.example", "Product X", None, "Product Y", "2/3/2024", "d1"), ("a@corp.example", "Product X", None, None, None, "d2"), ("b@corp.example", "Product X", None, None, None, "d2"), ("B@corp.example", None, None, "Product Y", "2/3/2024", "d2")]
+    csv = spark.createDataFrame([(*r, "north") for r in rows], "Email string, SUBSCRIPTION_1 string, Subscription_2 string, revoked_subscription_3 string, revoke_date_3 string, drop string, Site string")
+    good, bad = seats.parse_roster(csv, drop="drop")
+    assert {(r["drop"], r.user_email, r.subscription_seq, r.seat_tier, r.revoke_date, str(r.extra)) for r in good.collect()} == {
+        ("d1", "a@corp.example", 1, "X", None, "{'Site': 'north'}"), ("d1", "a@corp.example", 3, None, D(2024, 2, 3), "{'Site': 'north'}"), ("d2", "a@corp.example", 1, "X", None, "{'Site': 'north'}"),
+        ("d2", "b@corp.example", 1, "X", None, "{'Site': 'north'}"), ("d2", "b@corp.example", 3, None, D(2024, 2, 3), "{'Site': 'north'}"),
+    }
+    assert bad.count() == 0
+    _, bad = seats.parse_roster(csv.unionByName(csv.where("drop = 'd1'")), drop="drop")
+    assert {(r["drop"], r.user_email, r.subscription_seq, r.violation) for r in bad.collect()} == {("d1", "a@corp.example", k, "duplicate key") for k in (1, 3)}
+
+
 def test_as_of_from_path(spark):
     paths = spark.createDataFrame([("x/roster-20240131.csv",), ("r-20240131-20240131.csv",), ("r-20240131-20240201.csv",), ("r-20241331.csv",), ("r-202401311.csv",)], ["p"])
     assert [r[0] for r in paths.select(C.as_of_from_path(F.col("p"))).collect()] == [D(2024, 1, 31), D(2024, 1, 31), None, None, None]

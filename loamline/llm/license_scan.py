@@ -1,13 +1,16 @@
 """License scans: a generalised suffix automaton over the words of licence templates.
 
 Each document's words stream through the automaton, which yields matching statistics (the longest
-stretch of words, ending here, that occurs in some template). Maximal stretches are chained into covered
+stretch of words, ending here, that occurs in some template). From them follow, for every template and all its places,
+the maximal stretches that it shares with the text. They are chained into covered
 spans of a template: a chain's stretches stand in the same order in the template and in the text and share no
-word of either, and of all chains those that cover most are taken. A template is reported if a chain covers enough of it.
+word of either, and of all chains those that cover most are taken. A template is reported if a chain covers enough of it,
+unless its span lies within the span of a template that is covered better: in more words, or in as many and a larger share of it
+(a licence's name in a longer one).
 Only runs of words that templates know are streamed: any other word resets the automaton.
 
-Of the places of a stretch in a template the first and the last count, so that a state holds two numbers per
-template, however often it repeats itself.
+The places of a state are those of all states below it, one stretch of a tour of the tree of links, so
+the automaton takes memory linear in the templates, however often they repeat themselves.
 
 Defined results: a null or empty text has no words, no places, score 0 and empty labels; repeated
 rows and doc_ids are scanned each by itself; no rows give no rows; other columns stay untouched.
@@ -15,8 +18,9 @@ rows and doc_ids are scanned each by itself; no rows give no rows; other columns
 
 from __future__ import annotations
 
-from bisect import bisect_right
-from collections.abc import Mapping
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator, Mapping
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -80,14 +84,14 @@ class SuffixAutomaton:
 
     def __init__(self) -> None:
         self.length, self.link, self.next = [0], [-1], [{}]
-        #: Of each state the templates that its stretches occur in, with their first and last end there.
-        self.ends: list[dict[int, tuple[int, int]]] = [{}]
+        #: Of each state the places (sequence, end) of the prefixes that it stands for.
+        self.own: list[list[tuple[int, int]]] = [[]]
 
     def _state(self, length: int, link: int, following: dict) -> int:
         self.length.append(length)
         self.link.append(link)
         self.next.append(following)
-        self.ends.append({})
+        self.own.append([])
         return len(self.length) - 1
 
     def _extend(self, last: int, word: int) -> int:
@@ -118,18 +122,34 @@ class SuffixAutomaton:
         last = 0
         for at, word in enumerate(words):
             last = self._extend(last, word)
-            self._ends_at(last, number, at, at)
-
-    def _ends_at(self, state: int, number: int, first: int, last: int) -> None:
-        known = self.ends[state].get(number, (first, last))
-        self.ends[state][number] = (min(first, known[0]), max(last, known[1]))
+            self.own[last].append((number, at))
 
     def finish(self) -> None:
-        """Hand each state's places down its links: afterwards a state knows the first and last ends of its stretches."""
-        for v in sorted(range(1, len(self.length)), key=self.length.__getitem__, reverse=True):
-            if self.link[v] > 0:
-                for number, (first, last) in self.ends[v].items():
-                    self._ends_at(self.link[v], number, first, last)
+        """Lay all places out in the order of a tour of the links, where each state's are ``tour[begin:end]``."""
+        below: list[list[int]] = [[] for _ in self.length]
+        for v in range(1, len(self.length)):
+            below[self.link[v]].append(v)
+        self.tour, self.begin, self.end = [], [0] * len(self.length), [0] * len(self.length)
+        stack = [0]
+        while stack:
+            v = stack.pop()
+            if v < 0:
+                self.end[~v] = len(self.tour)
+                continue
+            self.begin[v] = len(self.tour)
+            self.tour += self.own[v]
+            stack.append(~v)
+            stack += below[v]
+
+    def stretches(self, state: int, now: int, shortest: int) -> Iterator[tuple[int, int, int]]:
+        """(sequence, end, words): at every place that shares at least ``shortest`` words with the ``now`` last ones, how many it shares."""
+        done = (self.begin[state],) * 2
+        while now >= shortest:
+            for at in chain(range(self.begin[state], done[0]), range(done[1], self.end[state])):
+                yield (*self.tour[at], now)
+            done = self.begin[state], self.end[state]
+            state = self.link[state]
+            now = self.length[state]
 
     def statistics(self, words: list[int]) -> tuple[list[int], list[int]]:
         """Matching statistics: per word the state and the length of the longest stretch that ends there."""
@@ -168,7 +188,7 @@ class Scanner:
             self.sequences.append(ids)
             self.names.append(label)
         #: Per state the phrases that end there, with their lengths: its own and those that its links know.
-        self.phrase_ends = [[(s, len(self.sequences[s])) for s, (_, last) in sorted(ends.items()) if s in self.phrase and last == len(self.sequences[s]) - 1] for ends in self.automaton.ends]
+        self.phrase_ends = [[(s, at + 1) for s, at in sorted(own) if s in self.phrase and at == len(self.sequences[s]) - 1] for own in self.automaton.own]
         for v in sorted(range(1, len(self.phrase_ends)), key=self.automaton.length.__getitem__):
             self.phrase_ends[v] += self.phrase_ends[self.automaton.link[v]]
         self.automaton.finish()
@@ -181,11 +201,12 @@ class Scanner:
             for s, k in self.phrase_ends[v]:
                 if k <= n:
                     places.append((start + i - k + 1, self.phrase[s]))
-            if n >= self.shortest and (i + 1 == len(words) or lengths[i + 1] <= n):
-                for s, ends in self.automaton.ends[v].items():
-                    if s not in self.phrase:
-                        for at in {x for x in ends if x + 1 >= n}:
-                            matches.append((s, at + 1 - n, start + i - n + 1, n))
+            if n >= self.shortest:
+                after = words[i + 1] if i + 1 < len(words) else -1
+                for s, at, k in self.automaton.stretches(v, n, self.shortest):
+                    sequence = self.sequences[s]
+                    if s not in self.phrase and (at + 1 == len(sequence) or sequence[at + 1] != after):  # else it goes on
+                        matches.append((s, at + 1 - k, start + i - k + 1, k))
 
     def chains(self, matches: list) -> list[tuple[int, int, int, float]]:
         """Spans (template, first word, last word, covered share) of the chains that cover most, which share no words of the text."""
@@ -219,11 +240,31 @@ class Scanner:
         rows = [self._result(int(k), *out.get(i, ((), ()))) for i, k in enumerate(w.counts)]
         return pa.array(rows, _STRUCT) if n else pa.array([], _STRUCT)
 
+    def _outermost(self, spans: list[tuple[int, int, int, float]]) -> list[tuple[int, int, int, float]]:
+        """The spans that lie in no span of which more words, or as many and a larger share of the template, are covered."""
+        sized = sorted((((-round(x[3] * len(self.sequences[x[0]])), -x[3]), x) for x in spans))
+        firsts, lasts, kept = [], [], []  # spans none of which lies in another, in order
+        for _, same in groupby(sized, key=lambda x: x[0]):
+            free = []
+            for _, x in same:
+                at = bisect_right(firsts, x[1])
+                if not at or lasts[at - 1] < x[2]:
+                    free.append(x)
+            kept += free
+            for _, first, last, _ in free:
+                at = bisect_right(firsts, first)
+                if at and lasts[at - 1] >= last:
+                    continue
+                at = bisect_left(firsts, first)
+                to = bisect_right(lasts, last)
+                firsts[at:to], lasts[at:to] = [first], [last]
+        return kept
+
     def _result(self, n_words: int, places, matches) -> dict:
         spans = self.chains(matches) if matches else []
         base = sorted({label for _, label in places})
         starts = [at for at, _ in places]
-        kept = [x for x in spans if x[3] >= self.cover]
+        kept = self._outermost([x for x in spans if x[3] >= self.cover])
         labels = sorted({*base, *(self.names[s] for s, *_ in kept)})
         return {
             "n_words": n_words, "n_base": len(places), "first_word": min(starts, default=None), "last_word": max(starts, default=None),
@@ -238,15 +279,22 @@ def _spans(template: int, stretches: list[tuple[int, int, int]], size: int) -> l
     A chain goes on to a stretch that begins behind its last one in both, at most a template's length further on in the text;
     where two overlap, the words that they share count once.
     """
-    covered, before = [n for _, _, n in stretches], [-1] * len(stretches)
-    for j, (b, a, n) in enumerate(stretches):
-        for i in range(j - 1, -1, -1):
-            pb, pa_, pn = stretches[i]
-            if b - pb > 2 * size:  # stretches are no longer than the template: none further back is near enough
-                break
-            shared = max(pb + pn - b, pa_ + pn - a, 0)
-            if pb < b and pa_ < a and shared < n and b + n > pb + pn and a + n > pa_ + pn and b - pb - pn <= size and covered[i] + n - shared > covered[j]:
-                covered[j], before[j] = covered[i] + n - shared, i
+    b, a, n = (np.array(x, np.int64) for x in zip(*stretches, strict=True))
+    covered, before, back = n.copy(), [-1] * len(stretches), 0
+    for j in range(1, len(stretches)):
+        while b[j] - b[back] > 2 * size:  # stretches are no longer than the template: none further back is near enough
+            back += 1
+        i = slice(back, j)
+        ends, ends_there = b[i] + n[i], a[i] + n[i]
+        shared = np.maximum(np.maximum(ends - b[j], ends_there - a[j]), 0)
+        goes_on = (b[i] < b[j]) & (a[i] < a[j]) & (shared < n[j]) & (ends < b[j] + n[j]) & (ends_there < a[j] + n[j]) & (b[j] - ends <= size)
+        if goes_on.any():
+            sums = np.where(goes_on, covered[i] - shared, -1)[::-1]  # of equal ones the nearest
+            nearest = j - 1 - int(np.argmax(sums))
+            if covered[nearest] - shared[nearest - back] > 0:
+                covered[j] += covered[nearest] - shared[nearest - back]
+                before[j] = nearest
+    covered = covered.tolist()
     found, firsts, lasts = [], [], []  # places of what is taken, in order of the text
 
     def free(first: int, last: int) -> bool:
@@ -273,6 +321,21 @@ def _in_vocabulary(names: pa.Array, vocabulary: Mapping[str, int]) -> list:
     return pc.if_else(known, names, pa.scalar(None, names.type)).to_pylist()
 
 
+def templates_of(table: DataFrame, label: str = "label", text: str = "text", *, most_bytes: int = 16 << 20) -> dict[str, list[str]]:
+    """Templates from a table, say of full licence texts. Every task holds them all, so a table of over ``most_bytes`` of text is an error.
+
+    Rows without a label or a text are left out, repeated ones count once.
+    """
+    rows = table.select(F.col(label).alias("label"), F.col(text).alias("text")).where("label IS NOT NULL AND text IS NOT NULL").distinct()
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > most_bytes:
+        raise ValueError(f"{size} bytes of templates, more than {most_bytes}")
+    found: dict[str, list[str]] = {}
+    for name, words in rows.orderBy("label", "text").collect():
+        found.setdefault(name, []).append(words)
+    return found
+
+
 def with_licenses(docs: DataFrame, into: str, text: str = "text", *, templates: Mapping[str, list[str]] = TEMPLATES, phrases: Mapping[str, str] = BASE_PHRASES, shortest: int = 3, cover: float = 0.8) -> DataFrame:
     """``docs`` with a struct ``into``: counts, labels, the best coverage as score, and template spans.
 

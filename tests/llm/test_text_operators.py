@@ -102,8 +102,10 @@ def test_matching_statistics(sequences, words):
         assert lengths[i] == best
         if best:
             found = tuple(words[i - best + 1 : i + 1])
-            ends = {n: [j for j in range(len(s)) if j + 1 >= best and tuple(s[j - best + 1 : j + 1]) == found] for n, s in enumerate(sequences)}
-            assert a.ends[states[i]] == {n: (j[0], j[-1]) for n, j in ends.items() if j}
+            shares = {(n, j): next((k for k in range(best, 0, -1) if j + 1 >= k and tuple(s[j - k + 1 : j + 1]) == found[best - k :]), 0) for n, s in enumerate(sequences) for j in range(len(s))}
+            for shortest in (1, 2):
+                got = list(a.stretches(states[i], best, shortest))
+                assert sorted(got) == sorted((*at, k) for at, k in shares.items() if k >= shortest)
 
 
 @settings(max_examples=100, deadline=None)
@@ -143,6 +145,44 @@ def test_license_score_equals_the_best_chain(template, words):
     assert r["labels"] == (["t"] if r["score"] >= 0.8 else [])
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from("abc"), min_size=3, max_size=9), min_size=1, max_size=3), st.lists(st.sampled_from("abcx"), max_size=24))
+def test_license_stretches_are_all_maximal_ones(templates, words):
+    """Every place of every template, middle ones and those that another template's longer stretch hides included."""
+    s = license_scan.Scanner({"t": [" ".join(t) for t in templates]}, {})
+    ids = [s.vocabulary.get(w, 99) for w in words]
+    matches = []
+    s.scan_run(ids, 0, [], matches)
+    want = set()
+    for number, t in enumerate(templates):
+        for a in range(len(t)):
+            for b in range(len(words)):
+                k = next((k for k in range(min(len(t) - a, len(words) - b) + 1) if k == min(len(t) - a, len(words) - b) or t[a + k] != words[b + k]))
+                if k >= 3 and not (a and b and t[a - 1] == words[b - 1]):
+                    want.add((number, a, b, k))
+    assert set(matches) == want and len(matches) == len(want)
+
+
+def test_license_middle_places_and_names_in_longer_names():
+    s = license_scan.Scanner({"t": ["p q r a b c s t u a b c v w x a b c y z o"]}, {})
+    assert s.scan(pa.array(["s t u a b c v w x"])).to_pylist()[0]["score"] == pytest.approx(9 / 21)
+    assert s.scan(pa.array(["p q r s t u - a b c - v w x y z o"])).to_pylist()[0]["score"] == pytest.approx(15 / 21)
+    s = license_scan.Scanner({"gpl": ["under the terms of the GNU General Public License as published"], "lgpl": ["under the terms of the GNU Lesser General Public License as published"]}, {})
+    for text_, labels in (("under the terms of the GNU General Public License as published", ["gpl"]), ("under the terms of the GNU Lesser General Public License as published", ["lgpl"])):
+        assert s.scan(pa.array([text_])).to_pylist()[0]["labels"] == labels
+    both = s.scan(pa.array(["under the terms of the GNU Lesser General Public License as published, or under the terms of the GNU General Public License as published"])).to_pylist()[0]
+    assert both["labels"] == ["gpl", "lgpl"] and len(both["spans"]) == 2
+
+
+def test_license_templates_from_a_table(spark):
+    table = spark.createDataFrame([("x", "one two three four"), ("x", "one two three four"), ("y", None), (None, "five six"), ("y", "six seven eight")], "label string, text string")
+    t = license_scan.templates_of(table)
+    assert t == {"x": ["one two three four"], "y": ["six seven eight"]} and license_scan.templates_of(table.limit(0)) == {}
+    assert license_scan.with_licenses(spark.createDataFrame([("zero one two three four",)], ["text"]), "x", templates=t).first().x.labels == ["x"]
+    with pytest.raises(ValueError):
+        license_scan.templates_of(table, most_bytes=20)
+
+
 def test_license_words_of_the_text_count_once():
     s = license_scan.Scanner({"t": ["a b c x y z a b c"]}, {})
     one, both, far = s.scan(pa.array(["a b c", "a b c then x y z then a b c", "a b c " + "q " * 40 + "x y z"])).to_pylist()

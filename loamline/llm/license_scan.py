@@ -215,7 +215,7 @@ class Scanner:
         for s, a, b, n in matches:
             by.setdefault(s, set()).add((b, a, n))
         for s, listed in by.items():
-            found += _spans(s, sorted(listed), len(self.sequences[s]))
+            found += _spans(s, sorted(listed), len(self.sequences[s]), self.shortest)
         return found
 
     def scan(self, text: pa.Array) -> pa.Array:
@@ -273,27 +273,28 @@ class Scanner:
         }
 
 
-def _spans(template: int, stretches: list[tuple[int, int, int]], size: int) -> list[tuple[int, int, int, float]]:
+def _spans(template: int, stretches: list[tuple[int, int, int]], size: int, shortest: int) -> list[tuple[int, int, int, float]]:
     """Chains over (place in the text, place in the template, words), sorted: the best first, then the best of those that share no words of the text with it.
 
     A chain goes on to a stretch that begins behind its last one in both, at most a template's length further on in the text;
-    where two overlap, the words that they share count once.
+    where two overlap, the end of the first and then the start of the second are cut, and ``shortest`` words of each must be left.
     """
     b, a, n = (np.array(x, np.int64) for x in zip(*stretches, strict=True))
-    covered, before, back = n.copy(), [-1] * len(stretches), 0
+    covered, left, before, back = n.copy(), n.copy(), [-1] * len(stretches), 0
     for j in range(1, len(stretches)):
         while b[j] - b[back] > 2 * size:  # stretches are no longer than the template: none further back is near enough
             back += 1
         i = slice(back, j)
         ends, ends_there = b[i] + n[i], a[i] + n[i]
         shared = np.maximum(np.maximum(ends - b[j], ends_there - a[j]), 0)
-        goes_on = (b[i] < b[j]) & (a[i] < a[j]) & (shared < n[j]) & (ends < b[j] + n[j]) & (ends_there < a[j] + n[j]) & (b[j] - ends <= size)
+        goes_on = (b[i] < b[j]) & (a[i] < a[j]) & (n[j] + left[i] - shared >= 2 * shortest) & (ends < b[j] + n[j]) & (ends_there < a[j] + n[j]) & (b[j] - ends <= size)
         if goes_on.any():
             sums = np.where(goes_on, covered[i] - shared, -1)[::-1]  # of equal ones the nearest
             nearest = j - 1 - int(np.argmax(sums))
             if covered[nearest] - shared[nearest - back] > 0:
                 covered[j] += covered[nearest] - shared[nearest - back]
                 before[j] = nearest
+                left[j] -= max(0, shared[nearest - back] - (left[nearest] - shortest))
     covered = covered.tolist()
     found, firsts, lasts = [], [], []  # places of what is taken, in order of the text
 

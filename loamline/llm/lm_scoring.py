@@ -8,8 +8,9 @@ Very long words are taken place by place, in time that grows with their length.
 
 Texts are read once, in chunks of a few megabytes. A chunk keeps each of its distinct words once; words
 of all chunks meet in one shuffle that counts them and takes them to the model, and
-the answers go back to their chunk, so a frequent word costs one row a chunk, not one a document: the
-rows of the commonest word, which meet in one task, are one for every few megabytes of text.
+the answers go back to their chunk, so a frequent word costs one row a chunk, not one a document. The rows of
+the commonest words, which a sample of chunks tells, do not meet: their counts are summed where they stand, their answers
+are broadcast. What the sample misses goes the way of all words, so it decides on time alone.
 
 Defined results: a null text counts as empty, it holds the end only; a null doc_id counts as the
 empty id when documents are held out; repeated rows and doc_ids are scored each by itself; without
@@ -288,11 +289,19 @@ def fit(words: DataFrame, ends: int, path: str, *, rounds: int = 2) -> Lattice:
     return lattice
 
 
-def scored(docs: DataFrame, held_out: Column, path: str, *, doc_id: str = "doc_id", text: str = "text", rounds: int = 2) -> DataFrame:
+def hot_words(chunks: DataFrame, least: int, *, sample: int = 256, most: int = 100_000) -> DataFrame:
+    """(word): those in at least ``least`` of up to ``sample`` chunks of smallest hash, the ``most`` commonest of them, none of over 64 bytes."""
+    ids = [x[0] for x in chunks.select("chunk").orderBy(F.xxhash64("chunk"), "chunk").limit(sample).collect()]
+    seen = chunks.where(F.col("chunk").isin(ids)).select(F.explode("words").alias("word")).where(F.octet_length("word") <= LONG)
+    return seen.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(most).select("word")
+
+
+def scored(docs: DataFrame, held_out: Column, path: str, *, doc_id: str = "doc_id", text: str = "text", rounds: int = 2, hot: int = 16) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every document.
 
     Training documents are those that are not held out. base_score is the smoothed word
-    unigram, score the lattice's marginal, both log10.
+    unigram, score the lattice's marginal, both log10. hot: in how many of 256 chunks a word must stand for
+    its rows to be counted where they are; at most 100,000 words of 64 bytes are.
     """
     chunks = materialize(chunked(docs, held_out, doc_id=doc_id, text=text), "chunks")
     learned = F.aggregate(F.arrays_zip("held", "n_words"), F.lit(0).cast("long"), lambda a, x: a + F.when(x["held"], F.lit(0)).otherwise(x["n_words"] + 1))
@@ -300,10 +309,12 @@ def scored(docs: DataFrame, held_out: Column, path: str, *, doc_id: str = "doc_i
     n_all, ends = totals["n"] or 0, totals["ends"] or 0
 
     listed = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "train")).alias("pos", "x")).select(F.col("x.words").alias("word"), "chunk", "pos", F.col("x.train").alias("train"))
+    common = F.broadcast(materialize(hot_words(chunks, hot), "hot"))  # at most 100,000 words
+    summed = materialize(listed.join(common, "word").groupBy("word").agg(F.sum("train").alias("c")), "summed")
     same = Window.partitionBy("word")
-    met = listed.select("word", "chunk", "pos", F.sum("train").over(same).alias("c"), (F.min("chunk").over(same) == F.col("chunk")).alias("first"))
+    met = listed.join(common, "word", "left_anti").select("word", "chunk", "pos", F.sum("train").over(same).alias("c"), (F.min("chunk").over(same) == F.col("chunk")).alias("first"))
     met = materialize(met, "words")
-    known = met.where("first AND c > 0").select("word", "c")
+    known = met.where("first AND c > 0").select("word", "c").unionByName(summed.where("c > 0"))
     v = known.count() + (1 if ends else 0)
     lattice = fit(known, ends, path, rounds=rounds)
 
@@ -312,10 +323,13 @@ def scored(docs: DataFrame, held_out: Column, path: str, *, doc_id: str = "doc_i
             coded = t["word"].combine_chunks().dictionary_encode()
             coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
             value = lattice.log_marginals(coded.dictionary.cast(pa.binary()).to_pylist())[coded.indices.to_numpy()]
-            columns = [t[c].combine_chunks() for c in ("chunk", "pos", "c")]
-            yield pa.RecordBatch.from_arrays([*(x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in columns), pa.array(value)], ["chunk", "pos", "c", "value"])
+            columns = {c: t[c].combine_chunks() for c in t.column_names if c != "word" or "chunk" not in t.column_names}
+            columns = {k: x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for k, x in columns.items()}
+            yield pa.RecordBatch.from_pydict(columns | {"value": pa.array(value)})
 
     answers = met.select("word", "chunk", "pos", "c").mapInArrow(answer, "chunk bigint, pos int, c bigint, value double")
+    of_common = F.broadcast(materialize(summed.mapInArrow(answer, "word string, c bigint, value double"), "values"))  # as many words
+    answers = answers.unionByName(listed.join(of_common, "word").select("chunk", "pos", "c", "value"))
     floor = float(np.log10(n_all + 0.5 * (v + 1)))
     end_base, end_value = float(np.log10(ends + 0.5)), lattice.log_end
 

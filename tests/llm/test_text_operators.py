@@ -11,11 +11,12 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
-from hypothesis import given, settings
+from hypothesis import example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from loamline.llm import components, license_scan, lm_scoring, queries, quality_rules, simhash, text, toxicity
+from loamline.llm.scratch import materialize
 
 from .conftest import ODD, SF
 
@@ -136,6 +137,7 @@ def plain_best_chain(template: list[str], words: list[str], shortest: int = 3) -
 
 
 @settings(max_examples=150, deadline=None)
+@example(["c", "e", "d", "f", "b", "g", "a", "h"], ["f", "b", "g", "b", "g", "a"])
 @given(st.permutations(list("abcdefgh")), st.lists(st.sampled_from(list("abcdefghxy")), max_size=30))
 def test_license_score_equals_the_best_chain(template, words):
     """Templates without repeats: all places of a stretch count, and single words beside stretches do not."""
@@ -303,6 +305,24 @@ def test_lm_score_equals_a_plain_recursion(spark, docs, texts):
         assert got[i] == pytest.approx(want, rel=1e-6)
 
 
+def test_counts_of_common_words_where_they_stand(spark, docs):
+    """Words of several chunks are summed apart from the others: the same rows, however many words are common."""
+    path = queries.public_tokenizers.path("piece_bpe_32k.model")
+    dealt = materialize(docs.select("doc_id", "text").where("doc_id < 60").repartition(6), "dealt")
+    chunks = lm_scoring.chunked(dealt, F.lit(False), doc_id="doc_id", text="text")
+    words = [set(r.words) for r in chunks.collect()]
+    for least in (2, 3):
+        want = {w for ws in words for w in ws if sum(w in x for x in words) >= least and len(w.encode()) <= lm_scoring.LONG}
+        got = [r.word for r in lm_scoring.hot_words(chunks, least).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and want
+    assert lm_scoring.hot_words(chunks, 2, most=3).count() == 3
+    one, two, all_ = ({r.doc_id: r.asDict() for r in lm_scoring.scored(dealt, queries.remainder() == 1, path, hot=hot).collect()} for hot in (99, 2, 1))
+    assert len(one) == dealt.count()
+    for other in (two, all_):
+        assert one.keys() == other.keys()
+        assert all(other[i][k] == (pytest.approx(v, rel=1e-9) if isinstance(v, float) else v) for i, row in one.items() for k, v in row.items())
+
+
 def plain_fingerprint(t: str | None) -> int:
     w = WORD.findall(lower(t or ""))
     shingles = [" ".join(w[k : k + 4]) for k in range(len(w) - 3)] if len(w) >= 4 else ([" ".join(w)] if w else [])

@@ -196,7 +196,7 @@ QUERIES = {
         frames(E)(lambda e: rounded(kpis.reliability(marts.fact_tool_outcome(e), marts.fact_api_error_rate(e)), "success_rate", "mean_p95_ms", "error_rate_pct")),
         sql(
             E,
-            """SELECT round((SELECT count(*) FILTER (success_bool) / count(*) FROM e WHERE event_name = 'tool_result'), 4) AS success_rate, round((SELECT avg(p) FROM (SELECT round_even(quantile_cont(CAST(duration_ms AS DOUBLE), 0.95), 0) AS p
+            """SELECT round((SELECT count(*) FILTER (success_bool) / count(*) FROM e WHERE event_name = 'tool_result'), 4) AS success_rate, round((SELECT avg(p) FROM (SELECT round_even(round(quantile_cont(CAST(duration_ms AS DOUBLE), 0.95) * 20) / 20, 0) AS p
             FROM e WHERE event_name = 'tool_result' GROUP BY session_id, activity_date, tool_name, coalesce(decision_source, 'unknown'), coalesce(error_type, 'none'))), 4) AS mean_p95_ms,
             round((SELECT 100.0 * count(*) FILTER (event_name = 'api_error') / count(*) FROM e WHERE event_name IN ('api_error', 'api_request')), 4) AS error_rate_pct""",
         ),

@@ -142,7 +142,7 @@ QUERIES = {
         sql(
             E,
             """SELECT session_id, activity_date, tool_name, coalesce(decision_source, 'unknown') AS decision_source, coalesce(error_type, 'none') AS error_type, count(*) AS calls, count(*) FILTER (success_bool) AS successes,
-            CAST(round_even(quantile_cont(CAST(duration_ms AS DOUBLE), 0.5), 0) AS BIGINT) AS p50_ms, CAST(round_even(quantile_cont(CAST(duration_ms AS DOUBLE), 0.95), 0) AS BIGINT) AS p95_ms
+            CAST(round_even(round(quantile_cont(CAST(duration_ms AS DOUBLE), 0.5) * 20) / 20, 0) AS BIGINT) AS p50_ms, CAST(round_even(round(quantile_cont(CAST(duration_ms AS DOUBLE), 0.95) * 20) / 20, 0) AS BIGINT) AS p95_ms
             FROM e WHERE event_name = 'tool_result' GROUP BY 1, 2, 3, 4, 5""",
         ),
     ),

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from loamline.functions import columns as C
 from loamline.operators import detection, identity, kpis, marts, otlp, profile, quality, reconcile, refresh, seats
+from loamline.plans.marts import QUERIES as MART_QUERIES
 from loamline.sources import reservoir
 from loamline.sources import store
 from loamline.sources.commits import Commits, Part
@@ -44,6 +46,18 @@ def test_tool_percentiles(spark):
     assert (r.calls, r.successes, r.p50_ms, r.p95_ms, r.decision_source, r.error_type) == (3, 2, 200, 290, "unknown", "none")
 
 
+def test_tool_percentiles_at_halves_are_exact(spark):
+    """52 rows: 0.95 of the way is 48.45, so 1234 + 0.45 * 30 = 1247.5, to the even 1248; interpolated in doubles it comes out on either side in one engine or the other."""
+    cases = [(14, 10, 100, 104), (18, 50, 1234, 1242), (47, 25, 1234, 1252), (52, 30, 1234, 1248), (59, 25, 2345, 2348)]  # rows, step, base, the exact value to the even
+    rows = [("tool_result", f"s{n}", D(2024, 1, 1), "t", None, None, base + (step if i > 19 * (n - 1) // 20 else 0), True) for n, step, base, _ in cases for i in range(n)]
+    e = spark.createDataFrame(rows, "event_name string, session_id string, activity_date date, tool_name string, decision_source string, error_type string, duration_ms bigint, success_bool boolean")
+    want = {f"s{n}": p for n, _, _, p in cases}
+    assert {r.session_id: r.p95_ms for r in marts.fact_tool_outcome(e).collect()} == want
+    con = duckdb.connect()
+    con.register("e", e.toPandas())
+    assert dict(con.sql(f"SELECT session_id, p95_ms FROM ({MART_QUERIES['a5_fact_tool_outcome'][1].partition(') AS x)')[2]})").fetchall()) == want
+
+
 def test_seat_gap_closes_and_reopens(spark):
     df = roster(spark, (D(2024, 1, 1), "a", 1, "P", None, "O"), (D(2024, 2, 1), "b", 1, "P", None, "O"), (D(2024, 3, 1), "a", 1, "P", None, "O"))
     got = intervals(df)

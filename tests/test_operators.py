@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import types
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from loamline.functions import columns as C
+from loamline.functions import spans
 from loamline.operators import detection, identity, kpis, marts, otlp, profile, quality, reconcile, refresh, seats
 from loamline.plans.marts import QUERIES as MART_QUERIES
-from loamline.sources import reservoir
+from loamline.sources import adapters, payloads, reservoir
 from loamline.sources import store
 from loamline.sources.commits import Commits, Part
 from loamline.streaming import ingest
@@ -204,6 +206,34 @@ def test_redaction_keeps_all_that_is_not_denied(spark):
     assert changed.count() == 0 and report.first().rewritten == 0
 
 
+def _never(*_):
+    raise AssertionError("scanned")
+
+
+def test_plain_payloads_are_cut_without_a_scan(spark, monkeypatch):
+    e, m = (adapters.rows(spark, "/root/testdata/sf0.001", n) for n in ("events", "metrics"))
+    texts = {s: [r.json for r in p.select("json").collect()] for s, p in (("logs", payloads.log_payloads(e)), ("metrics", payloads.metric_payloads(m)))}
+    want = {s: sorted(spans.without(t, frozenset(["secret.token"]), frozenset(["prompt.text"] if s == "logs" else [])) for t in texts[s]) for s in texts}
+    monkeypatch.setattr(otlp, "spans", types.SimpleNamespace(without=_never))  # goes to the workers by value
+    for s in texts:
+        p = spark.createDataFrame([(t,) for t in texts[s]], "json string")
+        assert sorted((r.json, r.gate_leaks) for r in otlp.redact(p, s, ["secret.token"], ["prompt.text"]).collect()) == want[s]
+
+
+def test_cuts_of_the_jvm_equal_the_scan(spark):
+    d, c, o = '{"key":"d","value":{"stringValue":"x"}}', '{"key":"c","value":{"stringValue":"%s"}}', '{"key":"o","value":{"intValue":"1"}}'
+    lists = [d, f"{d},{o}", f"{o},{d}", f"{o},{d},{d}", f"{d}, {o}", f"{o}, {d}", f"{o} ,{d}", f" {d}", f"{d} ", c % "", c % "s", c % "d", f"{d},{c % 'n'},{o},{c % ''}", '{"key":"c","value":{"stringValue":null}}', '{"key":"c","value":{}}', '{"value":{},"key":"d"}',
+             '{"key":"o","value":{"kvlistValue":{"values":[%s]}}}' % d, '{"key":"o","value":{"kvlistValue":{"attributes":[%s]}}}' % d, '{"key":"o","value":{"stringValue":"d"}}', '{"key":"\\u0064","value":1}']
+    whole = '{"resourceLogs":[{"resource":{"attributes":[R]},"scopeLogs":[{"scope":{"attributes":[S]},"logRecords":[{"attributes":[L]},{"attributes":[]}]}]}]}'
+    texts = [whole.replace("R", r).replace("S", "").replace("L", x) for r in ("", d, c % "x") for x in lists] + [whole.replace("R", "").replace("S", x).replace("L", "") for x in lists]
+    texts += [t + tail for t in texts[:3] for tail in (" ", "]", "}", ',"a":1', " x", "{}")] + [whole.replace("logRecords", "other").replace("R", "").replace("S", "").replace("L", x) for x in lists]
+    p = spark.createDataFrame(list(enumerate(texts)), "i int, json string")
+    got = {r.i: (r.json, r.gate_leaks) for r in otlp.redact(p, "logs", ["d"], ["c"]).collect()}
+    for i, t in enumerate(texts):
+        want = spans.without(t, frozenset("d"), frozenset("c"))
+        assert (got[i][0], got[i][1] or 0) == want, t
+
+
 def test_walk_finds_keys_at_any_depth(spark):
     p = spark.createDataFrame([("p", "logs", PAYLOAD.replace('"scope":{"name":"s"}', '"scope":{"attributes":[{"key":"tag","value":{"kvlistValue":{"values":[{"key":"in","value":{"doubleValue":0.5}}]}}}]}')), ("q", "logs", "no json")], "payload_id string, signal string, json string")
     got = {(r.path, r.value) for r in otlp.all_attrs(p).collect()}

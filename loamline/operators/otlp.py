@@ -203,7 +203,8 @@ def key_paths(recs: DataFrame) -> DataFrame:
 def all_attrs(payloads: DataFrame) -> DataFrame:
     """(payload_id, signal, path, value) of every key with a value anywhere in a payload: of resources, scopes, records and inside objects.
 
-    A text whose brackets do not close has none. Half surrogate pairs, which no UTF-8 holds, come out as question marks.
+    A text whose brackets do not close has none. Half surrogate pairs, which no UTF-8 holds, come out as question marks. A text without
+    escapes whose every "key" is one of an attribute of a single scalar is read in the JVM, all others are scanned.
     """
 
     @F.arrow_udf("array<struct<path:string,value:string>>")
@@ -211,7 +212,21 @@ def all_attrs(payloads: DataFrame) -> DataFrame:
         listed = [[{"path": k, "value": v} for k, v in spans.pairs(t)] if t else [] for t in texts.to_pylist()]
         return pa.array(listed, pa.list_(pa.struct([("path", pa.string()), ("value", pa.string())])))
 
-    return payloads.select("payload_id", "signal", F.explode(found("json")).alias("x")).select("payload_id", "signal", "x.path", "x.value")
+    one = r'\{"key":"([^"]*)","value":\{"(?:stringValue|intValue|doubleValue|boolValue)":("[^"]*"|[^"{}\[\],:\s]+)\}\}'
+    part = lambda n: F.regexp_extract_all("json", F.lit(one), F.lit(n))
+    bare = lambda v: F.when(v.startswith('"'), F.substring(v, F.lit(2), F.length(v) - 2)).otherwise(v)
+    keys = (F.length("json") - F.length(F.replace("json", F.lit('"key"'), F.lit("")))) / len('"key"')
+    p = payloads.select("payload_id", "signal", "json", F.coalesce((F.instr("json", "\\") == 0) & alone(col("json")), F.lit(False)).alias("_may"))
+    p = p.withColumns({"_paths": F.when(col("_may"), part(1)), "_values": F.when(col("_may"), part(2))})
+    p = p.withColumn("_simple", F.coalesce(F.size("_paths") == keys, F.lit(False)))
+    p = p.withColumn("_found", found(F.when(~col("_simple"), col("json"))))
+    told = F.zip_with("_paths", "_values", lambda k, v: F.struct(k.alias("path"), bare(v).alias("value")))
+    return p.select("payload_id", "signal", F.explode(F.when(col("_simple"), told).otherwise(col("_found"))).alias("x")).select("payload_id", "signal", "x.path", "x.value")
+
+
+def alone(json: Column) -> Column:
+    """Whether nothing follows the value of a JSON text: readers stop at its end, but not inside a list."""
+    return F.try_parse_json(F.concat(F.lit("["), json, F.lit("]"))).isNotNull() & F.try_parse_json(F.concat(F.lit('{"text":'), json, F.lit("}"))).isNotNull()
 
 
 # --- redaction and quarantine ----------------------------------------------------------------
@@ -258,10 +273,10 @@ def redact(payloads: DataFrame, signal: str, denied: list[str], content: list[st
         return pa.StructArray.from_arrays([pa.array([t for t, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], ["json", "gate_leaks"])
 
     # a list of the text and an object of it both read: nothing but the text's one value is there, since readers stop at its end
-    alone = F.try_parse_json(F.concat(F.lit("["), "json", F.lit("]"))).isNotNull()
+    listable = F.try_parse_json(F.concat(F.lit("["), "json", F.lit("]"))).isNotNull()
     odd = (F.instr("json", "\\") > 0) | (~col("_alone") & F.try_parse_json("json").isNull())
     named = reduce(or_, [F.instr("json", k) > 0 for k in listed], F.lit(False))
-    marked = payloads.withColumn("_alone", F.coalesce(alone, F.lit(False))).withColumns({"_odd": F.coalesce(odd, F.lit(False)), "_named": F.coalesce(named, F.lit(False))})
+    marked = payloads.withColumn("_alone", F.coalesce(listable, F.lit(False))).withColumns({"_odd": F.coalesce(odd, F.lit(False)), "_named": F.coalesce(named, F.lit(False))})
     simple, shorter, leaks = F.lit(False), col("json"), F.lit(0)
     if listed:
         attribute = lambda which, value: r'\{"key":"(?:' + "|".join(_quoted(k) for k in which) + r')","value":\{' + value

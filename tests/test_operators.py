@@ -467,6 +467,19 @@ def test_manifests_are_read_from_the_last_snapshot(spark, tmp_path):
     assert all(p.last >= "2024-01-20" for p in state.parts("t", since=D(2024, 1, 20)))
 
 
+def test_walk_of_plain_payloads_needs_no_scan_and_equals_it(spark, monkeypatch):
+    o = '{"key":"o","value":{"%s":%s}}'
+    plain = [o % x for x in (("intValue", '"1"'), ("doubleValue", "1.50"), ("boolValue", "true"), ("stringValue", '""'), ("stringValue", "null"), ("stringValue", '"a, {b} [c]"'))]
+    texts = ['{"x":[%s]}' % ",".join(plain), "{}", '{"a":{"b":%s}}' % plain[0]]
+    rest = ['{"x":[%s,{"key":"n","value":{"kvlistValue":{"values":[%s]}}}]}' % (plain[0], plain[1]), '{"x":["key"]}', '{"x":{"key" : "a","value":1}}', '{"x":%s}]' % plain[0], '{"x":%s} y' % plain[0], '{"x":%s' % plain[0], '{"x":{"value":7,"key":"k"}}', None]
+    frame = lambda of: spark.createDataFrame([(str(i), "logs", t) for i, t in enumerate(of)], "payload_id string, signal string, json string")
+    told = lambda of: sorted((r.payload_id, r.path, r.value) for r in otlp.all_attrs(frame(of)).collect())
+    want = lambda of: sorted((str(i), k, v) for i, t in enumerate(of) if t for k, v in spans.pairs(t))
+    assert told(texts + rest) == want(texts + rest)
+    monkeypatch.setattr(otlp, "spans", types.SimpleNamespace(pairs=_never))
+    assert told(texts) == want(texts)
+
+
 def test_spans_leave_the_rest_byte_for_byte():
     from loamline.functions import spans
 

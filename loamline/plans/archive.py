@@ -393,7 +393,7 @@ def candidates(e, m):
 
 @frames(E, M)
 def drifts(e, m):
-    r, c = recs(e, m), profile.catalogue_frame(e, [*otlp.CATALOGUE, otlp.Entry("logs", "success", "kept", basis="constant"), otlp.Entry("logs", "cost", "kept", basis="collinear", partner="k5")])
+    r, c = written(recs(e, m), "records"), profile.catalogue_frame(e, [*otlp.CATALOGUE, otlp.Entry("logs", "success", "kept", basis="constant"), otlp.Entry("logs", "cost", "kept", basis="collinear", partner="k5")])
     constant = profile.drift_constant(r.select("signal", F.explode("attrs").alias("path", "value")), c).select(F.lit("constant").alias("drift"), "path", col("values").alias("evidence"))
     collinear = profile.drift_collinear(r, c, "logs").where("broken > 0").select(F.lit("collinear").alias("drift"), "path", col("broken").alias("evidence"))
     thin = profile.drift_thin(r, c).select(F.lit("thin").alias("drift"), "path", col("seats").alias("evidence"))

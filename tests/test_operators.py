@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from loamline.functions import columns as C
 from loamline.functions import spans
 from loamline.operators import detection, identity, kpis, marts, otlp, profile, quality, reconcile, refresh, seats
+from loamline.plans.archive import QUERIES
 from loamline.plans.marts import QUERIES as MART_QUERIES
 from loamline.sources import adapters, payloads, reservoir
 from loamline.sources import store
@@ -328,6 +329,11 @@ def test_paths_of_many_values_drop_out_before_grouping(spark):
     assert profile.seat_reach(recs.limit(0)).count() == 0
 
 
+def test_drift_decodes_each_payload_once(spark):
+    plan = QUERIES["c8_c9_c10_basis_drift"][0](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "from_json" not in plan  # claims are judged on written records
+
+
 def test_missing_names_are_unknown_literals(spark):
     df = spark.createDataFrame([("a",), (None,), ("z",)], "name string")
     assert {r.name for r in profile.unknown_literals(df, "name", ["a"]).collect()} == {None, "z"}

@@ -116,18 +116,32 @@ def _runs(text: pa.Array) -> dict[str, np.ndarray]:
 
 
 _RUN = ("a", "h", "k", "copy", "start", "size", "lead")
-_RUN_TYPE = "deal long, a long, h long, k long, copy int, start int, size int, lead int, gone boolean"
+#: As runs are shuffled: h is null where a run is gone, a is null where it is ``deal``, shape is size * PLACES + lead.
+_RUN_TYPE = "deal long, a long, h long, k long, copy int, start int, shape long"
 
 
 def _local_firsts(run: dict[str, np.ndarray], deal: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> pa.RecordBatch:
-    """Runs with ``gone`` where an equal context comes earlier among them; those are dealt out by place, the others by gram."""
+    """Runs to be dealt out by gram, and those gone since an equal context comes earlier among them: these follow one another as one, dealt out by place."""
     order = np.lexsort((run["start"], run["copy"], run["k"], run["h"], run["a"]))
     run = {c: v[order] for c, v in run.items()}
     gone = np.concatenate(([False], (run["a"][1:] == run["a"][:-1]) & (run["h"][1:] == run["h"][:-1])))[: len(order)]
-    by_place = mix64(mix64(run["k"]) ^ run["start"].astype(np.uint64)).view(np.int64)
-    to = np.where(gone, by_place, deal(run["a"], run["h"]))
-    whole = {c: run[c].astype(np.int64 if c in ("a", "h", "k") else np.int32) for c in _RUN}
-    return pa.RecordBatch.from_pydict({"deal": pa.array(to, pa.int64()), **{c: pa.array(v) for c, v in whole.items()}, "gone": pa.array(gone)})
+    cut, run = _end_to_end({c: run[c][gone] for c in ("k", "copy", "start", "size")}), {c: v[~gone] for c, v in run.items()}
+    by_place = mix64(mix64(cut["k"]) ^ cut["start"].astype(np.uint64)).view(np.int64)
+    to, n, none = deal(run["a"], run["h"]), len(run["a"]), np.zeros(len(by_place), np.int64)
+    both = {c: np.concatenate((run[c], cut[c])) for c in ("k", "copy", "start")}
+    shape = np.concatenate((run["size"] * PLACES + run["lead"], cut["size"] * PLACES))
+    a, h, last = np.concatenate((run["a"], none)), np.concatenate((run["h"], none)), np.arange(n + len(none)) >= n
+    columns = {"deal": np.concatenate((to, by_place)), "a": pa.array(a, mask=last | (a == np.concatenate((to, none)))), "h": pa.array(h, mask=last)}
+    return pa.RecordBatch.from_pydict({**columns, "k": both["k"], "copy": both["copy"].astype(np.int32), "start": both["start"].astype(np.int32), "shape": shape})
+
+
+def _end_to_end(run: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Runs of which each begins where one of the same text ends, as one."""
+    order = np.lexsort((run["start"], run["copy"], run["k"]))
+    run = {c: v[order] for c, v in run.items()}
+    k, copy, start, size = (run[c] for c in ("k", "copy", "start", "size"))
+    first = np.flatnonzero(np.concatenate(([True], (k[1:] != k[:-1]) | (copy[1:] != copy[:-1]) | (start[1:] != start[:-1] + size[:-1])))[: len(k)])
+    return {"k": k[first], "copy": copy[first], "start": start[first], "size": np.add.reduceat(size, first) if len(first) else size}
 
 
 def _runs_of(texts: DataFrame, deal: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
@@ -379,8 +393,8 @@ def _numbered(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, int]:
 def _hot(texts: DataFrame, sample: int, least: int, part: int) -> tuple[np.ndarray, np.ndarray]:
     """Grams with many contexts by a sample of documents, sorted, and the parts that each is cut into."""
     some = texts.where(F.pmod(F.xxhash64("k", "copy"), F.lit(sample)) == 0)
-    runs = _runs_of(some, lambda a, h: a).where(~F.col("gone"))
-    found = runs.groupBy("a").count().where(F.col("count") >= least).orderBy(F.desc("count"), "a").limit(HOT_GRAMS).collect()
+    runs = _runs_of(some, lambda a, h: a).where("h IS NOT NULL")
+    found = runs.groupBy(F.coalesce("a", "deal").alias("a")).count().where(F.col("count") >= least).orderBy(F.desc("count"), "a").limit(HOT_GRAMS).collect()
     found = sorted((r["a"], r["count"]) for r in found)
     return np.array([x for x, _ in found], np.int64), np.array([1 + n * sample // part for _, n in found], np.int64)
 
@@ -455,11 +469,14 @@ def without_repeats(
         return np.where(np.isin(a, hot), mix64(mix64(a) ^ h.view(np.uint64)).view(np.int64), a) if len(hot) else a
 
     context, gram = Window.partitionBy("deal", "a", "h").orderBy("k", "copy", "start"), Window.partitionBy("deal", "a")
-    runs = _runs_of(texts, deal).repartition("deal").withColumn("gone", F.col("gone") | (F.row_number().over(context) > 1))
-    several = F.min("h").over(gram) != F.max("h").over(gram)
+    runs = _runs_of(texts, deal).repartition("deal").withColumn("gone", F.col("h").isNull() | (F.row_number().over(context) > 1))
+    several, own = F.min("h").over(gram) != F.max("h").over(gram), F.coalesce("a", "deal")
     if len(hot):
-        several = several | F.col("a").isin(*hot.tolist()) if len(hot) <= 200 else several | _among(hot)(F.col("a"))
-    told = materialize(runs.withColumn("several", several).where("gone OR several").drop("deal", "several"), "runs")
+        several = several | own.isin(*hot.tolist()) if len(hot) <= 200 else several | _among(hot)(own)
+    kept = runs.withColumn("several", F.coalesce(several, F.lit(False))).where("gone OR several")
+    of_gram = [F.when(~F.col("gone"), x).alias(c) for c, x in (("a", own), ("h", F.col("h")))]
+    told = kept.select(*of_gram, "k", "copy", "start", F.expr(f"CAST(shape div {PLACES} AS INT)").alias("size"), F.expr(f"CAST(shape % {PLACES} AS INT)").alias("lead"), "gone")
+    told = materialize(told, "runs")
     asked = told.where("NOT gone").repartition(buckets, "k").groupBy("k").agg(F.collect_list(F.struct("copy", "a", "h", "start", "size", "lead")).alias("asked"))
     contexts = _contexts(texts.join(asked.hint("merge"), "k"), hot, parts)
     sorted_ = contexts.repartition("deal").sortWithinPartitions("deal", "a").mapInArrow(_sorted_groups(hot, chunk), _SPAN_TYPE)

@@ -75,6 +75,17 @@ def test_removal_in_parts_is_the_same(spark, options):
     assert removal(df, **options) == sorted(plain_removal(rows), key=str)
 
 
+def test_runs_that_are_gone_at_once_travel_as_one_row(spark):
+    """What a task tells by itself needs no gram or context, so a copy's hundreds of runs are shuffled as a few rows; others keep theirs."""
+    text = " ".join(str(x) for x in np.random.default_rng(1).integers(0, 10**6, 3_000))
+    rows = spark.createDataFrame([(1, 0, text), (2, 0, text)], "k long, copy int, text string").coalesce(1)
+    runs = suffix_dedup._runs_of(rows, lambda a, h: a).collect()
+    first, copy = ([r for r in runs if r.k == k] for k in (1, 2))
+    assert len(first) > 300 and len(copy) == 1
+    assert all(r.a is None and r.h is not None for r in first)  # the gram is where the run is dealt to
+    assert (copy[0].h, copy[0].start, copy[0].shape // suffix_dedup.PLACES) == (None, 0, len(text) - 99)
+
+
 def test_removal_on_odd_rows(spark, odd, empty):
     from tests.llm.conftest import ODD
 

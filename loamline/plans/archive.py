@@ -72,10 +72,9 @@ def rate_limits(e):
 def batch_hashes(e):
     """Payloads written with their keys in another order are the same batch."""
     p = payloads.log_payloads(e).select("payload_id", "json")
-    turned = p.withColumn("json", F.regexp_replace("json", r'^\{"resourceLogs":\[\{"schemaUrl":("[^"]*"),(.*)\}\]\}$', r'{"resourceLogs":[{$2,"schemaUrl":$1}]}'))
-    h = otlp.batch_hash(col("json"))
-    both = p.select("payload_id", h.alias("batch_hash")).join(turned.select("payload_id", h.alias("b"), col("json").alias("j")), "payload_id").join(p.select("payload_id", "json"), "payload_id")
-    return both.select("payload_id", "batch_hash", (col("batch_hash") == col("b")).alias("same_when_turned"), (col("json") != col("j")).alias("turned"))
+    turned = p.withColumn("j", F.regexp_replace("json", r'^\{"resourceLogs":\[\{"schemaUrl":("[^"]*"),(.*)\}\]\}$', r'{"resourceLogs":[{$2,"schemaUrl":$1}]}'))
+    both = turned.select("payload_id", otlp.batch_hash(col("json")).alias("batch_hash"), otlp.batch_hash(col("j")).alias("b"), (col("json") != col("j")).alias("turned"))
+    return both.select("payload_id", "batch_hash", (col("batch_hash") == col("b")).alias("same_when_turned"), "turned")
 
 
 def recs(e, m):

@@ -235,6 +235,12 @@ def test_cuts_of_the_jvm_equal_the_scan(spark):
         assert (got[i][0], got[i][1] or 0) == want, t
 
 
+def test_hashes_of_turned_payloads_need_one_pass(spark):
+    """Payloads are built and hashed where they stand; before, three sets of them were joined."""
+    plan = QUERIES["p14_batch_hash"][0](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("collect_list") == 1
+
+
 def test_walk_finds_keys_at_any_depth(spark):
     p = spark.createDataFrame([("p", "logs", PAYLOAD.replace('"scope":{"name":"s"}', '"scope":{"attributes":[{"key":"tag","value":{"kvlistValue":{"values":[{"key":"in","value":{"doubleValue":0.5}}]}}}]}')), ("q", "logs", "no json")], "payload_id string, signal string, json string")
     got = {(r.path, r.value) for r in otlp.all_attrs(p).collect()}

@@ -151,9 +151,9 @@ def _files(spark: SparkSession, root: str):
 
 
 def ingest(payloads: DataFrame, ledger: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """New payloads with their hash, and the ledger rows to add; a payload seen before is left out."""
-    hashed = payloads.withColumn("batch_hash", otlp.batch_hash(col("json"))).dropDuplicates(["batch_hash"])
-    fresh = hashed.join(ledger.select("batch_hash"), "batch_hash", "left_anti")
+    """New payloads with their hash, and the ledger rows to add; a payload seen before is left out. Payloads are hashed once, into a table that both are read from."""
+    hashed = payloads.withColumn("batch_hash", otlp.batch_hash(col("json")))
+    fresh = written(hashed.join(ledger.select("batch_hash"), "batch_hash", "left_anti").dropDuplicates(["batch_hash"]), "fresh")
     return fresh, fresh.select("batch_hash")
 
 

@@ -415,6 +415,13 @@ def test_stream_throttle_equals_batch(spark, tmp_path):
 def test_ingest_over_several_batches_stores_each_payload_once(spark, tmp_path):
     root, sink, checkpoint = (f"file://{tmp_path}/{n}" for n in ("raw", "sink", "ck"))
     rows = [("logs", D(2024, 1, d), str(d), PAYLOAD.replace('"7"', f'"{d}"')) for d in range(1, 5)]
+def test_ingested_payloads_are_hashed_once(spark):
+    """What is fresh and what the ledger gets are read from one table: neither hashes a payload again."""
+    p = spark.createDataFrame([("logs", "a", PAYLOAD), ("logs", "b", PAYLOAD)], "signal string, payload_id string, json string")
+    for df in reservoir.ingest(p, spark.createDataFrame([], "batch_hash string")):
+        assert "sha2" not in df._jdf.queryExecution().optimizedPlan().toString() and df.count() == 1
+
+
     point = '{"resourceMetrics":[{"scopeMetrics":[{"metrics":[{"name":"m","gauge":{"dataPoints":[{"timeUnixNano":"1704067200000000000","asInt":"3","attributes":[{"key":"k","value":{"intValue":"9"}}]}]}}]}]}]}'
     frame = lambda some: spark.createDataFrame(some, "signal string, dt date, payload_id string, json string")
     stored = []

@@ -323,5 +323,6 @@ def quarantined(payloads: DataFrame, text: str = "json") -> DataFrame:
 
 def redaction_leaks(paths: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Denied keys that are still there, by how many payloads carry them."""
-    fill = paths.groupBy("path").agg(F.count_distinct("payload_id").alias("payloads"))
-    return fill.join(F.broadcast(catalogue.where("status = 'denied'").select("path").distinct()), "path").orderBy(col("payloads").desc(), "path")
+    denied = F.broadcast(catalogue.where("status = 'denied'").select("path").distinct())
+    fill = paths.join(denied, "path", "left_semi").groupBy("path").agg(F.count_distinct("payload_id").alias("payloads"))  # other keys are dropped before any is shuffled
+    return fill.orderBy(col("payloads").desc(), "path")

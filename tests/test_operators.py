@@ -247,6 +247,15 @@ def test_walk_finds_keys_at_any_depth(spark):
     assert ("in", "0.5") in got and ("tag", '{"kvlistValue":{"values":[{"key":"in","value":{"doubleValue":0.5}}]}}') in got and ("session.id", "own") in got and ("k", "7") in got
 
 
+def test_leaks_are_told_from_denied_keys_only(spark):
+    """Keys that nobody denied are dropped before payloads are grouped."""
+    paths = spark.createDataFrame([("p", "logs", "n", "secret.token"), ("p", "logs", "m", "secret.token"), ("q", "logs", "n", "k")], "payload_id string, signal string, name string, path string").distinct()
+    found = otlp.redaction_leaks(paths, profile.catalogue_frame(paths, otlp.CATALOGUE))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    semi = plan.index("LeftSemi")
+    assert [tuple(r) for r in found.collect()] == [("secret.token", 1)] and "payload_id" in plan[semi:] and "count(distinct payload_id" in plan[:semi]
+
+
 def test_records_of_all_point_kinds(spark):
     point = '{"dataPoints":[{"attributes":[{"key":"a","value":{"stringValue":"v"}}]}]}'
     json = '{"resourceMetrics":[{"scopeMetrics":[{"metrics":[' + ",".join(f'{{"name":"{k}","{k}":{point}}}' for k in ("gauge", "sum", "histogram", "exponentialHistogram", "summary")) + f',{{"gauge":{point}}}]}}]}}]}}'

@@ -63,6 +63,17 @@ def record_profile(recs: DataFrame, *, session: str = "session.id", seat: str =
     return out.select(*keys, "records", "sessions", "seats", "cardinality", F.concat_ws(",", F.transform("t", lambda x: x["value"])).alias("top3"), (col("records") / col("population")).alias("share"))
 
 
+def path_shares(recs: DataFrame) -> DataFrame:
+    """Per signal, name and path: records and their share of the name's records, as in ``record_profile``. No value is looked at, so none is shuffled.
+
+    A name's records count as those of no path, so that records are decoded once.
+    """
+    paths = F.explode(F.concat(F.array(F.lit(None).cast("string")), F.map_keys("attrs"))).alias("path")
+    n = recs.select("signal", "name", paths).groupBy("signal", "name", "path").agg(F.count("*").alias("records"))  # as many rows as the catalogue might list
+    n = n.withColumn("population", F.max(F.when(col("path").isNull(), col("records"))).over(Window.partitionBy("signal", "name")))
+    return n.where("path IS NOT NULL").select("signal", "name", "path", "records", (col("records") / col("population")).alias("share"))
+
+
 def few_valued(flat: DataFrame, keys: list[str], most: int) -> DataFrame:
     """Keys whose values may be ``most`` or fewer, without shuffling a value: each value sets one of 64 bits of its key, and a key with more than
     ``most`` bits has more values than that. Keys that are left may have more too, by about as many as share a bit.

@@ -386,7 +386,7 @@ def swept(e, m):
 @frames(E, M)
 def candidates(e, m):
     r = recs(e, m)
-    p = profile.promotion_candidates(rounded(profile.record_profile(r), "share", digits=6), profile.catalogue_frame(e, otlp.CATALOGUE))
+    p = profile.promotion_candidates(rounded(profile.path_shares(r), "share", digits=6), profile.catalogue_frame(e, otlp.CATALOGUE))
     return p.select("signal", "name", "path", "records", "share", F.coalesce("status", F.lit("unclassified")).alias("status"))
 
 

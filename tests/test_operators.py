@@ -344,6 +344,16 @@ def test_paths_of_many_values_drop_out_before_grouping(spark):
     assert profile.seat_reach(recs.limit(0)).count() == 0
 
 
+def test_shares_of_paths_look_at_no_value(spark):
+    """The same records and shares as the whole profile, without its sessions, seats and values."""
+    rows = [("logs", "a", {"x": "1", "y": "2"}, {}), ("logs", "a", {"x": "3"}, {}), ("logs", "a", {}, {}), ("metrics", "a", {"x": None}, {})]
+    recs = spark.createDataFrame(rows, "signal string, name string, attrs map<string,string>, resource map<string,string>")
+    keys = ["signal", "name", "path", "records", "share"]
+    short = profile.path_shares(recs)
+    assert sorted(short.collect()) == sorted(profile.record_profile(recs).select(*keys).collect()) and short.count() == 3
+    assert "Join" not in short._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_drift_decodes_each_payload_once(spark):
     plan = QUERIES["c8_c9_c10_basis_drift"][0](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "from_json" not in plan  # claims are judged on written records

@@ -282,7 +282,7 @@ STORED = STORED_FACTS + """ UNION ALL SELECT 'quarantine, ' || reason, dt, TIMES
 
 @frames(E)
 def ingested(e):
-    p = payloads.log_payloads(e)
+    p = written(payloads.log_payloads(e), "payloads")
     ledger = p.where("dt < DATE '2024-01-04'").select(otlp.batch_hash(col("json")).alias("batch_hash"))
     fresh, more = reservoir.ingest(p.unionAll(p.where("dt = DATE '2024-01-09'")), ledger)
     return fresh.select("payload_id", "dt", "batch_hash").join(more.withColumn("in_ledger", F.lit(True)), "batch_hash", "left").drop("batch_hash")
@@ -292,7 +292,7 @@ def ingested(e):
 def ingested_facts(e, m):
     """Both signals, a part of them twice, with texts among them that are no payloads."""
     spark, root = e.sparkSession, workspace(e.sparkSession, "store")
-    p = written(with_broken(both_payloads(e, m)), "payloads")
+    p = with_broken(written(both_payloads(e, m), "payloads"))
     store.ingest(spark, root, p.where("dt <= DATE '2024-01-12'"), DENIED, CONTENT, horizon_days=60)
     store.ingest(spark, root, p.where("dt > DATE '2024-01-06'"), DENIED, CONTENT, horizon_days=60)
     return stored_rows(spark, root).withColumn("rows", F.when(col("fact").startswith("quarantine") & col("day").between(F.lit("2024-01-07").cast("date"), F.lit("2024-01-12").cast("date")), F.floor(col("rows") / 2)).otherwise(col("rows")))
@@ -454,14 +454,19 @@ def purged_facts(e, m):
 # --- streams ---------------------------------------------------------------------------------
 
 
+def by_day(p):
+    """Payloads gathered by day, so that an archive has a few files a day, by bytes, and not one of each task."""
+    return p.hint("rebalance", *reservoir.DAY_KEYS)
+
+
 @frames(E, M)
 def streamed(e, m):
     """The archive of both signals' payloads, ingested as a stream; days that arrive twice are stored once, broken texts are set aside."""
     spark = e.sparkSession
     root, sink, checkpoint = (workspace(spark, n) for n in ("raw", "sink", "stream"))
-    p = written(with_broken(both_payloads(e, m)), "payloads")
-    reservoir.write_raw(p, root)
-    reservoir.write_raw(p.where("dt = DATE '2024-01-09'"), root)
+    p = with_broken(written(both_payloads(e, m), "payloads"))
+    reservoir.write_raw(by_day(p), root)
+    reservoir.write_raw(by_day(p.where("dt = DATE '2024-01-09'")), root)
     ingest.continuous_ingest(ingest.payload_stream(spark, root), sink, checkpoint, DENIED, CONTENT).awaitTermination()
     return stored_rows(spark, sink)
 
@@ -471,9 +476,9 @@ def deduped(e):
     """Payloads of an archive in which some days arrived twice, as a stream keeps them: each once."""
     spark = e.sparkSession
     root, sink, checkpoint = (workspace(spark, n) for n in ("raw", "sink", "stream"))
-    p = payloads.log_payloads(e)
-    reservoir.write_raw(p, root)
-    reservoir.write_raw(p.where("dt > DATE '2024-01-25'"), root)
+    p = written(payloads.log_payloads(e), "payloads")
+    reservoir.write_raw(by_day(p), root)
+    reservoir.write_raw(by_day(p.where("dt > DATE '2024-01-25'")), root)
     first = ingest.dedupe(ingest.payload_stream(spark, root).withColumn("arrived", col("dt").cast("timestamp")), "arrived", horizon="60 days")
     first.select("payload_id", "dt").writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start(sink).awaitTermination()
     return spark.read.schema("payload_id string, dt date").parquet(sink)

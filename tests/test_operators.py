@@ -415,6 +415,13 @@ def run(spark, df, tmp_path, name, mode="append"):
     return q
 
 
+def test_ingested_payloads_are_hashed_once(spark):
+    """What is fresh and what the ledger gets are read from one table: neither hashes a payload again."""
+    p = spark.createDataFrame([("logs", "a", PAYLOAD), ("logs", "b", PAYLOAD)], "signal string, payload_id string, json string")
+    for df in reservoir.ingest(p, spark.createDataFrame([], "batch_hash string")):
+        assert "sha2" not in df._jdf.queryExecution().optimizedPlan().toString() and df.count() == 1
+
+
 def test_stream_dedupe_within_horizon(spark, tmp_path):
     t = dt.datetime(2024, 1, 1)
     s = stream_of(spark, tmp_path, [(t, '{"a":1,"b":2}'), (t, '{"b":2,"a":1}'), (t, '{"a":3}')], "at timestamp, json string")
@@ -434,13 +441,6 @@ def test_stream_throttle_equals_batch(spark, tmp_path):
 def test_ingest_over_several_batches_stores_each_payload_once(spark, tmp_path):
     root, sink, checkpoint = (f"file://{tmp_path}/{n}" for n in ("raw", "sink", "ck"))
     rows = [("logs", D(2024, 1, d), str(d), PAYLOAD.replace('"7"', f'"{d}"')) for d in range(1, 5)]
-def test_ingested_payloads_are_hashed_once(spark):
-    """What is fresh and what the ledger gets are read from one table: neither hashes a payload again."""
-    p = spark.createDataFrame([("logs", "a", PAYLOAD), ("logs", "b", PAYLOAD)], "signal string, payload_id string, json string")
-    for df in reservoir.ingest(p, spark.createDataFrame([], "batch_hash string")):
-        assert "sha2" not in df._jdf.queryExecution().optimizedPlan().toString() and df.count() == 1
-
-
     point = '{"resourceMetrics":[{"scopeMetrics":[{"metrics":[{"name":"m","gauge":{"dataPoints":[{"timeUnixNano":"1704067200000000000","asInt":"3","attributes":[{"key":"k","value":{"intValue":"9"}}]}]}}]}]}]}'
     frame = lambda some: spark.createDataFrame(some, "signal string, dt date, payload_id string, json string")
     stored = []
@@ -571,6 +571,15 @@ def test_plans_come_from_listings(spark, tmp_path):
     assert reservoir.inventory_diff(mine, reservoir.listed(spark, small), D(2024, 1, 3)).first().missing == 2
 
 
+def test_archives_have_few_files_a_day(spark, tmp_path):
+    """Many tasks that hold rows of a day leave one small file of it, not one each."""
+    from loamline.plans.archive import by_day
+
+    p = spark.range(64).selectExpr("'logs' AS signal", "DATE '2024-01-01' AS dt", "CAST(id AS STRING) AS payload_id", "'{}' AS json").repartition(16)
+    reservoir.write_raw(by_day(p), str(tmp_path / "raw"))
+    assert reservoir.listed(spark, str(tmp_path / "raw")).count() == 1
+
+
 def test_newest_write_is_told_from_names(spark):
     f = lambda *names: spark.createDataFrame([("logs", D(2024, 1, 1), n) for n in names], "signal string, dt date, name string")
     r = reservoir.inventory_diff(f("101500-a", "235959-b", "250000-c", "d", "d"), f("101500-a", "235958-z")).first()

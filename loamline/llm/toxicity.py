@@ -7,7 +7,8 @@ the words, max pooling takes each filter's largest response, and a logistic laye
 Thresholds are calibrated by language, where the language is told from the text's most frequent
 words, never from a column; the score is shifted so that 0.5 is the text's threshold.
 
-Labels are learned from a bounded sample (``SAMPLE`` documents and ``SAMPLE_BYTES`` of each label), scoring covers every whole text.
+Embeddings and filters are learned from a bounded sample (``SAMPLE`` documents and ``SAMPLE_BYTES`` of each label), scoring covers every
+whole text. ``fit`` calibrates on the held part of the sample; ``thresholds`` does so over all labelled rows.
 
 Defined results: a null text counts as empty and gets the score of a text without words; repeated
 rows get equal scores; no rows give no rows; other columns stay. Without labels of both kinds
@@ -21,7 +22,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loamline.llm.scratch import release_memory, small_batches
@@ -46,6 +47,8 @@ FUNCTION_WORDS = {
     "es": "el los las del y que se por con una para su al es como lo".split(),
 }
 LANGUAGES = [*FUNCTION_WORDS, "other"]
+#: Thresholds over a whole table lie on a grid of so many steps a logit, up to so many logits from 0.
+GRID, REACH = 64, 32
 
 
 def word_features(names: pa.Array) -> np.ndarray:
@@ -100,16 +103,20 @@ class Model:
             where.append(starts)
         return np.concatenate(pooled, axis=1), where
 
-    def score(self, text: pa.Array) -> np.ndarray:
-        """The calibrated probability of label 1 for null-free texts."""
-        if self.out is None:
-            return np.zeros(len(text))
+    def logits(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The uncalibrated logit of label 1 for null-free texts, and each text's language."""
         w = words_of(alnum_ascii(text))
         features = word_features(w.names)
         vectors = self.table[self.lookup(features)].sum(axis=1) if len(features) else np.zeros((1, DIM), np.float32)
         pooled, _ = self.responses(vectors, w.ids, w.offsets)
-        logit = pooled @ self.out + self.out_bias - self.shift[language_of(w)]
-        return 1 / (1 + np.exp(-np.clip(logit.astype(np.float64), -30, 30)))
+        return (pooled @ self.out + self.out_bias).astype(np.float64), language_of(w)
+
+    def score(self, text: pa.Array) -> np.ndarray:
+        """The calibrated probability of label 1 for null-free texts."""
+        if self.out is None:
+            return np.zeros(len(text))
+        logit, language = self.logits(text)
+        return 1 / (1 + np.exp(-np.clip(logit - self.shift[language], -30, 30)))
 
 
 def language_of(w) -> np.ndarray:
@@ -354,3 +361,47 @@ def with_toxicity(docs: DataFrame, model: Model, into: str, text: str = "text")
         return by_slices(column, lambda part: pa.array(model.score(part), pa.float64()), pa.float64())
 
     return docs.withColumn(into, score(F.col(text)))
+
+
+def with_logit(docs: DataFrame, model: Model, into: str, text: str = "text") -> DataFrame:
+    """``docs`` with ``into``: the uncalibrated logit and the number of the text's language. The model must have been fitted on both labels."""
+    small_batches(docs.sparkSession)
+    kind = pa.struct([("logit", pa.float64()), ("language", pa.int32())])
+
+    @F.arrow_udf("struct<logit:double,language:int>")
+    def told(column: pa.Array) -> pa.Array:
+        def one(part: pa.Array) -> pa.Array:
+            logit, language = model.logits(part)
+            return pa.StructArray.from_arrays([pa.array(logit, pa.float64()), pa.array(language, pa.int32())], fields=list(kind))
+
+        return by_slices(column, one, kind)
+
+    return docs.withColumn(into, told(F.col(text)))
+
+
+def thresholds(told: DataFrame, labels: DataFrame) -> list[float]:
+    """For each language the logit, on the grid, with the fewest errors over all labelled rows of ``told`` (doc_id, logit, language).
+
+    Rows are counted by step of the grid in Spark, so the driver gets a bounded table however many are labelled. Few texts use all languages' rows.
+    """
+    one = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    step = F.floor(F.least(F.greatest("logit", F.lit(-float(REACH))), F.lit(float(REACH))) * GRID).cast("int")
+    counts = told.join(one, "doc_id").groupBy("language", step.alias("step")).agg(F.count_if(F.col("toxic") == 1).alias("toxic"), F.count_if(F.col("toxic") != 1).alias("clean")).collect()
+    size = 2 * REACH * GRID + 1
+    n = np.zeros((len(LANGUAGES), 2, size), np.int64)
+    for r in counts:
+        n[r["language"], :, r["step"] + REACH * GRID] = r["toxic"], r["clean"]
+
+    def cut(toxic: np.ndarray, clean: np.ndarray) -> float:
+        errors = np.concatenate(([0], np.cumsum(toxic))) + np.concatenate((np.cumsum(clean[::-1])[::-1], [0]))
+        best = np.flatnonzero(errors == errors.min())
+        return float(best[len(best) // 2] / GRID - REACH)
+
+    overall = cut(*n.sum(axis=0)) if n.any() else 0.0
+    return [cut(*x) if x.sum() >= 50 and x[0].sum() >= 10 else overall for x in n]
+
+
+def calibrated(logit: Column, language: Column, shift: list[float]) -> Column:
+    """The score of a logit, 0.5 at its language's threshold."""
+    own = F.get(F.array(*[F.lit(x) for x in shift]), language)
+    return 1 / (1 + F.exp(-F.least(F.greatest(logit - own, F.lit(-30.0)), F.lit(30.0))))

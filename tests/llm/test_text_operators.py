@@ -470,3 +470,18 @@ def test_one_long_text_does_not_switch_the_classifier_off(spark, docs, labels):
     assert sorted(with_long.label.tolist()) == sorted(plain.label.tolist()) and {0, 1} == set(plain.label.tolist())
     only = toxicity.labelled_sample(long, told, sample_bytes=bound)
     assert sorted(only.label.tolist()) == [0, 1]
+
+
+def test_toxicity_thresholds_count_every_labelled_row(spark):
+    """Far more rows than a sample of labels holds, and the few that decide come last by any order of a sample's."""
+    from loamline.llm import toxicity
+
+    told = spark.range(9_000).selectExpr("id AS doc_id", "CASE WHEN id % 3 = 0 THEN 2.0D ELSE -1.0D END + id % 7 / 100D AS logit", "0 AS language")
+    labels = told.selectExpr("doc_id", "CAST(logit > 0 AS INT) AS toxic")
+    shift = toxicity.thresholds(told, labels)
+    assert len(shift) == len(toxicity.LANGUAGES) and all(-0.94 < x <= 2 for x in shift)
+    more = told.unionByName(spark.range(9_000, 15_000).selectExpr("id AS doc_id", "1.0D AS logit", "0 AS language"))
+    both = labels.unionByName(spark.range(9_000, 15_000).selectExpr("id AS doc_id", "0 AS toxic"))
+    assert all(1 < x <= 2 for x in toxicity.thresholds(more, both))
+    score = told.limit(1).select(toxicity.calibrated(F.lit(2.0), F.col("language"), [2.0] * 5).alias("s")).first().s
+    assert score == 0.5 and toxicity.thresholds(told.limit(0), labels) == [0.0] * 5

@@ -7,10 +7,9 @@ import threading
 from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
@@ -107,7 +106,10 @@ def tallied(spark: SparkSession, start: Callable[[], StreamingQuery], name: str
 
 
 class Throttle(StatefulProcessor):
-    """Keeps the time of the last accepted row of a key until the watermark is one gap behind it, from when on it says nothing."""
+    """Keeps the time of the last accepted row of a key until the watermark is one gap behind it, from when on it says nothing.
+
+    Most keys have a few rows, so what a call costs decides: rows come and go as rows, since a frame for each key takes many times as long.
+    """
 
     def __init__(self, gap_us: int) -> None:
         self.gap_us = gap_us
@@ -119,26 +121,27 @@ class Throttle(StatefulProcessor):
     def _free_ms(self, last: int) -> int:
         return max(1, -(-(last + self.gap_us) // 1000))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        times = np.sort(np.concatenate([part["us"].to_numpy(np.int64) for part in rows]))
-        known = self.last.exists()
-        last, out, at = self.last.get()[0] if known else None, [], 0
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        times = np.fromiter((r.us for r in rows), np.int64)
+        times.sort()
+        known = self.last.get()  # one question to the store: None is no state
+        last, at, some = known[0] if known else None, 0, False
         while True:  # from one accepted row straight to the next
             if last is not None:
                 at = int(np.searchsorted(times, last + self.gap_us))
             if at >= len(times):
                 break
-            last = int(times[at])
-            out.append(last)
-        if out:
+            last, some = int(times[at]), True
+            yield Row(key=key[0], us=last)
+        if some:
             self.last.update((last,))
             if not known:  # one timer a key: where the state moved on meanwhile, it is set anew when it rings
                 self.handle.registerTimer(self._free_ms(last))
-        yield pd.DataFrame({"key": pd.Series([key[0]] * len(out), dtype=object), "us": np.array(out, np.int64)})
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
-        if self.last.exists():
-            free = self._free_ms(self.last.get()[0])
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        known = self.last.get()
+        if known:
+            free = self._free_ms(known[0])
             if free <= timerValues.getCurrentWatermarkInMs():
                 self.last.clear()
             else:
@@ -161,7 +164,7 @@ def throttle_stream(stream: DataFrame, *, gap_us: int = 300_000_000, late: str =
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     timed = stream.where("us IS NOT NULL").select("key", "us", F.timestamp_micros(F.greatest("us", F.lit(1))).alias("at")).withWatermark("at", late)
     kind = stream.schema["key"].dataType.simpleString()
-    return timed.groupBy("key").transformWithStateInPandas(Throttle(gap_us), f"key {kind}, us long", "append", "EventTime")
+    return timed.groupBy("key").transformWithState(Throttle(gap_us), f"key {kind}, us long", "append", "EventTime")
 
 
 def _same(column: pa.Array, value: pa.Scalar) -> pa.Array:

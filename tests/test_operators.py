@@ -622,6 +622,26 @@ def test_throttle_state_goes_with_time(spark, tmp_path):
     assert {r.k for r in state.select(F.col("key.key").alias("k")).collect()} == {"a", "d"}
 
 
+def test_throttle_takes_rows_and_asks_once():
+    """A key's rows come as rows, not as a frame, and its state is asked for once."""
+    from pyspark.sql import Row
+
+    asked = []
+
+    class Last:
+        def get(self):
+            asked.append("get")
+            return (100,)
+
+        def update(self, value):
+            asked.append(value)
+
+    t = ingest.Throttle(50)
+    t.last = Last()
+    got = list(t.handleInputRows(("a",), iter([Row(key="a", us=u) for u in (220, 149, 150, 90, 199)]), None))
+    assert got == [Row(key="a", us=150), Row(key="a", us=220)] and asked == ["get", (220,)]
+
+
 def test_groups_of_sorted_batches(spark):
     import pyarrow as pa
 

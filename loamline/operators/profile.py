@@ -44,6 +44,16 @@ def value_samples(attrs: DataFrame, *, top: int = 5) -> DataFrame:
     return top_of(n, keys, top).join(n.groupBy(*keys).agg(F.count("*").alias("cardinality")), keys)
 
 
+def reach_of(rows: DataFrame, who: str, name: str) -> DataFrame:
+    """(signal, name, path, ``name``): how many values of ``who`` have records of a name that carry a path; none for NULL.
+
+    A record is shuffled once with all its paths, and lists of paths that a group has already are dropped before.
+    """
+    some = rows.where(col(who).isNotNull()).select("signal", "name", who, F.map_keys("attrs").alias("paths"))
+    each = some.groupBy("signal", "name", who).agg(F.collect_set("paths").alias("lists"))
+    return each.select("signal", "name", F.explode(F.array_distinct(F.flatten("lists"))).alias("path")).groupBy("signal", "name", "path").agg(F.count("*").alias(name))
+
+
 def record_profile(recs: DataFrame, *, session: str = "session.id", seat: str = "user.email") -> DataFrame:
     """Per signal, name and path: records, sessions, seats, capped cardinality, top three, share of the name's records.
 
@@ -52,11 +62,13 @@ def record_profile(recs: DataFrame, *, session: str = "session.id", seat: str =
     either = lambda key: F.coalesce(F.element_at("resource", key), F.element_at("attrs", key))
     rows = written(recs.select("signal", "name", either(session).alias("session"), either(seat).alias("seat"), "attrs"), "records")
     population = rows.groupBy("signal", "name").agg(F.count("*").alias("population"))
-    flat = rows.select("signal", "name", "session", "seat", F.explode("attrs").alias("path", "value"))
+    flat = rows.select("signal", "name", F.explode("attrs").alias("path", "value"))
     keys = ["signal", "name", "path"]
-    basic = flat.groupBy(*keys).agg(F.count("*").alias("records"), F.count_distinct("session").alias("sessions"), F.count_distinct("seat").alias("seats"))
     # values first, so that a path with few values and many records is counted in parts
     values = written(flat.groupBy(*keys, "value").agg(F.count("*").alias("n")), "values")
+    basic = values.groupBy(*keys).agg(F.sum("n").alias("records"))
+    for who in ("session", "seat"):
+        basic = basic.join(reach_of(rows, who, f"{who}s"), keys, "left").withColumn(f"{who}s", F.coalesce(f"{who}s", F.lit(0)))
     sizes = values.groupBy(*keys).agg(F.least(F.count("*"), F.lit(CAP)).alias("cardinality"))
     top = top_of(values, keys, 3).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("rank", "value"))).alias("t"))
     out = basic.join(sizes, keys).join(top, keys).join(population, ["signal", "name"])

@@ -344,6 +344,16 @@ def test_paths_of_many_values_drop_out_before_grouping(spark):
     assert profile.seat_reach(recs.limit(0)).count() == 0
 
 
+def test_profile_counts_people_without_a_row_of_each_path(spark):
+    """Sessions and seats come from lists of paths: no NULL counts, and a record is not multiplied by what is counted."""
+    rows = [("logs", "a", {"x": "1", "session.id": s}, {"user.email": u} if u else {}) for s, u in (("s1", "u1"), ("s1", "u2"), ("s2", "u1"), ("s2", None))]
+    rows += [("logs", "a", {"y": "2"}, {}), ("logs", "a", None, {"user.email": "u9"})]
+    recs = spark.createDataFrame(rows, "signal string, name string, attrs map<string,string>, resource map<string,string>")
+    out = profile.record_profile(recs)
+    assert {(r.path, r.records, r.sessions, r.seats, r.share) for r in out.collect()} == {("x", 4, 2, 2, 4 / 6), ("session.id", 4, 2, 2, 4 / 6), ("y", 1, 0, 0, 1 / 6)}
+    assert "Expand" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_shares_of_paths_look_at_no_value(spark):
     """The same records and shares as the whole profile, without its sessions, seats and values."""
     rows = [("logs", "a", {"x": "1", "y": "2"}, {}), ("logs", "a", {"x": "3"}, {}), ("logs", "a", {}, {}), ("metrics", "a", {"x": None}, {})]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,11 +38,15 @@ def detect(
     return reduce(DataFrame.unionByName, found)
 
 
-def append_cycle(spark: SparkSession, root: str, cycle: datetime.date, findings: DataFrame) -> bool:
-    """Append a cycle's findings to the log by one commit; a cycle that is in, or is older than the last one, changes nothing and gives False."""
+def append_cycle(spark: SparkSession, root: str, cycle: datetime.date, findings: DataFrame | Callable[[], DataFrame]) -> bool:
+    """Append a cycle's findings to the log by one commit; a cycle that is in, or is older than the last one, changes nothing and gives False.
+
+    ``findings`` may be a function, called only if the cycle is new: detectors write tables of their own before they find anything.
+    """
     commits = Commits(spark, root)
     if commits.state().batches.get("cycles", 0) >= cycle.toordinal():
         return False
+    findings = findings() if callable(findings) else findings
     rows = written(findings.select(F.lit(cycle).alias("cycle"), "finding_type", "subject", "kind", "row_count", "details"), "findings")
     told = rows.agg(F.count("*").alias("findings")).select(F.lit(cycle).alias("cycle"), "findings")
     commits.commit(commits.write("findings", rows, "cycle") + commits.write("cycles", told, "cycle"), batch=("cycles", cycle.toordinal()))

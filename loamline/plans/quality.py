@@ -190,7 +190,8 @@ def logged(e, m, r, a):
     intervals = written(seats.seat_intervals(r), "intervals")  # no drop lies between the cycles
     for day in sorted((*CYCLES, CYCLES[1])):
         past = col("activity_date") <= F.lit(day)
-        detection.append_cycle(spark, root, day, detection.detect(e.where(past), m.where(past), r, a, floor=FLOOR, intervals=intervals, least_sessions=LEAST))
+        arrived = e.where(past), m.where(past)
+        detection.append_cycle(spark, root, day, lambda arrived=arrived: detection.detect(*arrived, r, a, floor=FLOOR, intervals=intervals, least_sessions=LEAST))
     return detection.open_findings(*detection.read_log(spark, root)).drop("details")
 
 

@@ -298,6 +298,17 @@ def test_standing_since_restarts_after_a_gap(spark):
 FOUND = "finding_type string, subject string, kind string, row_count long, details string"
 
 
+def test_a_cycle_that_is_in_is_not_detected_again(spark, tmp_path):
+    ran = []
+
+    def found():
+        ran.append(1)
+        return spark.createDataFrame([("t", "s", "defect", 1, "{}")], "finding_type string, subject string, kind string, row_count long, details string")
+
+    done = [detection.append_cycle(spark, str(tmp_path), dt.date(2024, 1, day), found) for day in (2, 2, 1, 3)]
+    assert done == [True, False, False, True] and len(ran) == 2
+
+
 def test_cycles_append_once_and_one_that_finds_nothing_counts(spark, tmp_path):
     root = f"file://{tmp_path}/log"
     some = spark.createDataFrame([("t", "s", "defect", 2, "{}"), ("g", "s", "gauge", None, None)], FOUND)

@@ -408,6 +408,27 @@ def test_crops_of_large_pictures_at_odd_turns(spark, degrees):
     assert min(abs(best.turn * 360 / media.TURNS - degrees), 360 - abs(best.turn * 360 / media.TURNS - degrees)) <= 3
 
 
+def test_many_near_copies_are_compared_with_few_and_no_link_is_lost(spark, monkeypatch):
+    """Compared pairs grow with a group of near copies, not with its square, and the same pictures belong together as by all pairs."""
+    plain, seen, pairs = media.compared, [], {}
+    monkeypatch.setattr(media, "compared", lambda p, *a, **k: (seen.append(p.count()), plain(p, *a, **k))[1])
+    for n in (100, 400):
+        rng = np.random.default_rng(12)
+        one, seen[:] = vector(rng), []
+        vectors = [[x + float(rng.normal()) * 0.01 for x in one] for _ in range(n)] + [vector(rng) for _ in range(20)]
+        all_ = pictures(spark, list(enumerate(vectors)))
+        name = {r.picture: r.image_id for r in all_.collect()}
+        a, q = described(all_), described(media.edited(all_.where("image_id % 5 = 0")))
+        met, groups = media.searched(q, a)
+        first = {r.picture: r["first"] for r in groups.collect()}
+        found = {(name[r.query_id], first[r.match_id]) for r in met.collect()}
+        pairs[n] = sum(seen)
+        if n == 100:
+            want = {(name[r.query_id], first[r.match_id]) for r in media.matches(q, a).collect()}
+            assert want <= found and len({f for i, f in first.items() if name[i] < n}) < 10
+    assert pairs[400] <= 5 * pairs[100]
+
+
 def test_half_size_and_noisy_copies(spark):
     rng = np.random.default_rng(9)
     whole = [np.kron(rng.integers(0, 256, (24, 24)), np.ones((6, 6))) for _ in range(25)]

@@ -329,6 +329,15 @@ def test_keys_grow_with_the_corners():
     assert media.key_length(r, 10**6) == 64
 
 
+def test_a_corner_meets_as_many_by_chance_at_every_size():
+    rng = np.random.default_rng(5)
+    r = np.zeros(20_000, media.RECORD)
+    for d in ("d0", "d1"):
+        r[d] = rng.integers(-(2**63), 2**63, len(r))
+    loads = [n * 2.0 ** -media.key_length(r, n) for n in (3000, 10_000, 40_000, 150_000, 500_000)]
+    assert max(loads) <= 1.1 * media.LOAD and min(loads) >= media.LOAD / 2.2
+
+
 def test_exact_copies_are_one_class_and_odd_images(spark):
     rng = np.random.default_rng(2)
     v = [vector(rng) for _ in range(3)]

@@ -6,17 +6,15 @@ objects stay JSON text. Maps need spark.sql.mapKeyDedupPolicy=LAST_WIN: the last
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
-from functools import reduce
-from operator import add, or_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamline.functions import columns as C
-from loamline.functions import spans
+from loamline.functions import plain, spans
+from loamline.sources.shared import small_batches
 
 col = F.col
 
@@ -232,26 +230,47 @@ def alone(json: Column) -> Column:
 # --- redaction and quarantine ----------------------------------------------------------------
 
 
-#: What stands where denied attributes may: the keys of attributes of resources, scopes and records or points.
-_KEYS = "attributes:array<struct<key:string>>"
-PLACES = {
-    "logs": f"struct<resourceLogs:array<struct<resource:struct<{_KEYS}>,scopeLogs:array<struct<scope:struct<{_KEYS}>,logRecords:array<struct<{_KEYS}>>>>>>>",
-    "metrics": "struct<resourceMetrics:array<struct<resource:struct<KEYS>,scopeMetrics:array<struct<scope:struct<KEYS>,metrics:array<struct<OF>>>>>>>".replace("OF", ",".join(f"{k}:struct<dataPoints:array<struct<KEYS>>>" for k in ("gauge", "sum", "histogram", "exponentialHistogram", "summary"))).replace("KEYS", _KEYS),
-}
+def told(payloads: DataFrame, signal: Column, denied: list[str], content: list[str], *, digests: bool = True) -> DataFrame:
+    """``payloads`` with ``_told``: the redacted ``json``, ``gate_leaks``, a ``digest`` of its canonical form and the ``fault`` of texts without.
 
-
-def _keys_at(tree: Column, signal: str) -> tuple[Column, Column]:
-    """The attribute keys of a text read with PLACES: of its log records, and of all else that it names (nulls for what is not there)."""
-    flat = lambda c: F.flatten(F.filter(c, lambda x: x.isNotNull()))
-    keys = lambda c: flat(c["attributes"])["key"]
-    resources = tree[f"resource{signal.title()}"]
-    scopes = flat(resources[f"scope{signal.title()}"])
-    around = [keys(resources["resource"]), keys(scopes["scope"])]
-    if signal == "logs":
-        return keys(flat(scopes["logRecords"])), F.concat(*[F.coalesce(c, F.array().cast("array<string>")) for c in around])
-    metrics = flat(scopes["metrics"])
-    around += [keys(flat(metrics[k]["dataPoints"])) for k in ("gauge", "sum", "histogram", "exponentialHistogram", "summary")]
-    return F.array().cast("array<string>"), F.concat(*[F.coalesce(c, F.array().cast("array<string>")) for c in around])
+    A text is parsed once for all of this. Those that ``plain`` is not certain of are scanned for what to cut, and have no digest: then
+    the JVM is to be asked for the canonical form, and ``fault`` says what is wrong should there be none.
+    """
+    small_batches(payloads.sparkSession)
+    keys, gate = frozenset(denied), frozenset(content) - frozenset(denied)
+
+    @F.arrow_udf("struct<json:string,gate_leaks:bigint,digest:string,fault:string,ask:boolean>")
+    def read(texts: pa.Array, signals: pa.Array) -> pa.Array:
+        reader, out = plain.Reader(keys, gate), ([], [], [], [], [])
+        for text, signal in zip(texts.to_pylist(), signals.to_pylist(), strict=True):
+            cut, digest, ask = (None, 0), None, False
+            if text is not None:
+                sure = tree = None
+                named = reader.named(text, signal)
+                if "\\" not in text:
+                    try:
+                        tree = reader.tree(text)
+                        sure = reader.cut(text, tree, signal) if named else (text, 0)
+                    except ValueError:
+                        ask = not named  # the JVM's reader stops where the first value ends
+                        sure = (text if ask else None, 0)
+                    except RecursionError:
+                        pass
+                cut = sure or spans.without(text, keys, gate if signal == "logs" else frozenset())
+                if digests and sure and tree is not None:
+                    digest = reader.digest(cut[0], tree)
+            told = (*cut, digest, spans.fault(text) if digests and text is not None and digest is None else None, ask)
+            for column, x in zip(out, told, strict=True):
+                column.append(x)
+        kinds = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.bool_())
+        return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["json", "gate_leaks", "digest", "fault", "ask"])
+
+    return payloads.withColumn("_told", read(col("json"), signal))
+
+
+def cleaned() -> Column:
+    """The redacted text that was told. Where only the JVM's reader might take it, since it stops at the end of the first value, it is asked."""
+    return F.when(~col("_told.ask") | F.try_parse_json("_told.json").isNotNull(), col("_told.json"))
 
 
 def redact(payloads: DataFrame, signal: str, denied: list[str], content: list[str]) -> DataFrame:
@@ -259,51 +278,9 @@ def redact(payloads: DataFrame, signal: str, denied: list[str], content: list[st
 
     Denied attributes are cut out of the text, the rest stays byte for byte. A text that is no JSON becomes NULL, since nothing
     tells what it holds. Only texts that name such a key, or might in escapes, or have no canonical form are changed.
-
-    Most texts are cut in the JVM: those without escapes in which each place of a denied key is one of an attribute that the typed tree
-    holds where it must go, and none is left once attributes of one scalar value, written without spaces, are cut. All others are scanned.
     """
-    at_gate = content if signal == "logs" else []
-    keys, gate = frozenset(denied), frozenset(at_gate) - frozenset(denied)
-    listed = sorted(keys | gate)
-
-    @F.arrow_udf("struct<json:string,gate_leaks:bigint>")
-    def clean(texts: pa.Array) -> pa.Array:
-        done = [spans.without(t, keys, gate) if t is not None else (None, 0) for t in texts.to_pylist()]
-        return pa.StructArray.from_arrays([pa.array([t for t, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], ["json", "gate_leaks"])
-
-    # a list of the text and an object of it both read: nothing but the text's one value is there, since readers stop at its end
-    listable = F.try_parse_json(F.concat(F.lit("["), "json", F.lit("]"))).isNotNull()
-    odd = (F.instr("json", "\\") > 0) | (~col("_alone") & F.try_parse_json("json").isNull())
-    named = reduce(or_, [F.instr("json", k) > 0 for k in listed], F.lit(False))
-    marked = payloads.withColumn("_alone", F.coalesce(listable, F.lit(False))).withColumns({"_odd": F.coalesce(odd, F.lit(False)), "_named": F.coalesce(named, F.lit(False))})
-    simple, shorter, leaks = F.lit(False), col("json"), F.lit(0)
-    if listed:
-        attribute = lambda which, value: r'\{"key":"(?:' + "|".join(_quoted(k) for k in which) + r')","value":\{' + value
-        one = attribute(listed, r'"(?:stringValue|intValue|doubleValue|boolValue)":(?:"[^"]*"|[^"{}\[\],:\s]+)\}\}')
-        last = r"(?:,|(?<=\[))" + one + r"(?=\])"
-        tree = F.from_json(F.concat(F.lit('{"text":'), "json", F.lit("}")), f"text {PLACES[signal]}")["text"]
-        marked = marked.withColumn("_may", col("_named") & col("_alone") & ~col("_odd")).withColumn("_tree", F.when(col("_may"), tree))
-        marked = marked.withColumn("_cut", F.when(col("_may"), F.regexp_replace(F.regexp_replace("json", one + r",\s*", ""), last, "")))
-        among = lambda c, which: F.coalesce(F.size(F.filter(c, lambda k: k.isin(*which))), F.lit(0)) if which else F.lit(0)
-        of_records, around = _keys_at(col("_tree"), signal)
-        places = reduce(add, [(F.length("json") - F.length(F.replace("json", F.lit(f'"{k}"'), F.lit("")))) / (len(k) + 2) for k in listed])
-        left = reduce(or_, [F.instr("_cut", f'"{k}"') > 0 for k in listed])
-        simple = F.when(col("_may"), ~left & (among(of_records, listed) + among(around, sorted(keys)) == places))
-        shorter = col("_cut")
-        if gate:
-            count = lambda value: F.regexp_count("json", F.lit(attribute(sorted(gate), value)))
-            leaks = count("") - count(r'"stringValue":(?:""|null)\}')
-    marked = marked.withColumn("_simple", F.coalesce(simple, F.lit(False)))
-    marked = marked.withColumn("_clean", clean(F.when(col("_odd") | (col("_named") & ~col("_simple")), col("json"))))
-    json = F.when(col("_simple"), shorter).when(col("_odd") | col("_named"), col("_clean.json")).otherwise(col("json"))
-    told = marked.withColumns({"json": json, "gate_leaks": F.when(col("_simple"), leaks.cast("bigint")).otherwise(col("_clean.gate_leaks"))})
-    return told.drop("_clean", "_odd", "_named", "_simple", "_alone", "_may", "_tree", "_cut")
-
-
-def _quoted(text: str) -> str:
-    """A text as a pattern that matches just it."""
-    return re.sub(r"([^0-9A-Za-z_])", r"\\\1", text)
+    said = told(payloads, F.lit(signal), denied, content, digests=False)
+    return said.withColumns({"json": cleaned(), "gate_leaks": col("_told.gate_leaks")}).drop("_told")
 
 
 def quarantined(payloads: DataFrame, text: str = "json") -> DataFrame:

@@ -38,12 +38,12 @@ def read_facts(spark: SparkSession, root: str, signal: str) -> DataFrame:
 
 
 def prepared(payloads: DataFrame, denied: list[str], content: list[str]) -> DataFrame:
-    """Both signals' payloads redacted and hashed, with the reason why one may not be ingested; a signal that no fact takes is an error."""
+    """Both signals' payloads redacted and hashed, and of those that may not be ingested the reason with digest and size of what they were; a signal that no fact takes is an error."""
     known = F.assert_true(col("signal").isin(*FACTS), F.concat(F.lit("no fact takes the signal "), F.coalesce("signal", F.lit("NULL"))))
-    checked = payloads.where(known.isNull())
-    parts = [otlp.redact(checked.where(col("signal") == s).withColumn("_raw", col("json")), s, denied, content) for s in FACTS]
-    out = otlp.quarantined(parts[0].unionByName(parts[1]), "_raw")
-    return out.withColumn("batch_hash", otlp.batch_hash(col("json")))
+    said = otlp.told(payloads.where(known.isNull()), col("signal"), denied, content)
+    reason = F.when(col("json").isNull(), F.lit("no text")).when(col("_told.digest").isNull() & F.try_parse_json("json").isNull(), col("_told.fault"))
+    said = said.withColumn("reason", reason).withColumns({"json": otlp.cleaned(), "text_hash": F.when(col("reason").isNotNull(), F.sha2("json", 256)), "bytes": F.when(col("reason").isNotNull(), F.octet_length("json").cast("long"))})
+    return said.withColumn("batch_hash", F.coalesce("_told.digest", otlp.batch_hash(col("json")))).drop("_told")
 
 
 def ingest(spark: SparkSession, root: str, payloads: DataFrame, denied: list[str], content: list[str], *, horizon_days: int = 7, batch: tuple[str, int] | None = None) -> int | None:
@@ -63,7 +63,7 @@ def ingest(spark: SparkSession, root: str, payloads: DataFrame, denied: list[str
         reach = datetime.timedelta(days=horizon_days)
         seen = commits.read("ledger", LEDGER, days["first"] - reach, days["last"] + reach, state)
         good = written(good.join(seen.select("batch_hash"), "batch_hash", "left_anti").select("signal", "dt", "payload_id", "json", "batch_hash"), "fresh")
-    bad = clean.where("reason IS NOT NULL").select("signal", "dt", "payload_id", "reason", F.sha2("_raw", 256).alias("text_hash"), F.octet_length("_raw").cast("long").alias("bytes"))
+    bad = clean.where("reason IS NOT NULL").select("signal", "dt", "payload_id", "reason", "text_hash", "bytes")
     parts = [p for s in FACTS for p in commits.write(FACTS[s][0], facts(good, s), "day")] if days["first"] else []
     parts += commits.write("ledger", good.select("batch_hash", "signal", "dt"), "dt") if days["first"] else []
     parts += commits.write("quarantine", bad, "dt")

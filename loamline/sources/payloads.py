@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,45 +40,54 @@ def _scope(name: str) -> Column:
     return F.struct(F.lit(name).alias("name"), _attrs(_attr("scope.tag", "stringValue", F.lit("t")), _attr("secret.token", "stringValue", F.lit("bait"))).alias("attributes"))
 
 
-def _nanos(t: str) -> Column:
+def _nanos(t: Column) -> Column:
     return F.concat(F.unix_micros(t).cast("string"), F.lit("123"))
 
 
-def _payloads(rows: DataFrame, signal: str, scope: str, item: Column, items: str, block: str, scoped: str) -> DataFrame:
-    """``item`` of each row, gathered into a payload per user, day and ``BATCH`` consecutive event ids."""
+def _payloads(rows: DataFrame, signal: str, scope: str, item: Callable[[Column], Column], of: list[str], items: str, block: str, scoped: str) -> DataFrame:
+    """``item`` of each row's columns ``of``, gathered into a payload per user, day and ``BATCH`` consecutive event ids.
+
+    Items are made when rows are together: as trees they take many times the room of what they are made from.
+    """
     batch = F.floor(col("event_id") / BATCH).cast("bigint")
-    one = F.struct(_scope(scope).alias("scope"), F.array_sort(F.collect_list(item)).alias(items))
-    g = rows.groupBy("user_id", "user_email", "session_id", "activity_date", batch.alias("batch")).agg(one.alias("s"))
-    tree = F.struct(F.lit("https://schema.example/1").alias("schemaUrl"), _resource().alias("resource"), F.array("s").alias(scoped))
+    g = rows.groupBy("user_id", "user_email", "session_id", "activity_date", batch.alias("batch")).agg(F.collect_list(F.struct(*of)).alias("rows"))
+    one = F.struct(_scope(scope).alias("scope"), F.array_sort(F.transform("rows", item)).alias(items))
+    tree = F.struct(F.lit("https://schema.example/1").alias("schemaUrl"), _resource().alias("resource"), F.array(one).alias(scoped))
     body = F.to_json(F.struct(F.array(tree).alias(block)))
     return g.select(F.lit(signal).alias("signal"), col("activity_date").alias("dt"), F.concat_ws("-", F.lit(signal[0]), "user_id", "activity_date", "batch").alias("payload_id"), body.alias("json"))
 
 
 def metric_payloads(metrics: DataFrame) -> DataFrame:
     """Payloads of data points, (signal, dt, payload_id, json): sums, and of every fifth k a gauge, a histogram or a summary beside it."""
-    attrs = _attrs(_attr("k", "intValue", col("k")), _attr("tool", "stringValue", col("tool_name")), _attr("event.id", "intValue", col("event_id")))
-    nanos = _nanos("ts").alias("timeUnixNano")
-    temporality = F.when(col("value_kind") == "sum_delta", "AGGREGATION_TEMPORALITY_DELTA").otherwise("AGGREGATION_TEMPORALITY_CUMULATIVE").alias("aggregationTemporality")
-    number = F.array(F.struct(nanos, col("value").alias("asDouble"), attrs.alias("attributes"))).alias("dataPoints")
-    spread = F.array(F.struct(nanos, col("value").alias("sum"), col("k").cast("string").alias("count"), attrs.alias("attributes"))).alias("dataPoints")
-    kind = lambda k, s: F.when(k, s)
-    five = col("k") % 5
-    metric = F.struct(
-        col("metric_name").alias("name"), kind(five > 2, F.struct(temporality, number)).alias("sum"), kind(five == 0, F.struct(number)).alias("gauge"), kind(five == 1, F.struct(temporality, spread)).alias("histogram"),
-        kind(five == 2, F.struct(spread)).alias("summary"),
-    )
-    return _payloads(metrics, "metrics", "meter", metric, "metrics", "resourceMetrics", "scopeMetrics")
+
+    def metric(x: Column) -> Column:
+        attrs = _attrs(_attr("k", "intValue", x["k"]), _attr("tool", "stringValue", x["tool_name"]), _attr("event.id", "intValue", x["event_id"]))
+        nanos = _nanos(x["ts"]).alias("timeUnixNano")
+        temporality = F.when(x["value_kind"] == "sum_delta", "AGGREGATION_TEMPORALITY_DELTA").otherwise("AGGREGATION_TEMPORALITY_CUMULATIVE").alias("aggregationTemporality")
+        number = F.array(F.struct(nanos, x["value"].alias("asDouble"), attrs.alias("attributes"))).alias("dataPoints")
+        spread = F.array(F.struct(nanos, x["value"].alias("sum"), x["k"].cast("string").alias("count"), attrs.alias("attributes"))).alias("dataPoints")
+        kind = lambda k, s: F.when(k, s)
+        five = x["k"] % 5
+        return F.struct(
+            x["metric_name"].alias("name"), kind(five > 2, F.struct(temporality, number)).alias("sum"), kind(five == 0, F.struct(number)).alias("gauge"), kind(five == 1, F.struct(temporality, spread)).alias("histogram"),
+            kind(five == 2, F.struct(spread)).alias("summary"),
+        )
+
+    return _payloads(metrics, "metrics", "meter", metric, ["event_id", "ts", "metric_name", "value_kind", "value", "k", "tool_name"], "metrics", "resourceMetrics", "scopeMetrics")
 
 
 def log_payloads(events: DataFrame) -> DataFrame:
     """Payloads of log records; every seventh record carries content that must not be there, some hold lists and objects."""
-    body = F.struct(F.concat(F.lit("app."), "event_name").alias("stringValue"))
-    text = F.when(col("k") % 7 == 0, "said").when(col("k") % 7 == 1, "")
-    listed = F.when(col("k") % 11 == 0, F.struct(F.array(F.struct(F.lit("x").alias("stringValue"))).alias("values")))
-    keyed = F.when(col("k") % 13 == 0, F.struct(F.array(F.struct(F.lit("inner").alias("key"), F.struct(F.lit("y").alias("stringValue")).alias("value"))).alias("values")))
-    attrs = _attrs(
-        _attr("k", "intValue", col("k")), _attr("event.id", "intValue", col("event_id")), _attr("success", "boolValue", col("success_bool")), _attr("cost", "doubleValue", col("cost_usd")), _attr("prompt.text", "stringValue", text),
-        _attr("model", "stringValue", col("model")), _attr("k5", "intValue", col("k") % 5), _attr("service", "stringValue", col("service_name")), _attr("list", "arrayValue", listed), _attr("object", "kvlistValue", keyed),
-    )
-    record = F.struct(_nanos("event_time").alias("timeUnixNano"), F.lit("INFO").alias("severityText"), body.alias("body"), (col("k") % 2).alias("flags"), attrs.alias("attributes"))
-    return _payloads(events, "logs", "logger", record, "logRecords", "resourceLogs", "scopeLogs")
+
+    def record(x: Column) -> Column:
+        body = F.struct(F.concat(F.lit("app."), x["event_name"]).alias("stringValue"))
+        text = F.when(x["k"] % 7 == 0, "said").when(x["k"] % 7 == 1, "")
+        listed = F.when(x["k"] % 11 == 0, F.struct(F.array(F.struct(F.lit("x").alias("stringValue"))).alias("values")))
+        keyed = F.when(x["k"] % 13 == 0, F.struct(F.array(F.struct(F.lit("inner").alias("key"), F.struct(F.lit("y").alias("stringValue")).alias("value"))).alias("values")))
+        attrs = _attrs(
+            _attr("k", "intValue", x["k"]), _attr("event.id", "intValue", x["event_id"]), _attr("success", "boolValue", x["success_bool"]), _attr("cost", "doubleValue", x["cost_usd"]), _attr("prompt.text", "stringValue", text),
+            _attr("model", "stringValue", x["model"]), _attr("k5", "intValue", x["k"] % 5), _attr("service", "stringValue", x["service_name"]), _attr("list", "arrayValue", listed), _attr("object", "kvlistValue", keyed),
+        )
+        return F.struct(_nanos(x["event_time"]).alias("timeUnixNano"), F.lit("INFO").alias("severityText"), body.alias("body"), (x["k"] % 2).alias("flags"), attrs.alias("attributes"))
+
+    return _payloads(events, "logs", "logger", record, ["event_id", "event_time", "event_name", "k", "success_bool", "cost_usd", "model", "service_name"], "logRecords", "resourceLogs", "scopeLogs")

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loamline.functions import columns as C
-from loamline.functions import spans
+from loamline.functions import plain, spans
 from loamline.operators import detection, identity, kpis, marts, otlp, profile, quality, reconcile, refresh, seats
 from loamline.plans.archive import QUERIES
 from loamline.plans.marts import QUERIES as MART_QUERIES
@@ -235,6 +235,67 @@ def test_cuts_of_the_jvm_equal_the_scan(spark):
         assert (got[i][0], got[i][1] or 0) == want, t
 
 
+def _odd_texts():
+    """Payloads that no two readers would take alike unless they were made to."""
+    d, c, o = '{"key":"d","value":{"stringValue":"x"}}', '{"key":"c","value":{"intValue":"1"}}', '{"key":"o","value":{"doubleValue":N}}'
+    whole = '{"resourceLogs":[{"schemaUrl":"u","resource":{"attributes":[@1]},"scopeLogs":[{"scope":{"attributes":[@2]},"logRecords":[{"flags":1,"attributes":[@3]}]}]}]}'
+    numbers = ("1", "0", "-0", "0.0", "-0.0", "1.50", "29.27", "100.0", "-3.250", "0.0001", "0.00001", "1e3", "1.0E-4", "12345678901234.5", "0.1234567890123456789", "123456789012345678", "123456789012345678901", "1" * 50, "null", "true", '{"a": [1, 2.0]}', "[]")
+    texts = [whole.replace("@1", d).replace("@2", "").replace("@3", f"{o.replace('N', n)},{c}") for n in numbers]
+    texts += [whole.replace("@1", r).replace("@2", x).replace("@3", y) for r in ("", d) for x in ("", d, c) for y in ("", d, c, f"{d},{d}", f"{c}, {d}", '{"key":"d","key":"e","value":{}}', '{"value":1,"key":"d"}', '{"key":"e","value":{"stringValue":"é"}}', '{"key":"e","value":{"stringValue":"\\n"}}')]
+    plain_ = texts[0]
+    texts += [plain_ + " ", plain_ + " x", plain_ + "{}", plain_.replace("}", " }"), plain_[:-1], plain_.replace('"flags":1', '"flags":1,"flags":2'), plain_.replace('"flags":1', '"Z":{"b":1,"a":{"é":1}},"a":NaN'), plain_.replace('"flags":1', '"Z":{"b":1,"B":[{"y":1,"x":2}]}')]
+    texts += ["{}", "[]", "3", "null", '"d"', "", " ", "{oops", '{"a":1,"a":2}', '{"a":1} {"d":2}', '{"a":' * 700 + "1" + "}" * 700, '{"a":' * 1200 + "1" + "}" * 1200, '{"%s":1}' % ("k" * 60_000), '{"resourceLogs":{"d":1}}', '{"resourceLogs":[7,"d"]}', '{"resourceLogs":"d"}', "\u00e9", None]
+    return texts
+
+
+def test_digests_and_faults_of_one_parse_are_those_of_the_jvm(spark):
+    """What is told of a payload in one parse is what redaction, the quarantine and the hash tell of it by themselves."""
+    texts = _odd_texts()
+    p = spark.createDataFrame([("logs", D(2024, 1, 1), str(i), t) for i, t in enumerate(texts)], store.PAYLOAD)
+    reader, sure = plain.Reader(frozenset("d"), frozenset("c")), 0
+    got = {r.payload_id: r for r in store.prepared(p, ["d"], ["c"]).collect()}
+    red = otlp.redact(p, "logs", ["d"], ["c"])
+    want = {r.payload_id: r for r in red.withColumn("h", otlp.batch_hash(F.col("json"))).collect()}
+    reasons = {r.payload_id: r.reason for r in otlp.quarantined(p).collect()}
+    for i, t in enumerate(texts):
+        mine, other = got[str(i)], want[str(i)]
+        assert (mine.json, mine.batch_hash, mine.reason) == (other.json, other.h, reasons[str(i)]), t
+        if t and "\\" not in t:
+            try:
+                tree = reader.tree(t)
+                cut = reader.cut(t, tree, "logs")
+            except (ValueError, RecursionError):
+                continue
+            if cut:
+                assert cut == spans.without(t, frozenset("d"), frozenset("c")), t
+                sure += reader.digest(cut[0], tree) is not None
+    assert sure > 30
+
+
+def test_a_payload_is_parsed_once_before_it_is_stored(spark):
+    """One pass of Python tells all; before, each signal had its own, the quarantine one more, and the JVM parsed each payload five times."""
+    p = spark.createDataFrame([("logs", D(2024, 1, 1), "1", PAYLOAD)], store.PAYLOAD)
+    plan = store.prepared(p, ["secret.token"], ["prompt.text"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "from_json" not in plan
+
+
+def test_a_scrub_hashes_nothing_and_tells_what_hashes_would(spark):
+    p = spark.createDataFrame([(str(i), t) for i, t in enumerate(_odd_texts())], "payload_id string, json string")
+    changed, report = reservoir.scrub(p, "logs", ["d"], ["c"])
+    assert "sha2" not in report._jdf.queryExecution().optimizedPlan().toString()
+    both = otlp.redact(p.withColumn("old", otlp.batch_hash(F.col("json"))), "logs", ["d"], ["c"])
+    want = {r.payload_id for r in both.where(~otlp.batch_hash(F.col("json")).eqNullSafe(F.col("old"))).collect()}
+    assert {r.payload_id for r in changed.collect()} == want and len(want) > 30
+
+
+def test_payload_items_are_made_after_the_shuffle(spark):
+    """Rows travel as columns: as trees they took two and a half times the bytes."""
+    e, m = (adapters.rows(spark, "/root/testdata/sf0.001", n) for n in ("events", "metrics"))
+    for p in (payloads.log_payloads(e), payloads.metric_payloads(m)):
+        plan = p._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "stringValue" not in plan[plan.index("Exchange") :]
+
+
 def test_hashes_of_turned_payloads_need_one_pass(spark):
     """Payloads are built and hashed where they stand; before, three sets of them were joined."""
     plan = QUERIES["p14_batch_hash"][0](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
@@ -540,7 +601,7 @@ def test_walk_of_plain_payloads_needs_no_scan_and_equals_it(spark, monkeypatch):
 
 
 def test_spans_leave_the_rest_byte_for_byte():
-    from loamline.functions import spans
+    from loamline.functions import plain, spans
 
     cut = lambda text, denied="d", content="c": spans.without(text, frozenset([denied]), frozenset([content]))
     d, o = '{"key":"d","value":{"stringValue":"x"}}', '{ "key" : "o", "value":{"doubleValue": 1.10} }'
